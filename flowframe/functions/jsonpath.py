@@ -140,7 +140,7 @@ class Matches:
 
         return Matches(F.reduce(F.sequence(F.lit(1), F.lit(depth)), start, descend, finish))
 
-    def deep_field(self, name: str, depth: int = 64) -> Matches:
+    def deep_field(self, name: str, depth: int = 16) -> Matches:
         """Fields of that name at any depth; a matched value is not searched further."""
 
         def inside(v: Column) -> Column:
@@ -152,12 +152,12 @@ class Matches:
 
         return self.levels(depth, inside, hit)
 
-    def deep_any(self, depth: int = 64) -> Matches:
+    def deep_any(self, depth: int = 16) -> Matches:
         """The value itself and every field value at any depth."""
         deep = self.levels(depth, lambda v: F.concat(elements(v), members(v)), members)
         return Matches(F.concat(self.values, deep.values))
 
-    def deep_where(self, predicate: Callable[[Column], Column], depth: int = 64) -> Matches:
+    def deep_where(self, predicate: Callable[[Column], Column], depth: int = 16) -> Matches:
         """Objects at any depth for which the predicate is true."""
 
         def hit(v: Column) -> Column:

@@ -107,29 +107,30 @@ def cells_from_frame(df: DataFrame, key: Column | str, ts: Column | str, familie
     ts_type = df.select(ts.alias("t")).schema["t"].dataType.simpleString()
     arrays = []
     for name, family in families.items():
-        column, kind = F.col(quoted(name)), types[name]
-        if not isinstance(kind, T.MapType):
-            made = F.array(F.struct(F.lit(family), F.lit(name), ts, column.cast("string")))
-        elif isinstance(kind.valueType, T.MapType):
-            made = F.flatten(
-                F.transform(
-                    F.map_entries(column),
-                    lambda q, family=family: F.transform(
-                        F.map_entries(q["value"]),
-                        lambda v: F.struct(F.lit(family), q["key"], v["key"].cast(ts_type), v["value"].cast("string")),
-                    ),
-                )
-            )
-        else:
-            made = F.transform(
-                F.map_entries(column),
-                lambda e, family=family: F.struct(F.lit(family), e["key"], ts, e["value"].cast("string")),
-            )
+        made = cell_array(F.col(quoted(name)), types[name], name, F.lit(family), ts, ts_type)
         arrays.append(F.coalesce(made, F.array()).cast(cell.format(t=ts_type)))
     every = F.filter(F.concat(*arrays), lambda c: c["value"].isNotNull())
     return df.select(key.alias("row_key"), F.explode(every).alias("c")).select("row_key", "c.*")
 
 
+def cell_array(column: Column, kind: T.DataType, name: str, family: Column, ts: Column, ts_type: str) -> Column:
+    """The cells one column of a row makes."""
+    if not isinstance(kind, T.MapType):
+        return F.array(F.struct(family, F.lit(name), ts, column.cast("string")))
+    if not isinstance(kind.valueType, T.MapType):
+        return F.transform(
+            F.map_entries(column), lambda e: F.struct(family, e["key"], ts, e["value"].cast("string"))
+        )
+
+    def versions(entry: Column) -> Column:
+        return F.transform(
+            F.map_entries(entry["value"]),
+            lambda v: F.struct(family, entry["key"], v["key"].cast(ts_type), v["value"].cast("string")),
+        )
+
+    return F.flatten(F.transform(F.map_entries(column), versions))
+
+
 def mapped_cells(rows: DataFrame, ts: str = "sort_key") -> DataFrame:
     """Mapped rows (with their cells map) as a log of cells."""
     return rows.select("table_name", "row_key", "family", F.explode("cells").alias("qualifier", "value"), F.col(ts).alias("ts"))

@@ -77,16 +77,17 @@ def push_struct_array(
     if max_items is None:
         return nested.groupBy(*rest).agg(F.array_sort(F.collect_list(name)).alias(name))
 
-    sizes = nested.groupBy(*rest).agg(F.ceil(F.count("*") / F.lit(max_items)).alias("__parts"))
-    same = [nested[c].eqNullSafe(sizes[c]) for c in rest]
-    on = same[0]
-    for cond in same[1:]:
-        on = on & cond
+    sizes = nested.groupBy(*[F.col(quoted(c)).alias(f"__k{i}") for i, c in enumerate(rest)]).agg(
+        F.ceil(F.count("*") / F.lit(max_items)).alias("__parts")
+    )
+    on = F.lit(True)
+    for i, c in enumerate(rest):
+        on = on & F.col(quoted(c)).eqNullSafe(F.col(f"__k{i}"))
     # the row number spreads equal structs over the parts as well
     spread = (
         nested.withColumn("__row", F.monotonically_increasing_id())
         .join(sizes, on)
-        .select(*[nested[c] for c in rest], nested[name], F.expr("pmod(__row, __parts)").alias(part_col))
+        .select(*rest, name, F.expr("pmod(__row, __parts)").alias(part_col))
     )
     return spread.groupBy(*rest, part_col).agg(F.array_sort(F.collect_list(name)).alias(name))
 

@@ -77,7 +77,6 @@ def active_min_sequence(
         F.when(F.col(scope) == "item", F.lit(0)).otherwise(F.lit(1)),
         F.col("statevalue"),
     )
-    # the later start is the greater text, so candidates of one rank are compared in reverse
     per_state = open_holds.groupBy(*keys, scope, "statevalue", "sequence").agg(F.max("starttime").alias("starttime"))
     best = per_state.groupBy(*keys).agg(F.min_by(F.struct(scope, "statevalue", "sequence", "starttime"), rank).alias("b"))
     trace = F.concat(F.lit("statustype:"), F.col(f"b.{scope}"), F.lit(" | sequence: "), F.col("b.sequence").cast("string"))

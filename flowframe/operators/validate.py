@@ -39,14 +39,10 @@ def violations(value: Column, kind: T.DataType, name: str, rules: Mapping[str, s
     if isinstance(kind, T.ArrayType):
         if not isinstance(kind.elementType, T.StructType):
             return []
-        fields = kind.elementType.fields
         out = []
-        for f in fields:
-            size = len(violations(F.lit(None), f.dataType, "", rules))
-            for i in range(size):
-                inside = F.transform(
-                    value, lambda x, f=f, i=i: violations(x[f.name], f.dataType, f"{name}.{f.name}", rules)[i]
-                )
+        for f in kind.elementType.fields:
+            for i in range(len(violations(F.lit(None), f.dataType, "", rules))):
+                inside = F.transform(value, child_check(f, i, f"{name}.{f.name}", rules))
                 out.append(F.coalesce(F.flatten(inside), no_violations()))
         return out
     text = value.cast("string")
@@ -55,5 +51,9 @@ def violations(value: Column, kind: T.DataType, name: str, rules: Mapping[str, s
     return [F.when(bad, F.array(kept)).otherwise(no_violations())]
 
 
+def child_check(child: T.StructField, i: int, name: str, rules: Mapping[str, str]):
+    return lambda x: violations(x[child.name], child.dataType, name, rules)[i]
+
+
 def no_violations() -> Column:
     return F.array().cast("array<struct<field:string,value:string,violation:string>>")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowframe.operators.mapping import MappedFrames, map_documents
 from flowframe.operators.relational import partition_sort
+from flowframe.operators.windows import next_value
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -91,14 +91,23 @@ def batch_audit(
     return told.groupBy("topic").agg(*sums).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
 
-def offset_gaps(offsets: DataFrame, keys: Sequence[str] = ("topic", "partition")) -> DataFrame:
+def offset_gaps(offsets: DataFrame, keys: Sequence[str] = ("topic", "partition"), block: int = 1000) -> DataFrame:
     """Entries of an offset log that do not start where the one before them ended.
 
     The log holds one row per batch and bus partition: (topic, partition, batch_id,
-    from_offset, until_offset).
+    from_offset, until_offset). It is walked in blocks of batch ids, so the log of one
+    partition is spread over tasks.
     """
-    before = F.lag("until_offset").over(W.partitionBy(*keys).orderBy("batch_id"))
-    return offsets.withColumn("expected", before).filter("expected IS NOT NULL AND expected <> from_offset")
+    entry = F.struct(F.col("batch_id").alias("next_batch"), F.col("from_offset").alias("next_from"))
+    told = next_value(
+        offsets.withColumn("__entry", entry), keys, ["batch_id"], "__entry", F.expr(f"batch_id div {block}"), "__following"
+    )
+    return told.filter("__following.next_from <> until_offset").select(
+        *keys,
+        F.col("__following.next_batch").alias("batch_id"),
+        F.col("__following.next_from").alias("from_offset"),
+        F.col("until_offset").alias("expected"),
+    )
 
 
 def pending_runs(finished: DataFrame, started: DataFrame, keys: Sequence[str]) -> DataFrame:
