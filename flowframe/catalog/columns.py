@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from flowframe.catalog import query, table
 from flowframe.operators import columns as op
+from flowframe.operators.nesting import push_struct_array as nest
 
 
 @query(
@@ -83,7 +84,7 @@ def push_struct(spark, data):
 )
 def push_struct_array(spark, data):
     df = table(spark, data, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
-    return op.push_struct_array(df, "orders", ["o_orderkey", "o_orderpriority"]).withColumn("orders", F.to_json("orders"))
+    return nest(df, "orders", ["o_orderkey", "o_orderpriority"]).withColumn("orders", F.to_json("orders"))
 
 
 @query(
@@ -95,7 +96,7 @@ def push_struct_array_parts(spark, data):
     df = table(spark, data, "lineitem").select(
         "l_returnflag", "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("string").alias("shipped")
     )
-    nested = op.push_struct_array(df, "rows", ["l_orderkey", "l_linenumber", "shipped"], max_items=1000)
+    nested = nest(df, "rows", ["l_orderkey", "l_linenumber", "shipped"], max_items=1000)
     return nested.select("l_returnflag", F.inline("rows"))
 
 
@@ -130,7 +131,7 @@ def explode_array_outer(spark, data):
 @query("explode_pop", "SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders")
 def explode_pop(spark, data):
     df = table(spark, data, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus")
-    nested = op.push_struct_array(df, "by_status", ["o_orderkey", "o_orderpriority", "o_orderstatus"])
+    nested = nest(df, "by_status", ["o_orderkey", "o_orderpriority", "o_orderstatus"])
     return op.explode_pop(nested, "by_status")
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from flowframe.catalog import query, table
 from flowframe.operators import events as op
+from flowframe.operators import nesting
 
 
 def text_ts(df, *cols):
@@ -150,7 +151,7 @@ def first_seen_value(spark, data):
        ORDER BY l_linenumber, l_partkey)) AS VARCHAR) AS lines FROM lineitem GROUP BY l_orderkey""",
 )
 def collect_children(spark, data):
-    df = op.collect_children(table(spark, data, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey"], "lines")
+    df = nesting.collect_children(table(spark, data, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey"], "lines")
     return df.withColumn("lines", F.to_json("lines"))
 
 

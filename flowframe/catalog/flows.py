@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from flowframe.catalog import query, table
+from flowframe.operators.incremental import SnapshotStore
 from flowframe.operators.rules import load_functions
 from flowframe.plans import flow
 from flowframe.session import scratch_dir
@@ -230,13 +231,13 @@ def flow_run_side_sinks(spark, data):
     return read_targets(spark, targets)
 
 
-@query("flow_preview", "SELECT 20::BIGINT AS shown, 3::BIGINT AS columns, count(*) AS counted FROM (" + FLAGSHIP + ")")
+@query("flow_preview", "SELECT (SELECT count(*) FROM orders) AS orders, 20::BIGINT AS shown, 3::BIGINT AS columns, count(*) AS counted FROM (" + FLAGSHIP + ")")
 def flow_preview(spark, data):
     """First rows, schema and count of a signal; only those rows reach the driver."""
     seen = flow.preview(spark, flagship(data), "result", n=20, count=True)
-    whole = table(spark, data, "orders").limit(1)
-    facts = [F.lit(len(seen.rows)).cast("bigint").alias("shown"), F.lit(len(seen.rows[0])).cast("bigint").alias("columns")]
-    return whole.select(*facts, F.lit(seen.count).cast("bigint").alias("counted"))
+    facts = {"shown": len(seen.rows), "columns": len(seen.rows[0]), "counted": seen.count}
+    counted = table(spark, data, "orders").agg(F.count("*").alias("orders"))
+    return counted.select("orders", *[F.lit(v).cast("bigint").alias(k) for k, v in facts.items()])
 
 
 @query("sub_flow", "SELECT c_custkey AS id, upper(c_name) AS name FROM customer WHERE c_acctbal > 100")
@@ -275,3 +276,21 @@ def flow_timed_table(spark, data):
         ],
     }
     return flow.build_flow(spark, spec, "result")
+
+
+@query("pull_flow", "SELECT event_id, user_id FROM events WHERE ts > TIMESTAMP '2024-01-10'")
+def pull_flow(spark, data):
+    """History first, unwritten; then two pulls of what came after."""
+    target = scratch_dir(spark, "pulled")
+    store = SnapshotStore(spark, scratch_dir(spark, "pull-state"))
+    spec = {
+        "connections": [connection("events", f"{data}/events.parquet"), connection("out", target)],
+        "operations": [
+            op("reader", [], ["events"], "events", projection=cols(("event_id", "event_id"), ("user_id", "user_id"), ("ts", "ts"))),
+            op("writer", ["events"], [], connection_out="out", prefetch={"save": "false"}),
+        ],
+    }
+    days = ["2024-01-10", "2024-01-20", "2024-02-01"]
+    for batch, day in enumerate(days):
+        flow.pull_flow(spark, spec, "writer-events", store, batch, "ts", day)
+    return spark.read.parquet(target).select("event_id", "user_id")

@@ -42,7 +42,7 @@ def coded_intervals(spark, data):
     return df.withColumn("statevalue", code)
 
 
-HOLDS = [("header", "A", 30), ("header", "B", 10), ("item", "C", 10), ("item", "D", 20), ("item", "A", 5)]
+HOLDS = {("header", "A"): 30, ("header", "B"): 10, ("item", "C"): 10, ("item", "D"): 20, ("item", "A"): 5}
 
 
 @query(
@@ -56,8 +56,7 @@ HOLDS = [("header", "A", 30), ("header", "B", 10), ("item", "C", 10), ("item", "
         FROM r WHERE rn = 1""",
 )
 def active_min_sequence(spark, data):
-    holds = spark.createDataFrame(HOLDS, "statustype string, statevalue string, sequence int")
-    return op.active_min_sequence(coded_intervals(spark, data), holds, ["user_id"])
+    return op.active_min_sequence(coded_intervals(spark, data), HOLDS, ["user_id"])
 
 
 @query(

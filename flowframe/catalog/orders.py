@@ -202,6 +202,17 @@ def assemble_object(spark, data):
     return df.withColumns(lists).select("c_custkey", "n_name", "order_list", "return_list")
 
 
+@query("assemble_object_bounded", "SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey FROM lineitem")
+def assemble_object_bounded(spark, data):
+    """Three parents with very many children each: lists and their overflow hold every child."""
+    base = table(spark, data, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey")
+    cols = ["l_orderkey", "l_linenumber", "l_partkey"]
+    parents = base.select("l_returnflag").distinct()
+    objects, overflow = op.assemble_bounded(parents, {"lines": (base, ["l_returnflag"], cols)}, 5000)
+    parts = objects.unionByName(overflow["lines"].drop("part"))
+    return parts.select("l_returnflag", F.inline("lines"))
+
+
 @query(
     "assemble_delivery",
     """WITH d AS (SELECT l_orderkey AS delivery, max(l_suppkey) AS own, max(CASE WHEN l_returnflag = 'R' THEN l_partkey END) AS ext,
@@ -381,7 +392,7 @@ def refresh_lookup(spark, data):
         "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "yyyyMM").alias("yearmonth")
     )
     sinks.write_files(base.hint("rebalance", "yearmonth"), parts, partition_cols=["yearmonth"])
-    sinks.write_files(base.limit(1), target)
+    sinks.write_files(base.filter("o_orderpriority = '1-URGENT'"), target)
     fresh = files.read_month_partitions(
         spark, parts, {"o_custkey": "material", "o_orderpriority": "family"}, None, "", "199801", "199812"
     )

@@ -74,7 +74,7 @@ def add_region(context, row):
 @query("rule_dependencies", "SELECT n_nationkey, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey")
 def rule_dependencies(spark, data):
     """A small lookup reaches the rules through their context; a large one belongs in a join."""
-    regions = {r["r_regionkey"]: r["r_name"] for r in table(spark, data, "region").limit(1000).collect()}
+    regions = op.lookup_dict(table(spark, data, "region"), "r_regionkey", "r_name")
     df = op.apply_rules(
         table(spark, data, "nation"), [add_region], "n_nationkey int, region string", {"regions": regions}
     )

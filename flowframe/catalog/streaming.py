@@ -42,7 +42,7 @@ def new_files(spark, data):
     return tagged.withColumn("path", plain).join(paths, "path", "left_semi").select("event_id", "event_type")
 
 
-@query("settled_files", "SELECT 6::BIGINT AS settled, 0::BIGINT AS unsettled, 6::BIGINT AS named FROM events LIMIT 1")
+@query("settled_files", "SELECT 6::BIGINT AS settled, 0::BIGINT AS unsettled, 6::BIGINT AS named")
 def settled_files(spark, data):
     """Files count once they have been left alone for the settle time."""
     listed = files.list_files(spark, dropped(spark, data), "*.json")

@@ -61,37 +61,6 @@ def push_struct(df: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
     return df.select(*rest, F.struct(*cols).alias(name))
 
 
-def push_struct_array(
-    df: DataFrame, name: str, cols: Sequence[str], max_items: int | None = None, part_col: str = "part"
-) -> DataFrame:
-    """Group by all other columns and nest `cols` as a sorted array of structs.
-
-    One group is one output row, so a group must fit in a row. `max_items` lifts that: a
-    larger group is spread over several rows numbered in `part_col`, whose arrays together
-    hold every struct of the group, and no task ever holds the whole group.
-    """
-    rest = [c for c in df.columns if c not in cols]
-    if not rest:
-        raise ValueError("push_struct_array needs at least one column to group by")
-    nested = df.select(*rest, F.struct(*cols).alias(name))
-    if max_items is None:
-        return nested.groupBy(*rest).agg(F.array_sort(F.collect_list(name)).alias(name))
-
-    sizes = nested.groupBy(*[F.col(quoted(c)).alias(f"__k{i}") for i, c in enumerate(rest)]).agg(
-        F.ceil(F.count("*") / F.lit(max_items)).alias("__parts")
-    )
-    on = F.lit(True)
-    for i, c in enumerate(rest):
-        on = on & F.col(quoted(c)).eqNullSafe(F.col(f"__k{i}"))
-    # the row number spreads equal structs over the parts as well
-    spread = (
-        nested.withColumn("__row", F.monotonically_increasing_id())
-        .join(sizes, on)
-        .select(*rest, name, F.expr("pmod(__row, __parts)").alias(part_col))
-    )
-    return spread.groupBy(*rest, part_col).agg(F.array_sort(F.collect_list(name)).alias(name))
-
-
 def pop_struct(df: DataFrame, col: str, keep_rest: bool = False) -> DataFrame:
     """Elevate the fields of a struct; other columns are dropped unless `keep_rest`."""
     if not keep_rest:

@@ -50,9 +50,13 @@ def dedup_oldest(df: DataFrame, ts: str, ignore: Sequence[str] = ()) -> DataFram
     carried = [ts, *[c for c in df.columns if c in ignore]]
     if not compared:
         raise ValueError("no column is left to compare")
+    group = [F.col(quoted(c)) for c in compared]
+    if carried == [ts]:
+        oldest = F.when(F.count("*") == F.count(ts), F.min(ts))
+        return df.groupBy(*group).agg(oldest.alias(ts)).select(*[F.col(quoted(c)) for c in df.columns])
     order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(orderable(df, carried))])
     row = F.struct(*[F.col(quoted(c)) for c in carried])
-    best = df.groupBy(*[F.col(quoted(c)) for c in compared]).agg(F.min_by(row, order).alias("__row"))
+    best = df.groupBy(*group).agg(F.min_by(row, order).alias("__row"))
     return best.select(
         *[F.col("__row")[c].alias(c) if c in carried else F.col(quoted(c)) for c in df.columns]
     )
@@ -113,11 +117,6 @@ def first_seen_value(df: DataFrame, keys: Sequence[str], value: str, serial: str
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.min(serial).alias(serial))
 
 
-def collect_children(df: DataFrame, keys: Sequence[str], cols: Sequence[str], out: str) -> DataFrame:
-    """One row per key with its child rows as a sorted array of structs."""
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(out))
-
-
 def group_count(df: DataFrame, keys: Sequence[str], out: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(out))
 

@@ -63,26 +63,41 @@ def status_intervals(
     )
 
 
+def hold_sequence(holds: Mapping[tuple[str, ...], int], cols: Sequence[str]) -> Column:
+    """Sequence of a hold from its key columns, null when it is not listed.
+
+    The list is configuration, given as a dictionary, so it is part of the expression: large
+    interval tables are neither joined nor shuffled by the few values of the key.
+    """
+    mark = "\x1f"
+    pairs = [F.lit(x) for key, seq in holds.items() for x in (mark.join(key), seq)]
+    return F.try_element_at(F.create_map(*pairs), F.concat_ws(mark, *cols))
+
+
 def active_min_sequence(
-    intervals: DataFrame, holds: DataFrame, keys: Sequence[str], scope: str = "statustype", join_cols: Sequence[str] = ()
+    intervals: DataFrame,
+    holds: Mapping[tuple[str, ...], int],
+    keys: Sequence[str],
+    scope: str = "statustype",
+    lead: Sequence[str] = (),
 ) -> DataFrame:
     """Of the open intervals in a hold list, the one with the lowest sequence per object.
 
-    `holds` has the scope, `statevalue` and `sequence` (and `join_cols`). Item holds win a tie
-    against header holds, then the lower value, then the later start.
+    `holds` maps (*lead, scope, state value) to a sequence. Item holds win a tie against
+    header holds, then the lower value; of its intervals the latest start counts.
     """
-    open_holds = join(intervals.filter("endtime = ''"), holds, [*join_cols, scope, "statevalue"])
+    sequence = hold_sequence(holds, [*lead, scope, "statevalue"])
+    open_holds = intervals.filter("endtime = ''").withColumn("sequence", sequence).filter("sequence IS NOT NULL")
+    per_state = open_holds.groupBy(*keys, scope, "statevalue", "sequence").agg(F.max("starttime").alias("starttime"))
     rank = F.struct(
         F.col("sequence"),
         F.when(F.col(scope) == "item", F.lit(0)).otherwise(F.lit(1)),
         F.col("statevalue"),
     )
-    per_state = open_holds.groupBy(*keys, scope, "statevalue", "sequence").agg(F.max("starttime").alias("starttime"))
-    best = per_state.groupBy(*keys).agg(F.min_by(F.struct(scope, "statevalue", "sequence", "starttime"), rank).alias("b"))
+    found = F.struct(scope, "statevalue", "sequence", "starttime")
+    best = per_state.groupBy(*keys).agg(F.min_by(found, rank).alias("b"))
     trace = F.concat(F.lit("statustype:"), F.col(f"b.{scope}"), F.lit(" | sequence: "), F.col("b.sequence").cast("string"))
-    return best.select(
-        *keys, "b.statevalue", "b.starttime", F.lit("").alias("endtime"), trace.alias("trace")
-    )
+    return best.select(*keys, "b.statevalue", "b.starttime", F.lit("").alias("endtime"), trace.alias("trace"))
 
 
 def status_flag_intervals(

@@ -207,7 +207,6 @@ def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col
     templates = {t["name"]: t for t in spec.get("templates") or []}
     messages = explode_lines(df.select(F.col(topic_col).alias("topic"), F.col(value_col).alias("value")))
     parsed = messages.withColumn("doc", F.try_parse_json("value"))
-    good = parsed.filter("doc IS NOT NULL")
     scope = ["doc"]
 
     tagged, ids = [], []
@@ -224,6 +223,8 @@ def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col
         made = [template_sql(templates[t], templates, scope, sort_key) for t in m.get("templates") or []]
         rows = made[0] if len(made) == 1 else f"concat({', '.join(made)})"
         condition = condition_sql(re.sub(r"\bsourceName\b", lambda _: name, when), scope)
+        # tested here rather than in a filter, which would parse every document twice
+        condition = f"doc IS NOT NULL AND {condition}"
         tagged.append(
             f"transform(CASE WHEN {condition} THEN {rows} ELSE CAST(array() AS array<{ROW_TYPE}>) END, "
             f"x -> struct({name} AS source_name, x AS row))"
@@ -231,9 +232,10 @@ def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col
     if not tagged:
         raise ValueError("the mapping has no source map with a condition")
     every = tagged[0] if len(tagged) == 1 else f"concat({', '.join(tagged)})"
-    out = good.select("topic", F.explode(F.expr(every)).alias("m"))
+    out = parsed.select("topic", F.explode(F.expr(every)).alias("m"))
     rows = out.select("topic", "m.source_name", "m.row.*")
     distinct_ids = list(dict.fromkeys(ids)) or ["'?'"]
+    good = parsed.filter("doc IS NOT NULL")
     doc_ids = good.select("topic", F.explode(F.expr(f"array({', '.join(distinct_ids)})")).alias("doc_id")).distinct()
     rejects = parsed.filter("doc IS NULL").select("topic", "value")
     return MappedFrames(rows, doc_ids, rejects)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from flowframe.operators.columns import quoted
 from flowframe.operators.events import event_serial, first_seen_value
-from flowframe.operators.relational import join, join_all, role_pivot
+from flowframe.operators.nesting import nested_lists
+from flowframe.operators.relational import broadcast_if_small, join, join_all, role_pivot
 
 
 # --- event tables ----------------------------------------------------------------------
@@ -94,31 +95,43 @@ def flagged_lookup(df: DataFrame, key: str, name: str, flag: str, value: str = "
 # --- nested objects --------------------------------------------------------------------
 
 
-def children_of(child: DataFrame, keys: Sequence[str], cols: Sequence[str], out: str) -> DataFrame:
-    """One row per parent key with its children as a sorted list."""
-    return child.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(out))
+Children = Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]]
+Required = Sequence[tuple[DataFrame, Sequence[str]]]
 
 
-def assemble(
-    parent: DataFrame,
-    children: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]],
-    required: Sequence[tuple[DataFrame, Sequence[str]]] = (),
-) -> DataFrame:
+def attach_list(parent: DataFrame, nested: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Left join of a list column; a parent without children has an empty list."""
+    empty = F.array().cast(nested.schema[name].dataType)
+    return join(parent, nested, keys, "left").withColumn(name, F.coalesce(name, empty))
+
+
+def assemble(parent: DataFrame, children: Children, required: Required = ()) -> DataFrame:
     """Parent rows with their children as lists, in one column per kind of child.
 
     `children` is {list name: (child rows, key columns, kept columns)}; `required` frames are
     joined as they are and must match. Each child is aggregated on its own key before the
     join, so lists never multiply each other and parent rows never serve as a grouping key.
-    A parent without children has an empty list.
     """
     out = parent
     for name, (child, keys, cols) in children.items():
-        nested = children_of(child, keys, cols, name)
-        empty = F.array().cast(nested.schema[name].dataType)
-        out = join(out, nested, keys, "left").withColumn(name, F.coalesce(name, empty))
-    for frame, keys in required:
-        out = join(out, frame, keys)
-    return out
+        out = attach_list(out, nested_lists(child, keys, cols, name), keys, name)
+    return join_all(out, required)
+
+
+def assemble_bounded(
+    parent: DataFrame, children: Children, max_items: int, required: Required = ()
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """`assemble` for parents that may have more children than fit into a row.
+
+    The objects carry lists of about `max_items`. Children beyond them are in the second
+    result, per list name: (keys, part, list), with parts numbered from 1.
+    """
+    out, overflow = parent, {}
+    for name, (child, keys, cols) in children.items():
+        parts = nested_lists(child, keys, cols, name, max_items)
+        out = attach_list(out, parts.filter("part = 0").drop("part"), keys, name)
+        overflow[name] = parts.filter("part > 0")
+    return join_all(out, required), overflow
 
 
 def status_scope_union(
@@ -153,20 +166,16 @@ def assemble_delivery(
     given, and by its own id otherwise. Deliveries without any date are dropped unless
     `keep_undated`.
     """
-    whole = children_of(lines, keys, line_cols, "line_list")
+    whole = nested_lists(lines, keys, line_cols, "line_list")
     match = F.when(use_external & F.col(external_id).isNotNull(), F.col(external_id)).otherwise(F.col(own_id))
-    ships = children_of(shipments, [shipment_id], shipment_cols, "shipment_list")
+    ships = nested_lists(shipments, [shipment_id], shipment_cols, "shipment_list")
     ships = ships.withColumnRenamed(shipment_id, "__match")
-    out = join(whole.withColumn("__match", match), ships, ["__match"], "left").drop("__match")
-    out = out.withColumn("shipment_list", F.coalesce("shipment_list", F.array().cast(ships.schema["shipment_list"].dataType)))
+    out = attach_list(whole.withColumn("__match", match), ships, ["__match"], "shipment_list").drop("__match")
     if dates is None:
         return out
     seen = first_seen_value(dates, date_keys, date, serial)
-    dated = children_of(seen, date_keys, [date, serial], "date_list")
-    out = join(out, dated, date_keys, "left" if keep_undated else "inner")
-    if keep_undated:
-        out = out.withColumn("date_list", F.coalesce("date_list", F.array().cast(dated.schema["date_list"].dataType)))
-    return out
+    dated = nested_lists(seen, date_keys, [date, serial], "date_list")
+    return attach_list(out, dated, date_keys, "date_list") if keep_undated else join(out, dated, date_keys)
 
 
 # --- classification --------------------------------------------------------------------
@@ -274,11 +283,19 @@ def order_complexity(
     return classify_group(roots, lines, keys, facts, rules, "Pps", out)
 
 
-def lookup_enrich(df: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str]]], missing: str = "_") -> DataFrame:
+def lookup_enrich(
+    df: DataFrame,
+    lookups: Sequence[tuple[DataFrame, Sequence[str]]],
+    missing: str = "_",
+    max_broadcast_rows: int | None = None,
+) -> DataFrame:
     """Left joins to lookup tables; text that is missing becomes `missing`.
 
-    A lookup is broadcast when adaptive execution finds it small enough.
+    With `max_broadcast_rows` each lookup is measured first and broadcast when it is within
+    that bound; otherwise adaptive execution decides from the sizes it sees.
     """
+    if max_broadcast_rows is not None:
+        lookups = [(broadcast_if_small(t, max_broadcast_rows), keys) for t, keys in lookups]
     return join_all(df, lookups, "left").na.fill(missing)
 
 

@@ -72,3 +72,14 @@ def add_dependencies(df: DataFrame, paths: Sequence[str]) -> None:
     """Ship modules that rule functions import to the executors."""
     for p in paths:
         df.sparkSession.sparkContext.addPyFile(p)
+
+
+def lookup_dict(df: DataFrame, key: str, value: str, max_rows: int = 100_000) -> dict:
+    """A small lookup as a dictionary for the context of rules.
+
+    A table with more than `max_rows` rows is refused: join it to the rows before the rules.
+    """
+    rows = df.select(key, value).take(max_rows + 1)
+    if len(rows) > max_rows:
+        raise ValueError(f"lookup has more than {max_rows} rows; join it instead")
+    return {r[key]: r[value] for r in rows}

@@ -17,7 +17,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.operators import columns, events, incremental, relational, rules
+from flowframe.operators import columns, events, incremental, nesting, relational, rules
 from flowframe.sources import external, files, landing, sinks
 
 
@@ -211,7 +211,7 @@ def join_events_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFra
 def push_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
     o = node.options
     name = o.get("colName") or o["col"]
-    push = columns.push_struct_array if truth(o.get("asArray")) else columns.push_struct
+    push = nesting.push_struct_array if truth(o.get("asArray")) else columns.push_struct
     return push(inputs[0], name, o["cols"])
 
 
@@ -336,7 +336,8 @@ def build_flow(spark: SparkSession, spec: dict, signal: str, functions: dict[str
     return parse_flow(spark, spec, functions).frame(signal)
 
 
-def write_sink(flow: Flow, node: Node, df: DataFrame) -> None:
+def write_sink(flow: Flow, node: Node, df: DataFrame, batch_id: int | None = None) -> None:
+    """Write to the connection of a sink; files of a batch go to a directory of their own."""
     connection = flow.connection(node.sink_connection)
     kind = connection.get("connectionType", "")
     strings = (connection.get("connection") or {}).get("connectionStrings") or {}
@@ -357,11 +358,14 @@ def write_sink(flow: Flow, node: Node, df: DataFrame) -> None:
                 "header": str(flow.option(node, connection, "header", "true")).lower(),
                 "sep": flow.option(node, connection, "filesFormatCsvSeperator", ","),
             }
+        path, mode = connection_path(flow, node, connection), flow.option(node, connection, "saveMode")
+        if batch_id is not None:
+            path, mode = f"{path.rstrip('/')}/batch_id={batch_id}", "overwrite"
         sinks.write_files(
             df,
-            connection_path(flow, node, connection),
+            path,
             fmt,
-            flow.option(node, connection, "saveMode"),
+            mode,
             options,
             flow.option(node, connection, "codec"),
             flow.option(node, connection, "partitionCols", []),
@@ -399,6 +403,36 @@ def run_flow(
     return [n.name for n in wanted]
 
 
+def pull_flow(
+    spark: SparkSession,
+    spec: dict,
+    sink: str,
+    store: incremental.SnapshotStore,
+    batch_id: int,
+    ts: str | None = None,
+    till: str | None = None,
+    functions: dict[str, Callable] | None = None,
+) -> DataFrame:
+    """Write to a sink only the rows its flow gained since the pull before `batch_id`.
+
+    The rows known so far are a snapshot in `store`, so a pull that is run again compares with
+    the same snapshot, and files it wrote are replaced. The first pull loads the history: it is written only when the sink's
+    `prefetch.save` option is true. Returns the new rows.
+    """
+    flow = parse_flow(spark, spec, functions)
+    node = next((n for n in flow.nodes if n.kind in SINKS and sink in (n.name, *n.outputs)), None)
+    if node is None:
+        raise FlowError(f"no sink named {sink!r}")
+    current = flow.frame(node.sources[0])
+    previous = store.latest(before=batch_id)
+    first = previous is None
+    fresh, following = incremental.new_rows(current, current.limit(0) if first else previous, ts, till)
+    store.save(following, batch_id)
+    if not first or truth((node.options.get("prefetch") or {}).get("save")):
+        write_sink(flow, node, fresh, batch_id)
+    return fresh
+
+
 def upstream_signals(flow: Flow, sink: str) -> set[str]:
     """Signals a sink depends on that also leave through a tee or split."""
     found: set[str] = set()
