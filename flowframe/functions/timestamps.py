@@ -37,11 +37,13 @@ def instant_of(text: Column, pattern: str, zone: str) -> Column:
     tries: list[Column] = []
     if pattern_has_zone(pattern):
         tries.append(F.try_to_timestamp(text, F.lit(pattern)))
+    # without a region behind the offset, and with seconds
     bare = F.regexp_replace(text, r"\[[^\]]+\]$", "")
-    tries.append(F.when(text.rlike(ISO_ZONED), bare.try_cast("timestamp")))
+    full = F.regexp_replace(bare, r"(T\d{2}:\d{2})(?=$|[Z+-])", "$1:00")
+    tries.append(F.when(text.rlike(ISO_ZONED), full.try_cast("timestamp")))
     if not pattern_has_zone(pattern):
         tries.append(F.try_to_timestamp(in_zone, F.lit(pattern + " VV")))
-    tries.append(F.when(text.rlike(ISO_LOCAL), in_zone.try_cast("timestamp")))
+    tries.append(F.when(text.rlike(ISO_LOCAL), F.concat(full, F.lit(" " + zone)).try_cast("timestamp")))
     tries.append(
         F.when(text.rlike(ISO_DATE), F.concat(text, F.lit("T00:00:00 " + zone)).try_cast("timestamp"))
     )

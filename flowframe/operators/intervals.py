@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowframe.functions.bizdays import add_workdays, parse_day
 from flowframe.operators.orders import decide
 from flowframe.operators.relational import join
-from flowframe.operators.windows import carry_last, next_value
+from flowframe.operators.windows import ordered_neighbours
 
 # fixed values
 HUB_FLOWS = [
@@ -236,28 +236,38 @@ def schedule_commit_dates(
     c = F.col
     order = [serial, line]
     month = F.substring(serial, 1, 6)
-    last = lines.groupBy(*keys).agg(F.max(serial).alias("__last"))
-    rows = join(lines, last, keys)
+
+    # days are parsed once per row, below the many uses of them
+    lines = lines.withColumns({"__changed": parse_day(c(serial)), "__ship": parse_day(c(ship_date))})
 
     def plus(day: Column, n: int) -> Column:
-        return F.date_format(add_workdays(parse_day(day), n), "yyyyMMdd")
+        return F.date_format(add_workdays(day, n), "yyyyMMdd")
 
     hub = F.coalesce(c(flow).isin(HUB_FLOWS), F.lit(False))
     confirmed = F.coalesce(c(quantity).cast("string").try_cast("double"), F.lit(0.0)) >= 1
-    from_day = F.when(c(serial) == c("__last"), F.lit(today)).otherwise(c(serial))
     checked = (c(client) == "300") & (c(serial) <= F.coalesce(c(check_serial), F.lit("")))
-    own = (
-        F.when(confirmed & checked, F.when(hub, plus(from_day, 9)))
-        .when(confirmed, F.when(hub, plus(c(ship_date), 2)).otherwise(c(ship_date)))
-        .otherwise(F.when(hub, plus(from_day, 9)).otherwise(plus(from_day, 7)))
+
+    def commit(day: Column) -> Column:
+        """The date a line commits to when it counts from `day`."""
+        own = (
+            F.when(confirmed & checked, F.when(hub, plus(day, 9)))
+            .when(confirmed, F.when(hub, plus(c("__ship"), 2)).otherwise(c(ship_date)))
+            .otherwise(F.when(hub, plus(day, 9)).otherwise(plus(day, 7)))
+        )
+        return F.nullif(own, F.lit(""))
+
+    # whether a line is the latest shows only later, so both of its dates travel
+    rows = lines.withColumns({"__past": commit(c("__changed")), "__current": commit(parse_day(F.lit(today)))})
+    dates = F.struct(c(serial).alias("serial"), c("__past").alias("past"), c("__current").alias("current"))
+    rows = rows.select(*keys, line, serial, F.when(c("__current").isNotNull(), dates).alias("__dates"))
+    rows = ordered_neighbours(
+        rows, keys, order, month, following={"__end": serial}, carried={"__own": "__dates"}, highest={"__last": serial}
     )
-    rows = rows.withColumn("__own", F.nullif(own, F.lit(""))).drop("__last")
-    rows = carry_last(rows, keys, order, "__own", month, "datevalue")
-    rows = next_value(rows, keys, order, serial, month, "__end")
-    return rows.filter("datevalue IS NOT NULL").select(
+    latest = c("__own.serial") == c("__last")
+    return rows.filter("__own IS NOT NULL").select(
         *keys,
         line,
-        "datevalue",
+        F.when(latest, c("__own.current")).otherwise(c("__own.past")).alias("datevalue"),
         F.col(serial).alias("starttime"),
         F.coalesce("__end", F.lit("")).alias("endtime"),
     )

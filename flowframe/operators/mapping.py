@@ -16,7 +16,7 @@ Values are texts of three kinds:
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -45,32 +45,49 @@ def version_of(spec: dict) -> tuple[int, ...]:
     return tuple(int(p) for p in re.findall(r"\d+", str(spec.get("version", "0.4"))))
 
 
-def path_value(path: str, scope: list[str], kind: str = "string") -> str:
-    """SQL for the value at a path; `scope` is the current document first, then its parents."""
-    ups = path.count("../")
-    if ups >= len(scope):
-        raise ValueError(f"path {path!r} reaches above the document")
-    return f"try_variant_get({scope[ups]}, {sql_text(path.replace('../', ''))}, '{kind}')"
+@dataclass(frozen=True)
+class Scope:
+    """The documents a value can reach: the current one first, then its parents.
+
+    Texts of the message itself are read once each, into columns listed in `columns`; they
+    are used by cells, keys and hashes alike.
+    """
+
+    docs: tuple[str, ...] = ("doc",)
+    columns: dict[str, str] = field(default_factory=dict)
+
+    def child(self, name: str) -> Scope:
+        return Scope((name, *self.docs), self.columns)
+
+    def text_at(self, path: str) -> str:
+        """SQL for the text at a path."""
+        ups = path.count("../")
+        if ups >= len(self.docs):
+            raise ValueError(f"path {path!r} reaches above the document")
+        found = f"try_variant_get({self.docs[ups]}, {sql_text(path.replace('../', ''))}, 'string')"
+        if self.docs[ups] != "doc":
+            return found
+        return self.columns.setdefault(found, f"__text{len(self.columns)}")
 
 
-def value_sql(text: str, scope: list[str]) -> str:
+def value_sql(text: str, scope: Scope) -> str:
     """SQL for a mapping value, as text or null."""
     if re.fullmatch(PATH, text.strip()):
-        return path_value(text.strip(), scope)
+        return scope.text_at(text.strip())
     return f"CAST({expression_sql(text, scope)} AS STRING)"
 
 
-def expression_sql(text: str, scope: list[str]) -> str:
+def expression_sql(text: str, scope: Scope) -> str:
     """A Spark SQL expression with its paths replaced by their texts."""
 
     def swap(m: re.Match) -> str:
         found = m.group(0)
-        return found if found.startswith("'") else f"coalesce({path_value(found, scope)}, '')"
+        return found if found.startswith("'") else f"coalesce({scope.text_at(found)}, '')"
 
     return re.sub(f"{QUOTED}|{PATH}", swap, text)
 
 
-def condition_sql(text: str, scope: list[str]) -> str:
+def condition_sql(text: str, scope: Scope) -> str:
     """A routing condition; `&&` and `||` may stand for AND and OR."""
     words = {"&&": " AND ", "||": " OR "}
     spelled = re.sub(rf"{QUOTED}|&&|\|\|", lambda m: words.get(m.group(0), m.group(0)), text)
@@ -118,7 +135,7 @@ def row_spec(row: dict) -> dict:
     }
 
 
-def rows_sql(row: dict, scope: list[str], sort_key: str) -> str:
+def rows_sql(row: dict, scope: Scope, sort_key: str) -> str:
     """SQL for the rows of one row definition: one per family that has a cell."""
     spec = row_spec(row)
     cells: dict[tuple[str, str], str] = {}
@@ -161,14 +178,14 @@ def rows_sql(row: dict, scope: list[str], sort_key: str) -> str:
     return f"filter(array({', '.join(made)}), r -> size(r.cells) > 0)"
 
 
-def template_sql(template: dict, templates: dict[str, dict], scope: list[str], sort_key: str, depth: int = 0) -> str:
+def template_sql(template: dict, templates: dict[str, dict], scope: Scope, sort_key: str, depth: int = 0) -> str:
     """SQL for all rows of a template: its own and, through its children, their templates'."""
     defined = template.get("row") or template.get("rows") or []
     parts = [rows_sql(r, scope, sort_key) for r in (defined if isinstance(defined, list) else [defined])]
     for child in template.get("children") or []:
         kid = f"k{depth}"
-        inner = template_sql(templates[child["template"]], templates, [kid, *scope], sort_key, depth + 1)
-        parts.append(f"flatten(transform({children_sql(child['select'], scope[0])}, {kid} -> {inner}))")
+        inner = template_sql(templates[child["template"]], templates, scope.child(kid), sort_key, depth + 1)
+        parts.append(f"flatten(transform({children_sql(child['select'], scope.docs[0])}, {kid} -> {inner}))")
     return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
 
 
@@ -194,7 +211,7 @@ def extract_topic(df: DataFrame, setting: str, value_col: str = "value", out: st
 
 def explode_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
     """One row per JSON text of a record that may hold several, one per line."""
-    lines = F.transform(F.split(F.col(value_col), "\n"), lambda x: F.trim(F.regexp_replace(x, r"[\r\t]", " ")))
+    lines = F.transform(F.split(F.col(value_col), "\n"), lambda x: F.btrim(x, F.lit(" \t\r")))
     return df.withColumn(value_col, F.explode(F.filter(lines, lambda x: x != "")))
 
 
@@ -207,7 +224,7 @@ def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col
     templates = {t["name"]: t for t in spec.get("templates") or []}
     messages = explode_lines(df.select(F.col(topic_col).alias("topic"), F.col(value_col).alias("value")))
     parsed = messages.withColumn("doc", F.try_parse_json("value"))
-    scope = ["doc"]
+    scope = Scope()
 
     tagged, ids = [], []
     for m in source_maps(spec):
@@ -232,6 +249,7 @@ def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col
     if not tagged:
         raise ValueError("the mapping has no source map with a condition")
     every = tagged[0] if len(tagged) == 1 else f"concat({', '.join(tagged)})"
+    parsed = parsed.withColumns({name: F.expr(text) for text, name in scope.columns.items()})
     out = parsed.select("topic", F.explode(F.expr(every)).alias("m"))
     rows = out.select("topic", "m.source_name", "m.row.*")
     distinct_ids = list(dict.fromkeys(ids)) or ["'?'"]

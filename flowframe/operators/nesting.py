@@ -23,16 +23,16 @@ def nested_lists(
     if max_items is None:
         return df.groupBy(*keys).agg(F.array_sort(F.collect_list(struct)).alias(out))
 
-    # Equal rows are counted on the map side; a row with very many copies becomes a few
-    # entries of at most `max_items` copies each. An entry's part follows from its content,
-    # so a task that is run again puts it into the same part.
+    # Equal rows are counted on the map side; a row with very many copies becomes entries of
+    # a sixteenth of a list each. An entry's part follows from its content, so a task that is
+    # run again puts it into the same part.
     counted = df.groupBy(*[F.col(quoted(c)) for c in keys], struct.alias(out)).agg(F.count("*").alias("__copies"))
-    step = F.lit(max_items).cast("bigint")
+    step = F.lit(max(1, max_items // 16)).cast("bigint")
     entries = counted.withColumn(
         "__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__copies") - 1) / step)))
     ).withColumn("__copies", F.least(step, F.col("__copies") - F.col("__chunk") * step))
     sizes = counted.groupBy(*[F.col(quoted(k)).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
-        F.ceil(F.sum("__copies") / step).alias("__parts")
+        F.ceil(F.sum("__copies") / F.lit(max_items)).alias("__parts")
     )
     on = F.lit(True)
     for i, k in enumerate(keys):

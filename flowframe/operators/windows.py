@@ -7,47 +7,60 @@ and a small aggregate of one row per bucket carries values over the bucket borde
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowframe.operators.relational import all_of
-
+KEY = "__key"
 BUCKET = "__bucket"
 
 
-def _with_bucket_facts(df: DataFrame, keys: Sequence[str], facts: DataFrame, out: str) -> DataFrame:
-    right = facts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate([*keys, BUCKET])], F.col(out))
-    on = all_of(F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate([*keys, BUCKET]))
-    return df.join(right, on).drop(*[f"__k{i}" for i in range(len(keys) + 1)])
-
+def ordered_neighbours(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    bucket: Column,
+    following: Mapping[str, str] | None = None,
+    carried: Mapping[str, str] | None = None,
+    highest: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Add columns {new name: column} taken from other rows of the key.
 
-def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column, out: str) -> DataFrame:
-    """Value of the following row in order; null on the last row of a key.
+    `following` is the value of the next row in order, null on the last one. `carried` is the
+    row's own value or the last one before it that is not null. `highest` is the maximum over
+    the key. `bucket` must not decrease along `order`.
 
-    `bucket` must not decrease along `order`.
+    Key and bucket are one struct, in which null keys are equal; the row windows and the join
+    to the bucket facts share its partitioning.
     """
-    rows = df.withColumn(BUCKET, bucket)
-    inside = W.partitionBy(*keys, BUCKET).orderBy(*order)
-    rows = rows.withColumn("__next", F.lead(F.struct(value)).over(inside))
-    head = F.min(F.struct(*order, F.col(value).alias("__value")))
-    heads = rows.groupBy(*keys, BUCKET).agg(head.alias("__head"))
-    across = W.partitionBy(*keys).orderBy(BUCKET)
-    heads = heads.withColumn("__after", F.lead(F.struct(F.col("__head.__value").alias(value))).over(across))
-    joined = _with_bucket_facts(rows, keys, heads, "__after")
-    return joined.withColumn(out, F.coalesce("__next", "__after")[value]).drop("__next", "__after", BUCKET)
-
-
-def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column, out: str) -> DataFrame:
-    """The row's own value, or the last one before it that is not null."""
-    rows = df.withColumn(BUCKET, bucket)
-    so_far = W.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = rows.withColumn("__own", F.last(value, ignorenulls=True).over(so_far))
-    given = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("__value")))
-    tails = rows.groupBy(*keys, BUCKET).agg(F.max(given)["__value"].alias("__tail"))
-    earlier = W.partitionBy(*keys).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
-    tails = tails.withColumn("__before", F.last("__tail", ignorenulls=True).over(earlier))
-    joined = _with_bucket_facts(rows, keys, tails, "__before")
-    return joined.withColumn(out, F.coalesce("__own", "__before")).drop("__own", "__before", BUCKET)
+    following, carried, highest = dict(following or {}), dict(carried or {}), dict(highest or {})
+    place = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
+    nexts = F.struct(*[F.col(c).alias(n) for n, c in following.items()]) if following else F.lit(None)
+    rows = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys], bucket.alias(BUCKET)))
+
+    facts = {"__head": F.min(F.struct(*place, nexts.alias("v")))["v"]}
+    for n, c in carried.items():
+        facts[f"__tail_{n}"] = F.max(F.when(F.col(c).isNotNull(), F.struct(*place, F.col(c).alias("v"))))["v"]
+    for n, c in highest.items():
+        facts[f"__top_{n}"] = F.max(c)
+    told = rows.groupBy(KEY).agg(*[v.alias(n) for n, v in facts.items()])
+
+    group = [F.col(f"{KEY}.{k}") for k in keys]
+    across = W.partitionBy(*group).orderBy(f"{KEY}.{BUCKET}")
+    earlier = across.rowsBetween(W.unboundedPreceding, -1)
+    made = {"__after": F.lead("__head").over(across)}
+    made.update({f"__before_{n}": F.last(f"__tail_{n}", ignorenulls=True).over(earlier) for n in carried})
+    made.update({n: F.max(f"__top_{n}").over(W.partitionBy(*group)) for n in highest})
+    told = told.select(KEY, *[v.alias(n) for n, v in made.items()])
+
+    inside = W.partitionBy(KEY).orderBy(*order)
+    so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    near = {f"__own_{n}": F.last(c, ignorenulls=True).over(so_far) for n, c in carried.items()}
+    if following:
+        near["__next"] = F.lead(nexts).over(inside)
+    joined = rows.withColumns(near).join(told, KEY)
+    out = {n: F.coalesce("__next", "__after")[n] for n in following}
+    out.update({n: F.coalesce(f"__own_{n}", f"__before_{n}") for n in carried})
+    return joined.select(*df.columns, *[v.alias(n) for n, v in out.items()], *highest)

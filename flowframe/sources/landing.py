@@ -26,6 +26,8 @@ from flowframe.operators.relational import union_ragged
 FILE = "__file"
 CORRUPT = "__corrupt"
 TAGS = ["FILENAME_TS", "LAST_MODIFIED_TS", "DERIVED_TS", "PARSE_ERROR"]
+# columns that never tell two rows apart, beside the source timestamps
+STAMPS = [*TAGS, "yearmonth", "daytimestamp"]
 MODIFIED_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 # error types of a file
@@ -112,6 +114,7 @@ def read_group(spark: SparkSession, group: HeaderGroup, sep: str) -> DataFrame:
     df = (
         spark.read.schema(schema)
         .options(header="true", sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema="true")
+        .option("columnPruning", "false")  # a pruned parse does not count the values of a row
         .csv(group.paths)
     )
     return df.select(
@@ -174,7 +177,8 @@ def land_csv(
     A file fails as a whole when its header lacks a key or timestamp column or repeats a
     name, or when any row is malformed or has no derivable timestamp. Rows of the others are
     kept when all keys are given, tagged with file and timestamps, brought to safe column
-    names, chosen and renamed by `cols`, and freed of duplicates, the oldest staying.
+    names, chosen and renamed by `cols`, and freed of duplicates, the oldest staying. Rows
+    that differ in nothing but timestamps (source or derived) and file tags are duplicates.
     """
     if not keys:
         raise ValueError("key columns have not been specified")
@@ -213,7 +217,8 @@ def land_csv(
         keep = [F.col(safe_name(src)).alias(name) for src, name in cols.items()]
         good = good.select(*keep, *TAGS)
     good = good.drop("PARSE_ERROR")
-    landed = dedup_oldest(good, "DERIVED_TS", ignore=[c for c in ("FILENAME_TS", "LAST_MODIFIED_TS") if c in good.columns])
+    named = [cols[c] for c in src_ts if c in cols] if cols else [safe_name(c) for c in src_ts]
+    landed = dedup_oldest(good, "DERIVED_TS", ignore=uncompared(good, named))
 
     bad_rows = rows.join(broken, FILE).withColumnsRenamed({"error_type": "__errortype__", "error": "__error__"})
     quarantine = reduce(union_ragged, [*failed, bad_rows]).drop(CORRUPT)
@@ -234,10 +239,17 @@ def safe_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({c: safe_name(c) for c in df.columns if c != safe_name(c)})
 
 
-def land_newest(landed: DataFrame, previous: DataFrame, till: str | None = None) -> tuple[DataFrame, DataFrame]:
+def uncompared(df: DataFrame, src_ts: Sequence[str]) -> list[str]:
+    """Timestamp and tag columns of a frame, apart from the derived timestamp."""
+    return [c for c in df.columns if c in src_ts or (c in STAMPS and c != "DERIVED_TS")]
+
+
+def land_newest(
+    landed: DataFrame, previous: DataFrame, till: str | None = None, src_ts: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
     """Landed rows that differ from the previous snapshot in more than their timestamps."""
-    stamps = [c for c in TAGS if c in landed.columns]
-    return new_rows(landed, previous, "DERIVED_TS" if till else None, till, ignore=stamps)
+    ignored = [*uncompared(landed, src_ts), *[c for c in ["DERIVED_TS"] if c in landed.columns]]
+    return new_rows(landed, previous, "DERIVED_TS" if till else None, till, ignore=ignored)
 
 
 def month_paths(spark: SparkSession, root: str, start: str, till: str) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowframe.operators.mapping import MappedFrames, map_documents
 from flowframe.operators.relational import partition_sort
-from flowframe.operators.windows import next_value
+from flowframe.operators.windows import ordered_neighbours
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -54,19 +54,18 @@ def mapping_batch(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
+        mapped = map_documents(kept, spec, topic_col, value_col)
+        made = mapped.rows.persist()  # read by the ordering, the sinks and the audit
         try:
-            mapped = map_documents(kept, spec, topic_col, value_col)
-            rows = partition_sort(mapped.rows, ["table_name", "row_key"], ["sort_key"]).persist()
-            try:
-                for sink in sinks:
-                    sink(rows, batch_id)
-                if raw is not None:
-                    raw(kept, batch_id)
-                if audit_path:
-                    write_batch(batch_audit(kept, mapped, batch_id, rows, topic_col), audit_path, batch_id)
-            finally:
-                rows.unpersist()
+            ordered = partition_sort(made, ["table_name", "row_key"], ["sort_key"])
+            for sink in sinks:
+                sink(ordered, batch_id)
+            if raw is not None:
+                raw(kept, batch_id)
+            if audit_path:
+                write_batch(batch_audit(kept, mapped, batch_id, made, topic_col), audit_path, batch_id)
         finally:
+            made.unpersist()
             kept.unpersist()
 
     return process
@@ -98,15 +97,15 @@ def offset_gaps(offsets: DataFrame, keys: Sequence[str] = ("topic", "partition")
     from_offset, until_offset). It is walked in blocks of batch ids, so the log of one
     partition is spread over tasks.
     """
-    entry = F.struct(F.col("batch_id").alias("next_batch"), F.col("from_offset").alias("next_from"))
-    told = next_value(
-        offsets.withColumn("__entry", entry), keys, ["batch_id"], "__entry", F.expr(f"batch_id div {block}"), "__following"
+    told = ordered_neighbours(
+        offsets,
+        keys,
+        ["batch_id"],
+        F.expr(f"batch_id div {block}"),
+        following={"__batch": "batch_id", "__from": "from_offset"},
     )
-    return told.filter("__following.next_from <> until_offset").select(
-        *keys,
-        F.col("__following.next_batch").alias("batch_id"),
-        F.col("__following.next_from").alias("from_offset"),
-        F.col("until_offset").alias("expected"),
+    return told.filter("__from <> until_offset").select(
+        *keys, F.col("__batch").alias("batch_id"), F.col("__from").alias("from_offset"), F.col("until_offset").alias("expected")
     )
 
 
