@@ -391,7 +391,7 @@ def refresh_lookup(spark, data):
     base = table(spark, data, "orders").select(
         "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "yyyyMM").alias("yearmonth")
     )
-    sinks.write_files(base.hint("rebalance", "yearmonth"), parts, partition_cols=["yearmonth"])
+    sinks.write_files(base, parts, partition_cols=["yearmonth"])
     sinks.write_files(base.filter("o_orderpriority = '1-URGENT'"), target)
     fresh = files.read_month_partitions(
         spark, parts, {"o_custkey": "material", "o_orderpriority": "family"}, None, "", "199801", "199812"

@@ -88,7 +88,7 @@ def read_month_partitions(spark, data):
         F.date_format("o_orderdate", "yyyyMMddHHmmss").alias("stamp"),
         F.date_format("o_orderdate", "yyyyMM").alias("yearmonth"),
     )
-    sinks.write_files(df.hint("rebalance", "yearmonth"), path, "parquet", partition_cols=["yearmonth"])
+    sinks.write_files(df, path, "parquet", partition_cols=["yearmonth"])
     return files.read_month_partitions(
         spark,
         path,

@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowframe.operators.columns import quoted
-from flowframe.operators.relational import join
+from flowframe.operators.relational import holds_type, join
 
 
 def orderable(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     """Columns in a form that can be ordered, for full tie-breaks."""
     types = {f.name: f.dataType for f in df.schema}
+    unordered = (T.MapType, T.VariantType)
     return [
-        F.to_json(F.struct(F.col(quoted(c)))) if isinstance(types[c], (T.MapType, T.VariantType)) else F.col(quoted(c))
-        for c in cols
+        F.to_json(F.struct(F.col(quoted(c)))) if holds_type(types[c], unordered) else F.col(quoted(c)) for c in cols
     ]
 
 

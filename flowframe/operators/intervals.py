@@ -237,37 +237,52 @@ def schedule_commit_dates(
     order = [serial, line]
     month = F.substring(serial, 1, 6)
 
-    # days are parsed once per row, below the many uses of them
-    lines = lines.withColumns({"__changed": parse_day(c(serial)), "__ship": parse_day(c(ship_date))})
-
-    def plus(day: Column, n: int) -> Column:
-        return F.date_format(add_workdays(day, n), "yyyyMMdd")
-
     hub = F.coalesce(c(flow).isin(HUB_FLOWS), F.lit(False))
     confirmed = F.coalesce(c(quantity).cast("string").try_cast("double"), F.lit(0.0)) >= 1
     checked = (c(client) == "300") & (c(serial) <= F.coalesce(c(check_serial), F.lit("")))
-
-    def commit(day: Column) -> Column:
-        """The date a line commits to when it counts from `day`."""
-        own = (
-            F.when(confirmed & checked, F.when(hub, plus(day, 9)))
-            .when(confirmed, F.when(hub, plus(c("__ship"), 2)).otherwise(c(ship_date)))
-            .otherwise(F.when(hub, plus(day, 9)).otherwise(plus(day, 7)))
-        )
-        return F.nullif(own, F.lit(""))
-
-    # whether a line is the latest shows only later, so both of its dates travel
-    rows = lines.withColumns({"__past": commit(c("__changed")), "__current": commit(parse_day(F.lit(today)))})
-    dates = F.struct(c(serial).alias("serial"), c("__past").alias("past"), c("__current").alias("current"))
-    rows = rows.select(*keys, line, serial, F.when(c("__current").isNotNull(), dates).alias("__dates"))
+    rows = lines.select(
+        *keys,
+        line,
+        serial,
+        F.struct(
+            c(serial).alias("serial"),
+            c(ship_date).alias("ship"),
+            hub.alias("hub"),
+            confirmed.alias("confirmed"),
+            F.coalesce(checked, F.lit(False)).alias("checked"),
+        ).alias("__facts"),
+    )
+    f = c("__facts")
+    through_hub = parse_day(f["ship"]).isNotNull()
+    dated = (
+        F.when(f["confirmed"] & f["checked"], f["hub"])
+        .when(f["confirmed"], F.when(f["hub"], through_hub).otherwise(F.coalesce(f["ship"], F.lit("")) != ""))
+        .otherwise(F.lit(True))
+    )
+    # what decides a date travels; the date itself is worked out once, behind the shuffle
     rows = ordered_neighbours(
-        rows, keys, order, month, following={"__end": serial}, carried={"__own": "__dates"}, highest={"__last": serial}
+        rows.withColumn("__facts", F.when(dated, f)),
+        keys,
+        order,
+        month,
+        following={"__end": serial},
+        carried={"__own": "__facts"},
+        highest={"__last": serial},
+    )
+    own = c("__own")
+    rows = rows.filter("__own IS NOT NULL").withColumns(
+        {
+            "__from": F.when(own["serial"] == c("__last"), F.lit(today)).otherwise(own["serial"]),
+            "__days": F.when(own["confirmed"] & ~own["checked"], 2).when(own["hub"], 9).otherwise(7),
+        }
     )
-    latest = c("__own.serial") == c("__last")
-    return rows.filter("__own IS NOT NULL").select(
+    rows = rows.withColumn("__day", parse_day(F.when(c("__days") == 2, own["ship"]).otherwise(c("__from"))))
+    counted = F.date_format(add_workdays(c("__day"), c("__days")), "yyyyMMdd")
+    direct = own["confirmed"] & ~own["checked"] & ~own["hub"]
+    return rows.select(
         *keys,
         line,
-        F.when(latest, c("__own.current")).otherwise(c("__own.past")).alias("datevalue"),
+        F.when(direct, own["ship"]).otherwise(counted).alias("datevalue"),
         F.col(serial).alias("starttime"),
         F.coalesce("__end", F.lit("")).alias("endtime"),
     )

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowframe.operators.columns import quoted
 
@@ -111,10 +112,29 @@ def split(df: DataFrame, expr: str, distinct: bool = False) -> tuple[DataFrame,
     return df.filter(expr), rest.distinct() if distinct else rest
 
 
-def sort(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
-    """Order by column names; "-name" or "name desc" sorts descending."""
+def sort(df: DataFrame, cols: str | Sequence[str], spread_ties: bool = True) -> DataFrame:
+    """Order by column names; "-name" or "name desc" sorts descending.
+
+    Rows with equal keys are ordered by their remaining columns: the order is then the same in
+    every run, and a key with a large share of the rows is spread over several tasks.
+    """
     keys = [cols] if isinstance(cols, str) else list(cols)
-    return df.orderBy(*[sort_key(k) for k in keys])
+    order = [sort_key(k) for k in keys]
+    if spread_ties:
+        unordered = (T.MapType, T.VariantType)
+        order += [F.col(quoted(f.name)) for f in df.schema if not holds_type(f.dataType, unordered)]
+    return df.orderBy(*order)
+
+
+def holds_type(kind: T.DataType, wanted: tuple) -> bool:
+    """Whether a type is or contains one of the wanted types."""
+    if isinstance(kind, wanted):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return holds_type(kind.elementType, wanted)
+    if isinstance(kind, T.StructType):
+        return any(holds_type(f.dataType, wanted) for f in kind.fields)
+    return False
 
 
 def sort_key(key: str) -> Column:

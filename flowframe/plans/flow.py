@@ -17,7 +17,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.operators import columns, events, incremental, nesting, relational, rules
+from flowframe.operators import columns, events, incremental, mapping, nesting, relational, rules
 from flowframe.sources import external, files, landing, sinks
 
 
@@ -488,3 +488,12 @@ def preview(
         df = df.filter(F.col("_error").isNull()).drop("_error")
     rows = [r.asDict(True) for r in df.limit(n).collect()]
     return Preview(df.schema.json(), rows, errors, df.count() if count else None)
+
+
+def preview_mapping(spark: SparkSession, spec: dict, topic: str, texts: list[str], n: int = 20) -> Preview:
+    """What a mapping makes of some sample messages; messages that are no JSON are its errors."""
+    sample = spark.createDataFrame([(topic, t) for t in texts], "topic string, value string")
+    mapped = mapping.map_documents(sample, spec)
+    rows = [r.asDict(True) for r in mapped.rows.limit(n).collect()]
+    errors = [r.asDict(True) for r in mapped.rejects.limit(n).collect()]
+    return Preview(mapped.rows.schema.json(), rows, errors, None)

@@ -28,10 +28,17 @@ def write_files(
     codec: str | None = None,
     partition_cols: Sequence[str] = (),
 ) -> None:
+    """Write with Spark's own writer, as many files as the frame has partitions.
+
+    With `partition_cols` rows are rebalanced by them first: small directories are packed into
+    few files, and a directory with a large share of the rows is cut over many tasks.
+    """
     opts = {"header": "true"} if fmt.lower() == "csv" else {}
     opts.update(options or {})
     if codec:
         opts["compression"] = codec
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
     writer = df.write.mode(save_mode(mode)).format(fmt.lower()).options(**opts)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)

@@ -220,3 +220,24 @@ def test_schema_evolution(spark, tmp_path):
 def test_unreadable_avro_is_spark_s_error_not_ours(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)avro"):
         files.read_files(spark, str(tmp_path), "AVRO").collect()
+
+
+def test_mapping_preview(spark):
+    row = {"name": "t", "colFamily": "f", "rowKey": ["$.id"], "cols": [{"name": "id", "value": "$.id"}]}
+    spec = {"version": "0.4", "templates": [{"name": "t", "row": row}], "sourceMap": [{"sourceName": "s", "templates": ["t"], "when": "topic == 'x'"}]}
+    seen = flow.preview_mapping(spark, spec, "x", ['{"id": "7"}', "{bad"])
+    assert [r["row_key"] for r in seen.rows] == ["7"] and seen.errors == [{"topic": "x", "value": "{bad"}]
+
+
+def test_sorting_a_hot_key_uses_several_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from flowframe.operators.relational import sort
+
+    df = spark.range(0, 20000, 1, 8).select(F.lit("hot").alias("k"), F.col("id"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = sort(df, "k").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts > 1
