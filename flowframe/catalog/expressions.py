@@ -143,6 +143,23 @@ def context(spark, data):
     return df.select(me.context("p_brand", df.columns), me.context("unbound", df.columns).alias("x"))
 
 
+@query(
+    "mapexpr_top_item",
+    """WITH RECURSIVE n AS (SELECT DISTINCT l_orderkey, l_linenumber AS item, l_linenumber // 2 AS parent FROM lineitem),
+       walk AS (SELECT l_orderkey, item, item AS root FROM n WHERE parent = 0
+         UNION ALL SELECT n.l_orderkey, n.item, walk.root FROM n JOIN walk ON n.l_orderkey = walk.l_orderkey AND n.parent = walk.item
+           WHERE n.parent <> 0)
+       SELECT l_orderkey, n.item, coalesce(CAST(walk.root AS VARCHAR), 'n/a') AS root FROM n LEFT JOIN walk USING (l_orderkey, item)""",
+)
+def top_item(spark, data):
+    """Each line of an order follows the pointers inside its own document."""
+    pair = F.struct(F.col("l_linenumber").alias("item"), F.expr("l_linenumber div 2").alias("parent"))
+    docs = table(spark, data, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_set(pair)).alias("items"))
+    lines = docs.select("l_orderkey", "items", F.explode("items.item").alias("item"))
+    root = me.top_item(F.col("items"), "item", "parent", F.col("item"), "0")
+    return lines.select("l_orderkey", "item", root.alias("root"))
+
+
 # --- paths ----------------------------------------------------------------------------
 
 # the lines of each order in the order of the document

@@ -6,7 +6,7 @@ from flowframe.catalog import query, table
 from flowframe.operators import mapping as op
 
 
-def messages(spark, data):
+def messages(spark, data, *keep):
     """Events as messages; the topic is inside. Every `error` message is broken JSON."""
     header = F.struct(
         F.col("event_type").alias("category"),
@@ -21,7 +21,7 @@ def messages(spark, data):
     )
     whole = F.to_json(F.struct(header.alias("header"), body.alias("data")))
     broken = F.when(F.col("event_type") == "error", F.lit("{broken")).otherwise(whole)
-    return table(spark, data, "events").select(broken.alias("value"))
+    return table(spark, data, "events").select(*keep, broken.alias("value"))
 
 
 MESSAGES = """(SELECT event_id, event_type, CAST(event_id AS VARCHAR) AS id, 'u' || user_id AS source,
@@ -255,10 +255,8 @@ def doc_ids(spark, data):
 @query("multi_line_messages", f"SELECT id AS row_key FROM {MESSAGES}")
 def multi_line_messages(spark, data):
     """Records hold several JSON texts, one per line, with blank lines between."""
-    df = messages(spark, data).filter("value <> '{broken'")
-    # neighbours in a task share a record
-    record = df.withColumn("record", F.expr("monotonically_increasing_id() div 5"))
-    packed = record.groupBy("record").agg(F.concat_ws("\n \n", F.collect_list("value")).alias("value"))
+    df = messages(spark, data, "event_id").filter("value <> '{broken'")
+    packed = df.groupBy(F.expr("event_id div 5").alias("record")).agg(F.concat_ws("\n \n", F.collect_list("value")).alias("value"))
     spec = {**DETAILS, "templates": [template("details", "details", COLS, ["$.data.id"])]}
     return op.map_documents(packed.withColumn("topic", F.lit("t")), spec).rows.select("row_key")
 

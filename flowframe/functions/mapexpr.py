@@ -142,3 +142,26 @@ def now() -> Column:
 def context(name: str, columns: list[str]) -> Column:
     """A named value of the row's context; an unbound name is its own text."""
     return F.col(name) if name in columns else F.lit(name)
+
+
+def top_item(items: Column, item: str, parent: str, x: Column, root_marker: str = "000000") -> Column:
+    """Root of item `x` within the items of one document.
+
+    `items` is an array of structs with the fields `item` and `parent`. A pointer that leads
+    to no item ends in `n/a`, one that runs in a circle in `cycle`. Across documents, use
+    `operators.hierarchy.hierarchy_root`.
+    """
+
+    def step(acc: Column, _: Column) -> Column:
+        mine = F.filter(items, lambda i: i[item].cast("string") == acc["at"])
+        up = F.try_element_at(mine, F.lit(-1))[parent].cast("string")
+        found = F.when(up.isNull(), F.lit("n/a")).when(up == root_marker, acc["at"])
+        return F.struct(
+            F.when(acc["root"].isNull(), F.coalesce(up, acc["at"])).otherwise(acc["at"]).alias("at"),
+            F.coalesce(acc["root"], found).alias("root"),
+        )
+
+    start = F.struct(x.cast("string").alias("at"), F.lit(None).cast("string").alias("root"))
+    # no chain is longer than the document has items
+    walked = F.reduce(F.sequence(F.lit(1), F.size(items) + 1), start, step)
+    return F.coalesce(walked["root"], F.lit("cycle"))

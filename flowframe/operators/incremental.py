@@ -95,11 +95,12 @@ def resume_from_landed(landed: DataFrame, keys: Sequence[str], ts: str) -> TimeV
 
 
 class SnapshotStore:
-    """Durable snapshots, one directory per batch id.
+    """Durable state, one directory per batch id.
 
-    A snapshot counts once Spark has written its success marker; a batch that is run again
-    overwrites its own directory, so replays are idempotent and readers never see half a
-    snapshot.
+    The directories hold whole snapshots (`save`, `latest`), or only what each batch added
+    (`save`, `known`), which spares writing a large table again for every pull. A directory
+    counts once Spark has written its success marker; a batch that is run again overwrites its
+    own, so replays are idempotent and readers never see half of one.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -125,6 +126,11 @@ class SnapshotStore:
         done = [b for b in self._done() if before is None or b < before]
         return self.spark.read.parquet(f"{self.path}/batch={done[-1]}") if done else None
 
+    def known(self, before: int | None = None) -> DataFrame | None:
+        """All rows of the finished batches, or of those older than batch `before`."""
+        done = [b for b in self._done() if before is None or b < before]
+        return self.spark.read.parquet(*[f"{self.path}/batch={b}" for b in done]) if done else None
+
     def save(self, df: DataFrame, batch_id: int) -> DataFrame:
         target = f"{self.path}/batch={batch_id}"
         df.write.mode("overwrite").parquet(target)

@@ -175,6 +175,7 @@ def land_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
         cols=dict(zip(node.options.get("srcCols") or [], node.options.get("cols") or [])) or None,
         sep=flow.option(node, connection, "filesFormatCsvSeperator", ","),
         first_file_only=flow.preview,
+        open_files=truth(flow.option(node, connection, "openFiles", "false")),
     ).rows
 
 
@@ -415,8 +416,9 @@ def pull_flow(
 ) -> DataFrame:
     """Write to a sink only the rows its flow gained since the pull before `batch_id`.
 
-    The rows known so far are a snapshot in `store`, so a pull that is run again compares with
-    the same snapshot, and files it wrote are replaced. The first pull loads the history: it is written only when the sink's
+    `store` keeps the rows each pull gained, so a pull that is run again compares with the same
+    rows, and files it wrote are replaced. The sink is written from there: the flow runs once
+    per pull. The first pull loads the history: it is written only when the sink's
     `prefetch.save` option is true. Returns the new rows.
     """
     flow = parse_flow(spark, spec, functions)
@@ -424,10 +426,10 @@ def pull_flow(
     if node is None:
         raise FlowError(f"no sink named {sink!r}")
     current = flow.frame(node.sources[0])
-    previous = store.latest(before=batch_id)
+    previous = store.known(before=batch_id)
     first = previous is None
-    fresh, following = incremental.new_rows(current, current.limit(0) if first else previous, ts, till)
-    store.save(following, batch_id)
+    gained, _ = incremental.new_rows(current, current.limit(0) if first else previous, ts, till)
+    fresh = store.save(gained, batch_id)
     if not first or truth((node.options.get("prefetch") or {}).get("save")):
         write_sink(flow, node, fresh, batch_id)
     return fresh

@@ -8,11 +8,15 @@ number of different headers, not with the number of files.
 from __future__ import annotations
 
 import csv
-from collections.abc import Mapping, Sequence
+import io
+import re
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from zoneinfo import available_timezones
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,9 +78,37 @@ def header_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return first.groupBy("path").agg(F.min_by("value", "id").alias("header"))
 
 
-def header_groups(spark: SparkSession, path: str | Sequence[str], sep: str = ",", first_file_only: bool = False) -> list[HeaderGroup]:
+def opened_header_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """`header_lines` by opening each file on the executors and reading one line.
+
+    For file systems that Python on the executors can reach (shared mounts, and the stores
+    pyarrow knows and has credentials for). The files are listed without their contents.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = listed.load(path if isinstance(path, str) else list(path)).filter("length > 0").select("path")
+
+    def first_lines(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"path": batch["path"], "header": [first_line(p) for p in batch["path"]]})
+
+    return files.repartition("path").mapInPandas(first_lines, "path string, header string")
+
+
+def first_line(path: str) -> str:
+    system, inside = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    with system.open_input_stream(inside) as stream:
+        return io.TextIOWrapper(stream, encoding="utf-8").readline().rstrip("\r\n")
+
+
+def header_groups(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    sep: str = ",",
+    first_file_only: bool = False,
+    open_files: bool = False,
+) -> list[HeaderGroup]:
     """Files grouped by header. The driver learns file paths, as a file listing does."""
-    found = header_lines(spark, path)
+    found = opened_header_lines(spark, path) if open_files else header_lines(spark, path)
     if first_file_only:
         found = found.orderBy("path").limit(1)
     groups: dict[str, list[str]] = {}
@@ -171,6 +203,7 @@ def land_csv(
     cols: Mapping[str, str] | None = None,
     sep: str = ",",
     first_file_only: bool = False,
+    open_files: bool = False,
 ) -> Landed:
     """Read a drop of raw CSV files into timestamped rows.
 
@@ -179,6 +212,9 @@ def land_csv(
     kept when all keys are given, tagged with file and timestamps, brought to safe column
     names, chosen and renamed by `cols`, and freed of duplicates, the oldest staying. Rows
     that differ in nothing but timestamps (source or derived) and file tags are duplicates.
+
+    Headers are found by a text scan of the drop, which any file system allows; `open_files`
+    reads only one line per file where the executors' Python can open the files.
     """
     if not keys:
         raise ValueError("key columns have not been specified")
@@ -188,7 +224,7 @@ def land_csv(
     if zone not in available_timezones():
         raise ValueError(f"timezone {zone!r} is not valid")
 
-    groups = header_groups(spark, path, sep, first_file_only)
+    groups = header_groups(spark, path, sep, first_file_only, open_files)
     if not groups:
         raise ValueError(f"no data under {path}")
     readable, failed, verdicts = [], [], []
@@ -259,8 +295,8 @@ def month_paths(spark: SparkSession, root: str, start: str, till: str) -> list[s
     year, month = int(start[:4]), int(start[4:6])
     while f"{year}{month:02d}" <= till[:6]:
         pattern = hadoop.Path(f"{root.rstrip('/')}/{year}/{month:02d}/*")
-        fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-        found += [s.getPath().toString() for s in fs.globStatus(pattern) or []]
+        store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        found += [s.getPath().toString() for s in store.globStatus(pattern) or []]
         year, month = (year + 1, 1) if month == 12 else (year, month + 1)
     return found
 
@@ -270,13 +306,13 @@ def embargo_files(spark: SparkSession, verdicts: DataFrame, root: str) -> int:
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark._jsc.hadoopConfiguration()
     base = hadoop.Path(root)
-    fs = base.getFileSystem(conf)
-    base_uri = fs.makeQualified(base).toString().rstrip("/")
+    store = base.getFileSystem(conf)
+    base_uri = store.makeQualified(base).toString().rstrip("/")
     moved = 0
     for row in verdicts.filter("error_type IS NOT NULL").toLocalIterator():
-        source = fs.makeQualified(hadoop.Path(row["path"]))
+        source = store.makeQualified(hadoop.Path(row["path"]))
         inside = source.toString()[len(base_uri) :].lstrip("/")
         target = hadoop.Path(f"{base_uri}_embargo/{inside}")
-        fs.mkdirs(target.getParent())
-        moved += bool(fs.rename(source, target))
+        store.mkdirs(target.getParent())
+        moved += bool(store.rename(source, target))
     return moved

@@ -109,3 +109,11 @@ def test_ordered_neighbours_match_brute_force(spark, seed):
             last = v if v is not None else last
             want.append((k, t, v, mine[i + 1][0] if i + 1 < len(mine) else None, last, mine[-1][0]))
     assert rows(out) == sorted(want, key=lambda t: tuple((x is not None, str(x)) for x in t))
+
+
+def test_gained_rows_add_up(spark, tmp_path):
+    store = incremental.SnapshotStore(spark, str(tmp_path / "s"))
+    assert store.known() is None
+    for batch, n in ((1, 3), (2, 9), (2, 2)):  # the second batch runs twice
+        store.save(spark.range(n), batch)
+    assert store.known().count() == 5 and store.known(before=2).count() == 3

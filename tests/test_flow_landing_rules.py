@@ -3,7 +3,7 @@ import os
 
 import pytest
 
-from flowframe.operators import rules
+from flowframe.operators import incremental, rules
 from flowframe.plans import flow
 from flowframe.sources import external, files, landing, sinks
 from flowframe.streaming import batches
@@ -144,6 +144,14 @@ def test_landing_first_file_only_and_config_errors(spark, tmp_path):
             landing.land_csv(spark, str(tmp_path), **args)
 
 
+def test_headers_by_opening_files_or_by_scanning(spark, tmp_path):
+    drop(tmp_path, a=GOOD, b='"x,y",v\r\n1,2\r\n', c="id,day,time,v\n", d="")
+    found = [landing.header_groups(spark, str(tmp_path), open_files=o) for o in (False, True)]
+    plain = [[(g.names, sorted(os.path.basename(p) for p in g.paths)) for g in groups] for groups in found]
+    assert plain[0] == plain[1] == [(["x,y", "v"], ["b.csv"]), (["id", "day", "time", "v"], ["a.csv", "c.csv"])]
+    assert rows(land(spark, tmp_path / "2021/01/a", open_files=True).rows, "id") == [("1",), ("2",)]
+
+
 def test_failed_files_are_moved_aside(spark, tmp_path):
     root = tmp_path / "in"
     drop(root, a=GOOD, nokey="key,day,time\n9,2021-01-02,10:00\n")
@@ -241,3 +249,19 @@ def test_sorting_a_hot_key_uses_several_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert parts > 1
+
+
+def test_a_pull_that_runs_again_changes_nothing(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(3).write.parquet(source)
+    store = incremental.SnapshotStore(spark, str(tmp_path / "state"))
+    spec = {"connections": [{"id": n, "connectionType": "local", "options": {"path": p, "filesFormat": "PARQUET"}} for n, p in (("in", source), ("out", target))],
+            "operations": [{"operatorType": "reader", "signals": {"sources": [{"connectionId": "in"}], "sinks": [{"signalId": "a"}]}},
+                           {"operatorType": "writer", "id": "w", "signals": {"sources": [{"signalId": "a"}], "sinks": [{"connectionId": "out"}]}, "options": {"prefetch": {"save": "true"}}}]}
+    flow.pull_flow(spark, spec, "w", store, 0)
+    spark.range(3, 5).write.mode("append").parquet(source)
+    for _ in range(2):
+        assert rows(flow.pull_flow(spark, spec, "w", store, 1)) == [(3,), (4,)]
+    assert spark.read.parquet(target).count() == 5
+    with pytest.raises(flow.FlowError):
+        flow.pull_flow(spark, spec, "nobody", store, 2)

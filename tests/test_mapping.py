@@ -173,3 +173,10 @@ def test_expressions(spark):
     assert one(spark, me.compare(F.lit(10), "<", F.lit(9))) is True
     assert one(spark, me.truthy(F.lit("false"))) is True and one(spark, me.truthy(F.lit(None).cast("string"))) is False
     assert one(spark, me.trim(F.lit("\t a \n"))) == "a"
+
+
+def test_top_item_inside_a_document(spark):
+    data = [("10", "000000"), ("20", "10"), ("30", "20"), ("40", "99"), ("50", "60"), ("60", "50")]
+    items = F.array(*[F.struct(F.lit(i).alias("item"), F.lit(p).alias("parent")) for i, p in data])
+    got = [one(spark, me.top_item(items, "item", "parent", F.lit(x))) for x in ("10", "30", "40", "50", "77")]
+    assert got == ["10", "10", "n/a", "cycle", "n/a"]
