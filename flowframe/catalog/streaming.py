@@ -161,6 +161,27 @@ def offset_gaps(spark, data):
     return batches.offset_gaps(log.withColumn("until_offset", F.col("from_offset") + 10))
 
 
+@query(
+    "offset_ranges",
+    """SELECT event_type AS topic, user_id AS partition, 7::BIGINT AS batch_id, min(event_id) AS from_offset,
+         max(event_id) + 1 AS until_offset FROM events GROUP BY event_type, user_id""",
+)
+def offset_ranges(spark, data):
+    batch = table(spark, data, "events").selectExpr("event_type AS topic", "user_id AS partition", "event_id AS offset")
+    return batches.offset_ranges(batch, 7)
+
+
+@query("batch_doc_ids", f"SELECT DISTINCT event_type AS topic, id AS doc_id FROM {MESSAGES}")
+def batch_doc_ids(spark, data):
+    """The ids of the documents of all batches."""
+    path, out, checkpoint = (scratch_dir(spark, n) for n in ("messages", "doc-ids", "stream-checkpoint"))
+    messages(spark, data).repartition(4).write.text(path)
+    stream = mapping.extract_topic(files.file_stream(spark, path, "text", max_files=2), "$.header.category")
+    process = batches.mapping_batch(DETAILS, [], doc_ids=lambda df, i: batches.write_batch(df, out, i))
+    batches.run_batches(stream, process, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select("topic", "doc_id")
+
+
 @query(
     "pending_runs",
     """SELECT DISTINCT l_orderkey AS run FROM lineitem WHERE l_linestatus = 'F' AND l_orderkey NOT IN

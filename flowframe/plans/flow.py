@@ -10,6 +10,7 @@ until a sink writes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
@@ -195,7 +196,11 @@ def month_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
 
 
 def json_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
-    return files.read_files(flow.spark, node.options["filePath"], "json")
+    if node.source_connection:
+        path = connection_path(flow, node, flow.connection(node.source_connection))
+    else:
+        path = node.options["filePath"]
+    return files.read_files(flow.spark, path, "json")
 
 
 def events_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
@@ -280,6 +285,17 @@ OPERATORS: dict[str, Callable[[Flow, Node, list[DataFrame]], Any]] = {
 SINKS = ("sink", "writer", "jsonSink", "eventSink")
 
 
+def fill_spec(spec: Any, values: dict[str, str]) -> Any:
+    """A spec with each `<NAME>` in its texts replaced by a given value."""
+    if isinstance(spec, dict):
+        return {k: fill_spec(v, values) for k, v in spec.items()}
+    if isinstance(spec, list):
+        return [fill_spec(v, values) for v in spec]
+    if isinstance(spec, str):
+        return re.sub(r"<(\w+)>", lambda m: values.get(m.group(1), m.group(0)), spec)
+    return spec
+
+
 def parse_flow(
     spark: SparkSession,
     spec: dict,

@@ -12,6 +12,7 @@ import io
 import re
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 from functools import reduce
 from zoneinfo import available_timezones
 
@@ -281,10 +282,20 @@ def uncompared(df: DataFrame, src_ts: Sequence[str]) -> list[str]:
 
 
 def land_newest(
-    landed: DataFrame, previous: DataFrame, till: str | None = None, src_ts: Sequence[str] = ()
+    landed: DataFrame,
+    previous: DataFrame,
+    till: str | None = None,
+    src_ts: Sequence[str] = (),
+    whole_days: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Landed rows that differ from the previous snapshot in more than their timestamps."""
+    """Landed rows that differ from the previous snapshot in more than their timestamps.
+
+    `till` (yyyy-MM-dd, with or without a time) bounds the derived timestamp. A day counts to
+    its end; without `whole_days` it is compared as text, which leaves out the day itself.
+    """
     ignored = [*uncompared(landed, src_ts), *[c for c in ["DERIVED_TS"] if c in landed.columns]]
+    if till and whole_days and len(till) == 10:
+        landed, till = landed.filter(F.col("DERIVED_TS") < str(date.fromisoformat(till) + timedelta(days=1))), None
     return new_rows(landed, previous, "DERIVED_TS" if till else None, till, ignore=ignored)
 
 

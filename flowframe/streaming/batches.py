@@ -47,10 +47,14 @@ def mapping_batch(
     sinks: Sequence[Sink],
     audit_path: str | None = None,
     raw: Sink | None = None,
+    doc_ids: Sink | None = None,
     topic_col: str = "topic",
     value_col: str = "value",
 ) -> Callable[[DataFrame, int], None]:
-    """A batch function: map documents, order rows for the writers, write, keep raw, audit."""
+    """A batch function: map documents, order rows for the writers, write, keep raw, audit.
+
+    `doc_ids` is a sink for the ids of the batch's documents.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
@@ -62,6 +66,8 @@ def mapping_batch(
                 sink(ordered, batch_id)
             if raw is not None:
                 raw(kept, batch_id)
+            if doc_ids is not None:
+                doc_ids(mapped.doc_ids, batch_id)
             if audit_path:
                 write_batch(batch_audit(kept, mapped, batch_id, made, topic_col), audit_path, batch_id)
         finally:
@@ -90,6 +96,15 @@ def batch_audit(
     return told.groupBy("topic").agg(*sums).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
 
+def offset_ranges(batch: DataFrame, batch_id: int, keys: Sequence[str] = ("topic", "partition")) -> DataFrame:
+    """Rows of the offset log for one batch of bus messages (with their `offset`)."""
+    return batch.groupBy(*keys).agg(
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+        F.min("offset").alias("from_offset"),
+        (F.max("offset") + 1).alias("until_offset"),
+    )
+
+
 def offset_gaps(offsets: DataFrame, keys: Sequence[str] = ("topic", "partition"), block: int = 1000) -> DataFrame:
     """Entries of an offset log that do not start where the one before them ended.
 

@@ -265,3 +265,19 @@ def test_a_pull_that_runs_again_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(target).count() == 5
     with pytest.raises(flow.FlowError):
         flow.pull_flow(spark, spec, "nobody", store, 2)
+
+
+def test_a_day_counts_to_its_end(spark):
+    landed = spark.createDataFrame([(1, "2021-03-05T10:00:00.000Z"), (2, "2021-03-06T00:00:00.000Z"), (3, "2021-03-04T00:00:00.000Z")], "id int, DERIVED_TS string")
+    none = landed.limit(0)
+    assert rows(landing.land_newest(landed, none, "2021-03-05")[0], "id") == [(1,), (3,)]
+    assert rows(landing.land_newest(landed, none, "2021-03-05", whole_days=False)[0], "id") == [(3,)]
+
+
+def test_placeholders_and_json_connections(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"x": 5}\n')
+    spec = {"connections": [{"id": "c", "connectionType": "local", "options": {"path": "<ROOT>/<NAME>.json"}}],
+            "operations": [{"operatorType": "simpleJsonFile", "signals": {"sources": [{"connectionId": "c"}], "sinks": [{"signalId": "s"}]}, "options": {"note": "<KEEP>"}}]}
+    filled = flow.fill_spec(spec, {"ROOT": str(tmp_path), "NAME": "a"})
+    assert filled["operations"][0]["options"]["note"] == "<KEEP>"
+    assert rows(flow.build_flow(spark, filled, "s")) == [(5,)]
