@@ -1,20 +1,41 @@
 """Ordered neighbours within a key that stay spread over tasks.
 
-A plain window puts every row of a key into one task. Here a key is cut into buckets that
-follow the order (a month of a timestamp, a block of a number): the window runs per bucket,
-and a small aggregate of one row per bucket carries values over the bucket borders.
+A plain window puts every row of a key into one task, which suits all keys but the very large
+ones. Those are cut into buckets that follow the order (a month of a timestamp, a block of a
+number): the window runs per bucket, and an aggregate of one row per bucket carries values
+over the bucket borders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 KEY = "__key"
-BUCKET = "__bucket"
+PLACE = "__place"
+
+
+@dataclass(frozen=True)
+class Wanted:
+    """New columns {name: source column} by the kind of neighbour they come from."""
+
+    order: tuple[str, ...]
+    following: dict[str, str]
+    carried: dict[str, str]
+    highest: dict[str, str]
+
+    @property
+    def names(self) -> list[str]:
+        return [*self.following, *self.carried, *self.highest]
+
+    @property
+    def next_values(self) -> Column:
+        """What a row hands to the one before it."""
+        return F.struct(*[F.col(c).alias(n) for n, c in self.following.items()]) if self.following else F.lit(None)
 
 
 def ordered_neighbours(
@@ -25,42 +46,59 @@ def ordered_neighbours(
     following: Mapping[str, str] | None = None,
     carried: Mapping[str, str] | None = None,
     highest: Mapping[str, str] | None = None,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add columns {new name: column} taken from other rows of the key.
 
     `following` is the value of the next row in order, null on the last one. `carried` is the
     row's own value or the last one before it that is not null. `highest` is the maximum over
-    the key. `bucket` must not decrease along `order`.
-
-    Key and bucket are one struct, in which null keys are equal; the row windows and the join
-    to the bucket facts share its partitioning.
+    the key. `bucket` must not decrease along `order`; it is used for keys with more than
+    `hot_rows` rows. Null keys are equal.
     """
-    following, carried, highest = dict(following or {}), dict(carried or {}), dict(highest or {})
-    place = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
-    nexts = F.struct(*[F.col(c).alias(n) for n, c in following.items()]) if following else F.lit(None)
-    rows = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys], bucket.alias(BUCKET)))
-
-    facts = {"__head": F.min(F.struct(*place, nexts.alias("v")))["v"]}
-    for n, c in carried.items():
-        facts[f"__tail_{n}"] = F.max(F.when(F.col(c).isNotNull(), F.struct(*place, F.col(c).alias("v"))))["v"]
-    for n, c in highest.items():
+    want = Wanted(tuple(order), dict(following or {}), dict(carried or {}), dict(highest or {}))
+    rows = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys]))
+    # at most one key per `hot_rows` rows of the table, so small enough to broadcast
+    hot = F.broadcast(rows.groupBy(KEY).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select(KEY))
+    usual = plain_neighbours(rows.join(hot, KEY, "left_anti"), want)
+    large = bucketed_neighbours(rows.join(hot, KEY, "left_semi"), bucket, want)
+    columns = [*df.columns, *want.names]
+    return usual.select(*columns).unionByName(large.select(*columns))
+
+
+def plain_neighbours(rows: DataFrame, want: Wanted) -> DataFrame:
+    ordered = W.partitionBy(KEY).orderBy(*want.order)
+    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+    made = {n: F.last(c, ignorenulls=True).over(so_far) for n, c in want.carried.items()}
+    made.update({n: F.lead(c).over(ordered) for n, c in want.following.items()})
+    made.update({n: F.max(c).over(W.partitionBy(KEY)) for n, c in want.highest.items()})
+    return rows.withColumns(made)
+
+
+def bucketed_neighbours(rows: DataFrame, bucket: Column, want: Wanted) -> DataFrame:
+    """Key and bucket are one struct; the row windows and the join share its partitioning."""
+    rows = rows.withColumn(PLACE, F.struct(F.col(KEY).alias("key"), bucket.alias("bucket")))
+    order = [F.col(c).alias(f"o{i}") for i, c in enumerate(want.order)]
+
+    facts = {"__head": F.min(F.struct(*order, want.next_values.alias("v")))["v"]}
+    for n, c in want.carried.items():
+        facts[f"__tail_{n}"] = F.max(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("v"))))["v"]
+    for n, c in want.highest.items():
         facts[f"__top_{n}"] = F.max(c)
-    told = rows.groupBy(KEY).agg(*[v.alias(n) for n, v in facts.items()])
+    told = rows.groupBy(PLACE).agg(*[v.alias(n) for n, v in facts.items()])
 
-    group = [F.col(f"{KEY}.{k}") for k in keys]
-    across = W.partitionBy(*group).orderBy(f"{KEY}.{BUCKET}")
+    across = W.partitionBy(f"{PLACE}.key").orderBy(f"{PLACE}.bucket")
     earlier = across.rowsBetween(W.unboundedPreceding, -1)
-    made = {"__after": F.lead("__head").over(across)}
-    made.update({f"__before_{n}": F.last(f"__tail_{n}", ignorenulls=True).over(earlier) for n in carried})
-    made.update({n: F.max(f"__top_{n}").over(W.partitionBy(*group)) for n in highest})
-    told = told.select(KEY, *[v.alias(n) for n, v in made.items()])
+    border = {"__after": F.lead("__head").over(across)}
+    border.update({f"__before_{n}": F.last(f"__tail_{n}", ignorenulls=True).over(earlier) for n in want.carried})
+    border.update({n: F.max(f"__top_{n}").over(W.partitionBy(f"{PLACE}.key")) for n in want.highest})
+    told = told.select(PLACE, *[v.alias(n) for n, v in border.items()])
 
-    inside = W.partitionBy(KEY).orderBy(*order)
+    inside = W.partitionBy(PLACE).orderBy(*want.order)
     so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    near = {f"__own_{n}": F.last(c, ignorenulls=True).over(so_far) for n, c in carried.items()}
-    if following:
-        near["__next"] = F.lead(nexts).over(inside)
-    joined = rows.withColumns(near).join(told, KEY)
-    out = {n: F.coalesce("__next", "__after")[n] for n in following}
-    out.update({n: F.coalesce(f"__own_{n}", f"__before_{n}") for n in carried})
-    return joined.select(*df.columns, *[v.alias(n) for n, v in out.items()], *highest)
+    near = {f"__own_{n}": F.last(c, ignorenulls=True).over(so_far) for n, c in want.carried.items()}
+    if want.following:
+        near["__next"] = F.lead(want.next_values).over(inside)
+    joined = rows.withColumns(near).join(told, PLACE)
+    out = {n: F.coalesce("__next", "__after")[n] for n in want.following}
+    out.update({n: F.coalesce(f"__own_{n}", f"__before_{n}") for n in want.carried})
+    return joined.withColumns(out)

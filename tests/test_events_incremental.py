@@ -94,13 +94,13 @@ def test_snapshots_are_replaced_and_unfinished_ones_ignored(spark, tmp_path):
     assert store.latest().count() == 4
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_ordered_neighbours_match_brute_force(spark, seed):
-    rng = random.Random(seed)
+@pytest.mark.parametrize("hot_rows", [0, 40, 10**6])
+def test_ordered_neighbours_match_brute_force(spark, hot_rows):
+    rng = random.Random(hot_rows)
     data = sorted({(rng.choice(["hot", "hot", "hot", "x", None]), rng.randint(0, 300)) for _ in range(200)}, key=str)
     data = [(k, t, rng.choice([None, None, t])) for k, t in data]
     df = spark.createDataFrame(data, "k string, t int, v int")
-    out = ordered_neighbours(df, ["k"], ["t"], F.expr("t div 20"), {"nxt": "t"}, {"car": "v"}, {"top": "t"})
+    out = ordered_neighbours(df, ["k"], ["t"], F.expr("t div 20"), {"nxt": "t"}, {"car": "v"}, {"top": "t"}, hot_rows)
     want = []
     for k in {d[0] for d in data}:
         mine = sorted([(t, v) for kk, t, v in data if kk == k], key=lambda x: x[0])
