@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flowframe.catalog import table
-from flowframe.llm import mixing
+from flowframe.llm import mixing, packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,3 +26,13 @@ def query(name: str, sql: str | None = None):
 @query("op10_mixing", mixing.MIX_SQL)
 def op10_mixing(spark: SparkSession, data: str) -> DataFrame:
     return mixing.mix_report(table(spark, data, "documents"))
+
+
+@query("op1_warc", warc.WARC_SQL)
+def op1_warc(spark: SparkSession, data: str) -> DataFrame:
+    return warc.archive_and_read(spark, table(spark, data, "pages"))
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, data: str) -> DataFrame:
+    return packing.pack(table(spark, data, "documents"))
