@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowframe.catalog import table
-from flowframe.llm import mixing, packing, warc
+from flowframe.llm import language, mixing, packing, quality, warc
+from flowframe.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,3 +38,17 @@ def op1_warc(spark: SparkSession, data: str) -> DataFrame:
 @query("op3_packing")
 def op3_packing(spark: SparkSession, data: str) -> DataFrame:
     return packing.pack(table(spark, data, "documents"))
+
+
+@query("op8_language")
+def op8_language(spark: SparkSession, data: str) -> DataFrame:
+    docs = table(spark, data, "documents")
+    held = fold(F.col("doc_id"), 4) == 2
+    profiles = language.learn_profiles(docs, ~held)
+    found = language.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, data: str) -> DataFrame:
+    return quality.quality_scores(table(spark, data, "documents"), table(spark, data, "labels"))
