@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.catalog import table
-from flowframe.llm import language, mixing, packing, quality, toxicity, warc
+from flowframe.llm import language, mixing, packing, quality, rules, toxicity, warc
 from flowframe.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op5_quality(spark: SparkSession, data: str) -> DataFrame:
 @query("op9_toxicity")
 def op9_toxicity(spark: SparkSession, data: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, data, "documents"), table(spark, data, "labels"))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, data: str) -> DataFrame:
+    return rules.quality_rules(table(spark, data, "documents"), table(spark, data, "labels"))
