@@ -7,20 +7,22 @@ mean ratio, which does not depend on its length. Everything is a DataFrame expre
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import NOT_WORD, WORD, bounded_ids, fold, saved
+from flowframe.llm.common import NOT_WORD, WORD, bounded_ids, fold
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 #: Trusted texts that the target is counted on: those with the smallest hashed ids.
 MAX_TRUSTED = 50_000
 SMOOTHING = 20.0
 #: Texts with a mean log ratio below this are left out.
-LEAST_RATIO = -0.1
+LEAST_RATIO = -0.04
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SYMBOLS = "#*$%&|<>"
+SYMBOL = r"[#*$%&|<>]"
 
 
 def words_of(text: Column) -> Column:
@@ -29,32 +31,38 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def buckets_of(words: Column, buckets: int = BUCKETS) -> Column:
-    """Bucket numbers of all words and all pairs of neighbours."""
-    one = F.transform(words, lambda w: F.xxhash64(w))
-    two = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))), lambda a, b: F.xxhash64(a, F.lit(" "), b))
-    return F.transform(F.concat(one, F.slice(two, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
 
+def buckets_of(hashes: Column, buckets: int = BUCKETS) -> Column:
+    """Bucket numbers of all words and of all pairs of neighbours, from the words' hashes."""
+    firsts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0)))
+    seconds = F.slice(hashes, F.lit(2), F.greatest(F.size(hashes) - 1, F.lit(0)))
+    pairs = F.zip_with(firsts, seconds, lambda a, b: F.xxhash64(a, b))
+    return F.transform(F.concat(hashes, pairs), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
-def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
+
+def with_repeated_words(df: DataFrame, hashes: str, out: str) -> DataFrame:
     """Adds the number of words in 3-word windows that stand twice or more, each word counted once.
 
-    Windows are hashed and sorted with their places; those with an equal neighbour are repeated.
-    Of their sorted places each covers the words up to the next, three at most. The sorted array
-    is a column of its own, for a lambda would sort anew for every element.
+    Where the hashed windows are not all different they are sorted with their places; those with
+    an equal neighbour are repeated. Of their sorted places each covers the words up to the next,
+    three at most. Arrays that a lambda looks into are columns, or it would make them anew for
+    every element.
     """
-    n = F.size(words)
+    n = F.size(hashes)
     windows = F.transform(
         F.sequence(F.lit(0), n - 3),
-        lambda i: F.struct(
-            F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")
-        ),
+        lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)),
     )
-    df = df.withColumn("_windows", F.when(n >= 3, F.sort_array(windows)))
+    df = df.withColumn("_windows", F.when(n >= 3, windows))
+    placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    df = df.withColumn("_sorted", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), placed))
     again = F.filter(
-        "_windows",
-        lambda x, k: F.coalesce(x["h"] == F.get("_windows", k - 1)["h"], F.lit(False))
-        | F.coalesce(x["h"] == F.get("_windows", k + 1)["h"], F.lit(False)),
+        "_sorted",
+        lambda x, k: F.coalesce(x["h"] == F.get("_sorted", k - 1)["h"], F.lit(False))
+        | F.coalesce(x["h"] == F.get("_sorted", k + 1)["h"], F.lit(False)),
     )
     covered = F.aggregate(
         F.sort_array(F.transform(again, lambda x: x["i"])),
@@ -62,47 +70,51 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
         lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"), i.alias("last")),
         lambda a: a["n"],
     )
-    return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("_windows")
+    return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("_windows", "_sorted")
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
-    """bucket and ratio, the log ratio of its shares, for each bucket that occurs.
+def log_ratios(
+    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING
+) -> list[float]:
+    """The log ratio of each bucket's shares in trusted and raw text; all 0 without trusted texts.
 
     `trusted` has the ids of the trusted rows and is bounded by its caller; the raw counts are of
-    all rows. Counts are combined before their shuffle, so each task sends a row per bucket at most.
+    all rows. Counts are combined before their shuffle, so each task sends a row per bucket at
+    most, and the driver gets one.
     """
-    flagged = docs.select("doc_id", words_of(F.col("text")).alias("words")).join(
-        F.broadcast(trusted.select("doc_id", F.lit(1).alias("_trusted"))), "doc_id", "left"
-    )
-    grams = flagged.select(
-        F.coalesce(F.col("_trusted"), F.lit(0)).alias("trusted"), F.explode(buckets_of(F.col("words"), buckets)).alias("bucket")
-    )
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
-    sums = saved(counts, "counts")
-    total = sums.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("r"), F.coalesce(F.sum("target"), F.lit(0)).alias("t")).first()
-    share = lambda x, all_: (x + F.lit(smoothing)) / F.lit(all_ + smoothing * buckets)
-    ratio = F.log(share(F.col("target"), total["t"]) / share(F.col("raw"), total["r"]))
-    return sums.select("bucket", (ratio if total["t"] else F.lit(0.0)).alias("ratio"))
-
-
-def judge(docs: DataFrame, ratios: DataFrame, least_ratio: float = LEAST_RATIO) -> DataFrame:
+    words = docs.select("doc_id", hashes_of(words_of(F.col("text"))).alias("hashes"))
+    flagged = words.join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("_trusted"))), "doc_id", "left")
+    grams = flagged.select("_trusted", F.explode(buckets_of(F.col("hashes"), buckets)).alias("bucket"))
+    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target")).collect()
+    raw, target = [0] * buckets, [0] * buckets
+    for bucket, r, t in counts:
+        raw[bucket], target[bucket] = r, t
+    if not sum(target):
+        return [0.0] * buckets
+    all_raw, all_target = sum(raw) + smoothing * buckets, sum(target) + smoothing * buckets
+    return [math.log((t + smoothing) / all_target * all_raw / (r + smoothing)) for r, t in zip(raw, target, strict=True)]
+
+
+def judge(docs: DataFrame, ratios: list[float], least_ratio: float = LEAST_RATIO) -> DataFrame:
     """doc_id, n_words, the base counts, base_failed, mean_ratio and kept of every row.
 
     A null text counts as empty. A text without words fails the base rules and has mean ratio 0.
-    `ratios` has as many rows as there are buckets at most.
+    One projection: nothing is shuffled. The ratios, whose number is fixed, are a literal of it.
     """
     split = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("words", words_of(F.col("text")))
-    split = with_repeated_words(split, "words", "n_repeat_words")
+    split = with_repeated_words(split.withColumn("hashes", hashes_of(F.col("words"))), "hashes", "n_repeat_words")
     lines = F.filter(F.split("text", "\n"), lambda x: F.regexp_count(x, F.lit(WORD)) > 0)
     counted = split.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", NOT_WORD, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         lines.alias("lines"),
         "n_repeat_words",
-        buckets_of(F.col("words")).alias("grams"),
+        buckets_of(F.col("hashes"), len(ratios)).alias("grams"),
     )
+    table = F.from_json(F.lit("[" + ",".join(f"{r:.6f}" for r in ratios) + "]"), "array<double>")
+    total = F.aggregate("grams", F.lit(0.0), lambda a, g: a + F.get(table, g))
     base = counted.select(
         "doc_id",
         "n_words",
@@ -110,17 +122,7 @@ def judge(docs: DataFrame, ratios: DataFrame, least_ratio: float = LEAST_RATIO)
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
-        F.monotonically_increasing_id().alias("row"),
-        "grams",
-    )
-    keys = [c for c in base.columns if c != "grams"]
-    grams = base.select(*keys, F.explode_outer("grams").alias("bucket"))
-    # at most one row per bucket; rows of a text meet in the task that made them, before the shuffle
-    base = (
-        grams.join(F.broadcast(ratios), "bucket", "left")
-        .groupBy(*keys)
-        .agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("mean_ratio"))
-        .drop("row")
+        F.when(F.size("grams") > 0, total / F.size("grams")).otherwise(F.lit(0.0)).alias("mean_ratio"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     return base.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("mean_ratio") >= least_ratio))
