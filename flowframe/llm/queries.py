@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.catalog import table
-from flowframe.llm import hamming, language, mixing, packing, quality, rules, toxicity, warc
+from flowframe.llm import hamming, language, mixing, ngrams, packing, quality, rules, toxicity, warc
 from flowframe.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op2_hamming_neighbours(spark: SparkSession, data: str) -> DataFrame:
     return hamming.nearest_by_inner_product(
         table(spark, data, "embeddings"), "vec_id", "embedding", F.pmod(F.col("id"), F.lit(20)) == 0
     )
+
+
+@query("op6_ngram_join")
+def op6_ngram_join(spark: SparkSession, data: str) -> DataFrame:
+    return ngrams.near_duplicates(table(spark, data, "documents"))
