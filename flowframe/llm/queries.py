@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.catalog import table
-from flowframe.llm import hamming, language, mixing, ngrams, packing, quality, rules, toxicity, warc
+from flowframe.llm import hamming, language, lines, mixing, ngrams, packing, quality, rules, toxicity, warc
 from flowframe.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op2_hamming_neighbours(spark: SparkSession, data: str) -> DataFrame:
 @query("op6_ngram_join")
 def op6_ngram_join(spark: SparkSession, data: str) -> DataFrame:
     return ngrams.near_duplicates(table(spark, data, "documents"))
+
+
+@query("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, data: str) -> DataFrame:
+    return lines.judged_lines(table(spark, data, "documents"))
