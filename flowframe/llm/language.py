@@ -26,6 +26,8 @@ PER_LANGUAGE = 1000
 #: n-gram vectors that a worker keeps.
 KEPT = 40_000
 UNKNOWN = "und"
+#: Texts with a smaller cosine to every profile are in no known language; those of one word may be close to it.
+LEAST_SCORE = 0.02
 
 
 @lru_cache(maxsize=1)
@@ -165,3 +167,12 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], dim: int = DIM, g
     out = docs.select(*kept)
     schema = StructType([*out.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return out.mapInArrow(predict, schema)
+
+
+def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: float = LEAST_SCORE) -> DataFrame:
+    """`docs` without the texts that are in no known language: those without letters, and those
+    that are far from every profile. Columns stay as they are."""
+    kept = docs.columns
+    found = identify(docs, profiles)
+    good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return good.select(*kept)

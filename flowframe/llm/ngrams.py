@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowframe.llm.common import saved
@@ -341,3 +341,24 @@ def _remaining_pairs(open_: DataFrame, percent: int) -> DataFrame:
         (F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp")) & _can_link("x", "y", percent)
     )
     return pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """`docs` with one row for each component, that of the smallest doc_id; columns stay as they are.
+
+    Of rows that repeat an id the least by text stays. Rows without n-grams are no component of
+    others, and rows without an id all stay. Only ids are gathered; texts of ids that occur once
+    pass by in a join.
+    """
+    found = near_duplicates(docs, words, percent).where(F.col("doc_id").isNotNull())
+    verdicts = saved(
+        found.groupBy(F.col("doc_id").alias("_doc")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(F.col("doc_id") == F.col("component_id")).alias("_first")
+        ).where("_n > 1 OR NOT _first"),
+        "verdicts",
+    )
+    joined = docs.join(verdicts, docs["doc_id"].cast("long") == verdicts["_doc"], "left")
+    single = joined.where(F.col("_doc").isNull()).select(*docs.columns)
+    order = Window.partitionBy("_doc").orderBy("text", *[c for c in docs.columns if c != "text"])
+    several = joined.where("_n > 1 AND _first").withColumn("_row", F.row_number().over(order)).where("_row = 1")
+    return single.unionByName(several.select(*docs.columns))
