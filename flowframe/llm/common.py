@@ -64,7 +64,8 @@ def sum_arrays(df: DataFrame, key: str, vector: str) -> dict[object, np.ndarray]
             a[k] = a[k] + v if k in a else v
         return a
 
-    return df.select(key, vector).rdd.mapPartitions(within).treeReduce(merge, depth=3)
+    parts = df.select(key, vector).rdd.mapPartitions(within)
+    return parts.treeReduce(merge, depth=3) if parts.getNumPartitions() else {}
 
 
 def bounded_ids(df: DataFrame, id_col: str, limit: int) -> DataFrame:

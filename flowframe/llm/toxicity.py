@@ -199,20 +199,21 @@ class Model:
 
 
 def doc_features(model_values: np.ndarray, data: bytes, hits: tuple) -> np.ndarray:
-    """Features of one text: bias, summed values of plain hits, of misspelled and of quoted ones,
-    whether there is any plain hit, and hits per word."""
-    plain = fuzzy = quote = n = 0.0
+    """Features of one text: bias, summed values of hits that are said outright, of the misspelled
+    among them, and of quoted ones, whether any outright hit tells against the text, and such hits
+    per word. A misspelling is one of the hits, so it counts even if no labelled text has any."""
+    said = fuzzy = quote = n = 0.0
     for s, k, code in zip(*hits, strict=True):
         v = model_values[code]
         if quoted(data, int(s), int(k)):
             quote += v
-        elif code % 2 == 0:
+            continue
+        said += v
+        n += v > 0
+        if code % 2 == 0:
             fuzzy += v
-        else:
-            plain += v
-            n += 1
     words = max(1, len(data.split()))
-    return np.array([1.0, np.tanh(plain / 4), np.tanh(fuzzy / 4), np.tanh(quote / 4), float(n > 0), np.log1p(100 * n / words)])
+    return np.array([1.0, np.tanh(said / 4), np.tanh(fuzzy / 4), np.tanh(quote / 4), float(n > 0), np.log1p(100 * n / words)])
 
 
 def _batched(batch: pa.RecordBatch, at: int, size: int = 512) -> Iterator[tuple[int, bytes, np.ndarray]]:
