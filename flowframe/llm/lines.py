@@ -13,69 +13,62 @@ from pyspark.sql import functions as F
 
 from flowframe.llm.common import WORD, saved
 
-EDITS = 2
-#: Letters that are counted to tell candidates apart before their texts are read.
-LETTERS = "eantio"
+EDITS = 1
 #: Lines of fewer characters are left as they are.
 MIN_CHARS = 20
 
 
-def _start(length: Column, i: int, edits: int) -> Column:
-    """Where segment i of a line begins (from 0); the last segments take what doesn't divide."""
-    parts = edits + 1
+def _start(length: Column, i: int, parts: int) -> Column:
+    """Where segment i of `parts` begins (from 0); the last segments take what doesn't divide."""
     return (length / parts).cast("int") * i + F.greatest(F.lit(0), length % parts - (parts - i))
 
 
-def _size(length: Column, i: int, edits: int) -> Column:
-    parts = edits + 1
+def _size(length: Column, i: int, parts: int) -> Column:
     return (length / parts).cast("int") + F.when(length % parts >= parts - i, 1).otherwise(0)
 
 
-def _key(line: Column, length: Column, i: int, shift: int, edits: int) -> Column:
+def _key(line: Column, length: Column, i: int, shift: int, parts: int) -> Column:
     """The hash of the substring that stands for segment i of a line of this length."""
-    part = F.substring(line, _start(length, i, edits) + F.lit(1 + shift), _size(length, i, edits))
+    part = F.substring(line, _start(length, i, parts) + F.lit(1 + shift), _size(length, i, parts))
     return F.xxhash64(length.cast("int"), F.lit(i), part)
 
 
-def segment_keys(line: Column, edits: int = EDITS) -> Column:
-    """Keys of a line's own segments."""
-    n = F.length(line)
-    return F.array(*[_key(line, n, i, 0, edits) for i in range(edits + 1)])
+def _key_around(line: Column, length: Column, q: int, less: int) -> Column:
+    """The hash of all that lies before and behind quarter q of a line of this length, in a line
+    that is longer by `less`."""
+    begin, end = _start(length, q, 4), _start(length, q, 4) + _size(length, q, 4)
+    before = F.substring(line, F.lit(1), begin)
+    return F.xxhash64(length.cast("int"), F.lit(q), before, F.substring(line, end + F.lit(1 + less), length - end))
 
 
-def probe_keys(line: Column, edits: int = EDITS) -> Column:
-    """Keys to look for: substrings where a segment of a line of the same or a smaller length,
-    by up to `edits`, must stand if the two are within `edits`.
+def segment_keys(line: Column, n: Column, edits: int = EDITS) -> Column:
+    """Keys under which a line of n characters is found.
+
+    With one edit a line has two segments. The segment without an edit is equal, and the other,
+    split into two again, has an equal half: so all but one quarter is, and a key is of all but
+    one quarter. With more edits a key is of one segment.
+    """
+    if edits == 1:
+        return F.array(*[_key_around(line, n, q, 0) for q in range(4)])
+    return F.array(*[_key(line, n, i, 0, edits + 1) for i in range(edits + 1)])
+
+
+def probe_keys(line: Column, n: Column, edits: int = EDITS) -> Column:
+    """Keys to look for: of lines that are shorter by up to `edits`, or as long, within `edits`.
 
     Of the edits at most i lie before segment i and edits - i behind it, which bounds the shift
-    from both sides.
+    from both sides. Lines of one length within one edit have equal keys of their own.
     """
-    n, keys = F.length(line), []
+    if edits == 1:
+        return F.array(*[_key_around(line, n - 1, q, 1) for q in range(4)])
+    keys = []
     for less in range(edits + 1):
         for i in range(edits + 1):
             low, high = max(-i, less - (edits - i)), min(i, less + (edits - i))
-            keys += [_key(line, n - less, i, shift, edits) for shift in range(low, high + 1)]
+            keys += [_key(line, n - less, i, shift, edits + 1) for shift in range(low, high + 1) if less or shift]
     return F.array(*keys)
 
 
-def letter_counts(line: Column) -> Column:
-    """How often each of LETTERS stands in the line, modulo 32, packed into one number."""
-    n, packed = F.octet_length(line), F.lit(0).cast("long")
-    for k, letter in enumerate(LETTERS):
-        count = n - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        packed = packed.bitwiseOR(F.shiftleft(F.pmod(count, F.lit(32)).cast("long"), 5 * k))
-    return packed
-
-
-def letters_agree(a: Column, b: Column, edits: int = EDITS) -> Column:
-    """Whether the letter counts allow for the distance: each edit changes two counts by one at most."""
-    gap = F.lit(0)
-    for k in range(len(LETTERS)):
-        d = F.shiftright(a, 5 * k).bitwiseAND(F.lit(31)) - F.shiftright(b, 5 * k).bitwiseAND(F.lit(31))
-        gap = gap + F.least(F.pmod(d, F.lit(32)), F.pmod(-d, F.lit(32)))
-    return gap <= 2 * edits
-
-
 def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -147,33 +140,29 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return used.select("doc_id", "line_no", "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
-    """The classes of equal lines, and the links between them.
+def near_lines(seen: DataFrame, edits: int = EDITS) -> DataFrame:
+    """The links between classes of equal lines: a and b, the h of two classes within `edits`,
+    with the first places of both, each link once.
 
-    Classes: h, first (its first doc_id and line_no, and h2 of its line). Equal lines are combined
-    before their shuffle, so one line that a third of all texts hold is one row for each task.
-    Links: a and b, the h of two classes within `edits`, with their firsts; each link once. Lines
-    meet by hashed segments, with nothing left out; candidates must agree in letter counts and
-    are then verified on their texts.
+    Equal lines are combined before their shuffle, so one line that a third of all texts hold is
+    one row for each task. Lines meet by hashed segments, with nothing left out, and candidates
+    are verified on their texts. Keys to be found and keys to look for are dealt out together:
+    one shuffle serves both sides of the join.
     """
-    if edits + 1 > min_chars:
-        raise ValueError("a line needs a letter for each segment")
-    seen = occurrences(docs, min_chars)
     classes = seen.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "h2", "line")).alias("first"))
-    line = F.col("first.line")
-    counts = letter_counts(line).alias("letters")
-    own = classes.select("h", counts, F.explode(segment_keys(line, edits)).alias("key"))
-    asked = classes.select(F.col("h").alias("g"), counts.alias("g_letters"), F.explode(probe_keys(line, edits)).alias("key"))
-    pairs = own.join(asked, "key").where((F.col("h") != F.col("g")) & letters_agree(F.col("letters"), F.col("g_letters"), edits))
-    pairs = pairs.select(F.least("h", "g").alias("a"), F.greatest("h", "g").alias("b")).distinct()
+    sized = classes.select("h", F.col("first.line").alias("line"), F.length("first.line").alias("n"))
+    n, line = F.col("n"), F.col("line")
+    keyed = sized.select("h", segment_keys(line, n, edits).alias("own"), probe_keys(line, n, edits).alias("asked"))
+    tagged = keyed.select("h", F.posexplode(F.concat("own", "asked")).alias("place", "key"), F.size("own").alias("owned"))
+    keys = tagged.select("key", "h", (F.col("place") < F.col("owned")).alias("own"))
+    x, y = keys.alias("x"), keys.alias("y")
+    meet = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.h") < F.col("y.h")) & (F.col("x.own") | F.col("y.own")))
+    pairs = meet.select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
     place = lambda c: F.struct(f"{c}.doc_id", f"{c}.line_no", f"{c}.h2")
     left = pairs.join(classes.select(F.col("h").alias("a"), F.col("first").alias("x")), "a")
     both = left.join(classes.select(F.col("h").alias("b"), F.col("first").alias("y")), "b")
     near = both.where(banded_distance(F.col("x.line"), F.col("y.line"), edits) <= edits)
-    return (
-        classes.select("h", place("first").alias("first")),
-        near.select("a", "b", place("x").alias("a_first"), place("y").alias("b_first")),
-    )
+    return near.select("a", "b", place("x").alias("a_first"), place("y").alias("b_first"))
 
 
 def judged_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -185,8 +174,12 @@ def judged_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     is the first of its class and no earlier class is near. Rows that repeat an id and text are
     kept alike. A line whose hash is shared by a different one (64 bits) is kept as it is.
     """
-    classes, near = line_classes(docs, edits, min_chars)
-    near = saved(near, "near-lines")
+    if 2 * edits + 2 > min_chars:
+        raise ValueError("a line needs letters for each segment")
+    seen = occurrences(docs, min_chars)
+    near = saved(near_lines(seen, edits), "near-lines")
+    seen = saved(seen.select("h", "h2", "doc_id", "line_no"), "line-places")
+    classes = seen.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "h2")).alias("first"))
     ways = near.select(F.col("a").alias("h"), "a_first", F.col("b_first").alias("other")).union(
         near.select("b", F.col("b_first"), F.col("a_first"))
     )
@@ -194,7 +187,6 @@ def judged_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
         F.count(F.lit(1)).alias("n_links"), F.min(F.when(F.col("other") < F.col("a_first"), F.col("other"))).alias("near")
     )
     verdicts = classes.join(linked, "h", "left")
-    seen = occurrences(docs, min_chars).select("h", "h2", "doc_id", "line_no")
     joined = seen.join(verdicts, "h")
     same = F.col("h2") == F.col("first.h2")
     here = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
@@ -225,3 +217,34 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     joined = keyed.join(gone, "_doc", "left").withColumn("_rest", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest))
     left_over = F.col("_gone").isNull() | F.col("_rest").rlike(WORD)
     return joined.where(left_over).select(*[F.col("_rest").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+
+
+#: The verdicts as SQL over `documents`, for one edit: two lines within it share a half.
+LINES_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, unnest(range(len(l)))::INT AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
+), seen AS (
+  SELECT * FROM cut WHERE length(line) >= 20 AND regexp_matches(line, '[^\x20\x09-\x0D]')
+), classes AS (
+  SELECT line, min((doc_id, line_no)) AS first, length(line) AS n, length(line) // 2 AS half FROM seen GROUP BY line
+), meet AS (
+  SELECT a.line AS a, b.line AS b, a.first AS a_first, b.first AS b_first FROM classes a JOIN classes b
+    ON b.n = a.n AND substr(a.line, 1, a.half) = substr(b.line, 1, a.half) AND a.line <> b.line
+  UNION SELECT a.line, b.line, a.first, b.first FROM classes a JOIN classes b
+    ON b.n = a.n AND substr(a.line, a.half + 1) = substr(b.line, a.half + 1) AND a.line <> b.line
+  UNION SELECT a.line, b.line, a.first, b.first FROM classes a JOIN classes b
+    ON b.n = a.n + 1 AND substr(a.line, 1, a.half) = substr(b.line, 1, a.half)
+  UNION SELECT a.line, b.line, a.first, b.first FROM classes a JOIN classes b
+    ON b.n = a.n + 1 AND substr(a.line, a.half + 1) = substr(b.line, a.half + 2)
+), links AS (
+  SELECT * FROM meet WHERE levenshtein(a, b) <= 1
+), ways AS (
+  SELECT a AS line, b AS other, b_first AS place FROM links UNION SELECT b, a, a_first FROM links
+), linked AS (
+  SELECT c.line, count(*) AS n_links, min(w.place) FILTER (w.place < c.first) AS near FROM classes c JOIN ways w ON w.line = c.line GROUP BY c.line
+)
+SELECT s.doc_id, s.line_no, c.first[1] AS first_doc, c.first[2] AS first_line, coalesce(k.n_links, 0)::BIGINT AS n_links,
+       k.near[1] AS near_doc, k.near[2] AS near_line,
+       ((s.doc_id, s.line_no) = c.first AND k.near IS NULL) AS kept
+FROM seen s JOIN classes c ON s.line = c.line LEFT JOIN linked k ON k.line = c.line
+"""

@@ -76,6 +76,6 @@ def op6_ngram_join(spark: SparkSession, data: str) -> DataFrame:
     return ngrams.near_duplicates(table(spark, data, "documents"))
 
 
-@query("op4_line_dedup")
+@query("op4_line_dedup", lines.LINES_SQL)
 def op4_line_dedup(spark: SparkSession, data: str) -> DataFrame:
     return lines.judged_lines(table(spark, data, "documents"))
