@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from flowframe.catalog import query, table
 from flowframe.operators import intervals as op
+from flowframe.operators.orders import decide
 
 
 def status_log(spark, data):
@@ -59,6 +60,9 @@ def active_min_sequence(spark, data):
     return op.active_min_sequence(coded_intervals(spark, data), HOLDS, ["user_id"])
 
 
+FLAG_CODES = {"300": ["BBLK"], "010": ["1SLT", "2SLT"], "007": ["1SLT", "2SLT"], "016": ["1SLT", "2SLT"]}
+
+
 @query(
     "status_flag_intervals",
     f"""WITH i AS (SELECT *, CASE WHEN user_id < 40 THEN '300' ELSE '010' END AS client,
@@ -71,7 +75,7 @@ def status_flag_intervals(spark, data):
     df = op.status_intervals(status_log(spark, data), ["user_id"]).withColumns(
         {"client": F.when(F.col("user_id") < 40, "300").otherwise("010"), "statevalue": code}
     )
-    return op.status_flag_intervals(df).select("user_id", "client", "statevalue", "starttime", "endtime")
+    return op.status_flag_intervals(df, FLAG_CODES).select("user_id", "client", "statevalue", "starttime", "endtime")
 
 
 @query(
@@ -99,81 +103,49 @@ def milestone_chain(spark, data):
 
 @query(
     "source_region",
-    """SELECT o_orderkey, CASE WHEN client = '300' THEN CASE WHEN o_orderpriority IN ('1-URGENT', '5-LOW') THEN 'EMEA' END
-         WHEN client = '010' THEN 'EMEA' WHEN client = '007' THEN 'AMS' END AS region
-       FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN '300' WHEN 'O' THEN '010' ELSE '007' END AS client FROM orders)""",
+    """SELECT o_orderkey, CASE WHEN o_custkey % 10 < 4 AND o_orderpriority <> '5-LOW' THEN 'north' WHEN o_custkey % 10 < 7 THEN 'east' END AS region FROM orders""",
 )
 def source_region(spark, data):
-    client = F.when(F.col("o_orderstatus") == "F", "300").when(F.col("o_orderstatus") == "O", "010").otherwise("007")
-    region = op.source_region(client, F.col("o_orderpriority"), ["1-URGENT", "5-LOW"])
-    return table(spark, data, "orders").select("o_orderkey", region.alias("region"))
-
-
-FLOW_SETS = {
-    "services": ["1-URGENT"],
-    "software": ["2-HIGH"],
-    "other": [],
-    "bridge": {"010": ["1", "2", "3", "4"], "016": ["5", "6"]},
-    "linked": {"010": ["S1"], "016": ["S2"]},
-    "reverse": {"010": ["P7"]},
-    "hub_parties": ["9"],
-}
-
-
-def purchase_orders(spark, data):
-    """Orders with the attributes the flow rules read; purchases come from the lines."""
-    purchase = F.struct(
-        F.when(F.col("l_returnflag") == "R", "X").alias("deletionindicator"),
-        F.when(F.col("l_linestatus") == "F", "NB").otherwise("UB").alias("supplierpotype"),
-        F.when(F.col("l_suppkey") < 30, "2C1A").otherwise(F.concat(F.lit("S"), (F.col("l_suppkey") % 3).cast("string"))).alias("factoryplant"),
-        F.concat(F.date_format("l_shipdate", "yyyyMMdd"), F.lpad(F.col("l_partkey").cast("string"), 9, "0")).alias("serial"),
-    )
-    bought = table(spark, data, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.array_sort(F.collect_list(purchase)).alias("purchase_list")
-    )
-    c = F.col
-    df = table(spark, data, "orders").select(
-        "o_orderkey",
-        F.when(c("o_orderstatus") == "F", "300").when(c("o_orderstatus") == "O", "010").otherwise("016").alias("client"),
-        c("o_orderpriority").alias("itemcategory"),
-        F.when(c("o_custkey") % 4 == 0, F.when(c("o_orderstatus") == "F", "ZICS").otherwise("ZI1O")).otherwise("ZOR").alias("ordertype"),
-        F.concat(F.lit("S"), (c("o_custkey") % 3).cast("string")).alias("plant"),
-        F.when(c("o_custkey") % 5 == 0, "X").alias("compldelflag"),
-        F.lit("IT").alias("distributionchannel"),
-        F.when(c("o_custkey") % 2 == 0, "00").otherwise("01").alias("dccode"),
-        (c("o_custkey") % 10).cast("string").alias("soldtopartyid"),
-        F.concat(F.lit("S"), (c("o_custkey") % 7).cast("string")).alias("supplier"),
-        F.concat(F.lit("P"), (c("o_custkey") % 11).cast("string")).alias("shippingpoint"),
-    )
-    return df.join(bought, "o_orderkey")
+    """Ordered rules given as SQL; without a match there is no region."""
+    rules = [("north", "o_custkey % 10 < 4 AND o_orderpriority <> '5-LOW'"), ("east", "o_custkey % 10 < 7")]
+    return table(spark, data, "orders").select("o_orderkey", decide(rules).alias("region"))
+
+
+FLOW_RULES = [
+    ("urgent", "o_orderpriority = '1-URGENT'"),
+    ("unsupplied", "open_supplier = ''"),
+    ("same", "open_supplier = closed_supplier"),
+    ("near", "CAST(open_supplier AS INT) % 4 = o_custkey % 4"),
+    ("late", "o_orderstatus = 'O' AND closed_supplier = ''"),
+]
 
 
 @query(
     "region_flow_rules",
-    """WITH l AS (SELECT l_orderkey, l_returnflag <> 'R' AS live, CASE WHEN l_linestatus = 'F' THEN 'NB' ELSE 'UB' END AS kind,
-         CASE WHEN l_suppkey < 30 THEN '2C1A' ELSE 'S' || (l_suppkey % 3) END AS plant,
-         strftime(l_shipdate, '%Y%m%d') || lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS serial FROM lineitem),
-       p AS (SELECT l_orderkey, coalesce(arg_max(plant, serial || plant) FILTER (live AND kind = 'NB'), '') AS nb,
-         coalesce(arg_max(plant, serial || plant) FILTER (live AND kind = 'UB'), '') AS ub, coalesce(bool_or(live AND kind = 'NB'), false) AS has_nb
-         FROM l GROUP BY 1),
-       o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN '300' WHEN 'O' THEN '010' ELSE '016' END AS client, o_orderpriority AS cat,
-         CASE WHEN o_custkey % 4 = 0 THEN CASE WHEN o_orderstatus = 'F' THEN 'ZICS' ELSE 'ZI1O' END ELSE 'ZOR' END AS ot,
-         'S' || (o_custkey % 3) AS plant, o_custkey % 5 = 0 AS compl, o_custkey % 2 = 0 AS direct, CAST(o_custkey % 10 AS VARCHAR) AS sold,
-         'S' || (o_custkey % 7) AS supplier, 'P' || (o_custkey % 11) AS point, nb, ub, has_nb FROM orders JOIN p ON o_orderkey = l_orderkey),
-       x AS (SELECT *, (client = '010' AND sold IN ('1','2','3','4')) OR (client = '016' AND sold IN ('5','6')) AS bridge,
-         (client = '010' AND supplier = 'S1') OR (client = '016' AND supplier = 'S2') AS linked, client = '010' AND point = 'P7' AS reverse FROM o)
-       SELECT o_orderkey, CASE WHEN cat = '1-URGENT' THEN 'Services' WHEN cat = '2-HIGH' THEN 'E-SW'
-         WHEN client = '300' THEN CASE WHEN NOT has_nb THEN 'NotAssigned' WHEN nb = '2C1A' AND ot = 'ZICS' THEN 'BridgeFulfilledHub'
-           WHEN ot = 'ZICS' THEN 'BridgeFulfilledDirect' WHEN nb = '2C1A' THEN 'BridgeICHub' WHEN plant = nb AND compl THEN 'BridgeHub'
-           WHEN ub = '2C1A' THEN 'Hub' WHEN plant = nb THEN 'BridgeDirect' ELSE 'Direct' END
-         ELSE CASE WHEN ot = 'ZI1O' AND bridge AND linked THEN 'ICLinked' WHEN ot = 'ZI1O' AND bridge AND NOT direct THEN 'BridgeFulfilledHub'
-           WHEN ot = 'ZI1O' AND bridge THEN 'BridgeFulfilledDirect' WHEN ot = 'ZI1O' AND sold = '9' THEN 'BridgeICFulfilledHub'
-           WHEN ot = 'ZI1O' AND NOT direct THEN 'ICFulfilledHub' WHEN ot = 'ZI1O' THEN 'ICFulfilledDirect'
-           WHEN linked AND NOT direct THEN 'ICHub' WHEN linked THEN 'ICDirect' WHEN reverse AND NOT direct THEN 'BridgeHub'
-           WHEN reverse THEN 'BridgeDirect' WHEN NOT direct THEN 'Hub' ELSE 'Direct' END END AS flowtype FROM x""",
+    """WITH l AS (SELECT l_orderkey, l_linestatus, strftime(l_shipdate, '%Y%m%d') || lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS serial,
+         CAST(l_suppkey AS VARCHAR) AS supplier FROM lineitem WHERE l_returnflag <> 'R'),
+       p AS (SELECT l_orderkey, arg_max(supplier, (serial, supplier)) FILTER (l_linestatus = 'O') AS o,
+         arg_max(supplier, (serial, supplier)) FILTER (l_linestatus = 'F') AS f FROM l GROUP BY 1)
+       SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' WHEN coalesce(o, '') = '' THEN 'unsupplied' WHEN o = coalesce(f, '') THEN 'same'
+         WHEN CAST(o AS INT) % 4 = o_custkey % 4 THEN 'near' WHEN o_orderstatus = 'O' AND coalesce(f, '') = '' THEN 'late' ELSE 'other' END AS flow
+       FROM orders LEFT JOIN p ON o_orderkey = l_orderkey WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
 )
 def region_flow_rules(spark, data):
-    return purchase_orders(spark, data).select("o_orderkey", op.flow_type(FLOW_SETS).alias("flowtype"))
+    """Rules over an order and the latest of its lines of each status that were not returned."""
+    entry = F.struct(
+        "l_returnflag",
+        "l_linestatus",
+        F.concat(F.date_format("l_shipdate", "yyyyMMdd"), F.lpad(F.col("l_partkey").cast("string"), 9, "0")).alias("serial"),
+        F.col("l_suppkey").cast("string").alias("supplier"),
+    )
+    entries = table(spark, data, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(entry).alias("entries"))
+
+    def latest(status):
+        return op.latest_entry(F.col("entries"), lambda e: (e["l_returnflag"] != "R") & (e["l_linestatus"] == status), "serial", "supplier")
+
+    df = table(spark, data, "orders").join(entries, "o_orderkey")
+    df = df.withColumns({"open_supplier": latest("O"), "closed_supplier": latest("F")})
+    return df.select("o_orderkey", decide(FLOW_RULES, "other").alias("flow"))
 
 
 def schedule_lines(spark, data):
@@ -214,4 +186,4 @@ def plus_days(day, n):
         SELECT item, schedulelinenum, strftime(day, '%Y%m%d') AS datevalue, starttime, endtime FROM c WHERE day IS NOT NULL""",
 )
 def schedule_commit_dates(spark, data):
-    return op.schedule_commit_dates(schedule_lines(spark, data), ["item"], "2001-06-15")
+    return op.schedule_commit_dates(schedule_lines(spark, data), ["item"], "2001-06-15", hub_flows=["Hub"], newer=["300"], older=["010"])

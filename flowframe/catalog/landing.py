@@ -183,10 +183,12 @@ def require_missing_key(spark, data):
     return landing.require_keys(table(spark, data, "supplier"), ["nothing"]).agg(F.count("*").alias("n"))
 
 
-@query("drop_blank_headers", "SELECT s_suppkey, s_name FROM supplier")
+@query("drop_blank_headers", "SELECT s_suppkey, s_name AS _code FROM supplier")
 def drop_blank_headers(spark, data):
-    df = table(spark, data, "supplier").select("s_suppkey", F.lit("").alias("_c1"), "s_name", F.lit("").alias("_c3"))
-    return landing.drop_blank_headers(df)
+    """Blank headers go by their position; a name that only looks like one of theirs stays."""
+    group = landing.HeaderGroup("s_suppkey,,_code,", ["s_suppkey", "", "_code", ""], [])
+    df = table(spark, data, "supplier").select("s_suppkey", F.lit("").alias("_c1"), F.col("s_name").alias("_code"), F.lit("").alias("_c3"))
+    return landing.drop_blank_headers(df, group)
 
 
 @query("tag_file", f"SELECT part, true AS named, true AS dated FROM {HELD}")

@@ -297,63 +297,28 @@ def classify_group(spark, data):
     return df.select(c("l_orderkey").alias("o_orderkey"), "class")
 
 
-# line attributes of the order classification, derived from the given tables
-COMPLEXITY_LINES = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'O' THEN '300' ELSE '010' END AS client,
-  CASE p_size % 9 WHEN 0 THEN 'ZWSE' WHEN 1 THEN 'ZFXX' WHEN 2 THEN 'ZPSH' WHEN 3 THEN 'ZIFY' WHEN 4 THEN 'ZSBE'
-    WHEN 5 THEN 'ZRBH' WHEN 6 THEN 'ZTDI' WHEN 7 THEN 'ZDDB' ELSE 'ZXXX' END AS itemcategory,
-  CASE WHEN p_type = 'ECONOMY' THEN 'HA1' ELSE 'XX1' END AS materialnum,
-  CASE WHEN p_type = 'PROMO' THEN 'SERVER' ELSE '_' END AS materialgroup,
-  CASE WHEN starts_with(p_name, 'red') THEN 'Rack 42U' ELSE '_' END AS materialfamily, '_' AS rackmapped,
-  CASE WHEN l_suppkey = 7 THEN '6303' ELSE 'X' END AS plant, CASE WHEN p_brand = 'Brand#3' THEN '4A' WHEN p_brand = 'Brand#4' THEN '34' ELSE 'X' END AS productline,
-  CASE WHEN p_type = 'STANDARD' THEN 'UN' ELSE '_' END AS producttype
-  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+SHAPES = [
+    ("returned", "l_returnflag = 'R' AND has_return AND line_count > 3"),
+    ("bulky", "l_quantity >= 40 OR (line_count > 5 AND has_bulk)"),
+    ("costly", "l_extendedprice > 50000 AND NOT has_return"),
+    ("single", "line_count = 1"),
+]
 
 
 @query(
     "order_complexity",
-    f"""WITH l AS (SELECT *, client IN ('300', '800') AS new FROM {COMPLEXITY_LINES}),
-        f AS (SELECT l_orderkey, count(*) AS n, bool_or(CASE WHEN new THEN itemcategory IN ('ZIFY','ZIFX','ZDDX','ZDDY','ZKFX','ZKFY')
-            ELSE itemcategory NOT IN ('ZTDI','ZSAS','ZESY','ZESW') AND starts_with(materialnum, 'HA') END) AS fe FROM l GROUP BY 1),
-        r AS (SELECT l.*, n > 1 AS several, fe,
-            CASE WHEN new THEN itemcategory = 'ZPSH' ELSE starts_with(lower(materialfamily), 'rack') OR starts_with(lower(materialfamily), 'cabinet') OR rackmapped = 'Y' END AS rack,
-            CASE WHEN new THEN itemcategory = 'ZSBE' ELSE itemcategory = 'ZRBH' END AS bundled,
-            CASE WHEN new THEN materialgroup = 'SERVER' ELSE producttype = 'UN' END AS server
-          FROM l JOIN f USING (l_orderkey) WHERE l_linenumber = 1)
-        SELECT l_orderkey, client, materialnum, itemcategory, CASE
-          WHEN CASE WHEN new THEN itemcategory = 'ZWSE' ELSE itemcategory IN ('ZESW', 'ZESY') END THEN 'E-SW'
-          WHEN CASE WHEN new THEN starts_with(itemcategory, 'ZF') OR itemcategory IN ('ZDDL', 'ZSLS', 'ZKSL') ELSE itemcategory IN ('ZTDI', 'ZSAS') END THEN 'Services'
-          WHEN new AND itemcategory IN ('ZDDB','ZIWB','ZKWB','ZWSB','ZIMS','ZKMS','ZSMS') THEN 'OtherNonPhysical'
-          WHEN rack AND fe AND several THEN 'RackSolution'
-          WHEN rack AND (several OR (new AND bundled)) THEN 'ConfiguredRack'
-          WHEN fe AND (several OR (server AND bundled)) THEN 'ComplexCto'
-          WHEN several OR (server AND bundled) THEN 'Cto'
-          WHEN server OR productline IN ('4A', '4F') THEN 'Bto'
-          WHEN CASE WHEN new THEN productline IN ('34','35','3P','6H','I5','I6','I7','L1','L3','N6','NT','VL','VN','WB','FA','NC','3W') ELSE plant IN ('6303', '01KA') END THEN 'PpsAruba'
-          ELSE 'Pps' END AS hlicomplexity FROM r""",
+    """WITH f AS (SELECT l_orderkey, count(*) AS n, bool_or(l_returnflag = 'R') AS ret, bool_or(l_quantity >= 45 AND l_discount > 0.05) AS bulk
+         FROM lineitem GROUP BY 1)
+       SELECT l_orderkey, CASE WHEN l_returnflag = 'R' AND ret AND n > 3 THEN 'returned' WHEN l_quantity >= 40 OR (n > 5 AND bulk) THEN 'bulky'
+         WHEN l_extendedprice > 50000 AND NOT ret THEN 'costly' WHEN n = 1 THEN 'single' ELSE 'plain' END AS shape
+       FROM lineitem JOIN f USING (l_orderkey) WHERE l_linenumber = 1""",
 )
 def order_complexity(spark, data):
-    c = F.col
-    kinds = ["ZWSE", "ZFXX", "ZPSH", "ZIFY", "ZSBE", "ZRBH", "ZTDI", "ZDDB", "ZXXX"]
-    part = table(spark, data, "part").withColumnRenamed("p_partkey", "l_partkey")
-    attributed = (
-        table(spark, data, "lineitem")
-        .join(part, "l_partkey")
-        .select(
-            "l_orderkey",
-            "l_linenumber",
-            F.when(c("l_linestatus") == "O", "300").otherwise("010").alias("client"),
-            F.element_at(F.array(*[F.lit(k) for k in kinds]), c("p_size") % 9 + 1).alias("itemcategory"),
-            F.when(c("p_type") == "ECONOMY", "HA1").otherwise("XX1").alias("materialnum"),
-            F.when(c("p_type") == "PROMO", "SERVER").otherwise("_").alias("materialgroup"),
-            F.when(c("p_name").startswith("red"), "Rack 42U").otherwise("_").alias("materialfamily"),
-            F.lit("_").alias("rackmapped"),
-            F.when(c("l_suppkey") == 7, "6303").otherwise("X").alias("plant"),
-            F.when(c("p_brand") == "Brand#3", "4A").when(c("p_brand") == "Brand#4", "34").otherwise("X").alias("productline"),
-            F.when(c("p_type") == "STANDARD", "UN").otherwise("_").alias("producttype"),
-        )
-    )
-    df = op.order_complexity(attributed.filter("l_linenumber = 1"), attributed, ["l_orderkey"])
-    return df.select("l_orderkey", "client", "materialnum", "itemcategory", "hlicomplexity")
+    """The first line of each order, labelled by rules over itself and facts about all lines."""
+    lines = table(spark, data, "lineitem")
+    facts = {"has_return": "l_returnflag = 'R'", "has_bulk": "l_quantity >= 45 AND l_discount > 0.05"}
+    df = op.classify_group(lines.filter("l_linenumber = 1"), lines, ["l_orderkey"], facts, SHAPES, "plain", "shape")
+    return df.select("l_orderkey", "shape")
 
 
 @query(

@@ -14,34 +14,30 @@ def orders(spark, data):
     return table(spark, data, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_orderstatus")
 
 
-def late_orders(spark, data):
-    """Orders of some customers only, so that outer joins have gaps on the left."""
-    return orders(spark, data).filter("o_orderstatus = 'P'")
+def spaced_customers(spark, data):
+    """All customers under twice their key, so that either side has rows without a partner."""
+    df = table(spark, data, "customer")
+    return df.select((F.col("c_custkey") * 2).alias("custkey"), "c_name", "c_nationkey")
 
 
-def rich_customers(spark, data):
-    df = table(spark, data, "customer").filter("c_acctbal > 5000")
-    return df.select(F.col("c_custkey").alias("custkey"), "c_name", "c_nationkey")
-
-
-RICH = "(SELECT c_custkey AS custkey, c_name, c_nationkey FROM customer WHERE c_acctbal > 5000) c"
-LATE = "(SELECT o_custkey AS custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P') o"
+SPACED = "(SELECT c_custkey * 2 AS custkey, c_name, c_nationkey FROM customer) c"
+ORDERS = "(SELECT o_custkey AS custkey, o_orderkey, o_orderstatus FROM orders) o"
 
 
 def _join(how):
     def run(spark, data):
-        return op.join(rich_customers(spark, data), late_orders(spark, data), ["custkey"], how)
+        return op.join(spaced_customers(spark, data), orders(spark, data), ["custkey"], how)
 
     return run
 
 
 for _how, _sql in {
-    "inner": f"SELECT custkey, c_name, c_nationkey, o_orderkey, o_orderstatus FROM {RICH} JOIN {LATE} USING (custkey)",
-    "left": f"SELECT custkey, c_name, c_nationkey, o_orderkey, o_orderstatus FROM {RICH} LEFT JOIN {LATE} USING (custkey)",
-    "right": f"SELECT o.custkey, c_name, c_nationkey, o_orderkey, o_orderstatus FROM {RICH} RIGHT JOIN {LATE} ON c.custkey = o.custkey",
-    "outer": f"SELECT coalesce(c.custkey, o.custkey) AS custkey, c_name, c_nationkey, o_orderkey, o_orderstatus FROM {RICH} FULL JOIN {LATE} ON c.custkey = o.custkey",
-    "semi": f"SELECT custkey, c_name, c_nationkey FROM {RICH} WHERE custkey IN (SELECT custkey FROM {LATE})",
-    "anti": f"SELECT custkey, c_name, c_nationkey FROM {RICH} WHERE custkey NOT IN (SELECT custkey FROM {LATE})",
+    "inner": f"SELECT custkey, c_name, c_nationkey, o_orderkey, o_orderstatus FROM {SPACED} JOIN {ORDERS} USING (custkey)",
+    "left": f"SELECT custkey, c_name, c_nationkey, o_orderkey, o_orderstatus FROM {SPACED} LEFT JOIN {ORDERS} USING (custkey)",
+    "right": f"SELECT o.custkey, c_name, c_nationkey, o_orderkey, o_orderstatus FROM {SPACED} RIGHT JOIN {ORDERS} ON c.custkey = o.custkey",
+    "outer": f"SELECT coalesce(c.custkey, o.custkey) AS custkey, c_name, c_nationkey, o_orderkey, o_orderstatus FROM {SPACED} FULL JOIN {ORDERS} ON c.custkey = o.custkey",
+    "semi": f"SELECT custkey, c_name, c_nationkey FROM {SPACED} WHERE custkey IN (SELECT custkey FROM {ORDERS})",
+    "anti": f"SELECT custkey, c_name, c_nationkey FROM {SPACED} WHERE custkey NOT IN (SELECT custkey FROM {ORDERS})",
 }.items():
     query(f"join_{_how}", _sql)(_join(_how))
 

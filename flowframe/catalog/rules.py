@@ -67,17 +67,16 @@ def rule_error_rows(spark, data):
 
 
 def add_region(context, row):
-    row["region"] = context["regions"].get(row["n_regionkey"], "none")
+    row["region"] = row["r_name"] or context["missing"]
     return row
 
 
 @query("rule_dependencies", "SELECT n_nationkey, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey")
 def rule_dependencies(spark, data):
-    """A small lookup reaches the rules through their context; a large one belongs in a join."""
-    regions = op.lookup_dict(table(spark, data, "region"), "r_regionkey", "r_name")
-    df = op.apply_rules(
-        table(spark, data, "nation"), [add_region], "n_nationkey int, region string", {"regions": regions}
-    )
+    """A lookup is joined to the rows; constants reach the rules through their context."""
+    region = table(spark, data, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    joined = table(spark, data, "nation").join(region, "n_regionkey", "left")
+    df = op.apply_rules(joined, [add_region], "n_nationkey int, region string", {"missing": "none"})
     return df.select("n_nationkey", "region")
 
 

@@ -197,5 +197,5 @@ def per_table_counts(spark, data):
 def compact_files(spark, data):
     source, target = scratch_dir(spark, "small"), scratch_dir(spark, "compact")
     table(spark, data, "events").select("event_id", "event_type").repartition(40).write.parquet(source)
-    sinks.compact_files(spark, source, target, files=4)
+    sinks.compact_files(spark, source, target, file_bytes=1 << 20)
     return spark.read.parquet(target)

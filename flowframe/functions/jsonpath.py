@@ -45,6 +45,19 @@ def field_text(value: Column, name: str) -> Column:
     return F.try_variant_get(value, step(name), "string")
 
 
+def nesting(values: Column) -> Column:
+    """How deep brackets are nested in the JSON text of a list of values, the list's own included."""
+    strings_and_the_rest = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\[\]{}]'
+    brackets = F.regexp_replace(F.coalesce(F.to_json(values), F.lit("[]")), strings_and_the_rest, "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(1).alias("most"))
+
+    def count(acc: Column, bracket: Column) -> Column:
+        now = acc["now"] + F.when(bracket.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    return F.reduce(F.filter(F.split(brackets, ""), lambda b: b != ""), start, count, lambda acc: acc["most"])
+
+
 class Matches:
     """The list of values a path matches in one document."""
 
@@ -118,12 +131,8 @@ class Matches:
 
         return self._expand(keep)
 
-    def levels(self, depth: int, inside: Callable[[Column], Column], hit: Callable[[Column], Column]) -> Matches:
-        """Walk down level by level, gathering `hit` of each level's nodes.
-
-        The walk ends at the document's own depth. A document deeper than `depth` fails the
-        query rather than losing matches.
-        """
+    def levels(self, inside: Callable[[Column], Column], hit: Callable[[Column], Column]) -> Matches:
+        """Walk down level by level, as deep as the document is, gathering `hit` of each level's nodes."""
         start = F.struct(self.values.alias("frontier"), no_matches().alias("found"))
 
         def descend(acc: Column, _: Column) -> Column:
@@ -133,14 +142,9 @@ class Matches:
                 F.concat(acc["found"], F.flatten(F.transform(frontier, hit))).alias("found"),
             )
 
-        def finish(acc: Column) -> Column:
-            return F.when(F.size(acc["frontier"]) == 0, acc["found"]).otherwise(
-                F.raise_error(F.lit(f"document is nested deeper than {depth} levels")).cast(VARIANTS)
-            )
-
-        return Matches(F.reduce(F.sequence(F.lit(1), F.lit(depth)), start, descend, finish))
+        return Matches(F.reduce(F.sequence(F.lit(1), nesting(self.values)), start, descend, lambda acc: acc["found"]))
 
-    def deep_field(self, name: str, depth: int = 16) -> Matches:
+    def deep_field(self, name: str) -> Matches:
         """Fields of that name at any depth; a matched value is not searched further."""
 
         def inside(v: Column) -> Column:
@@ -150,14 +154,14 @@ class Matches:
         def hit(v: Column) -> Column:
             return F.filter(F.array(field_of(v, name)), lambda x: x.isNotNull())
 
-        return self.levels(depth, inside, hit)
+        return self.levels(inside, hit)
 
-    def deep_any(self, depth: int = 16) -> Matches:
+    def deep_any(self) -> Matches:
         """The value itself and every field value at any depth."""
-        deep = self.levels(depth, lambda v: F.concat(elements(v), members(v)), members)
+        deep = self.levels(lambda v: F.concat(elements(v), members(v)), members)
         return Matches(F.concat(self.values, deep.values))
 
-    def deep_where(self, predicate: Callable[[Column], Column], depth: int = 16) -> Matches:
+    def deep_where(self, predicate: Callable[[Column], Column]) -> Matches:
         """Objects at any depth for which the predicate is true."""
 
         def hit(v: Column) -> Column:
@@ -166,7 +170,7 @@ class Matches:
                 no_matches()
             )
 
-        return self.levels(depth, lambda v: F.concat(elements(v), members(v)), hit)
+        return self.levels(lambda v: F.concat(elements(v), members(v)), hit)
 
     def first(self) -> Column:
         """Text of the first match, null without one."""

@@ -58,9 +58,9 @@ def parse_timestamp_any(text: Column, pattern: str, zone: str = "UTC") -> Column
     """Struct of the UTC text form (`ts`) and an error text (`error`, empty when parsed)."""
     parsed = utc_text(instant_of(text, pattern, zone))
     message = F.concat(
-        F.lit("DATE FORMAT ERROR "),
+        F.lit("no timestamp in "),
         F.coalesce(text, F.lit("null")),
-        F.lit(f" cannot be formatted with pattern {pattern} and timezone {zone}"),
+        F.lit(f" (pattern {pattern}, zone {zone})"),
     )
     return F.struct(
         parsed.alias("ts"), F.when(parsed.isNull(), message).otherwise(F.lit("")).alias("error")

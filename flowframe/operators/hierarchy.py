@@ -20,7 +20,8 @@ def hierarchy_root(
     """For each item, the root its parent pointers lead to within its group.
 
     An item whose parent is `root_marker` is its own root. A pointer to an item that does not
-    exist leads to `n/a`, and one that runs into a circle to `cycle`.
+    exist leads to `n/a`, and one that runs into a circle to `cycle`. Every row gets a root: null
+    groups are one group, and a row without an item leads to `n/a`.
 
     Pointers double in every round, so a chain of length d takes log2(d) joins, each keyed by
     (group, item): a large group spreads over all reducers. As long as an open item is on no
@@ -50,7 +51,7 @@ def hierarchy_root(
         waiting = state.filter("__root IS NULL")
         on = F.col("__next") == F.col("__to")
         for i, g in enumerate(group):
-            on = on & (F.col(g) == F.col(f"__g{i}"))
+            on = on & F.col(g).eqNullSafe(F.col(f"__g{i}"))
         moved = waiting.join(target, on, "left").select(
             *keys,
             F.col("__jump").alias("__next"),
@@ -68,5 +69,6 @@ def hierarchy_root(
     )
     on = F.col(quoted(item)).cast("string") == F.col("__to")
     for i, g in enumerate(group):
-        on = on & (F.col(g) == F.col(f"__g{i}"))
-    return df.join(roots, on).select(*[F.col(quoted(c)) for c in df.columns], out)
+        on = on & F.col(quoted(g)).eqNullSafe(F.col(f"__g{i}"))
+    found = df.join(roots.withColumnRenamed(out, "__root"), on, "left")
+    return found.select(*[F.col(quoted(c)) for c in df.columns], F.coalesce("__root", F.lit(ORPHAN)).alias(out))

@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.functions.bizdays import add_workdays, parse_day
-from flowframe.operators.orders import decide
 from flowframe.operators.relational import join
 from flowframe.operators.windows import ordered_neighbours
 
-# fixed values
-HUB_FLOWS = [
-    "BridgeFulfilledHub",
-    "BridgeICFulfilledHub",
-    "BridgeICHub",
-    "ICFulfilledHub",
-    "BridgeHub",
-    "ICHub",
-    "Hub",
-]
-REGION_OF_CLIENT = {"010": "EMEA", "007": "AMS", "016": "APJ"}
-FLAG_CODES = {"300": ["BBLK"], "010": ["1SLT", "2SLT"], "007": ["1SLT", "2SLT"], "016": ["1SLT", "2SLT"]}
-HUB_PLANT = "2C1A"
-
-
 def status_intervals(
     status: DataFrame,
     keys: Sequence[str],
@@ -101,7 +85,7 @@ def active_min_sequence(
 
 
 def status_flag_intervals(
-    intervals: DataFrame, client: str = "client", codes: Mapping[str, Sequence[str]] = FLAG_CODES, scope: str = "statustype"
+    intervals: DataFrame, codes: Mapping[str, Sequence[str]], client: str = "client", scope: str = "statustype"
 ) -> DataFrame:
     """Header intervals of the flag codes of each source system."""
     wanted = F.lit(False)
@@ -135,88 +119,20 @@ def milestone_chain(df: DataFrame, keys: Sequence[str], milestones: Sequence[tup
     return rows.select(*keys, F.explode(chained).alias("m")).select(*keys, "m.*")
 
 
-def source_region(client: Column, plant: Column, plants: Sequence[str], plant_region: str = "EMEA") -> Column:
-    """Region of an order: by sales plant in the newer system, by client in the older ones."""
-    rules = [(plant_region, (client == "300") & plant.isin(list(plants)))]
-    rules += [(region, client == name) for name, region in REGION_OF_CLIENT.items()]
-    return decide(rules)
-
-
-def latest_purchase(purchases: Column, kind: str) -> Column:
-    """Plant of the latest purchase of a type that is not deleted; empty without one."""
-    mine = F.filter(
-        purchases,
-        lambda p: (F.coalesce(p["deletionindicator"], F.lit("")) != "X") & (p["supplierpotype"] == kind),
-    )
-    newest = F.array_max(F.transform(mine, lambda p: F.struct(p["serial"].alias("serial"), p["factoryplant"].alias("plant"))))
-    return F.coalesce(newest["plant"], F.lit(""))
-
-
-def has_purchase(purchases: Column, kind: str) -> Column:
-    return F.exists(
-        purchases,
-        lambda p: (F.coalesce(p["deletionindicator"], F.lit("")) != "X") & (p["supplierpotype"] == kind),
-    )
-
-
-def flow_type(sets: Mapping[str, Mapping[str, Sequence[str]] | Sequence[str]]) -> Column:
-    """Flow type of an order line from ordered rules and lookup sets.
-
-    `sets` names the item categories `services`, `software`, `other`, and per client
-    `bridge` (sold-to parties), `linked` (suppliers), `reverse` (shipping points). Columns
-    read: client, itemcategory, ordertype, plant, compldelflag, distributionchannel, dccode,
-    soldtopartyid, supplier, shippingpoint, purchase_list.
-    """
-    c = F.col
-
-    def member(value: Column, name: str) -> Column:
-        hit = F.lit(False)
-        for client, listed in (sets.get(name) or {}).items():
-            hit = hit | ((c("client") == client) & value.isin(list(listed)))
-        return hit
-
-    newer, older = c("client") == "300", c("client").isin(list(REGION_OF_CLIENT))
-    category = c("itemcategory")
-    plant, consolidation = latest_purchase(c("purchase_list"), "NB"), latest_purchase(c("purchase_list"), "UB")
-    reverse_order = c("ordertype") == "ZICS"
-    # a hub is used unless the code says direct; a missing code is not direct either
-    direct = F.coalesce(c("dccode") == "00", F.lit(False))
-    internal = (c("ordertype") == "ZI1O") & (c("distributionchannel") == "IT")
-    bridge, linked = member(c("soldtopartyid"), "bridge"), member(c("supplier"), "linked")
-    reverse = member(c("shippingpoint"), "reverse")
-    own_plant = c("plant") == plant
-    rules = [
-        ("Services", (newer | older) & category.isin(list(sets["services"]))),
-        ("E-SW", (newer | older) & category.isin(list(sets["software"]))),
-        ("OtherNonPhysical", (newer | older) & category.isin(list(sets["other"]))),
-        ("NotAssigned", newer & ~has_purchase(c("purchase_list"), "NB")),
-        ("BridgeFulfilledHub", newer & reverse_order & (plant == HUB_PLANT)),
-        ("BridgeFulfilledDirect", newer & reverse_order),
-        ("BridgeICHub", newer & (plant == HUB_PLANT)),
-        ("BridgeHub", newer & own_plant & (c("compldelflag") == "X")),
-        ("Hub", newer & (consolidation == HUB_PLANT)),
-        ("BridgeDirect", newer & own_plant),
-        ("Direct", newer),
-        ("ICLinked", older & internal & bridge & linked),
-        ("BridgeFulfilledHub", older & internal & bridge & ~direct),
-        ("BridgeFulfilledDirect", older & internal & bridge & direct),
-        ("BridgeICFulfilledHub", older & internal & c("soldtopartyid").isin(list(sets.get("hub_parties", [])))),
-        ("ICFulfilledHub", older & internal & ~direct),
-        ("ICFulfilledDirect", older & internal & direct),
-        ("ICHub", older & linked & ~direct),
-        ("ICDirect", older & linked & direct),
-        ("BridgeHub", older & reverse & ~direct),
-        ("BridgeDirect", older & reverse & direct),
-        ("Hub", older & ~direct),
-        ("Direct", older & direct),
-    ]
-    return decide(rules)
+def latest_entry(entries: Column, where: Callable[[Column], Column], order: str, value: str) -> Column:
+    """`value` of the entry with the greatest `order` among those of a list that satisfy `where`;
+    empty without one."""
+    newest = F.array_max(F.transform(F.filter(entries, where), lambda p: F.struct(p[order].alias("o"), p[value].alias("v"))))
+    return F.coalesce(newest["v"], F.lit(""))
 
 
 def schedule_commit_dates(
     lines: DataFrame,
     keys: Sequence[str],
     today: str,
+    hub_flows: Sequence[str],
+    newer: Sequence[str],
+    older: Sequence[str],
     client: str = "client",
     flow: str = "flowtype",
     quantity: str = "schedulelineconfirmedqty",
@@ -231,15 +147,17 @@ def schedule_commit_dates(
     date (two working days later through a hub); an unconfirmed one to nine (hub) or seven
     working days after its own change, or after `today` when it is the latest. In the newer
     system a line confirmed no later than the availability check counts nine days through a
-    hub and otherwise has no date of its own: it keeps the date before it.
+    hub and otherwise has no date of its own: it keeps the date before it. Lines of systems that
+    are neither in `newer` nor in `older` have no date and are left out.
     """
     c = F.col
     order = [serial, line]
     month = F.substring(serial, 1, 6)
 
-    hub = F.coalesce(c(flow).isin(HUB_FLOWS), F.lit(False))
+    lines = lines.filter(c(client).isin([*newer, *older]))
+    hub = F.coalesce(c(flow).isin(list(hub_flows)), F.lit(False))
     confirmed = F.coalesce(c(quantity).cast("string").try_cast("double"), F.lit(0.0)) >= 1
-    checked = (c(client) == "300") & (c(serial) <= F.coalesce(c(check_serial), F.lit("")))
+    checked = c(client).isin(list(newer)) & (c(serial) <= F.coalesce(c(check_serial), F.lit("")))
     rows = lines.select(
         *keys,
         line,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from flowframe.operators.columns import quoted
 from flowframe.operators.events import event_serial, first_seen_value
 from flowframe.operators.nesting import nested_lists
-from flowframe.operators.relational import broadcast_if_small, join, join_all, role_pivot
+from flowframe.operators.relational import join, join_all, role_pivot
 
 
 # --- event tables ----------------------------------------------------------------------
@@ -181,19 +181,24 @@ def assemble_delivery(
 # --- classification --------------------------------------------------------------------
 
 
-def decide(rules: Sequence[tuple[str, Column]], default: str | None = None) -> Column:
-    """The label of the first rule whose condition is true."""
+def decide(rules: Sequence[tuple[str, Column | str]], default: str | None = None) -> Column:
+    """The label of the first rule whose condition is true.
+
+    Rules are the caller's data: pairs of a label and a condition, as a column or as SQL text.
+    """
     chain: Column | None = None
-    for label, cond in rules:
+    for label, given in rules:
+        cond = F.expr(given) if isinstance(given, str) else given
         chain = F.when(cond, F.lit(label)) if chain is None else chain.when(cond, F.lit(label))
     if chain is None:
         return F.lit(default)
     return chain.otherwise(F.lit(default))
 
 
-def group_facts(lines: DataFrame, keys: Sequence[str], facts: Mapping[str, Column], count: str = "line_count") -> DataFrame:
+def group_facts(lines: DataFrame, keys: Sequence[str], facts: Mapping[str, Column | str], count: str = "line_count") -> DataFrame:
     """Per group: its number of lines, and for each fact whether any line satisfies it."""
-    made = [F.coalesce(F.bool_or(c), F.lit(False)).alias(n) for n, c in facts.items()]
+    conds = {n: F.expr(c) if isinstance(c, str) else c for n, c in facts.items()}
+    made = [F.coalesce(F.bool_or(c), F.lit(False)).alias(n) for n, c in conds.items()]
     return lines.groupBy(*keys).agg(F.count("*").alias(count), *made)
 
 
@@ -201,8 +206,8 @@ def classify_group(
     roots: DataFrame,
     lines: DataFrame,
     keys: Sequence[str],
-    facts: Mapping[str, Column],
-    rules: Sequence[tuple[str, Column]],
+    facts: Mapping[str, Column | str],
+    rules: Sequence[tuple[str, Column | str]],
     default: str,
     out: str,
 ) -> DataFrame:
@@ -215,87 +220,15 @@ def classify_group(
     return told.withColumn(out, decide(rules, default)).drop("line_count", *facts)
 
 
-# fixed values of the order classification
-NEW_CLIENTS = ["300", "800"]
-SOFTWARE = {"new": ["ZWSE"], "old": ["ZESW", "ZESY"]}
-SERVICES = {"new": ["ZDDL", "ZSLS", "ZKSL"], "old": ["ZTDI", "ZSAS"]}
-NON_PHYSICAL = ["ZDDB", "ZIWB", "ZKWB", "ZWSB", "ZIMS", "ZKMS", "ZSMS"]
-FACTORY_EXPRESS = ["ZIFY", "ZIFX", "ZDDX", "ZDDY", "ZKFX", "ZKFY"]
-NOT_FACTORY_EXPRESS = ["ZTDI", "ZSAS", "ZESY", "ZESW"]
-RACK = ["ZPSH"]
-BUNDLED = {"new": "ZSBE", "old": "ZRBH"}
-NETWORK_LINES = ["34", "35", "3P", "6H", "I5", "I6", "I7", "L1", "L3", "N6", "NT", "VL", "VN", "WB", "FA", "NC", "3W"]
-NETWORK_PLANTS = ["6303", "01KA"]
-SERVER_LINES = ["4A", "4F"]
-
-
-def order_complexity_rules(material_prefixes: Sequence[str] = ("HA",)) -> tuple[dict[str, Column], list[tuple[str, Column]]]:
-    """Line facts and the ordered rules of the order classification.
-
-    Columns read: client, itemcategory, materialnum, materialgroup, materialfamily,
-    rackmapped, plant, productline, producttype.
-    """
-    c = F.col
-    new = c("client").isin(NEW_CLIENTS)
-
-    def by_client(if_new: Column, if_old: Column) -> Column:
-        return F.when(new, if_new).otherwise(if_old)
-
-    category = c("itemcategory")
-    prefixed = F.lit(False)
-    for prefix in material_prefixes:
-        prefixed = prefixed | c("materialnum").startswith(prefix)
-    express = by_client(category.isin(FACTORY_EXPRESS), ~category.isin(NOT_FACTORY_EXPRESS) & prefixed)
-
-    software = by_client(category.isin(SOFTWARE["new"]), category.isin(SOFTWARE["old"]))
-    services = by_client(
-        category.startswith("ZF") | category.isin(SERVICES["new"]), category.isin(SERVICES["old"])
-    )
-    family = F.lower("materialfamily")
-    rack = by_client(
-        category.isin(RACK),
-        family.startswith("rack") | family.startswith("cabinet") | (c("rackmapped") == "Y"),
-    )
-    bundled = by_client(category == BUNDLED["new"], category == BUNDLED["old"])
-    server = by_client(c("materialgroup") == "SERVER", c("producttype") == "UN")
-    network = by_client(c("productline").isin(NETWORK_LINES), c("plant").isin(NETWORK_PLANTS))
-    several = c("line_count") > 1
-    configured = several | (server & bundled)
-    rules = [
-        ("E-SW", software),
-        ("Services", services),
-        ("OtherNonPhysical", new & category.isin(NON_PHYSICAL)),
-        ("RackSolution", rack & c("has_express") & several),
-        ("ConfiguredRack", rack & (several | (new & bundled))),
-        ("ComplexCto", c("has_express") & configured),
-        ("Cto", configured),
-        ("Bto", server | c("productline").isin(SERVER_LINES)),
-        ("PpsAruba", network),
-    ]
-    return {"has_express": express}, rules
-
-
-def order_complexity(
-    roots: DataFrame, lines: DataFrame, keys: Sequence[str], material_prefixes: Sequence[str] = ("HA",), out: str = "hlicomplexity"
-) -> DataFrame:
-    """The build complexity of each root line, from itself and the lines under it."""
-    facts, rules = order_complexity_rules(material_prefixes)
-    return classify_group(roots, lines, keys, facts, rules, "Pps", out)
-
-
 def lookup_enrich(
     df: DataFrame,
     lookups: Sequence[tuple[DataFrame, Sequence[str]]],
     missing: str = "_",
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Left joins to lookup tables; text that is missing becomes `missing`.
 
-    With `max_broadcast_rows` each lookup is measured first and broadcast when it is within
-    that bound; otherwise adaptive execution decides from the sizes it sees.
+    Adaptive execution broadcasts a lookup where its measured bytes allow.
     """
-    if max_broadcast_rows is not None:
-        lookups = [(broadcast_if_small(t, max_broadcast_rows), keys) for t, keys in lookups]
     return join_all(df, lookups, "left").na.fill(missing)
 
 

@@ -23,14 +23,6 @@ def join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inn
     return left.join(right, list(cols), how)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """The frame with a broadcast hint when it has at most `max_rows` rows, else as it is.
-
-    The size is checked by reading no more than one row beyond the bound.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def join_on(left: DataFrame, right: DataFrame, pairs: Iterable[tuple[str, str]], how: str = "left") -> DataFrame:
     """Equi-join on differently named columns; `pairs` is (left column, right column)."""
     return left.join(right, all_of(left[a] == right[b] for a, b in pairs), how)
@@ -149,9 +141,9 @@ def sort_key(key: str) -> Column:
 
 
 def sort_by_json_field(df: DataFrame, value: str, path: str) -> DataFrame:
-    """Order messages by a whole number inside their JSON text; others are left out."""
-    key = F.expr(f"try_cast(get_json_object({quoted(value)}, '{path}') AS BIGINT)")
-    return df.withColumn("sort_key", key).filter("sort_key IS NOT NULL").orderBy("sort_key")
+    """Order messages by a whole number inside their JSON text, ties by the text; others are left out."""
+    key = F.get_json_object(F.col(quoted(value)), path).try_cast("bigint")
+    return df.withColumn("sort_key", key).filter("sort_key IS NOT NULL").orderBy("sort_key", quoted(value))
 
 
 def limit(df: DataFrame, rows: int) -> DataFrame:

@@ -30,7 +30,8 @@ def apply_rules(
     """Run each row through the functions in order.
 
     A row whose rule fails keeps the values it had before the failing rule, and the failure
-    is told in `error_col`; the other rows go on.
+    is told in `error_col`; the other rows go on. A value of the wrong type becomes null and is
+    told there as well.
     """
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     output = T.StructType([*declared.fields, T.StructField(error_col, T.StringType())])
@@ -52,11 +53,28 @@ def apply_rules(
                         error = f"{getattr(rule, '__name__', 'rule')}: {type(ex).__name__}: {ex}"
                         break
                 done.append({**{n: row.get(n) for n in names}, error_col: error})
-            yield pa.RecordBatch.from_pylist(done, schema=arrow)
+            yield typed_batch(done, arrow, error_col)
 
     return df.mapInArrow(run, output)
 
 
+def typed_batch(rows: list[dict], schema: pa.Schema, error_col: str) -> pa.RecordBatch:
+    """The rows as a batch; values that don't fit their column become null and are told as errors."""
+    try:
+        return pa.RecordBatch.from_pylist(rows, schema=schema)
+    except (pa.ArrowInvalid, pa.ArrowTypeError, OverflowError):
+        pass
+    for row in rows:
+        for field in schema:
+            try:
+                pa.array([row[field.name]], field.type)
+            except (pa.ArrowInvalid, pa.ArrowTypeError, OverflowError) as ex:
+                told = f"{field.name}: {type(ex).__name__}: {ex}"
+                row[field.name] = None
+                row[error_col] = f"{row[error_col]}; {told}" if row[error_col] else told
+    return pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
 def load_functions(source: str, names: Sequence[str], encoded: bool = False) -> list[Rule]:
     """Named functions of a script given as text, or as base64 text."""
     text = base64.b64decode(source).decode("utf-8") if encoded else source
@@ -73,13 +91,3 @@ def add_dependencies(df: DataFrame, paths: Sequence[str]) -> None:
     for p in paths:
         df.sparkSession.sparkContext.addPyFile(p)
 
-
-def lookup_dict(df: DataFrame, key: str, value: str, max_rows: int = 100_000) -> dict:
-    """A small lookup as a dictionary for the context of rules.
-
-    A table with more than `max_rows` rows is refused: join it to the rows before the rules.
-    """
-    rows = df.select(key, value).take(max_rows + 1)
-    if len(rows) > max_rows:
-        raise ValueError(f"lookup has more than {max_rows} rows; join it instead")
-    return {r[key]: r[value] for r in rows}

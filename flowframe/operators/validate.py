@@ -24,11 +24,12 @@ def validate_fields(df: DataFrame, rules: Mapping[str, str], ids: Sequence[str])
 
     Each leaf field needs a rule under its name, `parent.child` inside a list, and its value
     must contain a match of the rule's pattern. The fields are known from the schema, so the
-    rules are part of the expression and the whole check is one pass without a join. Missing
+    rules are part of the expression and the whole check is one pass without a join. Elements of
+    a list of plain values are checked under the list's name. Missing
     (null) values are not checked.
     """
     found = [v for f in df.schema.fields for v in violations(F.col(quoted(f.name)), f.dataType, f.name, rules)]
-    every = F.concat(*found) if len(found) > 1 else found[0]
+    every = F.concat(*found) if found else no_violations()
     return df.select(*ids, F.explode(every).alias("v")).select(*ids, "v.*")
 
 
@@ -38,7 +39,9 @@ def violations(value: Column, kind: T.DataType, name: str, rules: Mapping[str, s
         return [v for f in kind.fields for v in violations(value[f.name], f.dataType, f"{name}.{f.name}", rules)]
     if isinstance(kind, T.ArrayType):
         if not isinstance(kind.elementType, T.StructType):
-            return []
+            checks = len(violations(F.lit(None), kind.elementType, name, rules))
+            inside = [F.transform(value, element_check(kind.elementType, i, name, rules)) for i in range(checks)]
+            return [F.coalesce(F.flatten(x), no_violations()) for x in inside]
         out = []
         for f in kind.elementType.fields:
             for i in range(len(violations(F.lit(None), f.dataType, "", rules))):
@@ -55,5 +58,9 @@ def child_check(child: T.StructField, i: int, name: str, rules: Mapping[str, str
     return lambda x: violations(x[child.name], child.dataType, name, rules)[i]
 
 
+def element_check(kind: T.DataType, i: int, name: str, rules: Mapping[str, str]):
+    return lambda x: violations(x, kind, name, rules)[i]
+
+
 def no_violations() -> Column:
     return F.array().cast("array<struct<field:string,value:string,violation:string>>")

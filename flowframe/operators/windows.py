@@ -1,9 +1,8 @@
 """Ordered neighbours within a key that stay spread over tasks.
 
-A plain window puts every row of a key into one task, which suits all keys but the very large
-ones. Those are cut into buckets that follow the order (a month of a timestamp, a block of a
-number): the window runs per bucket, and an aggregate of one row per bucket carries values
-over the bucket borders.
+Keys are cut into buckets that follow the order (a month of a timestamp, a block of a number):
+the window runs per bucket, and an aggregate of one row per bucket carries values over the
+bucket borders. So the rows of a large key are never in one task, and all keys take one path.
 """
 
 from __future__ import annotations
@@ -46,32 +45,19 @@ def ordered_neighbours(
     following: Mapping[str, str] | None = None,
     carried: Mapping[str, str] | None = None,
     highest: Mapping[str, str] | None = None,
-    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add columns {new name: column} taken from other rows of the key.
 
     `following` is the value of the next row in order, null on the last one. `carried` is the
     row's own value or the last one before it that is not null. `highest` is the maximum over
-    the key. `bucket` must not decrease along `order`; it is used for keys with more than
-    `hot_rows` rows. Null keys are equal.
+    the key. `bucket` must not decrease along `order`. Rows that are equal in `order` follow each
+    other by the values that are handed on. Null keys are equal.
     """
-    want = Wanted(tuple(order), dict(following or {}), dict(carried or {}), dict(highest or {}))
+    follow, carry = dict(following or {}), dict(carried or {})
+    ties = [c for c in dict.fromkeys([*follow.values(), *carry.values()]) if c not in order]
+    want = Wanted((*order, *ties), follow, carry, dict(highest or {}))
     rows = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys]))
-    # at most one key per `hot_rows` rows of the table, so small enough to broadcast
-    hot = F.broadcast(rows.groupBy(KEY).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select(KEY))
-    usual = plain_neighbours(rows.join(hot, KEY, "left_anti"), want)
-    large = bucketed_neighbours(rows.join(hot, KEY, "left_semi"), bucket, want)
-    columns = [*df.columns, *want.names]
-    return usual.select(*columns).unionByName(large.select(*columns))
-
-
-def plain_neighbours(rows: DataFrame, want: Wanted) -> DataFrame:
-    ordered = W.partitionBy(KEY).orderBy(*want.order)
-    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    made = {n: F.last(c, ignorenulls=True).over(so_far) for n, c in want.carried.items()}
-    made.update({n: F.lead(c).over(ordered) for n, c in want.following.items()})
-    made.update({n: F.max(c).over(W.partitionBy(KEY)) for n, c in want.highest.items()})
-    return rows.withColumns(made)
+    return bucketed_neighbours(rows, bucket, want).select(*df.columns, *want.names)
 
 
 def bucketed_neighbours(rows: DataFrame, bucket: Column, want: Wanted) -> DataFrame:

@@ -44,8 +44,9 @@ def read_jdbc(
     return filter_rows(df, where)
 
 
-def bus_options(servers: str, topics: str, start: str = "latest", rate: int | None = None, group: str | None = None):
-    """Options of the Kafka source for a bounded or streaming read."""
+def bus_options(servers: str, topics: str, start: str = "earliest", rate: int | None = None, group: str | None = None):
+    """Options of the Kafka source. A bounded read has to start at the earliest offsets, the default;
+    a stream may start at the latest."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topics,

@@ -88,14 +88,17 @@ def read_month_partitions(
 ) -> DataFrame:
     """Months start..till of a directory laid out as `yearmonth=YYYYMM`.
 
-    One read: the month range is a partition filter. Columns are chosen and renamed by
+    One read: the month range is a partition filter; an end that is not given is open. Columns are chosen and renamed by
     `cols`, `ts` is (source, name), `where` applies to the renamed columns. Rows equal but
     for their timestamp collapse to the earliest. When `till` names a day or time, rows of
     its month after it are left out.
     """
     df = spark.read.format(fmt).options(**(options or {})).load(path)
     month = F.col("yearmonth").cast("string")
-    df = df.filter((month >= start[:6]) & (month <= till[:6]))
+    if start:
+        df = df.filter(month >= start[:6])
+    if till:
+        df = df.filter(month <= till[:6])
     picked = [F.col(quoted(src)).alias(name) for src, name in cols.items() if not ts or name != ts[1]]
     if ts:
         picked.append(F.col(quoted(ts[0])).alias(ts[1]))

@@ -60,6 +60,20 @@ class HeaderGroup:
     names: list[str]
     paths: list[str]
 
+    @property
+    def columns(self) -> list[str]:
+        """A name for each position: blank ones become `_c<position>`, repeated ones get theirs as a suffix."""
+        out: list[str] = []
+        for i, n in enumerate(self.names):
+            plain = n if n.strip() else f"_c{i}"
+            out.append(plain if plain not in out else f"{plain}_{i}")
+        return out
+
+    @property
+    def blanks(self) -> list[str]:
+        """The columns whose name was blank."""
+        return [c for c, n in zip(self.columns, self.names, strict=True) if not n.strip()]
+
     @property
     def duplicates(self) -> list[str]:
         given = [n for n in self.names if n.strip()]
@@ -139,10 +153,7 @@ def read_group(spark: SparkSession, group: HeaderGroup, sep: str) -> DataFrame:
     Repeated names get their position as a suffix. A row with too few or too many values is
     kept with its text in the corrupt column.
     """
-    names = []
-    for i, n in enumerate(group.names):
-        plain = n if n.strip() else f"_c{i}"
-        names.append(plain if plain not in names else f"{plain}_{i}")
+    names = group.columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     df = (
         spark.read.schema(schema)
@@ -158,9 +169,9 @@ def read_group(spark: SparkSession, group: HeaderGroup, sep: str) -> DataFrame:
     )
 
 
-def drop_blank_headers(df: DataFrame) -> DataFrame:
-    """Without the columns whose header was blank."""
-    return df.drop(*[c for c in df.columns if c.startswith("_c")])
+def drop_blank_headers(df: DataFrame, group: HeaderGroup) -> DataFrame:
+    """Without the columns whose header was blank in the group's files."""
+    return df.drop(*group.blanks)
 
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -174,7 +185,7 @@ def with_derived_ts(df: DataFrame, src_ts: Sequence[str], pattern: str, zone: st
         return df.withColumns(
             {
                 "DERIVED_TS": F.lit(None).cast("string"),
-                "PARSE_ERROR": F.lit("DATE FORMAT ERROR source timestamp has not been specified"),
+                "PARSE_ERROR": F.lit("no timestamp columns were named"),
             }
         )
     parsed = df.withColumn("__ts", derive_ts([F.col(quoted(c)) for c in src_ts], pattern, zone))
@@ -237,7 +248,7 @@ def land_csv(
             failed.append(told)
             verdicts += [(p, verdict[0], verdict[1]) for p in group.paths]
         else:
-            readable.append(with_derived_ts(df, src_ts, pattern, zone))
+            readable.append(with_derived_ts(drop_blank_headers(df, group), src_ts, pattern, zone))
             verdicts += [(p, None, None) for p in group.paths]
     listed = spark.createDataFrame(verdicts, f"{FILE} string, error_type string, error string")
     if not readable:
@@ -249,7 +260,7 @@ def land_csv(
     told = data_verdicts(rows)
     broken = told.filter("error_type IS NOT NULL")
     good = rows.join(broken.select(FILE), FILE, "left_anti").drop(CORRUPT, FILE)
-    good = safe_names(drop_blank_headers(require_keys(good, keys)))
+    good = safe_names(require_keys(good, keys))
     if cols:
         keep = [F.col(safe_name(src)).alias(name) for src, name in cols.items()]
         good = good.select(*keep, *TAGS)

@@ -192,10 +192,14 @@ def per_table_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("table_name").agg(F.count("*").alias("rows"))
 
 
-def compact_files(spark: SparkSession, source: str, target: str, fmt: str = "parquet", files: int = 180) -> None:
-    """Rewrite many small files as at most `files` even ones."""
+def compact_files(
+    spark: SparkSession, source: str, target: str, fmt: str = "parquet", file_bytes: int = 512 << 20
+) -> None:
+    """Rewrite many small files as even ones of about `file_bytes` each."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
+    size = listed.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]  # lengths come from the listing alone
     df = spark.read.format(fmt).load(source)
-    df.repartition(files).write.mode("overwrite").format(fmt).save(target)
+    df.repartition(max(1, -(-size // file_bytes))).write.mode("overwrite").format(fmt).save(target)
 
 
 def document_frame(df: DataFrame, out: str = "value") -> DataFrame:

@@ -96,10 +96,9 @@ def test_nested_lists_need_a_group(spark):
         nesting.push_struct_array(people(spark), "x", ["name", "val1"])
 
 
-def test_broadcast_only_within_the_bound(spark):
-    df = people(spark)
-    assert relational.broadcast_if_small(df, 2) is df
-    assert relational.broadcast_if_small(df, 3) is not df
+def test_json_paths_with_quotes_sort(spark):
+    df = spark.createDataFrame([('{"id": 2}',), ('{"id": 1}',), ('{"id": "x"}',)], "m string")
+    assert [r["sort_key"] for r in relational.sort_by_json_field(df, "m", "$['id']").collect()] == [1, 2]
 
 
 def test_hot_keys_are_split_over_partitions(spark):

@@ -94,13 +94,13 @@ def test_snapshots_are_replaced_and_unfinished_ones_ignored(spark, tmp_path):
     assert store.latest().count() == 4
 
 
-@pytest.mark.parametrize("hot_rows", [0, 40, 10**6])
-def test_ordered_neighbours_match_brute_force(spark, hot_rows):
-    rng = random.Random(hot_rows)
+@pytest.mark.parametrize("seed", [0, 40, 10**6])
+def test_ordered_neighbours_match_brute_force(spark, seed):
+    rng = random.Random(seed)
     data = sorted({(rng.choice(["hot", "hot", "hot", "x", None]), rng.randint(0, 300)) for _ in range(200)}, key=str)
     data = [(k, t, rng.choice([None, None, t])) for k, t in data]
     df = spark.createDataFrame(data, "k string, t int, v int")
-    out = ordered_neighbours(df, ["k"], ["t"], F.expr("t div 20"), {"nxt": "t"}, {"car": "v"}, {"top": "t"}, hot_rows)
+    out = ordered_neighbours(df, ["k"], ["t"], F.expr("t div 20"), {"nxt": "t"}, {"car": "v"}, {"top": "t"})
     want = []
     for k in {d[0] for d in data}:
         mine = sorted([(t, v) for kk, t, v in data if kk == k], key=lambda x: x[0])
@@ -111,6 +111,23 @@ def test_ordered_neighbours_match_brute_force(spark, hot_rows):
     assert rows(out) == sorted(want, key=lambda t: tuple((x is not None, str(x)) for x in t))
 
 
+def test_rows_of_one_key_spread_over_tasks(spark):
+    df = spark.range(2000).selectExpr("'k' AS k", "CAST(id AS INT) AS t", "CAST(id AS INT) AS v")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = ordered_neighbours(df, ["k"], ["t"], F.expr("t div 100"), {"nxt": "t"})
+        assert out.groupBy(F.spark_partition_id()).count().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_equal_places_are_ordered_by_value(spark):
+    df = spark.createDataFrame([("k", 1, v) for v in (5, 3, 4)] + [("k", 2, 9)], "k string, t int, v int")
+    out = ordered_neighbours(df, ["k"], ["t"], F.lit(0), {"nxt": "v"})
+    assert rows(out, "v", "nxt") == [(3, 4), (4, 5), (5, 9), (9, None)]
+
+
 def test_gained_rows_add_up(spark, tmp_path):
     store = incremental.SnapshotStore(spark, str(tmp_path / "s"))
     assert store.known() is None

@@ -179,11 +179,35 @@ def test_rules_run_in_order_and_keep_failing_rows(spark):
     assert rows(out) == [(2, None, None), (6, None, "check: RuntimeError: too large")]
 
 
-def test_rule_dictionary_is_bounded(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    assert rules.lookup_dict(df, "k", "v") == {1: "a", 2: "b"}
-    with pytest.raises(ValueError):
-        rules.lookup_dict(df, "k", "v", max_rows=1)
+def test_a_result_of_the_wrong_type_is_an_error_row(spark):
+    def wrong(context, row):
+        row["n"] = "seven" if row["v"] == 2 else row["v"]
+        return row
+
+    out = rules.apply_rules(spark.createDataFrame([(1,), (2,), (3,)], "v int"), [wrong], "v int, n int")
+    assert [(r["v"], r["n"], (r["_error"] or "")[:2]) for r in out.orderBy("v").collect()] == [(1, 1, ""), (2, None, "n:"), (3, 3, "")]
+
+
+def test_only_blank_headers_are_dropped(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,_code,,at\n1,x,gone,2020-01-01 00:00:00\n")
+    out = landing.land_csv(spark, str(tmp_path), ["id"], ["at"], "yyyy-MM-dd HH:mm:ss", "UTC").rows
+    assert "_code" in out.columns and rows(out, "id", "_code") == [("1", "x")] and not any("gone" in map(str, r) for r in out.collect())
+
+
+@pytest.mark.parametrize("start,till,want", [("", "", 3), ("202002", "", 2), ("", "202002", 2), ("202002", "202002", 1)])
+def test_month_ends_are_open(spark, tmp_path, start, till, want):
+    df = spark.createDataFrame([(1, "202001"), (2, "202002"), (3, "202003")], "a int, yearmonth string")
+    df.write.partitionBy("yearmonth").parquet(str(tmp_path / "m"))
+    got = files.read_month_partitions(spark, str(tmp_path / "m"), {"a": "a"}, None, start=start, till=till)
+    assert got.count() == want
+
+
+def test_compaction_follows_the_size(spark, tmp_path):
+    spark.range(20_000).repartition(12).write.parquet(str(tmp_path / "in"))
+    sinks.compact_files(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("part-*"))) == 1
+    sinks.compact_files(spark, str(tmp_path / "in"), str(tmp_path / "more"), file_bytes=40_000)
+    assert len(list((tmp_path / "more").glob("part-*"))) > 2 and spark.read.parquet(str(tmp_path / "more")).count() == 20_000
 
 
 def test_event_bodies_get_a_common_schema(spark):

@@ -153,8 +153,15 @@ def test_recursive_paths_and_their_depth(spark):
     doc = jp.path(F.col("doc"))
     assert one(spark, doc.deep_field("k2").joined()) == "o1o2o3o4o5"
     assert one(spark, doc.deep_where(lambda x: jp.same_text(x, "k2", "o4")).count()) == 1
-    with pytest.raises(Exception, match="nested deeper"):
-        one(spark, doc.deep_field("k2", depth=2).joined())
+
+
+def test_descent_reaches_the_bottom(spark):
+    text = '{"a": "]}\\\\\\""}'
+    for i in range(40):
+        text = f'{{"k": [{text}]}}' if i % 3 else f'{{"k": {text}, "flat": [1, {{"b": 2}}]}}'
+    df = spark.createDataFrame([(text,), ("[]",), (None,)], "t string").select(F.try_parse_json("t").alias("doc"))
+    got = [r[0] for r in df.select(jp.path(F.col("doc")).deep_field("a").count()).collect()]
+    assert got == [1, 0, 0] or got == [1, 0, None]
 
 
 def test_expressions(spark):
