@@ -34,7 +34,7 @@ FILTER_BITS = 24
 #: Rows of one column that are multiplied out together; larger columns are cut into such blocks.
 COLUMN_ROWS = 512
 PIVOT_ROUNDS = 2
-_CHUNK = 1 << 21
+_CHUNK = 1 << 19
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -77,17 +77,16 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(starts)
 
 
-def gram_sets(texts: list[str], words: int = WORDS) -> Iterator[np.ndarray]:
+def gram_sets(texts: list[str | None], words: int = WORDS) -> Iterator[np.ndarray]:
     """The sorted set of n-gram hashes of each text; ASCII letters are lower-cased.
 
     A text of fewer words has its whole sequence as its one n-gram, a text without words none.
     """
     group, size = [], 0
-    for t in [*texts, None]:
-        if t is not None:
-            group.append((t or "").encode("utf-8", "replace").lower())
-            size += len(group[-1])
-        if group and (t is None or size >= _CHUNK):
+    for at, t in enumerate(texts, 1):
+        group.append((t or "").encode("utf-8", "replace").lower())
+        size += len(group[-1])
+        if at == len(texts) or size >= _CHUNK:
             bounds = np.concatenate(([0], np.cumsum([len(g) + 1 for g in group])))
             h, starts = word_hashes(b"\n".join(group))
             cut = np.searchsorted(starts, bounds)
@@ -228,19 +227,61 @@ def _can_link(a: str, b: str, percent: int) -> Column:
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (most >= needed(na, nb, percent))
 
 
+def _with_binaries(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b and the binaries x and y of both; `sets` has id and grams."""
+    first = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
+    return first.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").select("a", "b", "x", "y")
+
+
+def _kept_pairs(df: DataFrame, keep: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column(2), batch.column(3), strict=True)
+            good = [keep(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) for x, y in both]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return df.mapInArrow(run, "a long, b long")
+
+
+def plausible(firsts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose first columns have enough in common.
+
+    Common n-grams are first columns of both, or lie behind all first columns of one of the two.
+    The overlap counted on the first columns, and all that lies behind, must reach what the sizes
+    ask for; chance meetings in one rare n-gram don't.
+    """
+    pairs = saved(pairs, "pairs")
+    ids = hashed_filter(pairs.select("a").union(pairs.select("b")), "a")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(_in_filter(batch.column(0).to_numpy(), ids)))
+            sized = [np.array([n], "<u8").tobytes() + g for n, g in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sized, pa.binary())], names=["id", "grams"])
+
+    def keep(x: np.ndarray, y: np.ndarray) -> bool:
+        a, b = int(x[0]), int(y[0])
+        behind = max(a - len(x) + 1, b - len(y) + 1)
+        common = len(np.intersect1d(x[1:], y[1:], assume_unique=True))
+        return (common + behind) * (100 + percent) >= percent * (a + b)
+
+    sets = firsts.mapInArrow(run, "id long, grams binary")
+    return saved(_kept_pairs(_with_binaries(pairs, sets), keep), "plausible")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ids whose whole sets are similar enough.
 
     Sets are made anew for the texts that a filter of the pairs' ids may hold, and meet their
     pairs in joins on the id.
     """
-    pairs = saved(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
     ids = hashed_filter(pairs.select("a").union(pairs.select("b")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = batch.column(0).is_valid()
-            batch = batch.filter(known)
+            batch = batch.filter(batch.column(0).is_valid())
             batch = batch.filter(pa.array(_in_filter(batch.column(0).to_numpy(), ids)))
             rows = []
             for doc, s in _sets(batch, words):
@@ -251,19 +292,12 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
             if rows:
                 yield _rows(["id", "grams"], [pa.int64(), pa.binary()], rows)
 
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def similar(x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
 
     sets = docs.mapInArrow(run, "id long, grams binary")
-    first = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
-    both = first.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").select("a", "b", "x", "y")
-    return saved(both.mapInArrow(similar, "a long, b long"), "links")
+    return saved(_kept_pairs(_with_binaries(pairs, sets), similar), "links").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -303,9 +337,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         if labels is not None:
             pairs = pairs.where("x.comp != p.comp")
         pairs = pairs.select(F.least("x.cls", "p.cls").alias("a"), F.greatest("x.cls", "p.cls").alias("b")).distinct()
-        links = links.union(verified(docs, pairs, words, percent))
+        links = links.union(verified(docs, plausible(firsts, pairs, percent), words, percent))
         labels = saved(components(links).select(F.col("node").alias("cls"), F.col("component").alias("comp")), "labels")
-    links = links.union(verified(docs, _remaining_pairs(_open_columns(matrix, labels), percent), words, percent))
+    rest = plausible(firsts, _remaining_pairs(_open_columns(matrix, labels), percent), percent)
+    links = links.union(verified(docs, rest, words, percent))
     found = saved(components(links), "components")
     classed = rows.join(classes, "digest", "left").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "cls")).otherwise(F.col("doc_id"))
