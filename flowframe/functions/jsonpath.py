@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 VARIANTS = "array<variant>"
 FIELDS = "map<string,variant>"
+#: In JSON text, strings and all characters that are no brackets.
+STRINGS_AND_THE_REST = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\[\]{}]'
 
 
 def no_matches() -> Column:
@@ -47,8 +49,7 @@ def field_text(value: Column, name: str) -> Column:
 
 def nesting(values: Column) -> Column:
     """How deep brackets are nested in the JSON text of a list of values, the list's own included."""
-    strings_and_the_rest = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\[\]{}]'
-    brackets = F.regexp_replace(F.coalesce(F.to_json(values), F.lit("[]")), strings_and_the_rest, "")
+    brackets = F.regexp_replace(F.coalesce(F.to_json(values), F.lit("[]")), STRINGS_AND_THE_REST, "")
     start = F.struct(F.lit(0).alias("now"), F.lit(1).alias("most"))
 
     def count(acc: Column, bracket: Column) -> Column:

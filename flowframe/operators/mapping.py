@@ -8,9 +8,13 @@ number of templates or the depth of children.
 Values are texts of three kinds:
 
 * a path such as `$.data.vendor`, `../$.header.id` or `../../$.id` (the parent's and the
-  grandparent's document): the value, null when missing;
+  grandparent's document): the value of its first match, null when missing;
 * a literal in quotes;
-* any Spark SQL expression, in which a path stands for its text, empty when missing.
+* any Spark SQL expression, in which a path stands for the texts of all its matches in one text,
+  empty when missing.
+
+Paths may hold names, indexes and lists of them, slices, `*`, filters `[?(@.a == 'x')]` and
+descents `..name`. A value that can't be cast is null: one bad message doesn't stop the others.
 """
 
 from __future__ import annotations
@@ -22,7 +26,14 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PATH = r"(?:\.\./){0,2}\$(?:\.[A-Za-z_][\w-]*|\[\d+\]|\['[^']*'\])*"
+from flowframe.functions.jsonpath import STRINGS_AND_THE_REST, step
+
+SIMPLE = r"(?:\.\./){0,2}\$(?:\.[A-Za-z_][\w-]*|\[\d+\]|\['[^']*'\])*"
+STEP = (
+    r"(?:\.\.?(?:[A-Za-z_][\w-]*|\*)|\[\s*(?:-?\d+(?:\s*,\s*-?\d+)*|'[^']*'(?:\s*,\s*'[^']*')*|\*"
+    r"|-?\d*:-?\d*(?::-?\d+)?|\?\((?:[^()']|'[^']*')*\))\s*\])"
+)
+PATH = rf"(?:\.\./){{0,2}}\${STEP}*"
 QUOTED = r"'(?:[^'\\]|\\.|'')*'"
 ROW_TYPE = (
     "struct<table_name:string,row_key:string,family:string,cells:map<string,string>,"
@@ -61,30 +72,161 @@ class Scope:
 
     def text_at(self, path: str) -> str:
         """SQL for the text at a path."""
+        return self.reach(path, f"try_variant_get({{doc}}, {sql_text(path.replace('../', ''))}, 'string')")
+
+    def reach(self, path: str, found: str) -> str:
+        """`found` with the document that the path starts in; texts of the message become columns."""
         ups = path.count("../")
         if ups >= len(self.docs):
             raise ValueError(f"path {path!r} reaches above the document")
-        found = f"try_variant_get({self.docs[ups]}, {sql_text(path.replace('../', ''))}, 'string')"
+        found = found.replace("{doc}", self.docs[ups])
         if self.docs[ups] != "doc":
             return found
         return self.columns.setdefault(found, f"__text{len(self.columns)}")
 
+    def first_text(self, path: str) -> str:
+        """SQL for the text of the first match."""
+        if re.fullmatch(SIMPLE, path):
+            return self.text_at(path)
+        return self.reach(path, f"try_variant_get(try_element_at({matches_sql(path, '{doc}')}, 1), '$', 'string')")
+
+    def all_texts(self, path: str) -> str:
+        """SQL for the texts of all matches in one text; empty without one."""
+        if re.fullmatch(SIMPLE, path):
+            return f"coalesce({self.text_at(path)}, '')"
+        every = f"transform({matches_sql(path, '{doc}')}, m -> try_variant_get(m, '$', 'string'))"
+        return f"coalesce({self.reach(path, f"array_join({every}, '')")}, '')"
+
+
+NO_MATCH = "CAST(array() AS array<variant>)"
+
+
+def _field(v: str, name: str) -> str:
+    return f"try_variant_get({v}, {sql_text(step(name))}, 'variant')"
+
+
+def _elements(v: str) -> str:
+    return f"coalesce(try_variant_get({v}, '$', 'array<variant>'), {NO_MATCH})"
+
+
+def _members(v: str) -> str:
+    return f"coalesce(map_values(try_variant_get({v}, '$', 'map<string,variant>')), {NO_MATCH})"
+
+
+def _some(values: list[str]) -> str:
+    return f"filter(array({', '.join(values)}), z -> z IS NOT NULL)"
+
+
+def _slice(v: str, low: str, high: str, by: str) -> str:
+    """Bounds below zero count from the end; a negative step walks from the end, with mirrored bounds."""
+    stride, items = int(by or 1), _elements(v)
+    walked = f"reverse({items})" if stride < 0 else items
+
+    def bound(text: str, default: str) -> str:
+        if not text:
+            return default
+        x = int(text) if stride > 0 else -1 - int(text)
+        return str(x) if x >= 0 else f"greatest(size({items}) - {-x}, 0)"
+
+    first, last = bound(low, "0"), bound(high, f"size({items})")
+    cut = f"slice({walked}, {first} + 1, greatest({last} - {first}, 0))"
+    return cut if abs(stride) == 1 else f"filter({cut}, (z, zi) -> zi % {abs(stride)} = 0)"
+
+
+COMPARED = re.compile(r"@((?:\.[A-Za-z_][\w-]*|\['[^']*'\])*)\s*(==|!=|<=|>=|<|>)\s*('[^']*'|-?\d+(?:\.\d+)?|true|false)|@((?:\.[A-Za-z_][\w-]*|\['[^']*'\])+)")
+
+
+def filter_sql(text: str, v: str) -> str:
+    """A filter's condition on a value: typed comparisons and existence, with &&, || and !."""
+
+    def one(m: re.Match) -> str:
+        if m.group(4):
+            return f"(try_variant_get({v}, {sql_text('$' + m.group(4))}, 'variant') IS NOT NULL)"
+        at, op, given = sql_text("$" + m.group(1)), m.group(2), m.group(3)
+        kind = f"schema_of_variant(try_variant_get({v}, {at}, 'variant'))"
+        sign = {"==": "=", "!=": "<>"}.get(op, op)
+        if given[0] == "'":
+            return f"({kind} = 'STRING' AND try_variant_get({v}, {at}, 'string') {sign} {given})"
+        if given in ("true", "false"):
+            return f"({kind} = 'BOOLEAN' AND try_variant_get({v}, {at}, 'boolean') {sign} {given})"
+        return f"({kind} RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)' AND try_variant_get({v}, {at}, 'double') {sign} {given})"
+
+    out = COMPARED.sub(one, text).replace("&&", " AND ").replace("||", " OR ")
+    return re.sub(r"!(?!=)", " NOT ", out)
+
+
+def _descent(v: str, name: str) -> str:
+    """Values of a name (or of any) at every depth, level by level, as deep as brackets are nested."""
+    brackets = f"""regexp_replace(coalesce(to_json({v}), '[]'), {sql_text(STRINGS_AND_THE_REST)}, '')"""
+    depth = (
+        f"reduce(filter(split({brackets}, ''), b -> b <> ''), named_struct('now', 0, 'most', 1), (a, b) -> named_struct("
+        "'now', a.now + IF(b IN ('[', '{'), 1, -1), 'most', greatest(a.most, a.now + IF(b IN ('[', '{'), 1, -1))), a -> a.most)"
+    )
+    if name == "*":
+        hit, inside = _members("f"), f"concat({_elements('f')}, {_members('f')})"
+    else:
+        others = f"map_values(map_filter(try_variant_get(f, '$', 'map<string,variant>'), (k, x) -> k <> {sql_text(name)}))"
+        hit, inside = _some([_field("f", name)]), f"concat({_elements('f')}, coalesce({others}, {NO_MATCH}))"
+    start = f"named_struct('frontier', array({v}), 'found', {NO_MATCH})"
+    down = f"named_struct('frontier', flatten(transform(w.frontier, f -> {inside})), 'found', concat(w.found, flatten(transform(w.frontier, f -> {hit}))))"
+    return f"reduce(sequence(1, {depth}), {start}, (w, wi) -> {down}, w -> w.found)"
+
+
+def matches_sql(path: str, doc: str) -> str:
+    """SQL for the list of values that a path matches in a document."""
+    node = _some([doc])
+    for n, found in enumerate(re.findall(STEP, path.replace("../", ""))):
+        v, inner = f"v{n}", found[1:-1].strip() if found[0] == "[" else ""
+        if found.startswith(".."):
+            expand = _descent(v, found[2:])
+        elif found in (".*",):
+            expand = _members(v)
+        elif found[0] == ".":
+            expand = _some([_field(v, found[1:])])
+        elif inner == "*":
+            expand = f"concat({_elements(v)}, {_members(v)})"
+        elif inner[0] == "'":
+            expand = _some([_field(v, name) for name in re.findall(r"'([^']*)'", inner)])
+        elif inner[0] == "?":
+            items = f"coalesce(try_variant_get({v}, '$', 'array<variant>'), IF(try_variant_get({v}, '$', 'map<string,variant>') IS NOT NULL, array({v}), {NO_MATCH}))"
+            expand = f"filter({items}, q{n} -> coalesce({filter_sql(inner[2:-1], f'q{n}')}, false))"
+        elif ":" in inner:
+            low, high, *by = inner.split(":")
+            expand = _slice(v, low, high, by[0] if by else "")
+        else:
+            places = [int(x) for x in inner.split(",")]
+            expand = _some([f"try_element_at({_elements(v)}, {x + 1 if x >= 0 else x})" for x in places])
+        node = f"flatten(transform({node}, {v} -> {expand}))"
+    return node
+
 
 def value_sql(text: str, scope: Scope) -> str:
     """SQL for a mapping value, as text or null."""
     if re.fullmatch(PATH, text.strip()):
-        return scope.text_at(text.strip())
-    return f"CAST({expression_sql(text, scope)} AS STRING)"
+        return scope.first_text(text.strip())
+    return f"TRY_CAST({expression_sql(text, scope)} AS STRING)"
 
 
 def expression_sql(text: str, scope: Scope) -> str:
-    """A Spark SQL expression with its paths replaced by their texts."""
+    """A Spark SQL expression with its paths replaced by their texts.
+
+    Casts are tried, and a path that is compared with a number is one where its text is.
+    """
 
     def swap(m: re.Match) -> str:
         found = m.group(0)
-        return found if found.startswith("'") else f"coalesce({scope.text_at(found)}, '')"
+        if found.startswith("'"):
+            return found
+        return "TRY_CAST(" if found[0] in "cC" else scope.all_texts(found)
 
-    return re.sub(f"{QUOTED}|{PATH}", swap, text)
+    number = rf"(?P<path>{PATH})(?P<op>\s*(?:==|=|!=|<>|<=|>=|<|>)\s*)(?P<n>-?\d+(?:\.\d+)?)\b"
+    pieces, at = [], 0
+    for m in re.finditer(rf"{QUOTED}|{number}", text):
+        if m.group("path"):
+            pieces += [text[at : m.start()], f"TRY_CAST({m.group('path')} AS DOUBLE){m.group('op')}{m.group('n')}"]
+            at = m.end()
+    text = "".join(pieces) + text[at:]
+    return re.sub(rf"{QUOTED}|(?<![\w.])[Cc][Aa][Ss][Tt]\(|{PATH}", swap, text)
 
 
 def condition_sql(text: str, scope: Scope) -> str:
@@ -101,18 +243,8 @@ def key_text(parts: list[str]) -> str:
 
 def children_sql(select: str, doc: str) -> str:
     """The sub-objects a child template maps: an array's elements, or a single object."""
-    pieces = [p for p in select.split("[*]")]
-    node = f"array({doc})"
-    for i, piece in enumerate(pieces):
-        path = piece if i == 0 else "$" + piece
-        if path == "$":
-            continue
-        p = sql_text(path)
-        node = (
-            f"flatten(transform({node}, n{i} -> coalesce(try_variant_get(n{i}, {p}, 'array<variant>'), "
-            f"filter(array(try_variant_get(n{i}, {p}, 'variant')), z -> z IS NOT NULL))))"
-        )
-    return node
+    found = matches_sql(select, doc)
+    return f"flatten(transform({found}, n -> coalesce(try_variant_get(n, '$', 'array<variant>'), array(n))))"
 
 
 def row_spec(row: dict) -> dict:
@@ -205,7 +337,13 @@ def extract_topic(df: DataFrame, setting: str, value_col: str = "value", out: st
     if "$" not in setting:
         return df.withColumn(out, F.lit(setting))
     doc = F.try_parse_json(F.col(value_col))
-    found = F.try_variant_get(doc, setting, "string")
+    if re.fullmatch(SIMPLE, setting):
+        found = F.try_variant_get(doc, setting, "string")
+    else:
+        parsed = df.withColumn("__doc", doc)
+        first = f"try_variant_get(try_element_at({matches_sql(setting, '__doc')}, 1), '$', 'string')"
+        told = F.when(F.col("__doc").isNotNull(), F.coalesce(F.expr(first), F.lit("unknown")))
+        return parsed.withColumn(out, told).drop("__doc")
     return df.withColumn(out, F.when(doc.isNotNull(), F.coalesce(found, F.lit("unknown"))))
 
 

@@ -187,3 +187,51 @@ def test_top_item_inside_a_document(spark):
     items = F.array(*[F.struct(F.lit(i).alias("item"), F.lit(p).alias("parent")) for i, p in data])
     got = [one(spark, me.top_item(items, "item", "parent", F.lit(x))) for x in ("10", "30", "40", "50", "77")]
     assert got == ["10", "10", "n/a", "cycle", "n/a"]
+
+
+def mapped_cells(spark, doc, values, children=None, when="true"):
+    cols = [{"name": f"c{i}", "value": v} for i, v in enumerate(values)]
+    spec = {
+        "sourceMap": [{"sourceName": "s", "when": when, "templates": ["t"], "idockey": ["$.id"]}],
+        "templates": [
+            {"name": "t", "row": {"name": "T", "rowKey": ["$.id"], "colFamily": "f", "cols": cols}, "children": children or []},
+            {"name": "kid", "row": {"name": "K", "rowKey": ["../$.id", "$.n"], "colFamily": "f", "cols": [{"name": "v", "value": "$.v[*]"}]}},
+        ],
+    }
+    frame = spark.createDataFrame([("t", json.dumps(doc) if not isinstance(doc, str) else doc)], "topic string, value string")
+    return mapping.map_documents(frame, spec)
+
+
+ORDER = {
+    "id": "o1",
+    "num": "seven",
+    "lines": [{"n": 1, "kind": "a", "q": 5, "v": ["x", "y"]}, {"n": 2, "kind": "b", "q": 9, "v": ["z"]}, {"n": 3, "kind": "a", "q": 7, "v": []}],
+    "deep": {"flag": "F1", "in": {"flag": "F2", "list": [{"flag": "F3"}]}},
+}
+
+
+def test_specs_take_every_path_form(spark):
+    values = [
+        "$.lines[*].n", "$.lines[-1].n", "$.lines[0,2].kind", "$.lines[1:].n", "$.lines[?(@.kind == 'a' && @.q > 5)].n", "$..flag",
+        "$.deep.*", "$.lines[?(@.q >= 9)].kind", "concat('<', $.lines[*].n, '>')", "concat($..flag, '')", "$.lines[?(@.gone)].n", "$.lines[::-1].n", "$['id','num']",
+    ]
+    got = mapped_cells(spark, ORDER, values).rows.first()["cells"]
+    assert got == {"c0": "1", "c1": "3", "c2": "a", "c3": "2", "c4": "3", "c5": "F1", "c6": "F1", "c7": "b", "c8": "<123>", "c9": "F1F2F3", "c11": "3", "c12": "o1"}
+
+
+def test_children_are_chosen_by_filters(spark):
+    kids = [{"template": "kid", "select": "$.lines[?(@.kind == 'a')]"}, {"template": "kid", "select": "$..list"}]
+    got = mapped_cells(spark, ORDER, ["$.id"], kids).rows.where("table_name = 'K'").collect()
+    assert [(r["row_key"], r["cells"]["v"]) for r in got] == [("o1-1", "x")]
+
+
+def test_bad_values_do_not_stop_the_job(spark):
+    got = mapped_cells(spark, ORDER, ["CAST($.num AS INT)", "'CAST(x'", "$.id"], when="NOT coalesce($.num == 7, false)").rows.first()
+    assert got["cells"] == {"c1": "CAST(x", "c2": "o1"}
+    assert mapped_cells(spark, ORDER, ["$.id"], when="$.num == 7").rows.count() == 0
+    assert mapped_cells(spark, {**ORDER, "num": "7"}, ["$.id"], when="$.num == 7").rows.count() == 1
+
+
+def test_topics_by_any_path(spark):
+    df = spark.createDataFrame([(json.dumps(ORDER),), ("{}",), ("x",)], "value string")
+    assert [r["topic"] for r in mapping.extract_topic(df, "$.lines[?(@.n == 2)].kind").collect()] == ["b", "unknown", None]
