@@ -180,6 +180,65 @@ def child_rows(spark, data):
     return as_text(rows).select("table_name", "row_key", "cells")
 
 
+PATHS_SPEC = {
+    "version": "0.4.1",
+    "templates": [
+        template(
+            "order",
+            "paths",
+            [
+                {"name": "first", "value": "$.lines[*].part"},
+                {"name": "last", "value": "$.lines[-1].part"},
+                {"name": "all", "value": "concat('', $.lines[*].n)"},
+                {"name": "returned", "value": "concat('', $.lines[?(@.n > 1)].n)"},
+                {"name": "flags", "value": "concat('', $..flag)"},
+                {"name": "number", "value": "CAST($.priority AS INT)"},
+            ],
+            ["$.id"],
+        )
+    ],
+    "sourceMap": [{"sourceName": "orders", "templates": ["order"], "when": "NOT coalesce($.priority == 7, false)", "idockey": ["$.id"]}],
+}
+
+
+@query(
+    "map_paths",
+    """WITH l AS (SELECT * FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+       SELECT CAST(o_orderkey AS VARCHAR) AS row_key, CAST(arg_min(l_partkey, (l_linenumber, l_partkey)) AS VARCHAR) AS first,
+         CAST(arg_max(l_partkey, (l_linenumber, l_partkey)) AS VARCHAR) AS last, string_agg(l_linenumber, '' ORDER BY l_linenumber) AS all_lines,
+         string_agg(l_linenumber, '' ORDER BY l_linenumber) FILTER (l_linenumber > 1) AS later,
+         string_agg(l_returnflag, '' ORDER BY l_linenumber, l_partkey, l_returnflag) AS flags,
+         CAST(NULL AS VARCHAR) AS number FROM l GROUP BY 1""",
+)
+def map_paths(spark, data):
+    """Wildcards, last elements, filters and descents in values; a text that is no number is no cell."""
+    cells = F.col("cells")
+    named = {"first": "first", "last": "last", "all_lines": "all", "later": "returned", "flags": "flags", "number": "number"}
+    rows = op.map_documents(order_documents(spark, data), PATHS_SPEC).rows
+    return rows.select("row_key", *[F.try_element_at(cells, F.lit(k)).alias(n) for n, k in named.items()])
+
+
+FILTERED_SPEC = {
+    "version": "0.4.1",
+    "templates": [
+        template("order", "orders", [{"name": "priority", "value": "$.priority"}], ["$.id"], children=[{"template": "line", "select": "$.lines[?(@.n >= 3)]"}]),
+        template("line", "lines", [{"name": "part", "value": "$.part"}, {"name": "flags", "value": "$.codes[?(@.flag)].flag"}], ["../$.id", "$.n"]),
+    ],
+    "sourceMap": [{"sourceName": "orders", "templates": ["order"], "when": "topic = 'order'", "idockey": ["$.id"]}],
+}
+
+
+@query(
+    "child_rows_filtered",
+    """SELECT o_orderkey || '-' || l_linenumber AS row_key, '{"part":"' || l_partkey || '","flags":"' || l_returnflag || '"}' AS cells
+         FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber >= 3""",
+)
+def child_rows_filtered(spark, data):
+    """Children that a filter chooses, with a value behind another filter."""
+    rows = op.map_documents(order_documents(spark, data), FILTERED_SPEC).rows.filter("table_name = 'lines'")
+    return as_text(rows).select("row_key", "cells")
+
+
 ROUTED = {
     "version": "0.4.1",
     "templates": [
