@@ -1,5 +1,7 @@
 """Queries of declared flows."""
 
+import base64
+
 from pyspark.sql import functions as F
 
 from flowframe.catalog import query, table
@@ -152,6 +154,42 @@ def flow_operators(spark, data):
     return flow.build_flow(spark, spec, "result", funcs)
 
 
+@query("flow_rule_script", "SELECT p_partkey, p_brand, '#' || right(p_brand, 1) AS initial FROM part")
+def flow_rule_script(spark, data):
+    """A flow that carries the script of its rules."""
+    script = base64.b64encode(SCRIPT.encode()).decode()
+    schema = "p_partkey bigint, p_brand string, initial string"
+    spec = {
+        "connections": [connection("parts", f"{data}/part.parquet")],
+        "operations": [
+            op("reader", [], ["parts"], "parts"),
+            op("ruleScript", ["parts"], ["ruled"], methodNames=["initial"], base64Script=script, schema=schema, context={"mark": "#"}),
+            op("select", ["ruled"], ["result"], cols=["p_partkey", "p_brand", "initial"]),
+        ],
+    }
+    return flow.build_flow(spark, spec, "result")
+
+
+@query(
+    "flow_push_array_parts",
+    "SELECT l_returnflag, count(*) AS n, sum(l_orderkey)::BIGINT AS orders, true AS bounded FROM lineitem GROUP BY 1",
+)
+def flow_push_array_parts(spark, data):
+    """A list of very many rows in numbered parts, which together hold every row."""
+    spec = {
+        "connections": [connection("lines", f"{data}/lineitem.parquet")],
+        "operations": [
+            op("reader", [], ["lines"], "lines", projection=cols(*[(c, c) for c in ("l_returnflag", "l_orderkey", "l_linenumber")])),
+            op("pushStruct", ["lines"], ["nested"], cols=["l_orderkey", "l_linenumber"], colName="rows", asArray="true", maxItems="500"),
+        ],
+    }
+    nested = flow.build_flow(spark, spec, "nested")
+    total = F.sum(F.aggregate("rows", F.lit(0).cast("bigint"), lambda a, x: a + x["l_orderkey"]))
+    return nested.groupBy("l_returnflag").agg(
+        F.sum(F.size("rows")).alias("n"), total.alias("orders"), (F.max(F.size("rows")) < 1000).alias("bounded")
+    )
+
+
 @query(
     "flow_events",
     """SELECT orderkey, CAST(event_ts AS VARCHAR) AS event_ts, l_linenumber FROM (SELECT o_orderkey AS orderkey,

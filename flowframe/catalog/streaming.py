@@ -1,7 +1,9 @@
 """Queries of micro-batch work: files and messages run to their end, results read back."""
 
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -50,11 +52,9 @@ def settled_files(spark, data):
     later = files.settled(listed, now + timedelta(seconds=700))
     early = files.settled(listed, now - timedelta(seconds=10))
     named = files.matching(listed, r"part-.*\.json", "incoming-")
-    return (
-        later.agg(F.count("*").alias("settled"))
-        .crossJoin(early.agg(F.count("*").alias("unsettled")))
-        .crossJoin(named.agg(F.count("*").alias("named")))
-    )
+    kinds = {"settled": later, "unsettled": early, "named": named}
+    every = reduce(DataFrame.unionByName, [df.select(F.lit(k).alias("kind")) for k, df in kinds.items()])
+    return every.agg(*[F.count_if(F.col("kind") == k).alias(k) for k in kinds])
 
 
 @query("file_stream", "SELECT event_id, user_id, event_type FROM events")

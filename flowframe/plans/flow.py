@@ -121,6 +121,20 @@ def truth(value: Any) -> bool:
     return str(value).lower() == "true"
 
 
+BUS_KINDS = ("eventhub", "event-hub", "event-hub-read", "kafka")
+
+
+def partition_of(value: Any) -> tuple[str, int, int, int] | None:
+    """(column, low, high, tasks) of a partitioned database read, from a list or an object."""
+    if not value:
+        return None
+    if isinstance(value, dict):
+        value = [value[k] for k in ("column", "low", "high", "tasks")]
+    column, *bounds = value
+    low, high, tasks = (int(x) for x in bounds)
+    return column, low, high, tasks
+
+
 def read_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
     connection = flow.connection(node.source_connection)
     kind = connection.get("connectionType", "")
@@ -135,16 +149,22 @@ def read_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
             user=strings.get("user"),
             password=strings.get("password"),
             driver=strings.get("driver"),
+            partition=partition_of(flow.option(node, connection, "partition")),
             project=project,
             where=where,
         )
-    if kind in ("eventhub", "kafka"):
+    if kind in BUS_KINDS:
+        schema = flow.option(node, connection, "schema")
+        if not schema:
+            raise FlowError("a bus reader needs a schema, or the whole topic is read to find one")
+        rate = flow.option(node, connection, "maxRatePerPartition")
         df = external.read_event_bus(
             flow.spark,
             strings["servers"],
             flow.option(node, connection, "topics"),
-            schema=flow.option(node, connection, "schema"),
-            start=flow.option(node, connection, "autoOffsetReset", "latest"),
+            schema=schema,
+            start=flow.option(node, connection, "autoOffsetReset", "earliest"),
+            rate=int(rate) if rate else None,
             group=flow.option(node, connection, "consumerGroup"),
         )
         df = columns.project(df, project) if project else df
@@ -189,8 +209,8 @@ def month_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
         dict(zip(o["srcCols"], o["cols"])),
         ts,
         o.get("filter", ""),
-        o.get("frommonth") or "000000",
-        o.get("till") or "999999",
+        o.get("frommonth") or "",
+        o.get("till") or "",
         o.get("filesFormat", "avro").lower(),
     )
 
@@ -205,7 +225,8 @@ def json_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
 
 def events_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
     o = node.options
-    return events.to_events(inputs[0], o["keyCols"], o["timestamp_a"], o["timestamp_b"], o["eventTimestamp"])
+    strict = truth(o.get("strictCompat"))
+    return events.to_events(inputs[0], o["keyCols"], o["timestamp_a"], o["timestamp_b"], o["eventTimestamp"], strict_compat=strict)
 
 
 def join_events_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
@@ -217,17 +238,28 @@ def join_events_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFra
 def push_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
     o = node.options
     name = o.get("colName") or o["col"]
-    push = nesting.push_struct_array if truth(o.get("asArray")) else columns.push_struct
-    return push(inputs[0], name, o["cols"])
+    if not truth(o.get("asArray")):
+        return columns.push_struct(inputs[0], name, o["cols"])
+    bound = int(o["maxItems"]) if o.get("maxItems") else None
+    return nesting.push_struct_array(inputs[0], name, o["cols"], bound, o.get("partCol", "part"))
 
 
 def rule_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
     o = node.options
     names = o.get("methodNames") or []
-    missing = [n for n in names if n not in flow.functions]
+    if o.get("dependenciesFolders"):
+        rules.add_dependencies(inputs[0], o["dependenciesFolders"])
+    known = dict(flow.functions)
+    unknown = [n for n in names if n not in known]
+    if unknown and o.get("base64Script"):
+        known.update(zip(unknown, rules.load_functions(o["base64Script"], unknown, encoded=True)))
+    elif unknown and o.get("paths"):
+        script = "\n".join(r[0] for r in flow.spark.read.text(o["paths"], wholetext=True).collect())
+        known.update(zip(unknown, rules.load_functions(script, unknown)))
+    missing = [n for n in names if n not in known]
     if missing:
         raise FlowError(f"rule functions not registered: {missing}")
-    return rules.apply_rules(inputs[0], [flow.functions[n] for n in names], o["schema"], o.get("context") or {})
+    return rules.apply_rules(inputs[0], [known[n] for n in names], o["schema"], o.get("context") or {})
 
 
 def sub_flow_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:

@@ -31,12 +31,13 @@ def session(app: str = "flowframe", master: str | None = None, **conf: str) -> S
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory under the cluster's shared `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a machine-local folder: on a cluster such a
-    folder would be lost with its executor.
+    Only a session in one process, as in tests, may fall back to a machine-local folder: on a
+    cluster, also one of several processes on one machine, it would be lost with its executor.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="flowframe-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -75,6 +75,22 @@ def test_uris():
         files.resolve_path(None, "")
 
 
+def test_bus_and_database_options_of_flows(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(external, "read_event_bus", lambda spark, servers, topics, **kw: seen.update(kw, topics=topics) or spark.range(1))
+    monkeypatch.setattr(external, "read_jdbc", lambda spark, url, **kw: seen.update(kw) or spark.range(1))
+    bus = {"id": "b", "connectionType": "event-hub-read", "connection": {"connectionStrings": {"servers": "h:1"}}, "options": {"topics": "t", "schema": "a int", "maxRatePerPartition": "9"}}
+    base = {"id": "d", "connectionType": "jdbc", "connection": {"connectionStrings": {"url": "jdbc:x"}}, "options": {"table": "t", "partition": ["id", "0", "100", "4"]}}
+    for c in (bus, base):
+        read = {"operatorType": "reader", "signals": {"sources": [{"connectionId": c["id"]}], "sinks": [{"signalId": "in"}]}}
+        flow.build_flow(spark, {"connections": [c], "operations": [read]}, "in")
+    assert (seen["start"], seen["rate"], seen["topics"], seen["partition"]) == ("earliest", 9, "t", ("id", 0, 100, 4))
+    del bus["options"]["schema"]
+    with pytest.raises(flow.FlowError, match="schema"):
+        read = {"operatorType": "reader", "signals": {"sources": [{"connectionId": "b"}], "sinks": [{"signalId": "in"}]}}
+        flow.build_flow(spark, {"connections": [bus], "operations": [read]}, "in")
+
+
 def test_reader_options_of_external_systems(spark):
     assert external.bus_options("h:1", "t", "smallest", 500)["startingOffsets"] == "earliest"
     assert external.bus_options("h:1", "t", "smallest", 500)["maxOffsetsPerTrigger"] == "500"
