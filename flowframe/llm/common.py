@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +39,6 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return scratch_dir(spark, f"{label}-{uuid.uuid4().hex[:8]}")
 
 
-def arrow_schema(names_types: dict[str, pa.DataType]) -> pa.Schema:
-    return pa.schema(list(names_types.items()))
-
-
 def sum_arrays(df: DataFrame, key: str, vector: str) -> dict[object, np.ndarray]:
     """The sums by key of float64 vectors held as binaries.
 
@@ -74,8 +70,17 @@ def bounded_ids(df: DataFrame, id_col: str, limit: int) -> DataFrame:
     return ids.orderBy(F.xxhash64(id_col), id_col).limit(limit)
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(f, schema)
+#: Rows of whole texts or sets that go to a Python worker at once.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Make Arrow batches small enough for rows of whole texts; the setting stays for the session,
+    as frames are run later than they are built."""
+    now = int(spark.conf.get(_BATCH_SETTING))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 
 
 def texts(column: pa.Array) -> list[str]:

@@ -17,14 +17,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from flowframe.llm.common import sum_arrays, texts
+from flowframe.llm.common import bound_batches, sum_arrays, texts
 
 DIM = 1024
 GRAM = 3
 #: Texts per language that the profiles are learned from: those with the smallest hashed ids.
 PER_LANGUAGE = 1000
 #: n-gram vectors that a worker keeps.
-KEPT = 40_000
+KEPT = 16_000
 UNKNOWN = "und"
 #: Texts with a smaller cosine to every profile are in no known language; those of one word may be close to it.
 LEAST_SCORE = 0.02
@@ -109,6 +109,7 @@ def learn_profiles(
     At most `per_language` texts of each language are read: a documented bound on the labelled
     sample. The choice is by hashed id, made on narrow rows, so that only chosen texts are moved.
     """
+    bound_batches(docs.sparkSession)
     usable = train & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
@@ -141,6 +142,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], dim: int = DIM, g
     Null, empty and letterless texts are `und` with score 0, and so is every text where no
     profile was learned. Equal cosines go to the language that sorts first.
     """
+    bound_batches(docs.sparkSession)
     names = list(profiles)
     matrix = np.array([profiles[n] for n in names], dtype=np.float64).reshape(len(names), dim)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]

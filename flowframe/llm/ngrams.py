@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import saved
+from flowframe.llm.common import bound_batches, saved
 from flowframe.llm.graph import components
 
 WORDS = 4
@@ -308,6 +308,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     repeat an id are one document: links of each of their texts join it. Columns other than doc_id
     and text are not read.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = saved(described(docs, words), "described", compression="zstd")
     rows = seen.where("n >= 0").select("doc_id", "n", "digest")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import saved, texts
+from flowframe.llm.common import bound_batches, saved, texts
 
 SEQUENCE = 2048
 END_ID = 1
@@ -116,6 +116,7 @@ def pack(
     Documents keep the order of the table's partitions. What reaches the driver is one number per
     written partition, and no row is shuffled: tokens stay in the table written by pass one.
     """
+    bound_batches(docs.sparkSession)
     tokens = saved(tokenize(docs, tokenizer, end_id), "tokens", compression="zstd")
     totals = sorted(tokens.groupBy("part").agg(F.sum("n_tokens")).toLocalIterator())
     parts = np.array([p for p, _ in totals], dtype=np.int64)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import texts
+from flowframe.llm.common import bound_batches, texts
 
 NAMES = (
     "log_words",
@@ -88,6 +88,7 @@ def document_stats(docs: DataFrame) -> DataFrame:
             rows = [text_stats(t).tolist() for t in texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=["doc_id", "stats"])
 
+    bound_batches(docs.sparkSession)
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
     return slim.mapInArrow(run, f"doc_id {kind}, stats array<double>")
