@@ -94,6 +94,15 @@ def cells_dynamic_versions(spark, data):
     return wide.select("row_key", "qualifier", F.explode("versions").alias("ts", "value"))
 
 
+@query("cells_dynamic_parts", f"SELECT row_key, qualifier, ts, value, true AS bounded FROM {LOG}")
+def cells_dynamic_parts(spark, data):
+    """Version maps cut into parts that together hold every cell."""
+    df = op.cells_dynamic_map(log(spark, data), "f", versions=True, max_cells=8)
+    size = F.aggregate(F.map_values("cells"), F.lit(0), lambda a, m: a + F.size(m))
+    wide = df.select("row_key", (size < 64).alias("bounded"), F.explode("cells").alias("qualifier", "versions"))
+    return wide.select("row_key", "qualifier", F.explode("versions").alias("ts", "value"), "bounded")
+
+
 @query(
     "cells_from_frame",
     """SELECT CAST(p_partkey AS VARCHAR) AS row_key, family, qualifier, 1::BIGINT AS ts, value FROM (

@@ -81,18 +81,33 @@ def cells_in(cells: DataFrame, at=None, low=None, high=None) -> DataFrame:
     return cells
 
 
-def cells_dynamic_map(cells: DataFrame, family: str, versions: bool = False) -> DataFrame:
-    """All qualifiers of a family as a map, or as a map of {version timestamp: value} maps."""
+def cells_dynamic_map(
+    cells: DataFrame, family: str, versions: bool = False, max_cells: int | None = None, part_col: str = "part"
+) -> DataFrame:
+    """All qualifiers of a family as a map, or as a map of {version timestamp: value} maps.
+
+    A map is one value of a row. Where a row may hold more cells than fit into one, `max_cells`
+    cuts it into numbered parts of about that many, which together hold every cell; which part a
+    cell goes to follows from its qualifier and version.
+    """
     mine = cells.filter(F.col("family") == family)
+    place = ["qualifier", "ts"] if versions else ["qualifier"]
+    if versions:
+        once = mine.groupBy("row_key", *place).agg(F.max("value").alias("value"))
+    else:
+        once = mine.groupBy("row_key", *place).agg(F.max(F.struct("ts", "value"))["value"].alias("value"))
+    keys = ["row_key"]
+    if max_cells is not None:
+        sizes = once.groupBy("row_key").agg(F.ceil(F.count("*") / F.lit(max_cells)).alias("__parts"))
+        once = once.join(sizes, "row_key").withColumn(part_col, F.pmod(F.xxhash64(*place), F.col("__parts")))
+        keys.append(part_col)
     if not versions:
-        last = mine.groupBy("row_key", "qualifier").agg(F.max(F.struct("ts", "value"))["value"].alias("value"))
-        entry = F.struct("qualifier", "value")
-        return last.groupBy("row_key").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("cells"))
-    once = mine.groupBy("row_key", "qualifier", "ts").agg(F.max("value").alias("value"))
-    by_cell = once.groupBy("row_key", "qualifier").agg(F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("v"))
-    entries = by_cell.groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("qualifier", "v"))).alias("e"))
+        entries = F.array_sort(F.collect_list(F.struct("qualifier", "value")))
+        return once.groupBy(*keys).agg(F.map_from_entries(entries).alias("cells"))
+    by_cell = once.groupBy(*keys, "qualifier").agg(F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("v"))
+    entries = by_cell.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("qualifier", "v"))).alias("e"))
     as_map = F.transform("e", lambda x: F.struct(x["qualifier"], F.map_from_entries(x["v"])))
-    return entries.select("row_key", F.map_from_entries(as_map).alias("cells"))
+    return entries.select(*keys, F.map_from_entries(as_map).alias("cells"))
 
 
 def cells_from_frame(df: DataFrame, key: Column | str, ts: Column | str, families: dict[str, str]) -> DataFrame:

@@ -6,9 +6,10 @@ ordered lists of (label, condition), the first that holds.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowframe.operators.columns import quoted
@@ -159,25 +160,44 @@ def assemble_delivery(
     date: str = "",
     serial: str = "serial",
     keep_undated: bool = False,
+    lists: Callable[[DataFrame, Sequence[str], Sequence[str], str], DataFrame] = nested_lists,
 ) -> DataFrame:
     """Deliveries with lists of lines, of shipments and of the dates first seen.
 
     A delivery refers to shipments by its external id where `use_external` holds and the id is
     given, and by its own id otherwise. Deliveries without any date are dropped unless
-    `keep_undated`.
+    `keep_undated`. `lists` makes the lists, as `nested_lists` does.
     """
-    whole = nested_lists(lines, keys, line_cols, "line_list")
+    whole = lists(lines, keys, line_cols, "line_list")
     match = F.when(use_external & F.col(external_id).isNotNull(), F.col(external_id)).otherwise(F.col(own_id))
-    ships = nested_lists(shipments, [shipment_id], shipment_cols, "shipment_list")
+    ships = lists(shipments, [shipment_id], shipment_cols, "shipment_list")
     ships = ships.withColumnRenamed(shipment_id, "__match")
     out = attach_list(whole.withColumn("__match", match), ships, ["__match"], "shipment_list").drop("__match")
     if dates is None:
         return out
     seen = first_seen_value(dates, date_keys, date, serial)
-    dated = nested_lists(seen, date_keys, [date, serial], "date_list")
+    dated = lists(seen, date_keys, [date, serial], "date_list")
     return attach_list(out, dated, date_keys, "date_list") if keep_undated else join(out, dated, date_keys)
 
 
+def assemble_delivery_bounded(*args, max_items: int, **kwargs) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """`assemble_delivery` for deliveries that may have more entries than fit into a row.
+
+    The objects carry lists of about `max_items`. What is beyond them is in the second result, per
+    list name: (keys of the list, part, list).
+    """
+    overflow: dict[str, DataFrame] = {}
+
+    def lists(df: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str) -> DataFrame:
+        parts = nested_lists(df, keys, cols, name, max_items)
+        # the first part there is stands in the object, so every delivery has one
+        parts = parts.withColumn("__first", F.min("part").over(W.partitionBy(*keys)))
+        overflow[name] = parts.filter("part > __first").drop("__first")
+        return parts.filter("part = __first").drop("part", "__first")
+
+    return assemble_delivery(*args, lists=lists, **kwargs), overflow
+
+
 # --- classification --------------------------------------------------------------------
 
 
