@@ -118,6 +118,21 @@ def micro_batch_map(spark, data):
     return spark.read.parquet(out).select("row_key", "topic")
 
 
+@query(
+    "micro_batch_last_write",
+    f"""SELECT source || '-' || k || '-one-?' AS row_key, max(stamp || '-' || event_type) AS ts,
+          arg_max(upper(event_type), (stamp || '-' || event_type, upper(event_type))) AS value FROM {MESSAGES} GROUP BY 1""",
+)
+def micro_batch_last_write(spark, data):
+    """One batch of messages as cells: of several writes to a cell the last one."""
+    path, out, checkpoint = (scratch_dir(spark, n) for n in ("messages", "cells", "stream-checkpoint"))
+    messages(spark, data).repartition(4).write.text(path)
+    stream = mapping.extract_topic(files.file_stream(spark, path, "text", max_files=1000), "$.header.category")
+    process = batches.mapping_batch(DETAILS, [lambda df, i: batches.write_batch(df, out, i)], last_write=True)
+    batches.run_batches(stream, process, checkpoint).awaitTermination()
+    return spark.read.parquet(out).filter("qualifier = 'twice'").select("row_key", "ts", "value")
+
+
 @query("micro_batch_raw", "SELECT CASE WHEN event_type = 'error' THEN 'none' ELSE event_type END AS topic, count(*) AS messages FROM events GROUP BY 1")
 def micro_batch_raw(spark, data):
     _, raw, _ = mapped_stream(spark, data)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from flowframe.operators.cells import batch_last_write_wins, mapped_cells
 from flowframe.operators.mapping import MappedFrames, map_documents
 from flowframe.operators.relational import partition_sort
 from flowframe.operators.windows import ordered_neighbours
@@ -50,10 +51,14 @@ def mapping_batch(
     doc_ids: Sink | None = None,
     topic_col: str = "topic",
     value_col: str = "value",
+    last_write: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """A batch function: map documents, order rows for the writers, write, keep raw, audit.
 
-    `doc_ids` is a sink for the ids of the batch's documents.
+    `doc_ids` is a sink for the ids of the batch's documents. Sinks get the mapped rows in order;
+    rows of one key may run over several tasks, so a sink that applies them one by one must
+    compare sort keys. With `last_write` sinks get cells instead, one for each table, key, family
+    and qualifier: that of the highest sort key, in any order.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -61,9 +66,13 @@ def mapping_batch(
         mapped = map_documents(kept, spec, topic_col, value_col)
         made = mapped.rows.persist()  # read by the ordering, the sinks and the audit
         try:
-            ordered = partition_sort(made, ["table_name", "row_key"], ["sort_key"])
+            if last_write:
+                cell = ["table_name", "row_key", "family", "qualifier"]
+                written = batch_last_write_wins(mapped_cells(made), cell, "ts")
+            else:
+                written = partition_sort(made, ["table_name", "row_key"], ["sort_key"])
             for sink in sinks:
-                sink(ordered, batch_id)
+                sink(written, batch_id)
             if raw is not None:
                 raw(kept, batch_id)
             if doc_ids is not None:
