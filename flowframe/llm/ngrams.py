@@ -315,7 +315,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     classes = saved(
         rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("cls")), "classes"
     )
-    counts = _merged(seen, "counts", np.uint32, lambda a, b: a.astype(np.uint64) + b)
+    most = np.uint64(2**32 - 1)
+    counts = _merged(seen, "counts", np.uint32, lambda a, b: np.minimum(a + b.astype(np.uint64), most).astype(np.uint32))
     levels = np.zeros(1 << SKETCH_BITS, np.uint8) if counts is None else (2 * np.log2(counts + 1.0)).astype(np.uint8)
     firsts = first_columns(docs.where("doc_id IS NOT NULL"), levels, words, percent)
     firsts = saved(firsts.join(classes.select(F.col("cls").alias("doc_id")).distinct(), "doc_id", "left_semi"), "firsts")

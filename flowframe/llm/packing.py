@@ -7,17 +7,21 @@ at the multiples of the sequence length; a document on a border is in two or mor
 
 from __future__ import annotations
 
+import base64
+import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from flowframe.llm.common import bound_batches, saved, texts
 
@@ -31,37 +35,33 @@ _TOKENS = "part int, doc_id long, start long, n_tokens long, ids binary"
 _PLAIN = re.compile(r"[^\x00-ɏ]")
 
 
-@lru_cache(maxsize=4)
-def _tokenizer(name: str):
+@lru_cache(maxsize=2)
+def _whole_tokenizer(name: str) -> Tokenizer:
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+@lru_cache(maxsize=2)
+def _tokenizer(name: str) -> Callable[[list[str]], list[list[int]]]:
     """A function from texts to lists of ids, those of the tokenizers file.
 
     The same vocabulary as a rank table encodes several times faster. It is used where both are
-    sure to agree: Latin texts that hold none of the file's special tokens.
+    sure to agree: Latin texts that hold none of the file's special tokens. The file itself is
+    loaded when a text asks for it, since workers keep it in memory.
     """
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(public_tokenizers.path(name))
-    special = [t.content for t in tok.get_added_tokens_decoder().values()]
     if name != "byte_bpe_50k.json":
-        return lambda batch: [e.ids for e in tok.encode_batch(batch, add_special_tokens=False)]
-    import base64
-
-    import tiktoken
-
-    lines = open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb")
-    with lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        return lambda batch: [e.ids for e in _whole_tokenizer(name).encode_batch(batch, add_special_tokens=False)]
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        special = [t["content"] for t in json.load(f)["added_tokens"]]
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def ids(batch: list[str]) -> list[list[int]]:
-        return [
-            tok.encode(t, add_special_tokens=False).ids
-            if _PLAIN.search(t) or any(s in t for s in special)
-            else fast.encode_ordinary(t)
-            for t in batch
-        ]
+    def ids(text: str) -> list[int]:
+        if _PLAIN.search(text) or any(s in text for s in special):
+            return _whole_tokenizer(name).encode(text, add_special_tokens=False).ids
+        return fast.encode_ordinary(text)
 
-    return ids
+    return lambda batch: [ids(t) for t in batch]
 
 
 def tokenize(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID) -> DataFrame:
