@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowframe.llm.common import WORD, saved
 
-EDITS = 1
+EDITS = 2
 #: Lines of fewer characters are left as they are.
 MIN_CHARS = 20
 
@@ -41,19 +41,60 @@ def _key_around(line: Column, length: Column, q: int, less: int) -> Column:
     return F.xxhash64(length.cast("int"), F.lit(q), before, F.substring(line, end + F.lit(1 + less), length - end))
 
 
-def segment_keys(line: Column, n: Column, edits: int = EDITS) -> Column:
+def _rung(n: Column) -> Column:
+    """The largest step that is n at most: lengths below 64 have one in four, others one in sixteen."""
+    return F.when(n < 64, n - n % 4).otherwise(n - n % 16)
+
+
+def _pair_keys(line: Column, n: Column, rung: Column, asked: bool) -> Column:
+    """Keys of a line of n >= rung - 2 characters that hold for two edits.
+
+    A line begins with a part P and ends with a part S, of rung - 2 characters in all. If one of
+    them has no edit, it is equal. Else each has one edit, which leaves one half of it: P1 and S2
+    stand where they stood, P2 is moved by one character at most, as counted from the start, and
+    S1 as counted from the end. With P2 and S1 all that lies between them is equal too. Parts that
+    may have moved are taken without their last (in S1, first) character, and looked for a second
+    time moved by one: so a move in either direction is met from one of the two sides.
+    """
+    m = rung - 2
+    p = F.shiftright(m, 1)
+    p1, s = F.shiftright(m, 2), m - p
+    s2 = F.shiftright(m + 1, 2)
+    p2, s1 = p - p1, s - s2
+    fore = lambda begin, size: F.substring(line, begin + F.lit(1), size)
+    aft = lambda behind, size: F.substring(line, n - behind - size + F.lit(1), size)
+    zero, move = F.lit(0), F.lit(1 if asked else 0)
+    moved = [
+        (3, fore(zero, p1), aft(s2 + move, s1 - 1)),
+        (4, fore(p1 + move, p2 - 1), aft(zero, s2)),
+        (5, fore(p1 + move, p2 + s1 - 1), F.lit("")),
+    ]
+    still = [(0, fore(zero, p), F.lit("")), (1, F.lit(""), aft(zero, s)), (2, fore(zero, p1), aft(zero, s2))]
+    return F.array(*[F.xxhash64(rung.cast("int"), F.lit(k), a, b) for k, a, b in (moved if asked else still + moved)])
+
+
+def rungs(n: Column) -> Column:
+    """The steps that a line of n characters meets others on: its own, and the next one if a line
+    longer by two may be on it."""
+    return F.array_distinct(F.array(_rung(n), _rung(n + 2)))
+
+
+def segment_keys(line: Column, n: Column, edits: int = EDITS, rung: Column | None = None) -> Column:
     """Keys under which a line of n characters is found.
 
     With one edit a line has two segments. The segment without an edit is equal, and the other,
     split into two again, has an equal half: so all but one quarter is, and a key is of all but
-    one quarter. With more edits a key is of one segment.
+    one quarter. With two edits a key is of two of four parts, on each of
+    the line's `rungs`. With more a key is of one segment.
     """
     if edits == 1:
         return F.array(*[_key_around(line, n, q, 0) for q in range(4)])
+    if edits == 2:
+        return _pair_keys(line, n, rung, False)
     return F.array(*[_key(line, n, i, 0, edits + 1) for i in range(edits + 1)])
 
 
-def probe_keys(line: Column, n: Column, edits: int = EDITS) -> Column:
+def probe_keys(line: Column, n: Column, edits: int = EDITS, rung: Column | None = None) -> Column:
     """Keys to look for: of lines that are shorter by up to `edits`, or as long, within `edits`.
 
     Of the edits at most i lie before segment i and edits - i behind it, which bounds the shift
@@ -61,6 +102,8 @@ def probe_keys(line: Column, n: Column, edits: int = EDITS) -> Column:
     """
     if edits == 1:
         return F.array(*[_key_around(line, n - 1, q, 1) for q in range(4)])
+    if edits == 2:
+        return _pair_keys(line, n, rung, True)
     keys = []
     for less in range(edits + 1):
         for i in range(edits + 1):
@@ -152,7 +195,9 @@ def near_lines(seen: DataFrame, edits: int = EDITS) -> DataFrame:
     classes = seen.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "h2", "line")).alias("first"))
     sized = classes.select("h", F.col("first.line").alias("line"), F.length("first.line").alias("n"))
     n, line = F.col("n"), F.col("line")
-    keyed = sized.select("h", segment_keys(line, n, edits).alias("own"), probe_keys(line, n, edits).alias("asked"))
+    sized = sized.withColumn("rung", F.explode(rungs(n)) if edits == 2 else n)
+    own, asked = segment_keys(line, n, edits, F.col("rung")), probe_keys(line, n, edits, F.col("rung"))
+    keyed = sized.select("h", own.alias("own"), asked.alias("asked"))
     tagged = keyed.select("h", F.posexplode(F.concat("own", "asked")).alias("place", "key"), F.size("own").alias("owned"))
     keys = tagged.select("key", "h", (F.col("place") < F.col("owned")).alias("own"))
     x, y = keys.alias("x"), keys.alias("y")

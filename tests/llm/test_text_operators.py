@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from flowframe.llm import lines, mixing, ngrams, packing, rules, warc
 from flowframe.llm.graph import components
+from flowframe.llm.queries import QUERIES
 from tests.llm.cases import WORD, base_counts, distance, find_components, gram_set, odd
 
 
@@ -203,6 +204,26 @@ def test_lines(spark, seed):
     assert lines.judged_lines(docs.limit(0)).count() == 0 and lines.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_two_edits_apart(spark, tmp_path):
+    """Every pair of edits at every place: a substitution, deletion or insertion, also across a step of lengths."""
+    base = "".join(chr(97 + i % 26) if i % 3 else chr(0x4E00 + i) for i in range(22))
+    kinds = [(k, i) for k in "sdi" for i in range(0, 23, 2)]
+    texts = [base]
+    for x, (k, i) in enumerate(kinds):
+        for q, j in kinds[x:]:
+            out = list(base)
+            for kind, at in sorted([(k, i), (q, j)], key=lambda e: -e[1]):
+                out[at : at + (kind != "i")] = [] if kind == "d" else ["#"]
+            texts.append("".join(out))
+    texts = [t for t in dict.fromkeys(texts) if len(t) >= 20]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    linked = {r["doc_id"] for r in lines.judged_lines(docs).where("near_doc = 0").collect()}
+    assert linked == {i for i, t in enumerate(texts) if i and distance(t, base) <= 2} and len(linked) > 300
+    pair = ["a line of the corpus that comes twice", "a lime of the corpus that comes twyce"]
+    spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r["kept"] for r in sorted(QUERIES["op4_line_dedup"](spark, str(tmp_path)).collect())] == [True, False]
+
+
 def rows_of(df):
     return df.collect()
 
