@@ -171,16 +171,22 @@ def banded_distance(a: Column, b: Column, edits: int = EDITS) -> Column:
     return F.when(apart, F.lit(edits + 1)).otherwise(_let(F.struct(rows.alias("rows"), columns.alias("columns")), distance))
 
 
+def text_hash() -> Column:
+    """With the id it tells rows apart: ids may be null or repeat. Copies of one row share it."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, line_no (from 0), line and two hashes of each line that takes part.
+    """doc_id, t (the hash of the whole text), line_no (from 0), line and two hashes of each line
+    that takes part.
 
     Texts are cut at each newline. Lines of fewer than `min_chars` characters, and those without a
     word, take no part. A null id counts as the largest.
     """
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    cut = docs.select(doc.alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
+    cut = docs.select(doc.alias("doc_id"), text_hash().alias("t"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
     used = cut.where((F.length("line") >= min_chars) & F.col("line").rlike(WORD))
-    return used.select("doc_id", "line_no", "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    return used.select("doc_id", "line_no", "t", "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def near_lines(seen: DataFrame, edits: int = EDITS) -> DataFrame:
@@ -192,7 +198,7 @@ def near_lines(seen: DataFrame, edits: int = EDITS) -> DataFrame:
     are verified on their texts. Keys to be found and keys to look for are dealt out together:
     one shuffle serves both sides of the join.
     """
-    classes = seen.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "h2", "line")).alias("first"))
+    classes = seen.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "t", "h2", "line")).alias("first"))
     sized = classes.select("h", F.col("first.line").alias("line"), F.length("first.line").alias("n"))
     n, line = F.col("n"), F.col("line")
     sized = sized.withColumn("rung", F.explode(rungs(n)) if edits == 2 else n)
@@ -203,28 +209,21 @@ def near_lines(seen: DataFrame, edits: int = EDITS) -> DataFrame:
     x, y = keys.alias("x"), keys.alias("y")
     meet = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.h") < F.col("y.h")) & (F.col("x.own") | F.col("y.own")))
     pairs = meet.select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
-    place = lambda c: F.struct(f"{c}.doc_id", f"{c}.line_no", f"{c}.h2")
+    place = lambda c: F.struct(f"{c}.doc_id", f"{c}.line_no", f"{c}.t", f"{c}.h2")
     left = pairs.join(classes.select(F.col("h").alias("a"), F.col("first").alias("x")), "a")
     both = left.join(classes.select(F.col("h").alias("b"), F.col("first").alias("y")), "b")
     near = both.where(banded_distance(F.col("x.line"), F.col("y.line"), edits) <= edits)
     return near.select("a", "b", place("x").alias("a_first"), place("y").alias("b_first"))
 
 
-def judged_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per line that takes part.
-
-    doc_id, line_no; first_doc and first_line, the first of the lines equal to it (the class);
-    n_links, the number of other classes within `edits`; near_doc and near_line, the first line of
-    the earliest such class that begins before its own (else null); and kept. A line is kept if it
-    is the first of its class and no earlier class is near. Rows that repeat an id and text are
-    kept alike. A line whose hash is shared by a different one (64 bits) is kept as it is.
-    """
+def _verdicts(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """The rows of judged_lines with t, the hash of the whole text."""
     if 2 * edits + 2 > min_chars:
         raise ValueError("a line needs letters for each segment")
     seen = occurrences(docs, min_chars)
     near = saved(near_lines(seen, edits), "near-lines")
-    seen = saved(seen.select("h", "h2", "doc_id", "line_no"), "line-places")
-    classes = seen.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "h2")).alias("first"))
+    seen = saved(seen.select("h", "h2", "doc_id", "line_no", "t"), "line-places")
+    classes = seen.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "t", "h2")).alias("first"))
     ways = near.select(F.col("a").alias("h"), "a_first", F.col("b_first").alias("other")).union(
         near.select("b", F.col("b_first"), F.col("a_first"))
     )
@@ -234,10 +233,11 @@ def judged_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     verdicts = classes.join(linked, "h", "left")
     joined = seen.join(verdicts, "h")
     same = F.col("h2") == F.col("first.h2")
-    here = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
+    here = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no")) & (F.col("t") == F.col("first.t"))
     return joined.select(
         F.when(F.col("doc_id") != 2**63 - 1, F.col("doc_id")).alias("doc_id"),
         "line_no",
+        "t",
         F.when(same, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("first_doc"),
         F.when(same, F.col("first.line_no")).otherwise(F.col("line_no")).alias("first_line"),
         F.when(same, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
@@ -247,19 +247,34 @@ def judged_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     )
 
 
+def judged_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """One row per line that takes part.
+
+    doc_id, line_no; first_doc and first_line, the first of the lines equal to it (the class);
+    n_links, the number of other classes within `edits`; near_doc and near_line, the first line of
+    the earliest such class that begins before its own (else null); and kept. A line is kept if it
+    is the first of its class and no earlier class is near. Rows that repeat an id and text are
+    kept alike; of different texts under one id, or without one, the least by hash counts as first.
+    A line whose hash is shared by a different one (64 bits) is kept as it is.
+    """
+    return _verdicts(docs, edits, min_chars).drop("t")
+
+
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """`docs` without the lines that are not kept; columns stay as they are.
 
     Texts that lose their last word that way are left out: all they held stands in earlier texts.
-    Other texts keep their order of lines. Texts without a dropped line are not changed, also
+    Other texts keep their order of lines. Verdicts are by id and text, so rows without an id and
+    different texts under one id don't share them. Texts without a dropped line are not changed, also
     null and empty ones.
     """
-    dropped = judged_lines(docs, edits, min_chars).where(~F.col("kept"))
-    gone = dropped.groupBy(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
+    dropped = _verdicts(docs, edits, min_chars).where(~F.col("kept"))
+    doc = lambda c: F.coalesce(c, F.lit(2**63 - 1))
+    gone = dropped.groupBy(doc(F.col("doc_id")).alias("_doc"), F.col("t").alias("_t")).agg(F.collect_set("line_no").alias("_gone"))
+    keyed = docs.withColumn("_doc", doc(F.col("doc_id").cast("long"))).withColumn("_t", text_hash())
     lines = F.split("text", "\n")
     rest = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    joined = keyed.join(gone, "_doc", "left").withColumn("_rest", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest))
+    joined = keyed.join(gone, ["_doc", "_t"], "left").withColumn("_rest", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest))
     left_over = F.col("_gone").isNull() | F.col("_rest").rlike(WORD)
     return joined.where(left_over).select(*[F.col("_rest").alias("text") if c == "text" else F.col(c) for c in docs.columns])
 

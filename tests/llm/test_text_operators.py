@@ -224,6 +224,25 @@ def test_lines_two_edits_apart(spark, tmp_path):
     assert [r["kept"] for r in sorted(QUERIES["op4_line_dedup"](spark, str(tmp_path)).collect())] == [True, False]
 
 
+def test_lines_of_null_and_repeated_ids(spark):
+    """Rows without an id, and different texts under one id, don't share verdicts."""
+    common, own = "this line stands in several of the documents", "only {} has this particular sentence, {}"
+    texts = {k: own.format(k * 4, k[::-1] * 3) for k in ("alpha", "bravo", "delta", "gamma", "kappa")}
+    rows = [
+        (1, common),
+        (None, f"{common}\n{texts['alpha']}"),
+        (None, texts["bravo"]),
+        (7, f"{common}\n{texts['delta']}"),
+        (7, f"{texts['gamma']}\n{texts['kappa']}"),
+    ]
+    clean = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(1, common), (None, texts["alpha"]), (None, texts["bravo"]), (7, texts["delta"]), (7, rows[4][1])]
+    assert sorted(map(tuple, clean), key=str) == sorted(want, key=str)
+    alike = [(None, f"{common}\n{x}") for x in texts.values()]
+    clean = lines.dedup_lines(spark.createDataFrame(alike, "doc_id long, text string")).collect()
+    assert sum(common in r["text"] for r in clean) == 1 and all(any(x in r["text"] for r in clean) for x in texts.values())
+
+
 def rows_of(df):
     return df.collect()
 
