@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from flowframe.llm.common import bound_batches, sum_arrays, texts
 
@@ -26,8 +26,11 @@ PER_LANGUAGE = 1000
 #: n-gram vectors that a worker keeps.
 KEPT = 16_000
 UNKNOWN = "und"
-#: Texts with a smaller cosine to every profile are in no known language; those of one word may be close to it.
-LEAST_SCORE = 0.02
+#: Standard deviations of the noise, 1 / sqrt(dim), that a cosine must reach for a text to be in a known language.
+NOISE = 4
+#: A low quantile of labelled texts' cosines, by number of different n-grams: a text must come as
+#: far as halfway from the noise to it. And the least number of texts that a quantile is taken from.
+QUANTILE, LEAST_TEXTS = 0.01, 50
 
 
 @lru_cache(maxsize=1)
@@ -65,9 +68,13 @@ class Space:
 
     def vector(self, text: str) -> np.ndarray | None:
         """The sum of the text's n-gram vectors; None for a text without letters."""
+        return self.counted(text)[0]
+
+    def counted(self, text: str) -> tuple[np.ndarray | None, int]:
+        """The text's vector and the number of its different n-grams."""
         codes = _letters()[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
         if not codes.any():
-            return None
+            return None, 0
         codes = np.concatenate(([0], codes, [0]))
         keep = np.ones(len(codes), dtype=bool)
         keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)  # one gap between words
@@ -84,7 +91,7 @@ class Space:
             part = found[i : i + 8192].tolist()
             at = np.fromiter((self.row(k) for k in part), dtype=np.int64, count=len(part))
             total += counts[i : i + 8192].astype(np.float32) @ self.table[at].astype(np.float32)
-        return total
+        return total, len(found)
 
     def row(self, key: int) -> int:
         at = self.rows.get(key)
@@ -101,6 +108,17 @@ def space(dim: int, gram: int) -> Space:
     return Space(dim, gram)
 
 
+def _labelled(docs: DataFrame, rows: Column, per_language: int) -> DataFrame:
+    """doc_id, lang and text of at most `per_language` rows of each language, those with the smallest hashed ids."""
+    usable = rows & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = (
+        docs.where(usable).select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
+    )
+    # at most per_language ids for each language: small by that bound
+    return docs.where(usable).select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+
+
 def learn_profiles(
     docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE, dim: int = DIM, gram: int = GRAM
 ) -> dict[str, np.ndarray]:
@@ -110,13 +128,7 @@ def learn_profiles(
     sample. The choice is by hashed id, made on narrow rows, so that only chosen texts are moved.
     """
     bound_batches(docs.sparkSession)
-    usable = train & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        docs.where(usable).select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
-    )
-    # at most per_language ids for each language: small by that bound
-    sample = docs.where(usable).select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    sample = _labelled(docs, train, per_language)
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, sums = space(dim, gram), {}
@@ -142,18 +154,24 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], dim: int = DIM, g
     Null, empty and letterless texts are `und` with score 0, and so is every text where no
     profile was learned. Equal cosines go to the language that sorts first.
     """
+    return _identified(docs, profiles, dim, gram).drop("n_grams")
+
+
+def _identified(docs: DataFrame, profiles: dict[str, np.ndarray], dim: int = DIM, gram: int = GRAM) -> DataFrame:
+    """The rows of identify, with n_grams: how many different n-grams the text has."""
     bound_batches(docs.sparkSession)
     names = list(profiles)
     matrix = np.array([profiles[n] for n in names], dtype=np.float64).reshape(len(names), dim)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "n_grams")]
     at = kept.index("text")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = space(dim, gram)
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, sizes = [], [], []
             for text in texts(batch.column(at)):
-                v = s.vector(text) if names else None
+                v, n = s.counted(text) if names else (None, 0)
+                sizes.append(n)
                 if v is None:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
@@ -163,18 +181,44 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], dim: int = DIM, g
                 langs.append(names[best])
                 scores.append(float(min(1.0, max(0.0, cos[best]))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs), pa.array(scores, pa.float64())], names=[*kept, "lang_pred", "score"]
+                [*batch.columns, pa.array(langs), pa.array(scores, pa.float64()), pa.array(sizes, pa.int64())],
+                names=[*kept, "lang_pred", "score", "n_grams"],
             )
 
     out = docs.select(*kept)
-    schema = StructType([*out.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*out.schema, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("n_grams", LongType())])
     return out.mapInArrow(predict, schema)
 
 
-def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: float = LEAST_SCORE) -> DataFrame:
-    """`docs` without the texts that are in no known language: those without letters, and those
-    that are far from every profile. Columns stay as they are."""
+def _size(n_grams: Column) -> Column:
+    """The size of a text: n of 2^n and more different n-grams."""
+    return F.floor(F.log2(F.greatest(n_grams, F.lit(1)))).cast("int")
+
+
+def learn_least(
+    docs: DataFrame, held: Column, profiles: dict[str, np.ndarray], per_language: int = PER_LANGUAGE
+) -> dict[int, float]:
+    """The least cosine by size, from labelled rows that the profiles were not learned from.
+
+    It lies halfway between the noise and a low quantile of the rows that go to their own language.
+    A size with too few rows has that of the next smaller one. At most `per_language` texts of each language are read.
+    """
+    found = _identified(_labelled(docs, held, per_language), profiles).where(F.col("lang") == F.col("lang_pred"))
+    by_size = found.groupBy(_size(F.col("n_grams")).alias("size")).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile("score", F.lit(QUANTILE)).alias("least")
+    )
+    return {r["size"]: (r["least"] + NOISE / DIM**0.5) / 2 for r in by_size.where(F.col("n") >= LEAST_TEXTS).collect()}
+
+
+def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: dict[int, float] | None = None) -> DataFrame:
+    """`docs` without the texts that are in no known language: those without letters, those whose
+    cosines are all within the noise, and those below the least cosine of their size. Columns stay
+    as they are."""
     kept = docs.columns
-    found = identify(docs, profiles)
-    good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    found = _identified(docs, profiles)
+    noise = F.lit(NOISE / DIM**0.5)
+    bound = noise
+    for size, score in sorted((least or {}).items()):
+        bound = F.when(_size(F.col("n_grams")) >= size, F.greatest(F.lit(score), noise)).otherwise(bound)
+    good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= bound))
     return good.select(*kept)

@@ -1,6 +1,7 @@
 """The pipeline's stages, each held against what its input asks for."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +85,26 @@ def test_stages_on_the_given_documents(spark, tmp_path):
     assert {p["doc_id"] for p in pieces} == set(counts)
 
 
+def test_texts_in_no_learned_language_go(spark, tmp_path):
+    """Scripts and languages that no profile has, and letters at random, against texts of two languages."""
+    r = random.Random(4)
+    english = "the and of to in that it was for on are with as his they be at one have this from or had by hot but some what there we can out other were all your when up use word how said an each she which do their time if will way about many then them would write like so these her long make thing see him two has look more day could go come did my sound no most number who over know water than call first people may down side been now find".split()
+    german = "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem über einen so zum war haben nur oder aber vor zur bis mehr durch man sein wurde sei hatte kann gegen vom können schon wenn habe seine ihre dann unter wir soll ich eines jahr zwei jahren diese dieser wieder keine uhr seiner worden will zwischen immer millionen was sagte".split()
+    say = lambda words, n: " ".join(r.choice(words) for _ in range(n))
+    rows = [(i, say(german if i % 3 else english, r.randint(60, 90)), "de" if i % 3 else "en") for i in range(900)]
+    scripts = [(0x430, 0x44F), (0x3B1, 0x3C9), (0xE01, 0xE2E), (0x4E00, 0x5E00), (97, 122)]
+    word = lambda a, b: "".join(chr(r.randint(a, b)) for _ in range(r.randint(2, 9)))
+    foreign = [" ".join(word(*s) for _ in range(200)) for s in scripts for _ in range(20)]
+    foreign += [
+        "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Ahi quanto a dir qual era e cosa dura questa selva selvaggia e aspra e forte che nel pensier rinova la paura",
+        "Litwo, ojczyzno moja, ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. Dziś piękność twą w całej ozdobie widzę i opisuję, bo tęsknię po tobie. Panno święta, co jasnej bronisz Częstochowy",
+    ]
+    rows += [(1000 + i, text, None) for i, text in enumerate(foreign)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x["doc_id"] for x in dict(corpus_pipeline.STAGES)["language"](spark, docs, str(tmp_path)).collect()}
+    assert got == set(range(900))
+
+
 def near_earlier(line, i, first):
     return any(j < i and abs(len(x) - len(line)) <= 1 and distance(x, line) <= 1 for x, j in first.items())
 
