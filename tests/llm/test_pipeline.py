@@ -105,6 +105,16 @@ def test_texts_in_no_learned_language_go(spark, tmp_path):
     assert got == set(range(900))
 
 
+def test_near_duplicates_by_five_words_and_four_fifths(spark, tmp_path):
+    """A copy with 22% of text appended goes, one with 30% stays; the similarity is of five-word sets."""
+    words = [f"word{i}" for i in range(400)]
+    rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate([words[:104], words[:126], words[200:304], words[200:334]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    sets = [gram_set(r[1], 5) for r in rows]
+    assert [round(len(a & b) / len(a | b), 2) for a, b in ((sets[0], sets[1]), (sets[2], sets[3]))] == [0.82, 0.77]
+    assert sorted(by_id(dict(corpus_pipeline.STAGES)["ngram_join"](spark, docs, str(tmp_path)))) == [0, 2, 3]
+
+
 def near_earlier(line, i, first):
     return any(j < i and abs(len(x) - len(line)) <= 1 and distance(x, line) <= 1 for x, j in first.items())
 
