@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from flowframe.llm.common import WORD, saved
 
 EDITS = 2
+#: Letters that are counted to tell candidates apart before their distance is computed.
+LETTERS = " eantiosrlu"
 #: Lines of fewer characters are left as they are.
 MIN_CHARS = 20
 
@@ -171,6 +173,12 @@ def banded_distance(a: Column, b: Column, edits: int = EDITS) -> Column:
     return F.when(apart, F.lit(edits + 1)).otherwise(_let(F.struct(rows.alias("rows"), columns.alias("columns")), distance))
 
 
+def letters_agree(a: Column, b: Column, edits: int = EDITS) -> Column:
+    """Whether the letter counts allow for the distance: each edit changes two counts by one at most."""
+    count = lambda x, letter: F.octet_length(x) - F.octet_length(F.replace(x, F.lit(letter), F.lit("")))
+    return sum((F.abs(count(a, c) - count(b, c)) for c in LETTERS), F.lit(0)) <= 2 * edits
+
+
 def text_hash() -> Column:
     """With the id it tells rows apart: ids may be null or repeat. Copies of one row share it."""
     return F.xxhash64(F.col("text").cast("string"))
@@ -212,7 +220,8 @@ def near_lines(seen: DataFrame, edits: int = EDITS) -> DataFrame:
     place = lambda c: F.struct(f"{c}.doc_id", f"{c}.line_no", f"{c}.t", f"{c}.h2")
     left = pairs.join(classes.select(F.col("h").alias("a"), F.col("first").alias("x")), "a")
     both = left.join(classes.select(F.col("h").alias("b"), F.col("first").alias("y")), "b")
-    near = both.where(banded_distance(F.col("x.line"), F.col("y.line"), edits) <= edits)
+    x, y = F.col("x.line"), F.col("y.line")
+    near = both.where(F.when(letters_agree(x, y, edits), banded_distance(x, y, edits) <= edits).otherwise(False))
     return near.select("a", "b", place("x").alias("a_first"), place("y").alias("b_first"))
 
 
