@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.catalog import table
-from flowframe.llm import hamming, language, lines, mixing, ngrams, packing, quality, rules, toxicity, warc
+from flowframe.llm import hamming, language, lines, mixing, multiindex, ngrams, packing, quality, rules, toxicity, warc
 from flowframe.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op6_ngram_join(spark: SparkSession, data: str) -> DataFrame:
 @query("op4_line_dedup", lines.LINES_SQL)
 def op4_line_dedup(spark: SparkSession, data: str) -> DataFrame:
     return lines.judged_lines(table(spark, data, "documents"))
+
+
+@query("op11_multi_index", multiindex.VECTORS_SQL)
+def op11_multi_index(spark: SparkSession, data: str) -> DataFrame:
+    return multiindex.near_vectors(table(spark, data, "embeddings"))
