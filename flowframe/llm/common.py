@@ -86,3 +86,15 @@ def bound_batches(spark: SparkSession) -> None:
 def texts(column: pa.Array) -> list[str]:
     """The texts of an Arrow column, nulls as empty texts."""
     return [t or "" for t in column.to_pylist()]
+
+
+def crc32_sql(text: str) -> str:
+    """crc32 of a text's UTF-8 bytes in SQL, one byte after the other."""
+    table = []
+    for i in range(256):
+        for _ in range(8):
+            i = (i >> 1) ^ (0xEDB88320 if i & 1 else 0)
+        table.append(i)
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    step = f"lambda c, b: xor(c >> 8, ({table}::BIGINT[])[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce([4294967295::BIGINT] || {octets}, {step}), 4294967295::BIGINT)"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.catalog import table
-from flowframe.llm import hamming, language, lines, mixing, multiindex, ngrams, packing, quality, rules, toxicity, variants, warc
+from flowframe.llm import dialogue, hamming, language, lines, mixing, multiindex, ngrams, packing, quality, rules, toxicity, variants, warc
 from flowframe.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op11_multi_index(spark: SparkSession, data: str) -> DataFrame:
 @query("op12_spelling_variants", variants.VARIANTS_SQL)
 def op12_spelling_variants(spark: SparkSession, data: str) -> DataFrame:
     return variants.spelling_variants(table(spark, data, "documents"))
+
+
+@query("op13_dialogue_repair", dialogue.REPAIR_SQL)
+def op13_dialogue_repair(spark: SparkSession, data: str) -> DataFrame:
+    return dialogue.repair_report(table(spark, data, "conversations"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import saved
+from flowframe.llm.common import crc32_sql, saved
 
 #: Runs of these are words before damage.
 LETTERS = r"[A-Za-zÀ-ÿ]"
@@ -273,18 +273,6 @@ def spelling_variants(docs: DataFrame, most_bytes: int = MAX_FILTER_BYTES) -> Da
     return judged.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
-def _crc32_sql(text: str) -> str:
-    """crc32 of a text's UTF-8 bytes, one byte after the other."""
-    table = []
-    for i in range(256):
-        for _ in range(8):
-            i = (i >> 1) ^ (0xEDB88320 if i & 1 else 0)
-        table.append(i)
-    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
-    step = f"lambda c, b: xor(c >> 8, ({table}::BIGINT[])[(xor(c, b) & 255) + 1])"
-    return f"xor(list_reduce([4294967295::BIGINT] || {octets}, {step}), 4294967295::BIGINT)"
-
-
 #: The result as SQL over `documents`: words meet by their shortened spellings.
 VARIANTS_SQL = f"""
 WITH RECURSIVE runs AS (
@@ -292,7 +280,7 @@ WITH RECURSIVE runs AS (
 ), summed AS (
   SELECT run, count(*) AS k, coalesce(doc_id::VARCHAR, '') || ':' || run AS named FROM runs GROUP BY run, doc_id
 ), hashed AS (
-  SELECT run, k, {_crc32_sql('named')} AS h FROM summed
+  SELECT run, k, {crc32_sql('named')} AS h FROM summed
 ), spelled AS (
   SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k FROM hashed
 ), words AS (
