@@ -1,9 +1,10 @@
 """Line dedup by a segment-partition edit join, in DataFrame expressions alone.
 
-Each line is split into threshold + 1 segments. Two lines within the threshold share a segment,
-at a place that their lengths bound, so substrings of a line are probed against the segments of
-lines that are as long or a little shorter. Candidates are verified by a banded bit-parallel
-edit distance: a word of 2 * threshold + 1 bits goes along the diagonal, one letter at a time.
+Lines are cut into segments, at places that their lengths decide, and edits leave some of them
+equal: with a threshold of two, two of four; with one, all but one of four quarters; with more, one of
+threshold + 1. Substrings of a line are probed against the segments of lines that are as long or
+a little shorter. Candidates are verified by a banded bit-parallel edit distance: a word of
+2 * threshold + 1 bits goes along the diagonal, one letter at a time.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 from flowframe.llm.common import WORD, saved
 
 EDITS = 2
-#: Letters that are counted to tell candidates apart before their distance is computed.
-LETTERS = " eantiosrlu"
+#: Letters that are counted to tell candidates apart before they meet.
+LETTERS = " eantiosrludch"
 #: Lines of fewer characters are left as they are.
 MIN_CHARS = 20
 
@@ -173,10 +174,23 @@ def banded_distance(a: Column, b: Column, edits: int = EDITS) -> Column:
     return F.when(apart, F.lit(edits + 1)).otherwise(_let(F.struct(rows.alias("rows"), columns.alias("columns")), distance))
 
 
-def letters_agree(a: Column, b: Column, edits: int = EDITS) -> Column:
-    """Whether the letter counts allow for the distance: each edit changes two counts by one at most."""
-    count = lambda x, letter: F.octet_length(x) - F.octet_length(F.replace(x, F.lit(letter), F.lit("")))
-    return sum((F.abs(count(a, c) - count(b, c)) for c in LETTERS), F.lit(0)) <= 2 * edits
+def letter_counts(line: Column) -> Column:
+    """How often each of LETTERS stands in the line, four bits each, in one number."""
+    count = lambda c: F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+    packed = F.lit(0).cast("long")
+    for i, c in enumerate(LETTERS):
+        packed = packed.bitwiseOR(F.shiftleft(count(c).cast("long").bitwiseAND(F.lit(15)), 4 * i))
+    return packed
+
+
+def counts_agree(a: Column, b: Column, edits: int = EDITS) -> Column:
+    """Whether the letter counts allow for the distance: an edit takes away one letter, adds one, or
+    both. Counts are known modulo 16, and differ by at least their distance on that circle."""
+    apart = F.lit(0).cast("long")
+    for i in range(len(LETTERS)):
+        d = (F.shiftright(a, 4 * i) - F.shiftright(b, 4 * i)).bitwiseAND(F.lit(15))
+        apart = apart + F.least(d, F.lit(16) - d)
+    return apart <= 2 * edits
 
 
 def text_hash() -> Column:
@@ -205,23 +219,37 @@ def near_lines(seen: DataFrame, edits: int = EDITS) -> DataFrame:
     one row for each task. Lines meet by hashed segments, with nothing left out, and candidates
     are verified on their texts. Keys to be found and keys to look for are dealt out together:
     one shuffle serves both sides of the join.
+
+    Most keys are of one line only, and go first. Many lines may share a key and still be far
+    apart, as variants of a text in which different words were replaced are. So lines that are
+    left get their length and letter counts, and only those meet whose counts allow for the
+    distance: pairs that are written down follow the links, not the squares of such groups.
     """
     classes = seen.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "t", "h2", "line")).alias("first"))
     sized = classes.select("h", F.col("first.line").alias("line"), F.length("first.line").alias("n"))
     n, line = F.col("n"), F.col("line")
-    sized = sized.withColumn("rung", F.explode(rungs(n)) if edits == 2 else n)
+    stepped = sized.withColumn("rung", F.explode(rungs(n)) if edits == 2 else n)
     own, asked = segment_keys(line, n, edits, F.col("rung")), probe_keys(line, n, edits, F.col("rung"))
-    keyed = sized.select("h", own.alias("own"), asked.alias("asked"))
+    keyed = stepped.select("h", own.alias("own"), asked.alias("asked"))
     tagged = keyed.select("h", F.posexplode(F.concat("own", "asked")).alias("place", "key"), F.size("own").alias("owned"))
-    keys = tagged.select("key", "h", (F.col("place") < F.col("owned")).alias("own"))
-    x, y = keys.alias("x"), keys.alias("y")
-    meet = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.h") < F.col("y.h")) & (F.col("x.own") | F.col("y.own")))
-    pairs = meet.select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
+    keys = tagged.select("key", "h", (F.col("place") < F.col("owned")).alias("own")).repartition("key")
+    shared = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low != high").select("key")
+    met = keys.join(shared, "key", "left_semi")
+    counted = sized.join(met.select("h").distinct(), "h", "left_semi").select("h", "n", letter_counts(line).alias("counts"))
+    met = met.join(counted, "h")
+    x, y = met.alias("x"), met.alias("y")
+    meet = (
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.h") < F.col("y.h"))
+        & (F.col("x.own") | F.col("y.own"))
+        & (F.abs(F.col("x.n") - F.col("y.n")) <= edits)
+        & counts_agree(F.col("x.counts"), F.col("y.counts"), edits)
+    )
+    pairs = x.join(y, meet).select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
     place = lambda c: F.struct(f"{c}.doc_id", f"{c}.line_no", f"{c}.t", f"{c}.h2")
     left = pairs.join(classes.select(F.col("h").alias("a"), F.col("first").alias("x")), "a")
     both = left.join(classes.select(F.col("h").alias("b"), F.col("first").alias("y")), "b")
-    x, y = F.col("x.line"), F.col("y.line")
-    near = both.where(F.when(letters_agree(x, y, edits), banded_distance(x, y, edits) <= edits).otherwise(False))
+    near = both.where(banded_distance(F.col("x.line"), F.col("y.line"), edits) <= edits)
     return near.select("a", "b", place("x").alias("a_first"), place("y").alias("b_first"))
 
 
@@ -288,27 +316,28 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     return joined.where(left_over).select(*[F.col("_rest").alias("text") if c == "text" else F.col(c) for c in docs.columns])
 
 
-#: The verdicts as SQL over `documents`, for one edit: two lines within it share a half.
+#: The verdicts as SQL over `documents`. Of three segments of a line one is equal in each line within
+#: two edits, moved by two places at most; so lines meet in it, and all that meet are compared.
 LINES_SQL = r"""
 WITH cut AS (
   SELECT doc_id, unnest(range(len(l)))::INT AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
 ), seen AS (
   SELECT * FROM cut WHERE length(line) >= 20 AND regexp_matches(line, '[^\x20\x09-\x0D]')
 ), classes AS (
-  SELECT line, min((doc_id, line_no)) AS first, length(line) AS n, length(line) // 2 AS half FROM seen GROUP BY line
+  SELECT line, min((doc_id, line_no)) AS first, length(line) AS n FROM seen GROUP BY line
+), segments AS (
+  SELECT line, n, i, substr(line, i * (n // 3) + 1, CASE i WHEN 2 THEN n - 2 * (n // 3) ELSE n // 3 END) AS part
+  FROM classes, (VALUES (0), (1), (2)) s(i)
+), probes AS (
+  SELECT line, n - less AS n, i, substr(line, i * ((n - less) // 3) + 1 + shift, CASE i WHEN 2 THEN n - less - 2 * ((n - less) // 3) ELSE (n - less) // 3 END) AS part
+  FROM classes, (VALUES (0), (1), (2)) s(i), (VALUES (0), (1), (2)) d(less), (VALUES (-2), (-1), (0), (1), (2)) m(shift)
+  WHERE i * ((n - less) // 3) + shift >= 0
 ), meet AS (
-  SELECT a.line AS a, b.line AS b, a.first AS a_first, b.first AS b_first FROM classes a JOIN classes b
-    ON b.n = a.n AND substr(a.line, 1, a.half) = substr(b.line, 1, a.half) AND a.line <> b.line
-  UNION SELECT a.line, b.line, a.first, b.first FROM classes a JOIN classes b
-    ON b.n = a.n AND substr(a.line, a.half + 1) = substr(b.line, a.half + 1) AND a.line <> b.line
-  UNION SELECT a.line, b.line, a.first, b.first FROM classes a JOIN classes b
-    ON b.n = a.n + 1 AND substr(a.line, 1, a.half) = substr(b.line, 1, a.half)
-  UNION SELECT a.line, b.line, a.first, b.first FROM classes a JOIN classes b
-    ON b.n = a.n + 1 AND substr(a.line, a.half + 1) = substr(b.line, a.half + 2)
+  SELECT DISTINCT p.line AS a, s.line AS b FROM probes p JOIN segments s ON s.n = p.n AND s.i = p.i AND s.part = p.part AND s.line <> p.line
 ), links AS (
-  SELECT * FROM meet WHERE levenshtein(a, b) <= 1
+  SELECT a, b FROM meet WHERE levenshtein(a, b) <= 2
 ), ways AS (
-  SELECT a AS line, b AS other, b_first AS place FROM links UNION SELECT b, a, a_first FROM links
+  SELECT l.a AS line, c.first AS place FROM (SELECT a, b FROM links UNION SELECT b, a FROM links) l JOIN classes c ON c.line = l.b
 ), linked AS (
   SELECT c.line, count(*) AS n_links, min(w.place) FILTER (w.place < c.first) AS near FROM classes c JOIN ways w ON w.line = c.line GROUP BY c.line
 )
