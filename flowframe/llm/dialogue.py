@@ -203,6 +203,12 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows by conversation, in as many partitions as shuffles have: rows without their texts are
+    few bytes, but much work, and would be merged into a few tasks."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "conv_id")
+
+
 def repairs(rows: DataFrame) -> DataFrame:
     """For each conversation its counts, cost and audit (pos is null), and the edits of rows."""
 
@@ -222,7 +228,7 @@ def repairs(rows: DataFrame) -> DataFrame:
         yield from _batches(found(), [x.split()[0] for x in _REPAIRS.split(", ")], _KINDS)
 
     short = rows.select("conv_id", "pos", "turn", F.substring("role", 1, 1).alias("initial"), "fault")
-    return short.repartition("conv_id").sortWithinPartitions("conv_id", "pos").mapInArrow(run, _REPAIRS)
+    return _dealt(short).sortWithinPartitions("conv_id", "pos").mapInArrow(run, _REPAIRS)
 
 
 def digests(rows: DataFrame, edits: DataFrame) -> DataFrame:
@@ -269,7 +275,7 @@ def digests(rows: DataFrame, edits: DataFrame) -> DataFrame:
 
         yield from _batches(found(), ["conv_id", "repaired_sha256"], [pa.int64(), pa.string()])
 
-    in_order = both.repartition("conv_id").sortWithinPartitions("conv_id", "pos", F.col("edits").asc_nulls_last())
+    in_order = _dealt(both).sortWithinPartitions("conv_id", "pos", F.col("edits").asc_nulls_last())
     return in_order.mapInArrow(run, "conv_id long, repaired_sha256 string")
 
 

@@ -234,8 +234,9 @@ def near_lines(seen: DataFrame, edits: int = EDITS) -> DataFrame:
     tagged = keyed.select("h", F.posexplode(F.concat("own", "asked")).alias("place", "key"), F.size("own").alias("owned"))
     keys = tagged.select("key", "h", (F.col("place") < F.col("owned")).alias("own")).repartition("key")
     shared = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low != high").select("key")
-    met = keys.join(shared, "key", "left_semi")
-    counted = sized.join(met.select("h").distinct(), "h", "left_semi").select("h", "n", letter_counts(line).alias("counts"))
+    # inner joins with distinct keys, as semi joins would move below the aggregation and repeat it
+    met = keys.join(shared, "key")
+    counted = sized.join(met.select("h").distinct(), "h").select("h", "n", letter_counts(line).alias("counts"))
     met = met.join(counted, "h")
     x, y = met.alias("x"), met.alias("y")
     meet = (

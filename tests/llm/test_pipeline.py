@@ -36,7 +36,7 @@ def test_stages_on_the_given_documents(spark, tmp_path):
     assert all(tuple(after[i]) == tuple(before[i]) for i in after)
     assert all(not any(c.isalpha() for c in before[i]["text"] or "") or len(before[i]["text"]) < 12 for i in set(before) - set(after))
 
-    # lines: no line that stays is equal to an earlier one, or within an edit of it
+    # lines: no line that stays is equal to an earlier one, or within two edits of it
     clean = through("line_dedup", spoken)
     assert clean.columns == COLUMNS
     kept, seen = by_id(clean), {}
@@ -47,7 +47,7 @@ def test_stages_on_the_given_documents(spark, tmp_path):
                 seen[x] = i
     long = sorted(seen, key=lambda x: (len(x), x))
     for a, b in zip(long, long[1:]):
-        assert abs(len(a) - len(b)) > 1 or (a[:9] != b[:9] and a[-9:] != b[-9:]) or distance(a, b) > 1
+        assert abs(len(a) - len(b)) > 2 or (a[:6] != b[:6] and a[-6:] != b[-6:]) or distance(a, b) > 2
     first_lines = {}
     for i in sorted(after):
         for x in after[i]["text"].split("\n"):
@@ -58,13 +58,13 @@ def test_stages_on_the_given_documents(spark, tmp_path):
     # near duplicates: the smallest id of each component
     single = through("ngram_join", clean)
     assert single.columns == COLUMNS
-    sets = {i: gram_set(r["text"]) for i, r in kept.items()}
+    sets = {i: gram_set(r["text"], 5) for i, r in kept.items()}
     posts = {}
     for i, s in sets.items():
         for g in s:
             posts.setdefault(g, []).append(i)
     links = {(p[0], i) for p in posts.values() for i in p[1:]}
-    links = [(a, b) for a, b in links if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    links = [(a, b) for a, b in links if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert set(by_id(single)) == set(find_components(sets, links).values())
 
     # mixing: as many copies as planned, each a document as it was
@@ -116,7 +116,7 @@ def test_near_duplicates_by_five_words_and_four_fifths(spark, tmp_path):
 
 
 def near_earlier(line, i, first):
-    return any(j < i and abs(len(x) - len(line)) <= 1 and distance(x, line) <= 1 for x, j in first.items())
+    return any(j < i and abs(len(x) - len(line)) <= 2 and distance(x, line) <= 2 for x, j in first.items())
 
 
 def test_odd_rows_pass_every_stage(spark, tmp_path):
