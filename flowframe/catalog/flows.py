@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flowframe.catalog import query, table
 from flowframe.operators.incremental import SnapshotStore
 from flowframe.operators.rules import load_functions
-from flowframe.plans import flow
+from flowframe.plans import delta, flow
 from flowframe.session import scratch_dir
 
 
@@ -332,3 +332,124 @@ def pull_flow(spark, data):
     for batch, day in enumerate(days):
         flow.pull_flow(spark, spec, "writer-events", store, batch, "ts", day)
     return spark.read.parquet(target).select("event_id", "user_id")
+
+
+def pulled_flow(data, *operations):
+    """Orders and lines with the times they came at, and what a test flow makes of them."""
+    return {
+        "connections": [connection("orders", f"{data}/orders.parquet"), connection("lines", f"{data}/lineitem.parquet")],
+        "operations": [
+            op("reader", [], ["orders"], "orders", projection=cols(("o_orderkey", "orderkey"), ("o_custkey", "custkey"), ("o_orderdate", "ordered"), ("o_totalprice", "price")), timestamp="ordered"),
+            op("reader", [], ["lines"], "lines", projection=cols(("l_orderkey", "orderkey"), ("l_linenumber", "line"), ("l_shipdate", "shipped"), ("l_quantity", "quantity")), timestamp="shipped"),
+            *operations,
+        ],
+    }
+
+
+SINCE, UNTIL = "1997-03-01 00:00:00", "1998-03-01 00:00:00"
+
+
+def _gained(rows):
+    """SQL for the rows of a query over what had come by `till` that it lacked before."""
+    return f"SELECT * FROM ({rows.format(till=UNTIL)}) EXCEPT ALL SELECT * FROM ({rows.format(till=SINCE)})"
+
+
+PULL_JOIN = """SELECT o_orderkey AS orderkey, o_custkey AS custkey, l_linenumber AS line FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+  WHERE o_orderdate <= TIMESTAMP '{till}' AND l_shipdate <= TIMESTAMP '{till}' AND l_quantity > 10"""
+
+
+@query("pull_flow_join", _gained(PULL_JOIN))
+def pull_flow_join(spark, data):
+    """Rows an inner join gained: new orders with all lines, and old orders with new lines."""
+    spec = pulled_flow(
+        data,
+        op("filter", ["lines"], ["large"], expr="quantity > 10"),
+        op("join", ["orders", "large"], ["joined"], cols=["orderkey"]),
+        op("select", ["joined"], ["result"], cols=["orderkey", "custkey", "line"]),
+    )
+    return delta.flow_changes(spark, spec, "result", SINCE, UNTIL).gained
+
+
+PULL_UNION = """SELECT o_orderkey AS orderkey, 'order' AS kind, CAST(o_orderdate AS VARCHAR) AS at FROM orders WHERE o_orderdate <= TIMESTAMP '{till}'
+  UNION ALL SELECT l_orderkey, 'line', CAST(l_shipdate AS VARCHAR) FROM lineitem WHERE l_shipdate <= TIMESTAMP '{till}'"""
+
+
+@query("pull_flow_union", _gained(PULL_UNION))
+def pull_flow_union(spark, data):
+    spec = pulled_flow(
+        data,
+        op("withColumns", ["orders"], ["a"], cols=[{"name": "kind", "expr": "'order'"}, {"name": "at", "expr": "CAST(ordered AS STRING)"}]),
+        op("withColumns", ["lines"], ["b"], cols=[{"name": "kind", "expr": "'line'"}, {"name": "at", "expr": "CAST(shipped AS STRING)"}]),
+        op("select", ["a"], ["left"], cols=["orderkey", "kind", "at"]),
+        op("select", ["b"], ["right"], cols=["orderkey", "kind", "at"]),
+        op("union", ["left", "right"], ["result"]),
+    )
+    return delta.flow_changes(spark, spec, "result", SINCE, UNTIL).gained
+
+
+PULL_FRESHEST = """SELECT custkey, orderkey, line FROM (SELECT o_custkey AS custkey, o_orderkey AS orderkey, l_linenumber AS line,
+    greatest(o_orderdate, l_shipdate) AS moment, max(greatest(o_orderdate, l_shipdate)) OVER (PARTITION BY o_custkey) AS best
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderdate <= TIMESTAMP '{till}' AND l_shipdate <= TIMESTAMP '{till}') WHERE moment = best"""
+
+
+def freshest_flow(data):
+    return pulled_flow(
+        data,
+        op("join", ["orders", "lines"], ["joined"], cols=["orderkey"]),
+        op("withColumn", ["joined"], ["timed"], col="moment", expr="greatest(ordered, shipped)"),
+        op("freshestRows", ["timed"], ["fresh"], keyCols=["custkey"], timestamp="moment"),
+        op("select", ["fresh"], ["result"], cols=["custkey", "orderkey", "line"]),
+    )
+
+
+@query("pull_flow_freshest", _gained(PULL_FRESHEST))
+def pull_flow_freshest(spark, data):
+    """The freshest rows of customers that something new came for."""
+    return delta.flow_changes(spark, freshest_flow(data), "result", SINCE, UNTIL).gained
+
+
+@query(
+    "pull_flow_lost",
+    "SELECT * FROM (" + PULL_FRESHEST.format(till=SINCE) + ") EXCEPT ALL SELECT * FROM (" + PULL_FRESHEST.format(till=UNTIL) + ")",
+)
+def pull_flow_lost(spark, data):
+    """The rows that were the freshest, and are no longer."""
+    return delta.flow_changes(spark, freshest_flow(data), "result", SINCE, UNTIL).lost
+
+
+PULL_OUTER = """SELECT o_orderkey AS orderkey, count(l_linenumber) AS lines FROM (SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '{till}')
+  LEFT JOIN (SELECT * FROM lineitem WHERE l_shipdate <= TIMESTAMP '{till}') ON o_orderkey = l_orderkey GROUP BY 1"""
+
+
+@query("pull_flow_nested", _gained(PULL_OUTER))
+def pull_flow_nested(spark, data):
+    """Lists of an order's lines, through an outer join; orders whose list changed come again."""
+    spec = pulled_flow(
+        data,
+        op("select", ["orders"], ["heads"], cols=["orderkey"]),
+        op("join", ["heads", "lines"], ["joined"], cols=["orderkey"], joinType="left"),
+        op("pushStruct", ["joined"], ["nested"], cols=["line", "shipped", "quantity"], colName="rows", asArray="true"),
+        op("withColumn", ["nested"], ["counted"], col="lines", expr="CAST(size(filter(rows, r -> r.line IS NOT NULL)) AS BIGINT)"),
+        op("select", ["counted"], ["result"], cols=["orderkey", "lines"]),
+    )
+    return delta.flow_changes(spark, spec, "result", SINCE, UNTIL).gained
+
+
+@query(
+    "flow_catch_up",
+    """SELECT event_id, CAST(ceil((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-10')) / (5 * 86400000000)) AS INT) AS batch_id
+       FROM events WHERE ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-28 12:00:00'""",
+)
+def flow_catch_up(spark, data):
+    """History unwritten, then five days at a time up to now; the second call has nothing left to do."""
+    target, state = scratch_dir(spark, "caught-up"), scratch_dir(spark, "catch-up-state")
+    spec = {
+        "connections": [connection("events", f"{data}/events.parquet"), connection("out", target)],
+        "operations": [
+            op("reader", [], ["events"], "events", timestamp="ts"),
+            op("writer", ["events"], [], connection_out="out", prefetch={"to": "2024-01-10 00:00:00", "save": "false"}, catchupIncrement="5 days"),
+        ],
+    }
+    for now in ("2024-01-25 00:00:00", "2024-01-28 12:00:00", "2024-01-28 12:00:00"):
+        delta.catch_up_flow(spark, spec, "writer-events", state, now)
+    return spark.read.parquet(target).select("event_id", "batch_id")
