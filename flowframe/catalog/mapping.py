@@ -299,6 +299,59 @@ def topic_templates(spark, data):
     return run(spark, data, BY_TOPIC).rows.select("topic", "row_key", "dedup_key")
 
 
+HELPER_COLS = {
+    "upper": "toUpper($.header.category)",
+    "lower": "toLower(concat('K', $.data.k))",
+    "bare": "trim(concat('  ', $.data.note, ' '))",
+    "joined": "join('|', $.header.source, $.data.gone, $.data.k)",
+    "digits": "matches($.data.k, '[0-9]{2}')",
+    "part": "subString($.header.timestamp, 4, 6)",
+    "tail": "subString($.header.source, 1, 0)",
+    "rounded": "round(concat('-', $.data.k, '.5'))",
+    "blank": "not($.data.note)",
+    "class": "if $.data.k >= 50 && $.header.category == 'view' then 'seen' else if $.data.note then concat('n', $.data.k) else 'none'",
+    "later": "now() > 1700000000000",
+    "top": "topHli($.data.id)",
+    "sum": "$.data.k + 1",
+    "context": "concat(topic, '!')",
+}
+
+
+@query(
+    "map_functions",
+    f"""SELECT upper(event_type) AS "upper", 'k' || k AS lower, nullif(note, '') AS bare, source || '||' || k AS joined,
+          CASE WHEN regexp_full_match(k, '[0-9]{{2}}') THEN 'true' ELSE 'false' END AS digits, substr(stamp, 5, 2) AS part, substr(source, 2) AS tail,
+          (-(k::BIGINT))::VARCHAR AS rounded, CASE WHEN note = '' THEN 'true' ELSE 'false' END AS blank,
+          CASE WHEN k::INT >= 50 AND event_type = 'view' THEN 'seen' WHEN note <> '' THEN 'n' || k ELSE 'none' END AS class, 'true' AS later,
+          id AS top, (k::BIGINT + 1)::VARCHAR AS sum, event_type || '!' AS context FROM {MESSAGES}""",
+)
+def map_functions(spark, data):
+    """The helper functions in values of a spec."""
+    cols = [{"name": n, "value": v} for n, v in HELPER_COLS.items()]
+    spec = {**DETAILS, "templates": [template("details", "details", cols, ["id"])]}
+    rows = run(spark, data, spec).rows
+    return rows.select(*[F.col("cells").getItem(n).alias(n) for n in HELPER_COLS])
+
+
+@query(
+    "reject_bad_values",
+    f"""SELECT 'row' AS kind, id, NULL AS failed, (k::INT + 1)::VARCHAR AS next FROM {MESSAGES} WHERE k::INT % 5 <> 0 AND event_type <> 'view'
+        UNION ALL SELECT 'reject', id, CASE WHEN event_type = 'view' THEN CASE WHEN k::INT % 5 = 0 THEN 'next,part' ELSE 'part' END ELSE 'next' END, NULL
+        FROM {MESSAGES} WHERE k::INT % 5 = 0 OR event_type = 'view'
+        UNION ALL SELECT 'reject', NULL, NULL, NULL FROM events WHERE event_type = 'error'""",
+)
+def reject_bad_values(spark, data):
+    """Messages with a value that fails have no rows, and are told with the columns that failed."""
+    cols = [
+        {"name": "next", "value": "if $.data.k % 5 == 0 then CAST(concat('x', $.data.k) AS INT) else $.data.k + 1"},
+        {"name": "part", "value": "subString($.data.note, 0, 5)"},
+    ]
+    out = run(spark, data, {**DETAILS, "templates": [template("details", "details", cols, ["$.data.id"])]})
+    rows = out.rows.select(F.lit("row").alias("kind"), F.col("row_key").alias("id"), F.lit(None).cast("string").alias("failed"), F.col("cells")["next"].alias("next"))
+    told = out.rejects.select(F.lit("reject").alias("kind"), F.get_json_object("value", "$.data.id").alias("id"), "failed", F.lit(None).cast("string").alias("next"))
+    return rows.unionByName(told)
+
+
 @query("sort_key", f"SELECT id AS row_key, stamp || '-' || event_type AS sort_key FROM {MESSAGES}")
 def sort_key(spark, data):
     spec = {**DETAILS, "templates": [template("details", "details", COLS, ["$.data.id"])]}

@@ -11,10 +11,13 @@ Values are texts of three kinds:
   grandparent's document): the value of its first match, null when missing;
 * a literal in quotes;
 * any Spark SQL expression, in which a path stands for the texts of all its matches in one text,
-  empty when missing.
+  empty when missing. The helpers toUpper, toLower, trim, concat, join, matches, subString, round,
+  now, not and topHli and the form `if c then a else b` may be used in it.
 
 Paths may hold names, indexes and lists of them, slices, `*`, filters `[?(@.a == 'x')]` and
-descents `..name`. A value that can't be cast is null: one bad message doesn't stop the others.
+descents `..name`. A value that fails (text that is no number where one is asked for, an overflow,
+a division by zero, a part outside of a text) rejects its message: the others go on. A missing or
+empty text is no failure; what is computed from it is null.
 """
 
 from __future__ import annotations
@@ -23,10 +26,12 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.functions.jsonpath import STRINGS_AND_THE_REST, step
+from flowframe.operators import mapvalues
+from flowframe.operators.mapvalues import QUOTED, Value
 
 SIMPLE = r"(?:\.\./){0,2}\$(?:\.[A-Za-z_][\w-]*|\[\d+\]|\['[^']*'\])*"
 STEP = (
@@ -34,7 +39,6 @@ STEP = (
     r"|-?\d*:-?\d*(?::-?\d+)?|\?\((?:[^()']|'[^']*')*\))\s*\])"
 )
 PATH = rf"(?:\.\./){{0,2}}\${STEP}*"
-QUOTED = r"'(?:[^'\\]|\\.|'')*'"
 ROW_TYPE = (
     "struct<table_name:string,row_key:string,family:string,cells:map<string,string>,"
     "namespace:string,dedup_key:string,sort_key:string>"
@@ -61,14 +65,39 @@ class Scope:
     """The documents a value can reach: the current one first, then its parents.
 
     Texts of the message itself are read once each, into columns listed in `columns`; they
-    are used by cells, keys and hashes alike.
+    are used by cells, keys and hashes alike. `failures` gathers SQL for the names of values that
+    fail, as lists; `known` keeps what was analysed. With `bad_as_null` a failing value is null.
     """
 
+    spark: SparkSession
     docs: tuple[str, ...] = ("doc",)
     columns: dict[str, str] = field(default_factory=dict)
+    failures: list[str] = field(default_factory=list)
+    known: dict[tuple[str, int], Value] = field(default_factory=dict)
+    bad_as_null: bool = False
 
     def child(self, name: str) -> Scope:
-        return Scope((name, *self.docs), self.columns)
+        return Scope(self.spark, (name, *self.docs), self.columns, [], self.known, self.bad_as_null)
+
+    def fresh(self) -> Scope:
+        return Scope(self.spark, self.docs, self.columns, [], self.known, self.bad_as_null)
+
+    def failing(self) -> str:
+        """SQL for the names of the values that fail, so far."""
+        found = list(dict.fromkeys(self.failures))
+        return found[0] if len(found) == 1 else f"concat({', '.join(found)})" if found else NO_NAMES
+
+    def value(self, text: str, name: str) -> str:
+        """SQL for an expression; where it can fail, `name` is noted."""
+        key = (text, len(self.docs))
+        if key not in self.known:
+            self.known[key] = evaluated(text, self)
+        made = self.known[key]
+        if made.failed and self.bad_as_null:
+            return f"IF({made.failed}, NULL, {made.sql})"
+        if made.failed:
+            self.failures.append(f"IF({made.failed}, array({sql_text(name)}), {NO_NAMES})")
+        return made.sql
 
     def text_at(self, path: str) -> str:
         """SQL for the text at a path."""
@@ -99,6 +128,7 @@ class Scope:
 
 
 NO_MATCH = "CAST(array() AS array<variant>)"
+NO_NAMES = "CAST(array() AS array<string>)"
 
 
 def _field(v: str, name: str) -> str:
@@ -200,40 +230,63 @@ def matches_sql(path: str, doc: str) -> str:
     return node
 
 
-def value_sql(text: str, scope: Scope) -> str:
-    """SQL for a mapping value, as text or null."""
+def value_sql(text: str, scope: Scope, name: str = "") -> str:
+    """SQL for a mapping value, as text or null; where it fails, it is noted under the name or its own text."""
     if re.fullmatch(PATH, text.strip()):
         return scope.first_text(text.strip())
-    return f"TRY_CAST({expression_sql(text, scope)} AS STRING)"
+    return f"TRY_CAST({scope.value(text, name or text)} AS STRING)"
 
 
-def expression_sql(text: str, scope: Scope) -> str:
-    """A Spark SQL expression with its paths replaced by their texts.
+def evaluated(text: str, scope: Scope) -> Value:
+    """A Spark SQL expression with its paths replaced by their texts, and when it fails.
 
-    Casts are tried, and a path that is compared with a number is one where its text is.
+    Of a path that is compared with a number the text counts as one where it is one.
     """
-
-    def swap(m: re.Match) -> str:
-        found = m.group(0)
-        if found.startswith("'"):
-            return found
-        return "TRY_CAST(" if found[0] in "cC" else scope.all_texts(found)
-
     number = rf"(?P<path>{PATH})(?P<op>\s*(?:==|=|!=|<>|<=|>=|<|>)\s*)(?P<n>-?\d+(?:\.\d+)?)\b"
     pieces, at = [], 0
     for m in re.finditer(rf"{QUOTED}|{number}", text):
         if m.group("path"):
             pieces += [text[at : m.start()], f"TRY_CAST({m.group('path')} AS DOUBLE){m.group('op')}{m.group('n')}"]
             at = m.end()
-    text = "".join(pieces) + text[at:]
-    return re.sub(rf"{QUOTED}|(?<![\w.])[Cc][Aa][Ss][Tt]\(|{PATH}", swap, text)
+    given: dict[str, str] = {}  # SQL of a text: the name that stands for it meanwhile
+
+    def named(sql: str) -> str:
+        return given.setdefault(sql, f"__p{len(given)}")
+
+    def swap(m: re.Match) -> str:
+        return m.group(0) if m.group(0)[0] == "'" else named(scope.all_texts(m.group(0)))
+
+    spelled = re.sub(rf"{QUOTED}|{PATH}", swap, "".join(pieces) + text[at:])
+    back = lambda sql: re.sub(rf"{QUOTED}|__p\d+", lambda m: names.get(m.group(0), m.group(0)), sql)
+    names: dict[str, str] = {}
+
+    def top_item(x: str) -> str:
+        names.update({v: k for k, v in given.items()})
+        return named(top_item_sql(back(x), scope))
+
+    spelled = mapvalues.expanded(spelled, top_item)
+    names.update({v: k for k, v in given.items()})
+    columns = {"topic": "string", "value": "string", **dict.fromkeys(names, "string")}
+    made = mapvalues.analysed(scope.spark, spelled, columns)
+    return Value(back(made.sql), made.failed and back(made.failed))
+
+
+def top_item_sql(x: str, scope: Scope) -> str:
+    """SQL for the item at the top of item `x` of a message: parents are followed until none is named."""
+    items = scope.reach("../" * (len(scope.docs) - 1) + "$", matches_sql(mapvalues.ITEMS + "[*]", "{doc}"))
+    whole = f"IF(size({items}) = 0, {scope.reach('../' * (len(scope.docs) - 1) + '$', matches_sql(mapvalues.ITEMS, '{doc}'))}, {items})"
+    field_of = lambda v, name: f"try_variant_get({v}, '$.{name}', 'string')"
+    up = f"array_join(transform(filter({whole}, i -> {field_of('i', mapvalues.ITEM)} = a.at), i -> coalesce({field_of('i', mapvalues.PARENT)}, '')), '')"
+    step = f"IF(a.done OR {up} IN ('', '{mapvalues.ROOT_MARKER}'), named_struct('at', a.at, 'done', true), named_struct('at', {up}, 'done', false))"
+    start = f"named_struct('at', coalesce(nullif(CAST({x} AS STRING), ''), '{mapvalues.FIRST_ITEM}'), 'done', false)"
+    return f"reduce(sequence(0, size({whole})), {start}, (a, n) -> {step}, a -> IF(a.done, a.at, 'cycle'))"
 
 
 def condition_sql(text: str, scope: Scope) -> str:
     """A routing condition; `&&` and `||` may stand for AND and OR."""
     words = {"&&": " AND ", "||": " OR "}
     spelled = re.sub(rf"{QUOTED}|&&|\|\|", lambda m: words.get(m.group(0), m.group(0)), text)
-    return f"coalesce(({expression_sql(spelled, scope)}), false)"
+    return f"coalesce(({scope.value(spelled, 'when')}), false)"
 
 
 def key_text(parts: list[str]) -> str:
@@ -275,7 +328,7 @@ def rows_sql(row: dict, scope: Scope, sort_key: str) -> str:
     for c in spec["cols"]:
         family, _, name = c["name"].rpartition(":")
         cell = (family or c.get("colFamily") or spec["family"], name)
-        value = f"nullif({value_sql(c['value'], scope)}, '')"
+        value = f"nullif({value_sql(c['value'], scope, name)}, '')"
         # of two columns with one name, the last that has a value wins
         cells[cell] = f"coalesce({value}, {cells[cell]})" if cell in cells else value
         if c.get("isDedup") and cell not in marked:
@@ -316,8 +369,11 @@ def template_sql(template: dict, templates: dict[str, dict], scope: Scope, sort_
     parts = [rows_sql(r, scope, sort_key) for r in (defined if isinstance(defined, list) else [defined])]
     for child in template.get("children") or []:
         kid = f"k{depth}"
-        inner = template_sql(templates[child["template"]], templates, scope.child(kid), sort_key, depth + 1)
-        parts.append(f"flatten(transform({children_sql(child['select'], scope.docs[0])}, {kid} -> {inner}))")
+        below, each = scope.child(kid), children_sql(child["select"], scope.docs[0])
+        inner = template_sql(templates[child["template"]], templates, below, sort_key, depth + 1)
+        parts.append(f"flatten(transform({each}, {kid} -> {inner}))")
+        if below.failures:
+            scope.failures.append(f"flatten(transform({each}, {kid} -> {below.failing()}))")
     return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
 
 
@@ -357,14 +413,16 @@ def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col
     """Apply a mapping to JSON messages.
 
     `rows` holds the mapped rows, `doc_ids` the distinct (topic, doc_id) of all messages, and
-    `rejects` the messages that are no JSON.
+    `rejects` the messages that are no JSON (failed is null) and those in which a value of a
+    template that applies fails (failed names the columns); they have no rows. With `badValues`
+    set to `null` in the spec such messages keep their rows, and the values are null.
     """
     templates = {t["name"]: t for t in spec.get("templates") or []}
     messages = explode_lines(df.select(F.col(topic_col).alias("topic"), F.col(value_col).alias("value")))
     parsed = messages.withColumn("doc", F.try_parse_json("value"))
-    scope = Scope()
+    scope = Scope(df.sparkSession, bad_as_null=spec.get("badValues", "reject") == "null")
 
-    tagged, ids = [], []
+    tagged, ids, failures = [], [], []
     for m in source_maps(spec):
         when = m.get("when")
         name = sql_text(m.get("sourceName", ""))
@@ -373,13 +431,18 @@ def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col
             ids.append(key_text([value_sql(e, scope) for e in id_exprs]))
         if not when:
             continue
+        here, asked = scope.fresh(), scope.fresh()
         sort_exprs = m.get("sortkey") or []
-        sort_key = key_text([value_sql(e, scope) for e in sort_exprs]) if sort_exprs else "''"
-        made = [template_sql(templates[t], templates, scope, sort_key) for t in m.get("templates") or []]
+        sort_key = key_text([value_sql(e, here, "sortkey") for e in sort_exprs]) if sort_exprs else "''"
+        made = [template_sql(templates[t], templates, here, sort_key) for t in m.get("templates") or []]
         rows = made[0] if len(made) == 1 else f"concat({', '.join(made)})"
-        condition = condition_sql(re.sub(r"\bsourceName\b", lambda _: name, when), scope)
+        condition = condition_sql(re.sub(r"\bsourceName\b", lambda _: name, when), asked)
         # tested here rather than in a filter, which would parse every document twice
         condition = f"doc IS NOT NULL AND {condition}"
+        if asked.failures:
+            failures.append(f"IF(doc IS NOT NULL, {asked.failing()}, {NO_NAMES})")
+        if here.failures:
+            failures.append(f"IF({condition}, {here.failing()}, {NO_NAMES})")
         tagged.append(
             f"transform(CASE WHEN {condition} THEN {rows} ELSE CAST(array() AS array<{ROW_TYPE}>) END, "
             f"x -> struct({name} AS source_name, x AS row))"
@@ -387,13 +450,20 @@ def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col
     if not tagged:
         raise ValueError("the mapping has no source map with a condition")
     every = tagged[0] if len(tagged) == 1 else f"concat({', '.join(tagged)})"
-    parsed = parsed.withColumns({name: F.expr(text) for text, name in scope.columns.items()})
-    out = parsed.select("topic", F.explode(F.expr(every)).alias("m"))
-    rows = out.select("topic", "m.source_name", "m.row.*")
     distinct_ids = list(dict.fromkeys(ids)) or ["'?'"]
-    good = parsed.filter("doc IS NOT NULL")
-    doc_ids = good.select("topic", F.explode(F.expr(f"array({', '.join(distinct_ids)})")).alias("doc_id")).distinct()
-    rejects = parsed.filter("doc IS NULL").select("topic", "value")
+    with mapvalues.without_errors(df.sparkSession):
+        parsed = parsed.withColumns({name: F.expr(text) for text, name in scope.columns.items()})
+        bad = F.col("doc").isNull()
+        if failures:
+            parsed = mapvalues.with_failures(parsed, failures, "__failed")
+            every = f"CASE WHEN size(__failed) = 0 THEN {every} ELSE CAST(array() AS array<struct<source_name:string,row:{ROW_TYPE}>>) END"
+            bad = bad | (F.size("__failed") > 0)
+        out = parsed.select("topic", F.explode(F.expr(every)).alias("m"))
+        good = parsed.filter("doc IS NOT NULL")
+        doc_ids = good.select("topic", F.explode(F.expr(f"array({', '.join(distinct_ids)})")).alias("doc_id")).distinct()
+        names = F.nullif(F.array_join(F.array_distinct("__failed"), ","), F.lit("")) if failures else F.lit(None).cast("string")
+        rejects = parsed.filter(bad).select("topic", "value", names.alias("failed"))
+    rows = out.select("topic", "m.source_name", "m.row.*")
     return MappedFrames(rows, doc_ids, rejects)
 
 

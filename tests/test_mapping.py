@@ -189,7 +189,7 @@ def test_top_item_inside_a_document(spark):
     assert got == ["10", "10", "n/a", "cycle", "n/a"]
 
 
-def mapped_cells(spark, doc, values, children=None, when="true"):
+def mapped_cells(spark, doc, values, children=None, when="true", **more):
     cols = [{"name": f"c{i}", "value": v} for i, v in enumerate(values)]
     spec = {
         "sourceMap": [{"sourceName": "s", "when": when, "templates": ["t"], "idockey": ["$.id"]}],
@@ -197,6 +197,7 @@ def mapped_cells(spark, doc, values, children=None, when="true"):
             {"name": "t", "row": {"name": "T", "rowKey": ["$.id"], "colFamily": "f", "cols": cols}, "children": children or []},
             {"name": "kid", "row": {"name": "K", "rowKey": ["../$.id", "$.n"], "colFamily": "f", "cols": [{"name": "v", "value": "$.v[*]"}]}},
         ],
+        **more,
     }
     frame = spark.createDataFrame([("t", json.dumps(doc) if not isinstance(doc, str) else doc)], "topic string, value string")
     return mapping.map_documents(frame, spec)
@@ -226,7 +227,7 @@ def test_children_are_chosen_by_filters(spark):
 
 
 def test_bad_values_do_not_stop_the_job(spark):
-    got = mapped_cells(spark, ORDER, ["CAST($.num AS INT)", "'CAST(x'", "$.id"], when="NOT coalesce($.num == 7, false)").rows.first()
+    got = mapped_cells(spark, ORDER, ["CAST($.num AS INT)", "'CAST(x'", "$.id"], when="NOT coalesce($.num == 7, false)", badValues="null").rows.first()
     assert got["cells"] == {"c1": "CAST(x", "c2": "o1"}
     assert mapped_cells(spark, ORDER, ["$.id"], when="$.num == 7").rows.count() == 0
     assert mapped_cells(spark, {**ORDER, "num": "7"}, ["$.id"], when="$.num == 7").rows.count() == 1
@@ -235,3 +236,86 @@ def test_bad_values_do_not_stop_the_job(spark):
 def test_topics_by_any_path(spark):
     df = spark.createDataFrame([(json.dumps(ORDER),), ("{}",), ("x",)], "value string")
     assert [r["topic"] for r in mapping.extract_topic(df, "$.lines[?(@.n == 2)].kind").collect()] == ["b", "unknown", None]
+
+
+def only_cells(spark, doc, values, **more):
+    return mapped_cells(spark, doc, values, **more).rows.where("table_name = 'T'").first()["cells"]
+
+
+def test_helpers_of_specs(spark):
+    doc = {"a": " Ab\tc ", "n": "-2.5", "m": "7", "empty": "", "it's": "q", "l": ["x", "y"], "lines": [{"n": 1}]}
+    values = {
+        "toUpper($.a)": " AB\tC ", "toLower($.a)": " ab\tc ", "trim($.a)": "Ab\tc", "concat($.m, $.gone)": "7", "concat(toUpper(trim($.a)), '-', $.l[*])": "AB\tC-xy",
+        "join(',', $.m, $.gone, 'x,y)')": "7,,x,y)", "matches($.m, '\\\\d')": "true", "matches($.a, 'Ab')": "false", "subString('abcdef', 1, 3)": "bc",
+        "subString($.m, 0, -1)": "7", "round($.n)": "-2", "round('2.5')": "3", "round(2.345, 2)": "2.35", "not($.empty)": "true", "not($.m)": "false",
+        "not($.m == '7')": "false", "if $.m == '7' then 'seven' else 'other'": "seven", "if $.empty then 1 else if $.m && $.n < 0 then 2 else 3": "2",
+        "if (not($.m) || $.m > 6) then concat('<', if $.gone then 'a' else 'b', '>') else 'no'": "<b>",
+        "CASE WHEN $.m = 7 THEN 'then' ELSE 'if' END": "then", "IF($.m = 7, 'y', 'n')": "y", "$.m + 1": "8", "abs($.m) || 'x'": "7.0x", "now() > 1700000000000": "true",
+    }
+    got = only_cells(spark, doc, list(values))
+    assert {e: got.get(f"c{i}") for i, e in enumerate(values)} == values
+
+
+def test_the_top_item_of_a_message(spark):
+    items = [{"POSEX": "000010", "UEPOS": "000000"}, {"POSEX": "000020", "UEPOS": "000010"}, {"POSEX": "000030", "UEPOS": "000020"}, {"POSEX": "5", "UEPOS": "6"}, {"POSEX": "6", "UEPOS": "5"}, {"POSEX": "000040"}]
+    values = ["topHli('000030')", "topHli($.which)", "topHli($.gone)", "topHli('5')", "topHli('000040')", "topHli('99')"]
+    got = only_cells(spark, {"which": "000020", "ZORDER": {"IDOC": {"E1EDP01": items}}}, values)
+    assert [got[f"c{i}"] for i in range(6)] == ["000010", "000010", "000010", "cycle", "000040", "99"]
+    single = only_cells(spark, {"Z": {"IDOC": {"E1EDP01": items[0]}}}, ["topHli('000010')"])
+    assert single["c0"] == "000010"
+
+
+BAD = [
+    "$.num + 1", "abs($.num)", "CAST ($.num AS INT)", "cast($.num as date)", "subString($.id, 1, 9)", "1 / ($.zero - 0)", "$.big + 1", "concat('a', CAST($.num AS INT))",
+    "if $.id == 'o1' then CAST($.num AS INT) else 0", "coalesce(nullif($.gone, ''), CAST($.num AS INT))", "date_add($.num, 1)",
+]
+GOOD = [
+    "$.gone + 1", "CAST($.gone AS INT)", "TRY_CAST($.num AS INT)", "if $.id == 'no' then CAST($.num AS INT) else 0", "coalesce($.zero, CAST($.num AS INT))", "$.num > 5",
+    "CASE WHEN $.id = 'o1' THEN 1 WHEN CAST($.num AS INT) = 1 THEN 2 END",
+]
+
+
+def test_bad_values_reject_their_message(spark):
+    doc = {**ORDER, "zero": "0", "big": "9223372036854775807"}
+    got = mapped_cells(spark, doc, [*BAD, *GOOD, "$.id"])
+    assert got.rows.count() == 0
+    assert got.rejects.first()["failed"].split(",") == [f"c{i}" for i in range(len(BAD))]
+    assert got.doc_ids.first()["doc_id"] == "o1"
+    kept = mapped_cells(spark, doc, [*GOOD, "$.id"])
+    assert kept.rejects.count() == 0 and kept.rows.count() == 1
+    as_null = mapped_cells(spark, doc, [*BAD, "$.id"], badValues="null")
+    assert as_null.rows.first()["cells"] == {f"c{len(BAD)}": "o1"} and as_null.rejects.count() == 0
+
+
+def test_only_templates_that_apply_can_fail(spark):
+    assert mapped_cells(spark, ORDER, ["$.num + 1"], when="$.id == 'other'").rejects.count() == 0
+    assert mapped_cells(spark, ORDER, ["$.id"], when="CAST($.num AS INT) = 1").rejects.first()["failed"] == "when"
+    broken = mapped_cells(spark, "{no", ["$.num + 1"])
+    assert [tuple(r) for r in broken.rejects.collect()] == [("t", "{no", None)]
+
+
+def test_a_child_s_bad_value_rejects_the_message(spark):
+    spec = {
+        "sourceMap": [{"sourceName": "s", "when": "true", "templates": ["t"], "idockey": ["$.id"], "sortkey": ["$.stamp + 0"]}],
+        "templates": [
+            {"name": "t", "row": {"name": "T", "rowKey": ["$.id"], "cols": [{"name": "id", "value": "$.id"}]}, "children": [{"template": "kid", "select": "$.l"}]},
+            {"name": "kid", "row": {"name": "K", "rowKey": ["../$.id"], "cols": [{"name": "q", "value": "CAST($.q AS INT) + ../$.add"}]}, "children": [{"template": "leaf", "select": "$.x"}]},
+            {"name": "leaf", "row": {"name": "L", "rowKey": ["../../$.id"], "cols": [{"name": "u", "value": "subString($.u, 0, 1)"}]}},
+        ],
+    }
+    docs = [
+        {"id": "1", "stamp": "1", "add": "1", "l": [{"q": "1"}, {"q": "2", "x": [{"u": "uu"}]}]},
+        {"id": "2", "stamp": "1", "add": "1", "l": [{"q": "1"}, {"q": "two"}]},
+        {"id": "3", "stamp": "1", "add": "1", "l": [{"q": "1", "x": {"u": "u"}}, {"q": "1", "x": [{"u": "u"}, {"u": ""}]}]},
+        {"id": "4", "stamp": "x", "add": "1", "l": []},
+    ]
+    frame = spark.createDataFrame([("t", json.dumps(d)) for d in docs], "topic string, value string")
+    got = mapping.map_documents(frame, spec)
+    assert sorted((r["table_name"], *r["cells"].values()) for r in got.rows.collect()) == [("K", "2"), ("K", "3"), ("L", "u"), ("T", "1")]
+    assert sorted((json.loads(r["value"])["id"], r["failed"]) for r in got.rejects.collect()) == [("2", "q"), ("3", "u"), ("4", "sortkey")]
+
+
+def test_settings_are_put_back(spark):
+    before = [spark.conf.get(k, None) for k in ("spark.sql.ansi.enabled", "spark.sql.legacy.sizeOfNull")]
+    mapped_cells(spark, ORDER, BAD)
+    assert [spark.conf.get(k, None) for k in ("spark.sql.ansi.enabled", "spark.sql.legacy.sizeOfNull")] == before
