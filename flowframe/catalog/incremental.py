@@ -135,3 +135,25 @@ def propagate_changes(spark, data):
     changed = op.TimeView(parts.filter("p_size <= 40"), parts.filter("p_size > 40"))
     df = op.propagate_changes(heads, [(named, ["orderkey"]), (changed, ["partkey"])]).new
     return df.select("orderkey", "l_linenumber", "partkey", "p_brand")
+
+
+MONTHS = ("199305", "199611", "199802")
+
+
+@query(
+    "new_rows_by_month",
+    f"""SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y%m') AS yearmonth FROM orders
+        WHERE strftime(o_orderdate, '%Y%m') IN {MONTHS} AND o_orderkey % 7 = 0""",
+)
+def new_rows_by_month(spark, data):
+    """A table by month of which three months gain rows, and others are written again as they were."""
+    month = F.date_format("o_orderdate", "yyyyMM")
+    orders = table(spark, data, "orders").select("o_orderkey", "o_custkey", "o_totalprice", month.alias("yearmonth"))
+    path, store = scratch_dir(spark, "orders-by-month"), op.MonthStore(spark, scratch_dir(spark, "month-state"))
+    late = F.col("yearmonth").isin(*MONTHS) & (F.col("o_orderkey") % 7 == 0)
+    orders.filter(~late).write.partitionBy("yearmonth").parquet(path)
+    store.pull(spark.read.parquet(path), "yearmonth", 0)
+    again = orders.filter(F.col("yearmonth").isin(*MONTHS) | F.col("yearmonth").startswith("1995"))
+    again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("yearmonth").parquet(path)
+    gained = store.pull(spark.read.parquet(path), "yearmonth", 1)
+    return gained.withColumn("yearmonth", F.col("yearmonth").cast("string"))

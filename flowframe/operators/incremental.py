@@ -8,7 +8,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from flowframe.operators.columns import quoted
 from flowframe.operators.events import current_state
 from flowframe.operators.relational import anti_join_null_safe, join, union_ragged
 
@@ -126,12 +128,80 @@ class SnapshotStore:
         done = [b for b in self._done() if before is None or b < before]
         return self.spark.read.parquet(f"{self.path}/batch={done[-1]}") if done else None
 
-    def known(self, before: int | None = None) -> DataFrame | None:
-        """All rows of the finished batches, or of those older than batch `before`."""
-        done = [b for b in self._done() if before is None or b < before]
-        return self.spark.read.parquet(*[f"{self.path}/batch={b}" for b in done]) if done else None
-
-    def save(self, df: DataFrame, batch_id: int) -> DataFrame:
+    def known(self, before: int | None = None, schema: StructType | None = None) -> DataFrame | None:
+        """All rows of the finished batches, or of those older than batch `before`; with a schema
+        also where batches are laid out by a column."""
+        done = [f"{self.path}/batch={b}" for b in self._done() if before is None or b < before]
+        if not done:
+            return None
+        if schema is None:
+            return self.spark.read.parquet(*done)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*done).select(*schema.names)
+
+    def save(self, df: DataFrame, batch_id: int, by: str | None = None) -> DataFrame:
+        """Write the rows of a batch, in directories by the column `by` where it is given."""
         target = f"{self.path}/batch={batch_id}"
-        df.write.mode("overwrite").parquet(target)
-        return self.spark.read.parquet(target)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(target)
+        return self.spark.read.schema(df.schema).parquet(target)
+
+
+class MonthStore:
+    """What pulls of a table laid out by month have delivered, and a manifest of its months.
+
+    The manifest has, for each month, a digest of its files (path, length, time) and one of its
+    rows: their number, and the sum of their hashes, which doesn't depend on their order. A pull
+    lists the files, digests the rows of months whose files differ, and compares the rows of
+    those whose digest differs; other months are not read. A batch that is run again sees what was
+    known before it, and replaces its own. The driver holds one line for each month.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.rows = SnapshotStore(spark, f"{path.rstrip('/')}/rows")
+        self.manifests = SnapshotStore(spark, f"{path.rstrip('/')}/months")
+
+    def pull(self, current: DataFrame, month: str, batch_id: int, ignore: Sequence[str] | None = None) -> DataFrame:
+        """The rows of `current` that earlier batches lack, as in `new_rows`.
+
+        `current` must be read from files in directories of the column `month`, as it is now. Rows
+        without a month are a month like others. Columns in `ignore` are not compared. When the
+        compared columns are others than before, every month counts as different.
+        """
+        compared = [c for c in current.columns if c != month and c not in (ignore or ())]
+        shape = current.select(*compared).schema.simpleString()
+        before = self.manifests.latest(before=batch_id)
+        known = {r["month"]: r for r in before.collect() if r["shape"] == shape} if before is not None else {}
+        listed = {r["month"]: r["files"] for r in file_digests(current, month).collect()}
+        moved = [m for m, files in listed.items() if m not in known or known[m]["files"] != files]
+        read = {r["month"]: (r["n"], r["content"]) for r in row_digests(of_months(current, month, moved), month, compared).collect()}
+        differ = [m for m in moved if m not in known or (known[m]["n"], known[m]["content"]) != read[m]]
+        some, past = of_months(current, month, differ), self.rows.known(batch_id, current.schema)
+        if past is None:
+            gained = some.distinct() if ignore is None else some
+        else:
+            gained, _ = new_rows(some, of_months(past, month, differ), ignore=ignore)
+        fresh = self.rows.save(gained.select(*[c for c in current.columns if c != month], month), batch_id, by=month)
+        lines = [(m, files, *(read[m] if m in read else (known[m]["n"], known[m]["content"])), shape) for m, files in listed.items()]
+        fields = "month string, files decimal(38,0), n long, content decimal(38,0), shape string"
+        self.manifests.save(current.sparkSession.createDataFrame(lines, fields), batch_id)
+        return fresh.select(*current.columns)
+
+
+def of_months(df: DataFrame, month: str, months: Sequence[str | None]) -> DataFrame:
+    """The rows of some months, as a filter that directories are chosen by."""
+    named = [m for m in months if m is not None]
+    kept = F.col(month).cast("string").isin(named) if named else F.lit(False)
+    return df.filter(kept | F.col(month).isNull() if None in months else kept)
+
+
+def file_digests(df: DataFrame, month: str) -> DataFrame:
+    """month and files: a sum of hashes of the month's files. No column of the files is read."""
+    file = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    files = df.select(F.col(month).cast("string").alias("month"), file.alias("h")).distinct()
+    return files.groupBy("month").agg(F.sum(F.col("h").cast("decimal(38,0)")).alias("files"))
+
+
+def row_digests(df: DataFrame, month: str, compared: Sequence[str]) -> DataFrame:
+    """month, n and content: the number of rows and a sum of their hashes."""
+    rows = df.select(F.col(month).cast("string").alias("month"), F.xxhash64(*[F.col(quoted(c)) for c in compared]).alias("h"))
+    return rows.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("content"))

@@ -134,3 +134,55 @@ def test_gained_rows_add_up(spark, tmp_path):
     for batch, n in ((1, 3), (2, 9), (2, 2)):  # the second batch runs twice
         store.save(spark.range(n), batch)
     assert store.known().count() == 5 and store.known(before=2).count() == 3
+
+
+def by_month(spark, path, rows, mode="overwrite"):
+    df = spark.createDataFrame(rows, "id int, at string, month string")
+    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    return spark.read.schema("id int, at string, month string").parquet(path)
+
+
+def ids(df):
+    return sorted(r["id"] for r in df.collect())
+
+
+def test_pulls_read_only_months_that_differ(spark, tmp_path, monkeypatch):
+    path, store = f"{tmp_path}/t", incremental.MonthStore(spark, f"{tmp_path}/s")
+    rows = [(i, f"t{i}", f"20240{1 + i % 4}") for i in range(40)] + [(100, "t", None)]
+    assert ids(store.pull(by_month(spark, path, rows), "month", 0)) == [*range(40), 100]
+    asked = []
+    real = incremental.of_months
+    monkeypatch.setattr(incremental, "of_months", lambda df, month, months: asked.append(sorted(map(str, months))) or real(df, month, months))
+    assert ids(store.pull(spark.read.schema("id int, at string, month string").parquet(path), "month", 1)) == []
+    assert asked == [[], [], []]
+    # one month is written again as it was, in other files; one gains two rows and loses one
+    asked.clear()
+    changed = [r for r in rows if r[2] == "202402" and r[0] != 1] + [(50, "t", "202402"), (51, "t", "202402")]
+    by_month(spark, path, [r for r in rows if r[2] == "202403"])
+    current = by_month(spark, path, changed)
+    for _ in range(2):  # also when the batch is run again
+        asked.clear()
+        assert ids(store.pull(current, "month", 2)) == [50, 51]
+        assert asked == [["202402", "202403"], ["202402"], ["202402"]]
+    plan = real(current, "month", ["202402"])._jdf.queryExecution().executedPlan().toString()
+    assert "202402" in plan.split("PartitionFilters")[1].split("]")[0]
+    # the month without a name
+    assert ids(store.pull(by_month(spark, path, [(100, "t", None), (101, "t", None)]), "month", 3)) == [101]
+    # other columns: every month is compared
+    asked.clear()
+    store.pull(spark.read.schema("id int, month string").parquet(path), "month", 4, ignore=["at"])
+    assert len(asked[0]) == 5
+
+
+def test_ignored_columns_of_months(spark, tmp_path):
+    path, store = f"{tmp_path}/t", incremental.MonthStore(spark, f"{tmp_path}/s")
+    store.pull(by_month(spark, path, [(1, "a", "1"), (2, "a", "1"), (3, "a", "2")]), "month", 0, ignore=["at"])
+    assert ids(store.pull(by_month(spark, path, [(1, "b", "1"), (2, "a", "1"), (4, "c", "1")]), "month", 1, ignore=["at"])) == [4]
+
+
+def test_an_empty_table_by_month(spark, tmp_path):
+    store = incremental.MonthStore(spark, f"{tmp_path}/s")
+    empty = by_month(spark, f"{tmp_path}/t", [(1, "a", "1")]).limit(0)
+    (tmp_path / "none").mkdir()
+    nothing = spark.read.schema(empty.schema).parquet(f"{tmp_path}/none")
+    assert store.pull(nothing, "month", 0).count() == 0 and store.pull(nothing, "month", 1).count() == 0
