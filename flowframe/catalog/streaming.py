@@ -133,6 +133,59 @@ def micro_batch_last_write(spark, data):
     return spark.read.parquet(out).filter("qualifier = 'twice'").select("row_key", "ts", "value")
 
 
+def numbered(spark, data):
+    """Messages with a place in their stream; every seventh has none that is a number, some no topic."""
+    place = F.when(F.col("event_id") % 7 == 0, F.lit("none")).otherwise((100000 - F.col("event_id")).cast("string"))
+    header = F.struct(
+        F.when(F.col("event_id") % 5 != 0, F.col("event_type")).alias("category"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("source"),
+        F.lit("1.0").alias("version"),
+        place.alias("place"),
+    )
+    whole = F.to_json(F.struct(header.alias("header"), F.struct(F.col("event_id").cast("string").alias("id")).alias("data")))
+    return table(spark, data, "events").select(F.when(F.col("event_type") == "error", F.lit("{broken")).otherwise(whole).alias("value"))
+
+
+NUMBERED = """(SELECT event_id, 'u' || user_id AS source, CASE WHEN event_type = 'error' THEN NULL WHEN event_id % 5 = 0 THEN 'unknown' ELSE event_type END AS topic,
+  event_type = 'error' AS broken, event_id % 7 = 0 AS unplaced FROM events)"""
+
+
+@query(
+    "micro_batch_sorted",
+    f"""SELECT 'cell' AS kind, source AS name, arg_max(topic, -event_id) AS topic, max(CAST(event_id AS VARCHAR)) FILTER (event_id = least_id) AS detail, 1::BIGINT AS n
+        FROM (SELECT *, min(event_id) OVER (PARTITION BY source) AS least_id FROM {NUMBERED} WHERE NOT broken AND NOT unplaced) GROUP BY source
+        UNION ALL SELECT 'reject', CASE WHEN broken THEN 'json' ELSE 'sort' END, topic, NULL, count(*) FROM {NUMBERED} WHERE broken OR unplaced GROUP BY 2, 3
+        UNION ALL SELECT 'audit', 'messages', topic, NULL, count(*) FROM {NUMBERED} GROUP BY topic
+        UNION ALL SELECT 'audit', 'rows', topic, NULL, count(*) FILTER (NOT broken AND NOT unplaced) FROM {NUMBERED} GROUP BY topic""",
+)
+def micro_batch_sorted(spark, data):
+    """Topics and order from the messages: what the last message in the order says stays."""
+    path, out, bad, audit, checkpoint = (scratch_dir(spark, n) for n in ("messages", "cells", "bad", "audit", "stream-checkpoint"))
+    numbered(spark, data).repartition(4).write.text(path)
+    row = {"name": "sources", "namespace": "shop", "colFamily": "f", "rowKey": ["$.header.source"], "cols": [{"name": "id", "value": "$.data.id"}, {"name": "topic", "value": "topic"}]}
+    spec = {"templates": [{"name": "t", "row": row}], "sourceMap": [{"sourceName": "s", "when": "$.header.version == '1.0'", "templates": ["t"], "idockey": ["$.data.id"]}]}
+    process = batches.mapping_batch(
+        spec,
+        [lambda df, i: batches.write_batch(df, out, i)],
+        audit,
+        last_write=True,
+        topic="$.header.category",
+        sort_path="$.header.place",
+        rejects=lambda df, i: batches.write_batch(df, bad, i),
+    )
+    batches.run_batches(files.file_stream(spark, path, "text", max_files=1000), process, checkpoint).awaitTermination()
+    cells = spark.read.parquet(out).groupBy("row_key").agg(
+        F.max(F.when(F.col("qualifier") == "topic", F.col("value"))).alias("topic"), F.max(F.when(F.col("qualifier") == "id", F.col("value"))).alias("detail")
+    )
+    none = F.lit(None).cast("string")
+    told = cells.select(F.lit("cell").alias("kind"), F.col("row_key").alias("name"), "topic", "detail", F.lit(1).cast("bigint").alias("n"))
+    rejected = spark.read.parquet(bad).groupBy(F.coalesce("failed", F.lit("json")).alias("name"), "topic").agg(F.count("*").alias("n"))
+    counted = spark.read.parquet(audit)
+    parts = [rejected.select(F.lit("reject").alias("kind"), "name", "topic", none.alias("detail"), "n")]
+    parts += [counted.select(F.lit("audit").alias("kind"), F.lit(c).alias("name"), "topic", none.alias("detail"), F.col(c).alias("n")) for c in ("messages", "rows")]
+    return reduce(DataFrame.unionByName, parts, told)
+
+
 @query("micro_batch_raw", "SELECT CASE WHEN event_type = 'error' THEN 'none' ELSE event_type END AS topic, count(*) AS messages FROM events GROUP BY 1")
 def micro_batch_raw(spark, data):
     _, raw, _ = mapped_stream(spark, data)

@@ -409,19 +409,21 @@ def explode_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
     return df.withColumn(value_col, F.explode(F.filter(lines, lambda x: x != "")))
 
 
-def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col: str = "value") -> MappedFrames:
-    """Apply a mapping to JSON messages.
+@dataclass(frozen=True)
+class Plan:
+    """The SQL of a mapping over parsed messages: their rows as one list, their document ids, and
+    the names of failing values (lists)."""
 
-    `rows` holds the mapped rows, `doc_ids` the distinct (topic, doc_id) of all messages, and
-    `rejects` the messages that are no JSON (failed is null) and those in which a value of a
-    template that applies fails (failed names the columns); they have no rows. With `badValues`
-    set to `null` in the spec such messages keep their rows, and the values are null.
-    """
-    templates = {t["name"]: t for t in spec.get("templates") or []}
-    messages = explode_lines(df.select(F.col(topic_col).alias("topic"), F.col(value_col).alias("value")))
-    parsed = messages.withColumn("doc", F.try_parse_json("value"))
-    scope = Scope(df.sparkSession, bad_as_null=spec.get("badValues", "reject") == "null")
+    rows: str
+    ids: list[str]
+    failures: list[str]
+
+
+NO_ROWS = f"CAST(array() AS array<struct<source_name:string,row:{ROW_TYPE}>>)"
 
+
+def mapping_plan(spec: dict, scope: Scope) -> Plan:
+    templates = {t["name"]: t for t in spec.get("templates") or []}
     tagged, ids, failures = [], [], []
     for m in source_maps(spec):
         when = m.get("when")
@@ -450,23 +452,99 @@ def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col
     if not tagged:
         raise ValueError("the mapping has no source map with a condition")
     every = tagged[0] if len(tagged) == 1 else f"concat({', '.join(tagged)})"
-    distinct_ids = list(dict.fromkeys(ids)) or ["'?'"]
+    return Plan(every, list(dict.fromkeys(ids)) or ["'?'"], failures)
+
+
+def scope_of(df: DataFrame, spec: dict) -> Scope:
+    return Scope(df.sparkSession, bad_as_null=spec.get("badValues", "reject") == "null")
+
+
+def map_documents(df: DataFrame, spec: dict, topic_col: str = "topic", value_col: str = "value") -> MappedFrames:
+    """Apply a mapping to JSON messages.
+
+    `rows` holds the mapped rows, `doc_ids` the distinct (topic, doc_id) of all messages, and
+    `rejects` the messages that are no JSON (failed is null) and those in which a value of a
+    template that applies fails (failed names the columns); they have no rows. With `badValues`
+    set to `null` in the spec such messages keep their rows, and the values are null.
+    """
+    messages = explode_lines(df.select(F.col(topic_col).alias("topic"), F.col(value_col).alias("value")))
+    parsed = messages.withColumn("doc", F.try_parse_json("value"))
+    scope = scope_of(df, spec)
+    plan = mapping_plan(spec, scope)
+    every = plan.rows
     with mapvalues.without_errors(df.sparkSession):
         parsed = parsed.withColumns({name: F.expr(text) for text, name in scope.columns.items()})
         bad = F.col("doc").isNull()
-        if failures:
-            parsed = mapvalues.with_failures(parsed, failures, "__failed")
-            every = f"CASE WHEN size(__failed) = 0 THEN {every} ELSE CAST(array() AS array<struct<source_name:string,row:{ROW_TYPE}>>) END"
+        if plan.failures:
+            parsed = mapvalues.with_failures(parsed, plan.failures, "__failed")
+            every = f"CASE WHEN size(__failed) = 0 THEN {every} ELSE {NO_ROWS} END"
             bad = bad | (F.size("__failed") > 0)
         out = parsed.select("topic", F.explode(F.expr(every)).alias("m"))
         good = parsed.filter("doc IS NOT NULL")
-        doc_ids = good.select("topic", F.explode(F.expr(f"array({', '.join(distinct_ids)})")).alias("doc_id")).distinct()
-        names = F.nullif(F.array_join(F.array_distinct("__failed"), ","), F.lit("")) if failures else F.lit(None).cast("string")
+        doc_ids = good.select("topic", F.explode(F.expr(f"array({', '.join(plan.ids)})")).alias("doc_id")).distinct()
+        names = F.nullif(F.array_join(F.array_distinct("__failed"), ","), F.lit("")) if plan.failures else F.lit(None).cast("string")
         rejects = parsed.filter(bad).select("topic", "value", names.alias("failed"))
     rows = out.select("topic", "m.source_name", "m.row.*")
     return MappedFrames(rows, doc_ids, rejects)
 
 
+MESSAGE, ROW, ID, REJECT = "message", "row", "id", "reject"
+
+
+def map_tagged(
+    df: DataFrame, spec: dict, topic: str | None = None, sort_path: str | None = None, topic_col: str = "topic", value_col: str = "value"
+) -> DataFrame:
+    """All that a mapping makes of messages in one frame, from one look at each.
+
+    kind tells what a row is: `message` (each one), `row` (a mapped row, in `row`), `id` (a document
+    id, in doc_id) or `reject` (its text in value, and what failed). With `topic`, a path or a literal, the topic is
+    taken from the message itself, as in `extract_topic`; a message that is no JSON has none. With
+    `sort_path` messages carry the whole number at that path in `order`; those without one are
+    rejected (failed is `sort`), as they have no place in the order.
+    """
+    given = [] if topic is not None else [F.col(topic_col).alias("topic")]
+    messages = explode_lines(df.select(*given, F.col(value_col).alias("value")))
+    parsed = messages.withColumn("doc", F.try_parse_json("value"))
+    scope = scope_of(df, spec)
+    plan = mapping_plan(spec, scope)
+    told = None
+    if topic is not None:
+        found = f"coalesce({scope.first_text(topic)}, 'unknown')" if "$" in topic else sql_text(topic)
+        told = F.expr(f"IF(doc IS NULL AND {'true' if '$' in topic else 'false'}, CAST(NULL AS STRING), {found})")
+    order = f"TRY_CAST({scope.first_text(sort_path)} AS BIGINT)" if sort_path else "CAST(NULL AS BIGINT)"
+    with mapvalues.without_errors(df.sparkSession):
+        parsed = parsed.withColumns({name: F.expr(text) for text, name in scope.columns.items()})
+        if told is not None:
+            parsed = parsed.withColumn("topic", told)
+        parsed = mapvalues.with_failures(parsed.withColumn("order", F.expr(order)), plan.failures, "__failed")
+        if sort_path:
+            parsed = parsed.withColumn("__failed", F.expr(f"IF(doc IS NOT NULL AND order IS NULL, array('sort'), IF(doc IS NULL, {NO_NAMES}, __failed))"))
+        none = {"value": "CAST(NULL AS STRING)", "failed": "CAST(NULL AS STRING)", "doc_id": "CAST(NULL AS STRING)", "source_name": "CAST(NULL AS STRING)", "row": f"CAST(NULL AS {ROW_TYPE})"}
+
+        def item(kind: str, **fields: str) -> str:
+            held = {**none, **fields}
+            return f"named_struct('kind', '{kind}', " + ", ".join(f"'{n}', {v}" for n, v in held.items()) + ")"
+
+        ids = f"transform(array({', '.join(plan.ids)}), d -> {item(ID, doc_id='d')})"
+        rows = f"transform({plan.rows}, m -> {item(ROW, source_name='m.source_name', row='m.row')})"
+        names = "nullif(array_join(array_distinct(__failed), ','), '')"
+        reject = f"array({item(REJECT, value='value', failed=names)})"
+        unplaced = "array_contains(__failed, 'sort')" if sort_path else "false"
+        items = f"CASE WHEN doc IS NULL OR {unplaced} THEN {reject} WHEN size(__failed) > 0 THEN concat({reject}, {ids}) ELSE concat({ids}, {rows}) END"
+        every = F.expr(f"concat(array({item(MESSAGE)}), {items})")
+        return parsed.select("topic", "order", F.inline(every))
+
+
+def split_tagged(tagged: DataFrame) -> MappedFrames:
+    """The frames of `map_documents` from a tagged one; `rows` has `order` besides."""
+    of = lambda kind: tagged.filter(F.col("kind") == kind)
+    return MappedFrames(
+        of(ROW).select("topic", "order", "source_name", "row.*"),
+        of(ID).select("topic", "doc_id").distinct(),
+        of(REJECT).select("topic", "value", "failed"),
+    )
+
+
 def parse_mapped_rows(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Already mapped rows from their JSON text."""
     return df.select(F.from_json(F.col(value_col), ROW_TYPE).alias("r")).select("r.*")

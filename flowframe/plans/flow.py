@@ -397,7 +397,7 @@ def write_sink(flow: Flow, node: Node, df: DataFrame, batch_id: int | None = Non
         given = {k: strings[k] for k in ("user", "password", "driver") if strings.get(k)}
         mode = sinks.save_mode(flow.option(node, connection, "saveMode", "append"))
         sinks.write_jdbc(frame, strings["url"], flow.option(node, connection, "table"), mode=mode, options=given)
-    elif kind in ("eventhub", "kafka"):
+    elif kind in BUS_KINDS:
         sinks.write_event_bus(df, strings["servers"], flow.option(node, connection, "topic"))
     else:
         fmt = "json" if node.kind == "jsonSink" else flow.option(node, connection, "filesFormat", "parquet")

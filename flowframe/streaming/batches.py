@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowframe.operators.cells import batch_last_write_wins, mapped_cells
-from flowframe.operators.mapping import MappedFrames, map_documents
+from flowframe.operators.mapping import ID, MESSAGE, REJECT, ROW, MappedFrames, map_tagged, split_tagged
 from flowframe.operators.relational import partition_sort
 from flowframe.operators.windows import ordered_neighbours
 
@@ -52,40 +52,70 @@ def mapping_batch(
     topic_col: str = "topic",
     value_col: str = "value",
     last_write: bool = False,
+    topic: str | None = None,
+    sort_path: str | None = None,
+    rejects: Sink | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A batch function: map documents, order rows for the writers, write, keep raw, audit.
 
-    `doc_ids` is a sink for the ids of the batch's documents. Sinks get the mapped rows in order;
+    `topic` takes the topic from each message (see `map_tagged`) instead of from `topic_col`, and
+    `sort_path` puts messages in the order of a number in them, which decides between rows of one
+    sort key; messages without it are rejected. `doc_ids` is a sink for the ids of the batch's
+    documents, `rejects` one for the messages left out. Sinks get the mapped rows in order;
     rows of one key may run over several tasks, so a sink that applies them one by one must
     compare sort keys. With `last_write` sinks get cells instead, one for each table, key, family
     and qualifier: that of the highest sort key, in any order.
+
+    A message is parsed and mapped once; rows, ids, rejects and counts are parts of one frame.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        mapped = map_documents(kept, spec, topic_col, value_col)
-        made = mapped.rows.persist()  # read by the ordering, the sinks and the audit
+        kept = batch.persist() if raw is not None else batch
+        tagged = map_tagged(kept, spec, topic, sort_path, topic_col, value_col).persist()
+        mapped = split_tagged(tagged)
         try:
             if last_write:
                 cell = ["table_name", "row_key", "family", "qualifier"]
+                made = mapped.rows.drop("order") if sort_path is None else mapped.rows.withColumn("sort_key", _placed("sort_key", "order")).drop("order")
                 written = batch_last_write_wins(mapped_cells(made), cell, "ts")
             else:
-                written = partition_sort(made, ["table_name", "row_key"], ["sort_key"])
+                order = ["sort_key"] if sort_path is None else ["sort_key", "order"]
+                written = partition_sort(mapped.rows, ["table_name", "row_key"], order).drop("order")
             for sink in sinks:
                 sink(written, batch_id)
             if raw is not None:
                 raw(kept, batch_id)
             if doc_ids is not None:
                 doc_ids(mapped.doc_ids, batch_id)
+            if rejects is not None:
+                rejects(mapped.rejects, batch_id)
             if audit_path:
-                write_batch(batch_audit(kept, mapped, batch_id, made, topic_col), audit_path, batch_id)
+                write_batch(tagged_audit(tagged, batch_id), audit_path, batch_id)
         finally:
-            made.unpersist()
-            kept.unpersist()
+            tagged.unpersist()
+            if raw is not None:
+                kept.unpersist()
 
     return process
 
 
+def _placed(sort_key: str, order: str) -> Column:
+    """A sort key that goes on with the number of its message, in a form that texts compare by."""
+    shifted = F.col(order).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+    return F.concat_ws("-", F.col(sort_key), F.lpad(shifted.cast("string"), 20, "0"))
+
+
+def tagged_audit(tagged: DataFrame, batch_id: int) -> DataFrame:
+    """One row per topic, as in `batch_audit`, from one aggregation over what a mapping made."""
+    of = lambda kind: F.count_if(F.col("kind") == kind)
+    return tagged.groupBy("topic").agg(
+        of(MESSAGE).alias("messages"),
+        of(ROW).alias("rows"),
+        F.count_distinct(F.when(F.col("kind") == ID, F.struct("doc_id"))).alias("documents"),
+        of(REJECT).alias("rejected"),
+    ).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+
+
 def batch_audit(
     batch: DataFrame, mapped: MappedFrames, batch_id: int, rows: DataFrame | None = None, topic_col: str = "topic"
 ) -> DataFrame:
