@@ -27,6 +27,17 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0)).cast("int")
 
 
+def numbered(docs: DataFrame, *used: str) -> DataFrame:
+    """The frame with its columns named c0, c1, ..., but for those that are used: whatever the given
+    columns are called, they don't clash with an operator's own."""
+    return docs.toDF(*[c if c in used else f"c{i}" for i, c in enumerate(docs.columns)])
+
+
+def named_back(df: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """The columns of `docs`, in their order and under their names, from a frame that came from `numbered`."""
+    return df.select(*[F.col(c if c in used else f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def saved(df: DataFrame, label: str, **options: str) -> DataFrame:
     """The frame, written to the shared folder and read back: it is computed once, and a lost
     executor costs no more than the task that read it."""

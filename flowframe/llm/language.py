@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from flowframe.llm.common import bound_batches, sum_arrays, texts
+from flowframe.llm.common import bound_batches, named_back, numbered, sum_arrays, texts
 
 DIM = 1024
 GRAM = 3
@@ -214,11 +214,10 @@ def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: dict[int,
     """`docs` without the texts that are in no known language: those without letters, those whose
     cosines are all within the noise, and those below the least cosine of their size. Columns stay
     as they are."""
-    kept = docs.columns
-    found = _identified(docs, profiles)
+    found = _identified(numbered(docs, "text"), profiles)
     noise = F.lit(NOISE / DIM**0.5)
     bound = noise
     for size, score in sorted((least or {}).items()):
         bound = F.when(_size(F.col("n_grams")) >= size, F.greatest(F.lit(score), noise)).otherwise(bound)
     good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= bound))
-    return good.select(*kept)
+    return named_back(good, docs, "text")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import WORD, saved
+from flowframe.llm.common import WORD, named_back, numbered, saved
 
 EDITS = 2
 #: Letters that are counted to tell candidates apart before they meet.
@@ -308,15 +308,17 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     different texts under one id don't share them. Texts without a dropped line are not changed, also
     null and empty ones.
     """
-    dropped = _verdicts(docs, edits, min_chars).where(~F.col("kept"))
+    used = ("doc_id", "text")
+    given = numbered(docs, *used)
+    dropped = _verdicts(given, edits, min_chars).where(~F.col("kept"))
     doc = lambda c: F.coalesce(c, F.lit(2**63 - 1))
     gone = dropped.groupBy(doc(F.col("doc_id")).alias("_doc"), F.col("t").alias("_t")).agg(F.collect_set("line_no").alias("_gone"))
-    keyed = docs.withColumn("_doc", doc(F.col("doc_id").cast("long"))).withColumn("_t", text_hash())
+    keyed = given.withColumn("_doc", doc(F.col("doc_id").cast("long"))).withColumn("_t", text_hash())
     lines = F.split("text", "\n")
     rest = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     joined = keyed.join(gone, ["_doc", "_t"], "left").withColumn("_rest", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest))
     left_over = F.col("_gone").isNull() | F.col("_rest").rlike(WORD)
-    return joined.where(left_over).select(*[F.col("_rest").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return named_back(joined.where(left_over).withColumn("text", F.col("_rest")), docs, *used)
 
 
 #: The verdicts as SQL over `documents`. Of three segments of a line one is equal in each line within

@@ -7,10 +7,10 @@ of the document's id and a seed, so every run and every retried task decides the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import n_words
+from flowframe.llm.common import n_words, named_back, numbered
 
 #: Weights of the sources in code point order, nulls last, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -54,9 +54,14 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_rate: float =
     )
 
 
-def draw(doc_id, seed: int):
-    """A number in [0, 1) from the id and the seed."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(f":{seed}")).cast("binary"))
+def drawn_by() -> Column:
+    """What a row draws by: its id; without one, its text, so that rows without an id draw apart."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+
+
+def draw(key: Column, seed: Column) -> Column:
+    """A number in [0, 1) from a row's key and the seed."""
+    digest = F.md5(F.concat(key, F.lit(":"), seed.cast("string")).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
@@ -69,17 +74,17 @@ def mix_plan(
     target (ties: the smallest seed). They are judged in one aggregation that combines before
     its shuffle, so a source that holds a third of all rows costs no more than any other.
 
-    A null text counts 0 words, null sources are a source of their own, a null id draws like the
-    text 'null', repeated rows draw alike. Empty tables give empty results. Other columns pass
+    A null text counts 0 words, null sources are a source of their own, rows without an id draw by
+    their texts, repeated rows draw alike. Empty tables give empty results. Other columns pass
     through, whatever their names (but for the four that are added).
     """
     sized = docs.withColumn("_size", n_words(F.col("text")))
     small = sized.select("source", F.col("_size").alias("size"))
     targets = source_targets(small, weights, max_rate)
-    keyed = sized.select("doc_id", F.col("source"), F.col("_size").alias("size"))
+    keyed = sized.select(drawn_by().alias("key"), F.col("source"), F.col("_size").alias("size"))
     whole, part = F.floor("rate"), F.col("rate") - F.floor("rate")
     off = [
-        F.sum(F.when(draw(F.col("doc_id"), s) < part, F.col("size")).otherwise(F.lit(0))).alias(f"extra{s}")
+        F.sum(F.when(draw(F.col("key"), F.lit(s)) < part, F.col("size")).otherwise(F.lit(0))).alias(f"extra{s}")
         for s in range(seeds)
     ]
     joined = keyed.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
@@ -99,11 +104,7 @@ def mix_plan(
         "_source", "_source_size", "_target", "_rate", F.array_min(gaps)["seed"].alias("_seed")
     )
     out = sized.join(chosen, sized["source"].eqNullSafe(chosen["_source"]))
-    seed = F.col("_seed").cast("string")
-    digest = F.md5(
-        F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), seed).cast("binary")
-    )
-    u = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    u = draw(drawn_by(), F.col("_seed"))
     whole, part = F.floor("_rate"), F.col("_rate") - F.floor("_rate")
     copies = whole + F.when(u < part, 1).otherwise(0)
     return out.withColumn("_copies", copies.cast("long")).drop("_source", "_rate", "_seed")
@@ -111,9 +112,10 @@ def mix_plan(
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_rate: float = MAX_RATE, seeds: int = SEEDS) -> DataFrame:
     """The mixed corpus: each row as many times as its plan says, with the columns of `docs`."""
-    planned = mix_plan(docs, weights, max_rate, seeds).where(F.col("_copies") > 0)
+    used = ("doc_id", "source", "text")
+    planned = mix_plan(numbered(docs, *used), weights, max_rate, seeds).where(F.col("_copies") > 0)
     copies = F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))
-    return planned.withColumn("_copy", copies).select(*docs.columns)
+    return named_back(planned.withColumn("_copy", copies), docs, *used)
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
@@ -131,7 +133,7 @@ def mix_report(docs: DataFrame) -> DataFrame:
 #: The report as SQL over `documents`.
 MIX_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  SELECT doc_id, source, coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, ''))) AS key, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents
 ), totals AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -151,7 +153,7 @@ WITH sized AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets
 ), draws AS (
   SELECT d.doc_id, d.size, r.source, r.source_size, r.target, r.rate, s.seed,
-         floor(r.rate) + CASE WHEN ('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null') || ':' || s.seed), 1, 8))::UBIGINT
+         floor(r.rate) + CASE WHEN ('0x' || substr(md5(d.key || ':' || s.seed), 1, 8))::UBIGINT
                                     / 4294967296.0::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END AS copies
   FROM sized d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source, range(16) s(seed)
 ), chosen AS (

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import bound_batches, saved
+from flowframe.llm.common import bound_batches, named_back, numbered, saved
 from flowframe.llm.graph import components
 
 WORDS = 4
@@ -383,19 +383,34 @@ def _remaining_pairs(open_: DataFrame, percent: int) -> DataFrame:
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """`docs` with one row for each component, that of the smallest doc_id; columns stay as they are.
 
-    Of rows that repeat an id the least by text stays. Rows without n-grams are no component of
-    others, and rows without an id all stay. Only ids are gathered; texts of ids that occur once
-    pass by in a join.
+    Rows are told apart by id and text: of different texts under one id each is a document of its
+    own, and so is a row without an id, which counts behind all others. Rows that repeat id and
+    text are one document, of which the least row stays. Rows without n-grams are no component of others.
+    Only ids and hashes are gathered; texts pass by in a join.
     """
-    found = near_duplicates(docs, words, percent).where(F.col("doc_id").isNotNull())
+    used = ("doc_id", "text")
+    given = numbered(docs, *used).withColumn("_t", F.xxhash64(F.col("text").cast("string")))
+    doc = F.col("doc_id").cast("long")
+    texts = given.where("doc_id IS NOT NULL").groupBy(doc.alias("_doc")).agg(F.min("_t").alias("_least"), F.max("_t").alias("_most"))
+    several = saved(texts.where("_least != _most").select("_doc", "_least"), "several-texts")
+    # a number below zero where the id doesn't tell the row
+    hashed = -F.lit(1).cast("long") - F.xxhash64("doc_id", "_t").bitwiseAND(F.lit(2**63 - 1))
+    if several.isEmpty():  # each id has one text, as is usual: texts need not pass a join to know it
+        nodes = given.withColumn("_node", F.coalesce(doc, hashed))
+    else:
+        own = given.join(several, doc == F.col("_doc"), "left")
+        node = F.when(doc.isNotNull() & (F.col("_least").isNull() | (F.col("_least") == F.col("_t"))), doc).otherwise(hashed)
+        nodes = saved(own.withColumn("_node", node).drop("_doc", "_least"), "text-nodes")
+    found = near_duplicates(nodes.select(F.col("_node").alias("doc_id"), "text"), words, percent).distinct()
+    ids = nodes.select("_node", doc.alias("_id")).groupBy("_node").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_n"))
+    placed = ids.join(found.select(F.col("doc_id").alias("_node"), "component_id").distinct(), "_node")
+    best = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_node")).alias("best")
+    first = placed.groupBy("component_id").agg(best).select(F.col("best._node").alias("_node"), F.lit(True).alias("_first"))
     verdicts = saved(
-        found.groupBy(F.col("doc_id").alias("_doc")).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(F.col("doc_id") == F.col("component_id")).alias("_first")
-        ).where("_n > 1 OR NOT _first"),
-        "verdicts",
+        ids.join(first, "_node", "left").where("_n > 1 OR _first IS NULL").select(F.col("_node").alias("_key"), "_n", "_first"), "verdicts"
     )
-    joined = docs.join(verdicts, docs["doc_id"].cast("long") == verdicts["_doc"], "left")
-    single = joined.where(F.col("_doc").isNull()).select(*docs.columns)
-    order = Window.partitionBy("_doc").orderBy("text", *[c for c in docs.columns if c != "text"])
-    several = joined.where("_n > 1 AND _first").withColumn("_row", F.row_number().over(order)).where("_row = 1")
-    return single.unionByName(several.select(*docs.columns))
+    joined = nodes.join(verdicts, F.col("_node") == F.col("_key"), "left")
+    single = joined.where(F.col("_key").isNull())
+    order = Window.partitionBy("_node").orderBy(*[c for c in given.columns if c not in ("doc_id", "text", "_t")], F.lit(0))
+    several = joined.where("_n > 1 AND _first").withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    return named_back(single.unionByName(several), docs, *used)

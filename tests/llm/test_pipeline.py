@@ -136,3 +136,38 @@ def test_empty_tables_pass_every_stage(spark, tmp_path):
         stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         assert docs.count() == 0
+
+
+CLASHING = "lang_pred score n_grams _size _copies _copy _source _rate _seed _target _source_size _doc _t _rest _gone _n _first _row _node _key _id c0 c1 given key h n".split()
+
+
+def test_columns_of_any_name_come_through(spark, tmp_path):
+    """Extra columns named like an operator's own keep their values in every stage but the last."""
+    rows = [(i, f"these are some English words of text number {i} and more of them, all different: " + " ".join(f"w{i * j}x" for j in range(30)), "en", "s" if i % 3 else "t", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select(*[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING[:9]], *docs.columns, *[(F.col("doc_id") * 100 + i).alias(c) for i, c in enumerate(CLASHING[9:])])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(str(tmp_path / name))
+        got = spark.read.parquet(str(tmp_path / name))
+        assert got.columns == docs.columns and got.count() > 0
+        for r in got.collect():
+            assert all(r[c] == f"{c}-{r['doc_id']}" for c in CLASHING[:9])
+            assert all(r[c] == r["doc_id"] * 100 + i for i, c in enumerate(CLASHING[9:]))
+        docs = got
+
+
+def test_near_duplicates_without_and_with_shared_ids(spark, tmp_path):
+    """Texts without an id are compared as well, and a text that shares its id with another is not lost."""
+    say = lambda k: " ".join(f"word{k}x{i}" for i in range(60))
+    rows = [(1, say(1)), (1, say(2)), (None, say(3)), (None, say(3)), (None, say(4)), (2, say(4) + " more"), (3, say(5)), (3, say(5)), (4, None), (5, ""), (None, say(6))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r["doc_id"] or 0, (r["text"] or "")[:7]) for r in dict(corpus_pipeline.STAGES)["ngram_join"](spark, docs, str(tmp_path)).collect())
+    assert got == [(0, "word3x0"), (0, "word6x0"), (1, "word1x0"), (1, "word2x0"), (2, "word4x0"), (3, "word5x0"), (4, ""), (5, "")]
+
+
+def test_mixing_without_ids_comes_near_its_target(spark):
+    rows = [(None, " ".join(f"w{i}" for _ in range(5 + i % 9)), "en", "ab"[i % 2], 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for r in mixing.mix_report(docs).groupBy("source_size").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect():
+        assert abs(r["taken"] - r["target"]) < 0.03 * r["target"]
