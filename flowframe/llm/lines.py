@@ -233,12 +233,13 @@ def near_lines(seen: DataFrame, edits: int = EDITS) -> DataFrame:
     keyed = stepped.select("h", own.alias("own"), asked.alias("asked"))
     tagged = keyed.select("h", F.posexplode(F.concat("own", "asked")).alias("place", "key"), F.size("own").alias("owned"))
     keys = tagged.select("key", "h", (F.col("place") < F.col("owned")).alias("own")).repartition("key")
-    # a key that no line owns joins nothing; with the same columns on both sides keys are dealt out once
+    # a key that no line owns joins nothing
     shared = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("own").alias("owned"))
     shared = shared.where("low != high AND owned").select("key")
-    # inner joins with distinct keys, as semi joins would move below the aggregation and repeat it
+    # Inner joins with distinct keys, as semi joins would move below the aggregation and repeat it.
+    # Each use of the keys asks for the same columns, so that they are dealt out once.
     met = keys.join(shared, "key")
-    counted = sized.join(met.select("h").distinct(), "h").select("h", "n", letter_counts(line).alias("counts"))
+    counted = sized.join(met.groupBy("h").agg(F.max("own").alias("owned")).where("owned IS NOT NULL"), "h").select("h", "n", letter_counts(line).alias("counts"))
     met = met.join(counted, "h")
     x, y = met.alias("x"), met.alias("y")
     meet = (
