@@ -256,8 +256,9 @@ def read_warc(manifest: DataFrame, payloads: bool = True, tasks: int | None = No
                     yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
 
     names = manifest.select("archive")
-    spread = names.repartition(tasks, "archive") if tasks else names.repartition("archive")
-    return spread.mapInArrow(read, RECORD)
+    # a given number of partitions is kept: names are few bytes, and would be merged into one task
+    n = tasks or int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(n, "archive").mapInArrow(read, RECORD)
 
 
 def with_revisits(pages: DataFrame, least: int = MIN_REVISIT_BYTES) -> DataFrame:
