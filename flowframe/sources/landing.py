@@ -106,7 +106,9 @@ def opened_header_lines(spark: SparkSession, path: str | Sequence[str]) -> DataF
         for batch in batches:
             yield pd.DataFrame({"path": batch["path"], "header": [first_line(p) for p in batch["path"]]})
 
-    return files.repartition("path").mapInPandas(first_lines, "path string, header string")
+    # a given number of partitions is kept: paths are few bytes, and would be merged into one task
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(tasks, "path").mapInPandas(first_lines, "path string, header string")
 
 
 def first_line(path: str) -> str:
