@@ -12,6 +12,7 @@ from flowframe.catalog import query, table
 from flowframe.operators.columns import safe_name
 from flowframe.operators.relational import union_ragged
 from flowframe.operators.validate import rules_from, validate_fields
+from flowframe.plans import delta
 from flowframe.session import scratch_dir
 from flowframe.sources import landing
 
@@ -225,6 +226,54 @@ def month_paths(spark, data):
     return rows.agg(months, F.count("*").alias("rows"))
 
 
+def months_drop(spark, data):
+    """Suppliers by month: nations 0-9 in March, 5-14 again and later in May, 15-24 in June up to a day each."""
+    root = scratch_dir(spark, "drop")
+    rows = supplier_lines(spark, data)
+    day = lambda month: F.concat(F.lpad((F.col("part") + 1).cast("string"), 2, "0"), F.lit(f".{month}.2021")).alias("day")
+    for month, cond in (("03", "part < 10"), ("05", "part BETWEEN 5 AND 14"), ("06", "part >= 15")):
+        rows.filter(cond).select("supp key", "name", "nation", day(month), "time").write.option("header", "true").csv(f"{root}/2021/{month}/01")
+    return root
+
+
+FROM_MONTHS = """(SELECT CAST(s_suppkey AS VARCHAR) AS supp_key, s_nationkey AS nation, '2021-' || CASE WHEN s_nationkey < 10 THEN '03' WHEN s_nationkey < 15 THEN '05' ELSE '06' END
+  || '-' || lpad(CAST(s_nationkey + 1 AS VARCHAR), 2, '0') || 'T10:30:00.000Z' AS "DERIVED_TS" FROM supplier)"""
+
+
+@query("land_initial", f"""SELECT supp_key, "DERIVED_TS" FROM {FROM_MONTHS} WHERE nation < 20""")
+def land_initial(spark, data):
+    """Drops of several months as one, up to a day: rows that came again keep their oldest time."""
+    rows = landing.land_initial(spark, months_drop(spark, data), "202102", "20210620", KEYS, STAMP, PATTERN).rows
+    return rows.select("supp_key", "DERIVED_TS")
+
+
+@query(
+    "land_resume",
+    f"""SELECT 'new' AS part, supp_key, "DERIVED_TS" FROM {FROM_MONTHS} WHERE nation >= 10 AND nation < 20
+        UNION ALL SELECT 'previous', supp_key, "DERIVED_TS" FROM {FROM_MONTHS} WHERE nation < 10""",
+)
+def land_resume(spark, data):
+    """A flow whose landing goes on from what was landed: March is known, May and June are new."""
+    root, clean = months_drop(spark, data), scratch_dir(spark, "clean")
+    landing.land_initial(spark, root, "202103", "202103", KEYS, STAMP, PATTERN).rows.write.parquet(clean)
+    spec = {
+        "connections": [{"id": "drop", "connectionType": "local", "options": {"path": root}}],
+        "operations": [
+            {
+                "operatorType": "preprocessor",
+                "signals": {"sources": [{"connectionId": "drop"}], "sinks": [{"signalId": "suppliers"}]},
+                "options": {
+                    "keyCols": KEYS, "srcTimestamp": STAMP, "srcTimestampFormat": PATTERN, "from": "202101", "till": "202112",
+                    "cleanDataPath": clean, "cleanDataFormat": "parquet",
+                },
+            }
+        ],
+    }
+    got = delta.flow_changes(spark, spec, "suppliers", "2021-03-31", "2021-06-20T23:59:59")
+    parts = [df.select(F.lit(n).alias("part"), "supp_key", "DERIVED_TS") for n, df in (("new", got.gained), ("previous", got.before))]
+    return parts[0].unionByName(parts[1])
+
+
 RULES = {"validations": [["c_custkey", "^[0-9]+$"], ["c_mktsegment", "^[A-Z]+$"], ["orders.o_orderkey", "[0-9]"], ["orders.o_orderpriority", "^[1-4]"]]}
 
 

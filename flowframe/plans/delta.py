@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.operators import events, incremental, relational
-from flowframe.operators.columns import quoted
+from flowframe.operators.columns import quoted, safe_name
 from flowframe.plans import flow as flows
 from flowframe.plans.flow import Flow, FlowError, Node, truth
+from flowframe.sources import landing
 
 
 @dataclass(frozen=True)
@@ -120,7 +121,8 @@ class Changes:
     The time of a source's rows is its option `timestamp`, else `ts` where it has such a column.
     Rows without a time count as of before. Where the column that its option `monthCol` names
     holds the month (YYYYMM) of each row's time, as directories of months do, months before
-    `since` are not read for what is new. Sources without a time must be `given` as deltas. With
+    `since` are not read for what is new. A landed drop with a `cleanDataPath` is held against the
+    state of that landed data. Sources without a time must be `given` as deltas. With
     `since` None everything up to `till` is new.
     """
 
@@ -139,6 +141,8 @@ class Changes:
 
     def _source(self, node: Node, signal: str) -> Delta:
         df = self.flow.frame(signal)
+        if node.kind == "preprocessor" and node.options.get("cleanDataPath"):
+            return self._landed(node, df)
         ts = node.options.get("timestamp") or self.ts
         if not ts or ts not in df.columns:
             raise FlowError(f"source {signal!r} names no timestamp: give its change")
@@ -153,6 +157,16 @@ class Changes:
             new, before = new & (number >= digits(self.since)) & (number <= digits(self.till)), before & (number <= digits(self.since))
         return Delta(df.filter(before), df.filter(new))
 
+    def _landed(self, node: Node, rows: DataFrame) -> Delta:
+        """A drop against the current state of what was landed before (`cleanDataPath`), up to `till`."""
+        o, names = node.options, flows.landed_names(node.options)
+        named = lambda c: names.get(c, safe_name(c))
+        stamps = o.get("srcTimestamp") or []
+        clean = self.flow.spark.read.format(o.get("cleanDataFormat", "avro").lower()).load(o["cleanDataPath"])
+        known = rows.filter(F.col("DERIVED_TS") <= F.lit(self.till))
+        view = landing.land_resumed(known, clean, [named(k) for k in o["keyCols"]], [named(c) for c in ([stamps] if isinstance(stamps, str) else stamps)])
+        return Delta(relational.union_ragged(view.previous, rows.limit(0)), relational.union_ragged(view.new, view.previous.limit(0)))
+
     def _operator(self, node: Node, inputs: list[Delta]) -> Delta | tuple[Delta, ...]:
         build, o, first = flows.OPERATORS.get(node.kind), node.options, inputs[0]
         if build is None:

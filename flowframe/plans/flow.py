@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import date
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -184,20 +185,30 @@ def read_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
 
 
 def land_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
+    """A drop, or with `from` and `till` (or `months`, up to today) the drops of some months."""
     connection = flow.connection(node.source_connection)
     stamps = node.options.get("srcTimestamp") or []
-    return landing.land_csv(
-        flow.spark,
-        connection_path(flow, node, connection),
+    path, start, till = connection_path(flow, node, connection), node.options.get("from"), node.options.get("till")
+    if node.options.get("months"):
+        start, till = landing.recent_months(date.today(), int(node.options["months"]))
+    given = dict(
         keys=node.options.get("keyCols") or [],
         src_ts=[stamps] if isinstance(stamps, str) else stamps,
         pattern=node.options.get("srcTimestampFormat", " "),
         zone=node.options.get("srcTimezone", "UTC"),
-        cols=dict(zip(node.options.get("srcCols") or [], node.options.get("cols") or [])) or None,
+        cols=landed_names(node.options) or None,
         sep=flow.option(node, connection, "filesFormatCsvSeperator", ","),
         first_file_only=flow.preview,
         open_files=truth(flow.option(node, connection, "openFiles", "false")),
-    ).rows
+    )
+    if start and till:
+        return landing.land_initial(flow.spark, path, start, till, **given).rows
+    return landing.land_csv(flow.spark, path, **given).rows
+
+
+def landed_names(options: dict) -> dict[str, str]:
+    """The columns of a drop that are chosen, with their new names."""
+    return dict(zip(options.get("srcCols") or [], options.get("cols") or []))
 
 
 def month_node(flow: Flow, node: Node, inputs: list[DataFrame]) -> DataFrame:
@@ -541,9 +552,11 @@ def preview(
 
 
 def preview_mapping(spark: SparkSession, spec: dict, topic: str, texts: list[str], n: int = 20) -> Preview:
-    """What a mapping makes of some sample messages; messages that are no JSON are its errors."""
+    """What a mapping makes of some sample messages; its errors are those that are no JSON, and those
+    in which a value failed, with the columns that did."""
     sample = spark.createDataFrame([(topic, t) for t in texts], "topic string, value string")
     mapped = mapping.map_documents(sample, spec)
     rows = [r.asDict(True) for r in mapped.rows.limit(n).collect()]
-    errors = [r.asDict(True) for r in mapped.rejects.limit(n).collect()]
+    told = [r.asDict(True) for r in mapped.rejects.limit(n).collect()]
+    errors = [r if r["failed"] else {"topic": r["topic"], "value": r["value"]} for r in told]
     return Preview(mapped.rows.schema.json(), rows, errors, None)

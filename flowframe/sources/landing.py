@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from flowframe.functions.timestamps import check_pattern, derive_ts
 from flowframe.operators.columns import quoted, safe_name
 from flowframe.operators.events import dedup_oldest
-from flowframe.operators.incremental import new_rows
+from flowframe.operators.incremental import TimeView, new_rows, resume_from_landed
 from flowframe.operators.relational import union_ragged
 
 FILE = "__file"
@@ -312,6 +312,52 @@ def land_newest(
     return new_rows(landed, previous, "DERIVED_TS" if till else None, till, ignore=ignored)
 
 
+def land_initial(
+    spark: SparkSession,
+    root: str,
+    start: str,
+    till: str,
+    keys: Sequence[str],
+    src_ts: Sequence[str],
+    pattern: str,
+    **options,
+) -> Landed:
+    """The drops of the months from `start` to `till` (yyyyMM, or yyyyMMdd) under `root/YYYY/MM`, landed as one.
+
+    A row that came in several months stays with its oldest timestamp. Where `till` names a day,
+    rows after it are left out. Further options are those of `land_csv`.
+    """
+    paths = month_paths(spark, root, start, till)
+    if not paths:
+        raise ValueError(f"no data under {root} from {start} to {till}")
+    landed = land_csv(spark, paths, keys, src_ts, pattern, **options)
+    if len(till) < 8:
+        return landed
+    return Landed(landed.rows.filter(F.col("DERIVED_TS") < day_after(till)), landed.quarantine, landed.verdicts)
+
+
+def day_after(day: str) -> str:
+    """The day after yyyyMMdd, as derived timestamps begin."""
+    return str(date(int(day[:4]), int(day[4:6]), int(day[6:8])) + timedelta(days=1))
+
+
+def recent_months(today: date, months: int = 12) -> tuple[str, str]:
+    """The span of a whole load: from the month `months` ago to the last day of this month."""
+    ago = today.year * 12 + today.month - 1 - months
+    following = date(today.year + today.month // 12, today.month % 12 + 1, 1)
+    return f"{ago // 12}{ago % 12 + 1:02d}", (following - timedelta(days=1)).strftime("%Y%m%d")
+
+
+def land_resumed(landed: DataFrame, clean: DataFrame, keys: Sequence[str], src_ts: Sequence[str] = (), ts: str = "DERIVED_TS") -> TimeView:
+    """Rows of a drop that the current state of what was landed before doesn't have.
+
+    `clean` is the landed output of earlier runs. Its freshest row of each key is the state to go on
+    from, and rows that differ from it in timestamps alone are not new.
+    """
+    state = resume_from_landed(clean, keys, ts).previous
+    return TimeView(state, land_newest(landed, state, src_ts=src_ts)[0])
+
+
 def month_paths(spark: SparkSession, root: str, start: str, till: str) -> list[str]:
     """Existing `root/YYYY/MM/*` directories of the months from `start` to `till` (yyyyMM...)."""
     hadoop = spark._jvm.org.apache.hadoop.fs

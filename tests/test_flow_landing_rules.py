@@ -321,3 +321,16 @@ def test_placeholders_and_json_connections(spark, tmp_path):
     filled = flow.fill_spec(spec, {"ROOT": str(tmp_path), "NAME": "a"})
     assert filled["operations"][0]["options"]["note"] == "<KEEP>"
     assert rows(flow.build_flow(spark, filled, "s")) == [(5,)]
+
+
+def test_spans_of_whole_loads():
+    from datetime import date
+
+    assert landing.recent_months(date(2024, 2, 10)) == ("202302", "20240229")
+    assert landing.recent_months(date(2023, 12, 31), 1) == ("202311", "20231231")
+    assert landing.day_after("20211231") == "2022-01-01"
+
+
+def test_landing_of_months_without_data(spark, tmp_path):
+    with pytest.raises(ValueError, match="no data"):
+        landing.land_initial(spark, str(tmp_path), "202101", "202103", ["id"], ["at"], "dd.MM.yyyy")
