@@ -6,6 +6,11 @@ substrings lies within r // m (pigeonhole), so probing each index with all subst
 that small radius retrieves every code within r. What is retrieved is ranked by the original
 vectors.
 
+Nearness is the inner product, to which a vector's length belongs but which its code forgets. So
+the rows of a block are indexed in bands of like length. A distance of codes gives an angle, and with
+the band's greatest length a bound for the product: the longer the vectors of a band, the farther
+it is searched.
+
 The index is partitioned by rows: each task holds the substring tables of one block and answers
 all queries for it, in blocks of queries. A row is in one block, so large groups of equal vectors
 spread over all of them, and a query's answers from all blocks are merged by rank.
@@ -31,6 +36,8 @@ LEAST_CODES = 512
 SHARE = 0.15
 BLOCK_ROWS = 8192
 QUERY_ROWS = 8192
+#: Bands of like length in a block, at most; a band's lengths differ by a tenth at least.
+BANDS = 16
 NEAREST = 20
 _POP = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -93,11 +100,36 @@ class Block:
         rows = np.flatnonzero(seen)
         return rows[_distances(self.codes[rows], query) <= radius]
 
-    def radius(self, query: np.ndarray, wanted: int) -> int:
-        """A radius that holds about `wanted` codes, from the distances of evenly spaced rows."""
-        step = max(1, len(self.codes) // 1024)
-        d = np.sort(_distances(self.codes[::step], query))
-        return int(d[min(len(d) - 1, max(0, -(-wanted // step) - 1))])
+    def sample(self, query: np.ndarray, step: int) -> np.ndarray:
+        """The distances of evenly spaced rows."""
+        return _distances(self.codes[::step], query)
+
+
+def bands(lengths: np.ndarray, most: int = BANDS) -> list[np.ndarray]:
+    """The rows in groups of like length, the longest first."""
+    if not len(lengths):
+        return []
+    order = np.argsort(-lengths, kind="stable")
+    step = max(0.1, np.log(lengths[order[0]] / lengths[order[-1]]) / most)
+    level = np.minimum((np.log(lengths[order[0]] / lengths[order]) / step).astype(int), most - 1)
+    return [order[level == k] for k in np.unique(level)]
+
+
+def radii(blocks: list[Block], longest: list[float], query: np.ndarray, wanted: int) -> list[int]:
+    """A radius for each band, so that together they hold about `wanted` codes.
+
+    A distance of h of m bits stands for an angle of pi * h / m. The products that these angles and
+    the bands' lengths promise are estimated on evenly spaced rows; the radius of a band is the largest
+    whose product is among the best `wanted`.
+    """
+    m, total = 8 * len(query), sum(len(b.codes) for b in blocks)
+    step = max(1, total // 1024)
+    sizes = [b.sample(query, step) for b in blocks]
+    promised = np.concatenate([n * np.cos(np.pi * d / m) for n, d in zip(longest, sizes, strict=True)])
+    least = np.sort(promised)[::-1][min(len(promised) - 1, max(0, -(-wanted // step) - 1))]
+    cos = np.array(longest)
+    reach = np.arccos(np.clip(least / cos, -1, 1)) * m / np.pi
+    return [int(np.floor(r + 1e-9)) if least <= n else -1 for r, n in zip(reach, cos, strict=True)]
 
 
 def _distances(codes: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -114,10 +146,15 @@ def search_block(
     """
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
-    block, found = Block(codes.encode(vectors)), []
+    found, coded = [], codes.encode(vectors)
+    lengths = np.sqrt((vectors * vectors).sum(axis=1))
+    groups = bands(lengths)
+    blocks, longest = [Block(coded[g]) for g in groups], [float(lengths[g].max()) for g in groups]
     wanted = max(LEAST_CODES, int(SHARE * len(ids)))
     for qid, q, code in zip(query_ids, queries, codes.encode(queries), strict=True):
-        rows = block.within(code, block.radius(code, wanted))
+        reach = radii(blocks, longest, code, wanted) if blocks else []
+        rows = [g[b.within(code, r)] for g, b, r in zip(groups, blocks, reach, strict=True) if r >= 0]
+        rows = np.concatenate(rows) if rows else np.empty(0, dtype=np.int64)
         rows = rows[ids[rows] != qid]
         rough = vectors[rows] @ q
         if len(rows) > nearest:

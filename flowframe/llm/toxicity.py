@@ -51,6 +51,8 @@ def _letters() -> np.ndarray:
 
 
 LETTER = _letters()
+#: Digits and signs that stand for a letter where they are between two.
+DISGUISE = np.isin(np.arange(256), np.frombuffer(b"0123456789!#$%&*+.@|_-", dtype=np.uint8))
 
 
 def latin(text: str) -> bytes:
@@ -89,14 +91,10 @@ def build_automaton(words: list[str], stems: list[str], fuzzy_from: int = FUZZY_
         ends.setdefault(at, i)
     loose = {0}  # nodes from which a misspelled word can still be reached
 
-    def mark(at: int) -> bool:
-        reach = [mark(x) for x in children[at].values()]
+    for at in range(len(children) - 1, -1, -1):  # children come behind their parents
         own = at in ends and ends[at] < len(words) and len(words[ends[at]]) >= fuzzy_from
-        if own or any(reach):
+        if own or any(x in loose for x in children[at].values()):
             loose.add(at)
-        return own or any(reach)
-
-    mark(0)
     used = sorted({c for node in children for c in node})
     kinds = np.zeros(256, dtype=np.int64)
     kinds[LETTER] = 1
@@ -151,16 +149,45 @@ def build_automaton(words: list[str], stems: list[str], fuzzy_from: int = FUZZY_
 
 
 def run_automaton(a: Automaton, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length so far, code) of every word of the buffer that the automaton takes."""
+    """(start, length so far, code) of every word of the buffer that the automaton takes.
+
+    A single digit or sign between two letters may stand for a letter: words are looked at
+    without it, in parts, and with it, as a whole, in which it is a letter of no term.
+    """
     buf = np.frombuffer(data + b" ", dtype=np.uint8)
     letter = LETTER[buf]
+    kinds = a.kinds[buf]
+    plain = _taken(a, kinds, _begins(letter))
+    between = np.zeros(len(buf), dtype=bool)
+    between[1:-1] = DISGUISE[buf[1:-1]] & letter[:-2] & letter[2:]
+    if not between.any():
+        return _in_order([plain])
+    whole = letter | between
+    begin = _begins(whole)
+    word = np.cumsum(np.isin(np.arange(len(buf)), begin)) - 1  # the word that a place is in, or behind
+    begin = begin[np.unique(word[between])]
+    joined = _taken(a, np.where(between, 1, kinds), begin)
+    new = ~np.isin(joined[0], plain[0])
+    return _in_order([plain, tuple(x[new] for x in joined)])
+
+
+def _begins(letter: np.ndarray) -> np.ndarray:
     begin = np.flatnonzero(letter[1:] & ~letter[:-1]) + 1
-    if letter[0]:
-        begin = np.concatenate(([0], begin))
+    return np.concatenate(([0], begin)) if letter[0] else begin
+
+
+def _in_order(found: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    s, n, c = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(s, kind="stable")
+    return s[order], n[order], c[order]
+
+
+def _taken(a: Automaton, kinds: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hits of words that begin at these places, and end at the next place of kind 0."""
     pos, state, found = begin, np.ones(len(begin), dtype=np.int32), []
     start = begin
     while len(pos):
-        kind = a.kinds[buf[pos]]
+        kind = kinds[pos]
         over = kind == 0
         if over.any():
             code = a.word[state[over]]
@@ -176,11 +203,7 @@ def run_automaton(a: Automaton, data: bytes) -> tuple[np.ndarray, np.ndarray, np
             state = np.where(hit, 0, state)
         live = state > 0
         pos, start, state = pos[live] + 1, start[live], state[live]
-    if not found:
-        return tuple(np.empty(0, dtype=np.int64) for _ in range(3))
-    s, n, c = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.argsort(s, kind="stable")
-    return s[order], n[order], c[order]
+    return _in_order(found) if found else tuple(np.empty(0, dtype=np.int64) for _ in range(3))
 
 
 def quoted(data: bytes, start: int, length: int, window: int = WINDOW) -> bool:

@@ -222,3 +222,34 @@ def test_recall(spark):
     for g in QUERIES["op2_hamming_neighbours"](spark, DATA).collect():
         found.setdefault(g["query_id"], set()).add(g["vec_id"])
     assert sum(len(found[q] & set(want[q])) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.5, 1.0])
+def test_recall_of_a_full_block_of_any_lengths(spread):
+    """Where most of the codes are left out, and long vectors beat those in a better direction."""
+    r = np.random.default_rng(7)
+    v = r.normal(size=(hamming.BLOCK_ROWS, 64))
+    v = v / np.linalg.norm(v, axis=1, keepdims=True) * np.exp(spread * r.normal(size=(len(v), 1)))
+    ids, q = np.arange(len(v)), np.arange(0, len(v), 80)
+    a, b, _ = hamming.search_block(hamming.learn_codes(v[:4096]), ids, v, q, v[q])
+    s = v[q] @ v.T
+    s[np.arange(len(q)), q] = -np.inf
+    best = np.argsort(-s, axis=1)[:, :20]
+    assert np.mean([len(set(b[a == i]) & set(w)) / 20 for i, w in zip(q, best)]) >= 0.9
+
+
+def test_bands_hold_every_row():
+    lengths = np.exp(np.random.default_rng(3).normal(size=500))
+    for given in (lengths, np.ones(7), lengths[:1], lengths[:0]):
+        groups = hamming.bands(given)
+        assert sorted(np.concatenate(groups).tolist() if groups else []) == list(range(len(given))) and len(groups) <= hamming.BANDS
+
+
+def test_disguised_and_very_long_terms():
+    a = toxicity.build_automaton(["idiot", "moron", "w" * 1500], ["scum"])
+    hits = lambda t: [(int(s), int(n)) for s, n, _ in zip(*toxicity.run_automaton(a, toxicity.latin(t)), strict=True)]
+    for word in ("id1ot", "mor*n", "idi0t", "m0ron", "idiot"):
+        assert hits(f"you {word}!") == [(4, 5)]
+    assert hits("x idiot-moron y") == [(2, 5), (8, 5)]  # parts are words of their own
+    assert hits("a 1diot") == [(3, 4)] and hits("3 4-5 a.b c1") == [] and hits("i*d*iot") == []
+    assert hits("w" * 1500) == [(0, 1500)] and hits("scumbag1x") == [(0, 4)]
