@@ -12,6 +12,7 @@ from flowframe.catalog.mapping import DETAILS, MESSAGES, messages
 from flowframe.operators import mapping
 from flowframe.session import scratch_dir
 from flowframe.streaming import batches, files
+from flowframe.streaming.upserts import upsert_stream
 
 
 def dropped(spark, data, parts=6):
@@ -207,6 +208,41 @@ def batch_audit(spark, data):
     return df.groupBy(F.coalesce("topic", F.lit("none")).alias("topic")).agg(*sums)
 
 
+HASHED = """SELECT event_id, 'user-' || user_id AS row_key, epoch_us(ts) AS ts, md5(event_type || (json_extract_string(props, '$.k')::INT % 10)) AS dedup_key,
+  CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 1 WHEN ts < TIMESTAMP '2024-01-20' THEN 2 ELSE 3 END AS slice FROM events"""
+LOOK_BACK = 8
+
+
+def _passing(slice_, before):
+    """SQL for the rows of a slice whose hash is not among the last of their key in what passed before."""
+    return f"""SELECT * FROM h WHERE slice = {slice_} AND NOT EXISTS (SELECT 1 FROM (SELECT row_key, dedup_key,
+      row_number() OVER (PARTITION BY row_key ORDER BY ts DESC, dedup_key DESC) AS rn FROM ({before})) l
+      WHERE rn <= {LOOK_BACK} AND l.row_key = h.row_key AND l.dedup_key = h.dedup_key)"""
+
+
+@query(
+    "upsert_stream",
+    f"""WITH h AS ({HASHED}), p1 AS (SELECT * FROM h WHERE slice = 1), p2 AS ({_passing(2, 'SELECT * FROM p1')}),
+        p3 AS ({_passing(3, 'SELECT * FROM p1 UNION ALL SELECT * FROM p2')})
+        SELECT event_id, row_key, ts, dedup_key FROM (SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3)""",
+)
+def upsert_stream_slices(spark, data):
+    """Events in three slices, the stream started anew for each; its state outlives it."""
+    path, out, checkpoint = (scratch_dir(spark, n) for n in ("hashed", "upserts", "stream-checkpoint"))
+    rows = table(spark, data, "events").select(
+        "event_id",
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("row_key"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"),
+        F.md5(F.concat("event_type", (F.get_json_object("props", "$.k").cast("int") % 10).cast("string")).cast("binary")).alias("dedup_key"),
+        F.when(F.col("ts") < "2024-01-10", 1).when(F.col("ts") < "2024-01-20", 2).otherwise(3).alias("slice"),
+    )
+    for part in (1, 2, 3):
+        rows.filter(F.col("slice") == part).drop("slice").write.mode("append").json(path)
+        stream = files.file_stream(spark, path, "json", "event_id BIGINT, row_key STRING, ts BIGINT, dedup_key STRING", pattern="*.json")
+        batches.run_batches(upsert_stream(stream, LOOK_BACK), lambda df, i: batches.write_batch(df, out, i), checkpoint).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "row_key", "ts", "dedup_key")
+
+
 OFFSETS = """(SELECT event_type AS topic, user_id AS partition, event_id AS batch_id, from_offset, from_offset + 10 AS until_offset FROM
   (SELECT *, 10 * row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) + CASE WHEN value > 60 THEN 3 ELSE 0 END AS from_offset FROM events))"""
 
