@@ -75,10 +75,26 @@ def sum_arrays(df: DataFrame, key: str, vector: str) -> dict[object, np.ndarray]
     return parts.treeReduce(merge, depth=3) if parts.getNumPartitions() else {}
 
 
+def hash_share(by: Column, share: Column | float) -> Column:
+    """Whether the hash of a value is among the least `share` of all hashes."""
+    place = F.xxhash64(by).cast("double") / F.lit(2.0**64) + F.lit(0.5)
+    return place <= share
+
+
+def least_hashed(df: DataFrame, by: str, limit: int, *ties: str) -> DataFrame:
+    """At most `limit` rows, those with the least hashes of a column: the same for every run.
+
+    Rows are counted first, and those whose hash is more than twice as large as need be go in the
+    scan, so the choice gathers about twice `limit` rows, not `limit` rows of each task.
+    """
+    n = df.count()
+    some = df if n <= 2 * limit else df.where(hash_share(F.col(by), 2.0 * limit / n))
+    return some.orderBy(F.xxhash64(by), by, *ties).limit(limit)
+
+
 def bounded_ids(df: DataFrame, id_col: str, limit: int) -> DataFrame:
     """At most `limit` distinct ids, those with the smallest hashes: the same for every run."""
-    ids = df.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    return ids.orderBy(F.xxhash64(id_col), id_col).limit(limit)
+    return least_hashed(df.select(id_col).where(F.col(id_col).isNotNull()).distinct(), id_col, limit)
 
 
 #: Rows of whole texts or sets that go to a Python worker at once.

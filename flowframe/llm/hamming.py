@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import saved
+from flowframe.llm.common import least_hashed, saved
 
 #: Vectors that the rotations are learned from: those with the smallest hashed ids.
 MAX_SAMPLE = 4096
@@ -205,7 +205,7 @@ def nearest_by_inner_product(
     each query at most, and their best are the result. An empty table gives no rows.
     """
     rows = saved(usable_vectors(df, id_col, vector_col), "vectors")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE).toArrow()
+    sample = least_hashed(rows, "id", MAX_SAMPLE).toArrow()
     d = len(sample.column("v")[0]) if len(sample) else 1
     codes = learn_codes(_matrix(sample.column("v"), len(sample)) if len(sample) else np.empty((0, d)))
     n, n_queries = rows.count(), rows.where(is_query).count()

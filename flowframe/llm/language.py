@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from flowframe.llm.common import bound_batches, named_back, numbered, sum_arrays, texts
+from flowframe.llm.common import bound_batches, hash_share, named_back, numbered, sum_arrays, texts
 
 DIM = 1024
 GRAM = 3
@@ -112,9 +112,11 @@ def _labelled(docs: DataFrame, rows: Column, per_language: int) -> DataFrame:
     """doc_id, lang and text of at most `per_language` rows of each language, those with the smallest hashed ids."""
     usable = rows & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        docs.where(usable).select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
-    )
+    labelled = docs.where(usable).select("doc_id", "lang")
+    # languages are counted first: rows whose hash is twice as large as need be go in the scan
+    counts = labelled.groupBy("lang").agg((F.lit(2.0 * per_language) / F.count(F.lit(1))).alias("_share"))
+    few = labelled.join(counts, "lang").where(hash_share(F.col("doc_id"), F.col("_share")))
+    chosen = few.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
     # at most per_language ids for each language: small by that bound
     return docs.where(usable).select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
 

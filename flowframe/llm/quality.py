@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import fold, saved, sum_arrays
+from flowframe.llm.common import fold, least_hashed, saved, sum_arrays
 from flowframe.llm.stats import NAMES, document_stats
 
 FEATURES = 192
@@ -132,7 +132,7 @@ def learn(stats: DataFrame, labels: DataFrame, train: Column, label: str, limit:
     usable = labels.where(train & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select(
         "doc_id", F.col(label).alias("label")
     )
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(limit)
+    sample = least_hashed(usable, "doc_id", limit, "label")
     rows = stats.join(sample, "doc_id").repartition(16, "doc_id").sortWithinPartitions("doc_id")
     rows = saved(rows, "labelled")
     return fit(rows, F.pmod(F.xxhash64(F.lit("calibrate"), F.col("doc_id")), F.lit(4)) == 0)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import fold, saved, texts
+from flowframe.llm.common import fold, least_hashed, saved, texts
 
 #: Labelled rows that lexicon and weights are learned from: those with the smallest hashed ids.
 MAX_LABELLED = 40_000
@@ -343,7 +343,7 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, limit: int = MAX_LA
     usable = labels.where(train & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(
         F.max("toxic").alias("label")
     )
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    chosen = least_hashed(usable, "doc_id", limit)
     sample = saved(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text"), "toxic", compression="zstd")
     words, stems = learn_lexicon(sample)
     words = sorted({*words, *(w.lower() for w in extra)})

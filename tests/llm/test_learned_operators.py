@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowframe.llm import hamming, language, quality, stats, toxicity
-from flowframe.llm.common import fold
+from flowframe.llm.common import fold, least_hashed
 from flowframe.llm.queries import QUERIES
 from tests.llm.cases import distance, odd
 
@@ -253,3 +253,14 @@ def test_disguised_and_very_long_terms():
     assert hits("x idiot-moron y") == [(2, 5), (8, 5)]  # parts are words of their own
     assert hits("a 1diot") == [(3, 4)] and hits("3 4-5 a.b c1") == [] and hits("i*d*iot") == []
     assert hits("w" * 1500) == [(0, 1500)] and hits("scumbag1x") == [(0, 4)]
+
+
+def test_samples_of_least_hashes(spark):
+    """The same rows whether others go in the scan or not."""
+    df = spark.range(4000).withColumnRenamed("id", "doc_id").repartition(7)
+    best = [r["doc_id"] for r in df.orderBy(F.xxhash64("doc_id")).limit(300).collect()]
+    assert [r["doc_id"] for r in least_hashed(df, "doc_id", 300).collect()] == best
+    assert least_hashed(df, "doc_id", 9000).count() == 4000 and least_hashed(df.limit(0), "doc_id", 3).count() == 0
+    docs = df.withColumn("lang", F.when(F.col("doc_id") % 10 == 0, "b").otherwise("a")).withColumn("text", F.lit("t"))
+    got = language._labelled(docs, F.lit(True), 100).groupBy("lang").count().collect()
+    assert sorted(map(tuple, got)) == [("a", 100), ("b", 100)]
