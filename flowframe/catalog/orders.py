@@ -173,11 +173,11 @@ def hierarchy_root_deep(spark, data):
 @query(
     "assemble_object",
     """WITH o AS (SELECT o_custkey, to_json(list({'o_orderkey': o_orderkey, 'o_orderpriority': o_orderpriority}
-           ORDER BY o_orderkey)) AS l FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+           ORDER BY o_orderkey)) AS l FROM orders GROUP BY 1),
        i AS (SELECT o_custkey, to_json(list({'l_orderkey': l_orderkey, 'l_linenumber': l_linenumber, 'l_partkey': l_partkey}
            ORDER BY l_orderkey, l_linenumber, l_partkey)) AS l
-         FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' GROUP BY 1)
-       SELECT c_custkey, n_name, coalesce(CAST(o.l AS VARCHAR), '[]') AS order_list, coalesce(CAST(i.l AS VARCHAR), '[]') AS return_list
+         FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1)
+       SELECT c_custkey, n_name, coalesce(CAST(o.l AS VARCHAR), '[]') AS order_list, coalesce(CAST(i.l AS VARCHAR), '[]') AS line_list
        FROM customer LEFT JOIN o ON o.o_custkey = c_custkey LEFT JOIN i ON i.o_custkey = c_custkey
        JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey <> 1""",
 )
@@ -185,21 +185,17 @@ def assemble_object(spark, data):
     """Two independent lists per customer and a required partner; no list is null."""
     parent = table(spark, data, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     made = table(spark, data, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    returned = (
-        table(spark, data, "lineitem")
-        .filter("l_returnflag = 'R'")
-        .join(made.select(F.col("o_orderkey").alias("l_orderkey"), "c_custkey"), "l_orderkey")
-    )
+    lines = table(spark, data, "lineitem").join(made.select(F.col("o_orderkey").alias("l_orderkey"), "c_custkey"), "l_orderkey")
     df = op.assemble(
         parent,
         {
-            "order_list": (made.filter("o_orderstatus = 'F'"), ["c_custkey"], ["o_orderkey", "o_orderpriority"]),
-            "return_list": (returned, ["c_custkey"], ["l_orderkey", "l_linenumber", "l_partkey"]),
+            "order_list": (made, ["c_custkey"], ["o_orderkey", "o_orderpriority"]),
+            "line_list": (lines, ["c_custkey"], ["l_orderkey", "l_linenumber", "l_partkey"]),
         },
         required=[(table(spark, data, "nation").filter("n_regionkey <> 1"), ["n_nationkey"])],
     )
-    lists = {c: F.to_json(c) for c in ("order_list", "return_list")}
-    return df.withColumns(lists).select("c_custkey", "n_name", "order_list", "return_list")
+    lists = {c: F.to_json(c) for c in ("order_list", "line_list")}
+    return df.withColumns(lists).select("c_custkey", "n_name", "order_list", "line_list")
 
 
 @query("assemble_object_bounded", "SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey FROM lineitem")
