@@ -132,19 +132,11 @@ FLOW_RULES = [
 )
 def region_flow_rules(spark, data):
     """Rules over an order and the latest of its lines of each status that were not returned."""
-    entry = F.struct(
-        "l_returnflag",
-        "l_linestatus",
-        F.concat(F.date_format("l_shipdate", "yyyyMMdd"), F.lpad(F.col("l_partkey").cast("string"), 9, "0")).alias("serial"),
-        F.col("l_suppkey").cast("string").alias("supplier"),
-    )
-    entries = table(spark, data, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(entry).alias("entries"))
-
-    def latest(status):
-        return op.latest_entry(F.col("entries"), lambda e: (e["l_returnflag"] != "R") & (e["l_linestatus"] == status), "serial", "supplier")
-
-    df = table(spark, data, "orders").join(entries, "o_orderkey")
-    df = df.withColumns({"open_supplier": latest("O"), "closed_supplier": latest("F")})
+    serial = F.concat(F.date_format("l_shipdate", "yyyyMMdd"), F.lpad(F.col("l_partkey").cast("string"), 9, "0"))
+    lines = table(spark, data, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    wanted = {n: f"l_returnflag <> 'R' AND l_linestatus = '{s}'" for n, s in (("open_supplier", "O"), ("closed_supplier", "F"))}
+    latest = op.latest_values(lines, ["o_orderkey"], serial, F.col("l_suppkey").cast("string"), wanted)
+    df = table(spark, data, "orders").join(latest, "o_orderkey")
     return df.select("o_orderkey", decide(FLOW_RULES, "other").alias("flow"))
 
 

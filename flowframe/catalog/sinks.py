@@ -193,6 +193,20 @@ def per_table_counts(spark, data):
     return sinks.per_table_counts(mapped(spark, data))
 
 
+@query(
+    "write_counted",
+    """SELECT 't_' || event_type AS table_name, count(*) AS rows FROM events WHERE event_type <> 'error' GROUP BY 1
+       UNION ALL SELECT NULL, count(*) FILTER (event_type = 'error') FROM events""",
+)
+def write_counted(spark, data):
+    """Rows per table, counted while they are written; a table that wasn't named counts among the others."""
+    path = scratch_dir(spark, "counted")
+    names = [r[0] for r in table(spark, data, "events").select("event_type").distinct().collect()]
+    counts = sinks.write_counted(mapped(spark, data), [f"t_{n}" for n in names if n != "error"], lambda df: df.write.parquet(path))
+    assert spark.read.parquet(path).count() == sum(counts.values())
+    return spark.createDataFrame(list(counts.items()), "table_name string, rows long")
+
+
 @query("compact_files", "SELECT event_id, event_type FROM events")
 def compact_files(spark, data):
     source, target = scratch_dir(spark, "small"), scratch_dir(spark, "compact")

@@ -126,6 +126,20 @@ def latest_entry(entries: Column, where: Callable[[Column], Column], order: str,
     return F.coalesce(newest["v"], F.lit(""))
 
 
+def latest_values(
+    lines: DataFrame, keys: Sequence[str], order: Column | str, value: Column | str, wanted: Mapping[str, Column | str]
+) -> DataFrame:
+    """Per group and name in `wanted`: `value` of the line with the greatest `order` among those that
+    satisfy its condition (of equal ones the greater value); empty without one.
+
+    As `latest_entry`, but combined on the map side: the lines of a group are never gathered.
+    """
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    entry = F.struct(col(order).alias("o"), col(value).alias("v"))
+    newest = {n: F.max(F.when(F.expr(c) if isinstance(c, str) else c, entry))["v"] for n, c in wanted.items()}
+    return lines.groupBy(*keys).agg(*[F.coalesce(v, F.lit("")).alias(n) for n, v in newest.items()])
+
+
 def schedule_commit_dates(
     lines: DataFrame,
     keys: Sequence[str],

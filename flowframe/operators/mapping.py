@@ -550,6 +550,13 @@ def parse_mapped_rows(df: DataFrame, value_col: str = "value") -> DataFrame:
     return df.select(F.from_json(F.col(value_col), ROW_TYPE).alias("r")).select("r.*")
 
 
+def target_tables(spec: dict) -> list[str]:
+    """The tables that a mapping writes to."""
+    defined = [t.get("row") or t.get("rows") or [] for t in spec.get("templates") or []]
+    rows = [r for d in defined for r in (d if isinstance(d, list) else [d])]
+    return list(dict.fromkeys(row_spec(r)["table"] for r in rows))
+
+
 def catalog_qualifiers(spec: dict, template: str) -> dict[str, str]:
     """The cells a template can write: {qualifier: family}."""
     found: dict[str, Any] = {t["name"]: t for t in spec["templates"]}[template]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,6 +192,20 @@ def per_table_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("table_name").agg(F.count("*").alias("rows"))
 
 
+def write_counted(rows: DataFrame, tables: Sequence[str], write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """Write mapped rows and return how many went to each of the tables, and to others (`None`).
+
+    The rows are counted on their way through the one write; nothing is read or kept for it.
+    `write` must run the frame once.
+    """
+    seen = Observation()
+    of = [F.count_if(F.col("table_name").eqNullSafe(t)).alias(f"t{i}") for i, t in enumerate(tables)]
+    write(rows.observe(seen, F.count(F.lit(1)).alias("all"), *of))
+    told = seen.get
+    counts = {t: told[f"t{i}"] for i, t in enumerate(tables)}
+    return {**counts, None: told["all"] - sum(counts.values())}
+
+
 def compact_files(
     spark: SparkSession, source: str, target: str, fmt: str = "parquet", file_bytes: int = 512 << 20
 ) -> None:

@@ -155,3 +155,22 @@ def test_field_rules(spark):
     df = spark.sql("SELECT 'o1' AS id, '12' AS qty, CAST(NULL AS STRING) AS gone, array(named_struct('code', 'A1', 'x', '1'), named_struct('code', 'b', 'x', CAST(NULL AS STRING))) AS lines")
     out = validate.validate_fields(df, {"id": "^o", "qty": "^[0-9]$", "lines.code": "[A-Z]"}, ["id"])
     assert rows(out) == [("o1", "lines.code", "b", "InvalidFormat"), ("o1", "lines.x", "1", "MissingMapping"), ("o1", "qty", "12", "InvalidFormat")]
+
+
+def test_latest_values_are_those_of_lists(spark):
+    from pyspark.sql import functions as F
+
+    from flowframe.operators import intervals
+
+    lines = spark.createDataFrame([(1, "a", "2", "x"), (1, "a", "3", "y"), (1, "a", "3", "z"), (1, "b", "9", "w"), (2, "b", None, "v"), (None, "a", "1", "u")], "k int, kind string, o string, v string")
+    got = {r["k"]: (r["a"], r["c"]) for r in intervals.latest_values(lines, ["k"], "o", "v", {"a": "kind = 'a'", "c": "kind = 'c'"}).collect()}
+    assert got == {1: ("z", ""), 2: ("", ""), None: ("u", "")}
+    lists = lines.groupBy("k").agg(F.collect_list(F.struct("kind", "o", "v")).alias("e"))
+    assert {r["k"]: r["a"] for r in lists.select("k", intervals.latest_entry(F.col("e"), lambda e: e["kind"] == "a", "o", "v").alias("a")).collect()} == {k: a for k, (a, _) in got.items()}
+
+
+def test_tables_of_a_mapping():
+    from flowframe.operators import mapping
+
+    spec = {"templates": [{"name": "a", "row": {"name": "T"}}, {"name": "b", "rows": [{"tableName": "U", "rowkey": "x"}, {"name": "T"}]}, {"name": "c"}]}
+    assert mapping.target_tables(spec) == ["T", "U"]
