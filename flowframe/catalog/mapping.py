@@ -182,6 +182,7 @@ def child_rows(spark, data):
 
 PATHS_SPEC = {
     "version": "0.4.1",
+    "badValues": "null",
     "templates": [
         template(
             "order",
