@@ -78,10 +78,11 @@ def mix_plan(
     their texts, repeated rows draw alike. Empty tables give empty results. Other columns pass
     through, whatever their names (but for the four that are added).
     """
-    sized = docs.withColumn("_size", n_words(F.col("text")))
+    # sizes and draws need the text; behind this, texts pass no shuffle that doesn't ask for them
+    sized = docs.withColumn("_size", n_words(F.col("text"))).withColumn("_drawn", drawn_by())
     small = sized.select("source", F.col("_size").alias("size"))
     targets = source_targets(small, weights, max_rate)
-    keyed = sized.select(drawn_by().alias("key"), F.col("source"), F.col("_size").alias("size"))
+    keyed = sized.select(F.col("_drawn").alias("key"), F.col("source"), F.col("_size").alias("size"))
     whole, part = F.floor("rate"), F.col("rate") - F.floor("rate")
     off = [
         F.sum(F.when(draw(F.col("key"), F.lit(s)) < part, F.col("size")).otherwise(F.lit(0))).alias(f"extra{s}")
@@ -104,10 +105,10 @@ def mix_plan(
         "_source", "_source_size", "_target", "_rate", F.array_min(gaps)["seed"].alias("_seed")
     )
     out = sized.join(chosen, sized["source"].eqNullSafe(chosen["_source"]))
-    u = draw(drawn_by(), F.col("_seed"))
+    u = draw(F.col("_drawn"), F.col("_seed"))
     whole, part = F.floor("_rate"), F.col("_rate") - F.floor("_rate")
     copies = whole + F.when(u < part, 1).otherwise(0)
-    return out.withColumn("_copies", copies.cast("long")).drop("_source", "_rate", "_seed")
+    return out.withColumn("_copies", copies.cast("long")).drop("_source", "_rate", "_seed", "_drawn")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_rate: float = MAX_RATE, seeds: int = SEEDS) -> DataFrame:
