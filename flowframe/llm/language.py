@@ -17,12 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from flowframe.llm.common import bound_batches, hash_share, named_back, numbered, sum_arrays, texts
+from flowframe.llm.common import bound_batches, hash_share, named_back, numbered, saved, sum_arrays, texts
 
 DIM = 1024
 GRAM = 3
-#: Texts per language that the profiles are learned from: those with the smallest hashed ids.
-PER_LANGUAGE = 1000
 #: n-gram vectors that a worker keeps.
 KEPT = 16_000
 UNKNOWN = "und"
@@ -31,6 +29,8 @@ NOISE = 4
 #: A low quantile of labelled texts' cosines, by number of different n-grams: a text must come as
 #: far as halfway from the noise to it. And the least number of texts that a quantile is taken from.
 QUANTILE, LEAST_TEXTS = 0.01, 50
+#: Parts of the cosines' range that are counted to find where a quantile lies.
+PARTS = 4096
 
 
 @lru_cache(maxsize=1)
@@ -108,9 +108,12 @@ def space(dim: int, gram: int) -> Space:
     return Space(dim, gram)
 
 
-def _labelled(docs: DataFrame, rows: Column, per_language: int) -> DataFrame:
-    """doc_id, lang and text of at most `per_language` rows of each language, those with the smallest hashed ids."""
+def _labelled(docs: DataFrame, rows: Column, per_language: int | None = None) -> DataFrame:
+    """doc_id, lang and text of all labelled rows, or of at most `per_language` of each language, those
+    with the smallest hashed ids."""
     usable = rows & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
+    if per_language is None:
+        return docs.where(usable).select("doc_id", "lang", "text")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     labelled = docs.where(usable).select("doc_id", "lang")
     # languages are counted first: rows whose hash is twice as large as need be go in the scan
@@ -122,12 +125,12 @@ def _labelled(docs: DataFrame, rows: Column, per_language: int) -> DataFrame:
 
 
 def learn_profiles(
-    docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE, dim: int = DIM, gram: int = GRAM
+    docs: DataFrame, train: Column, per_language: int | None = None, dim: int = DIM, gram: int = GRAM
 ) -> dict[str, np.ndarray]:
     """Unit vectors by language from the texts of rows where `train` holds and lang isn't null.
 
-    At most `per_language` texts of each language are read: a documented bound on the labelled
-    sample. The choice is by hashed id, made on narrow rows, so that only chosen texts are moved.
+    Each task sums its texts, so no text is moved. `per_language` bounds the texts of each language
+    for callers that want a sample: the choice is by hashed id, made on narrow rows.
     """
     bound_batches(docs.sparkSession)
     sample = _labelled(docs, train, per_language)
@@ -198,18 +201,42 @@ def _size(n_grams: Column) -> Column:
 
 
 def learn_least(
-    docs: DataFrame, held: Column, profiles: dict[str, np.ndarray], per_language: int = PER_LANGUAGE
+    docs: DataFrame, held: Column, profiles: dict[str, np.ndarray], per_language: int | None = None
 ) -> dict[int, float]:
     """The least cosine by size, from labelled rows that the profiles were not learned from.
 
     It lies halfway between the noise and a low quantile of the rows that go to their own language.
-    A size with too few rows has that of the next smaller one. At most `per_language` texts of each language are read.
+    A size with too few rows has that of the next smaller one. All such rows are read; `per_language`
+    bounds them for callers that want a sample.
     """
     found = _identified(_labelled(docs, held, per_language), profiles).where(F.col("lang") == F.col("lang_pred"))
-    by_size = found.groupBy(_size(F.col("n_grams")).alias("size")).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile("score", F.lit(QUANTILE)).alias("least")
+    scores = saved(found.select(_size(F.col("n_grams")).alias("size"), "score"), "language-scores")
+    return {r["size"]: (r["least"] + NOISE / DIM**0.5) / 2 for r in _quantiles(scores).collect()}
+
+
+def _quantiles(scores: DataFrame) -> DataFrame:
+    """size and least, the exact low quantile of its scores, for sizes with enough rows.
+
+    Scores are counted by parts of their range first; only those of the one or two parts in which the
+    quantile's neighbours lie are put in order, so no task orders all scores of a size.
+    """
+    part = F.floor(F.col("score") * PARTS).cast("int")
+    counts = scores.groupBy("size", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    by_size = Window.partitionBy("size")
+    place = F.lit(QUANTILE) * (F.col("total") - 1)
+    placed = (
+        counts.withColumn("total", F.sum("n").over(by_size))
+        .withColumn("upto", F.sum("n").over(by_size.orderBy("part")))
+        .where(F.col("total") >= LEAST_TEXTS)
+        .select("size", "part", (F.col("upto") - F.col("n")).alias("before"), "upto", place.alias("place"))
+        .where((F.col("before") <= F.ceil("place")) & (F.col("upto") > F.floor("place")))
     )
-    return {r["size"]: (r["least"] + NOISE / DIM**0.5) / 2 for r in by_size.where(F.col("n") >= LEAST_TEXTS).collect()}
+    order = Window.partitionBy("size", "part").orderBy("score")
+    near = scores.withColumn("part", part).join(F.broadcast(placed), ["size", "part"])
+    at = near.withColumn("at", F.col("before") + F.row_number().over(order) - 1)
+    low, high = (F.max(F.when(F.col("at") == f("place"), F.col("score"))) for f in (F.floor, F.ceil))
+    share = F.max(F.col("place") - F.floor("place"))
+    return at.groupBy("size").agg((low + (high - low) * share).alias("least"))
 
 
 def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: dict[int, float] | None = None) -> DataFrame:

@@ -36,6 +36,26 @@ def test_language(spark):
     assert language.learn_profiles(docs.limit(0), F.lit(True)) == {}
 
 
+def test_language_is_learned_from_all_labelled_rows(spark):
+    """Profiles and least cosines are those of every labelled row, also beyond a thousand of a language."""
+    r = random.Random(3)
+    rows = [(i, "".join(r.choice("abcdefg hij ") for _ in range(r.randint(20, 400))), "en") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5, "doc_id")
+    space, total = language.Space(language.DIM, language.GRAM), np.zeros(language.DIM)
+    vectors = {i: space.counted(t) for i, t, _ in rows}
+    for v, _ in vectors.values():
+        total += v / np.linalg.norm(v)
+    profiles = language.learn_profiles(docs, F.lit(True))
+    assert np.allclose(profiles["en"], total / np.linalg.norm(total), atol=1e-12)
+    by_size = {}
+    for v, n in vectors.values():
+        by_size.setdefault(int(np.log2(n)), []).append(float(profiles["en"] @ v / np.linalg.norm(v)))
+    want = {k: (np.quantile(v, language.QUANTILE) + language.NOISE / language.DIM**0.5) / 2 for k, v in by_size.items() if len(v) >= language.LEAST_TEXTS}
+    got = language.learn_least(docs, F.lit(True), profiles)
+    assert want and got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
 def test_language_vectors():
     space = language.Space(64, 3)
     text = "ab ab"
