@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 VARIANTS = "array<variant>"
 FIELDS = "map<string,variant>"
-#: In JSON text, strings and all characters that are no brackets.
-STRINGS_AND_THE_REST = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\[\]{}]'
+#: In JSON text, each bracket that opens.
+OPENING = r"[\[{]"
 
 
 def no_matches() -> Column:
@@ -47,16 +47,14 @@ def field_text(value: Column, name: str) -> Column:
     return F.try_variant_get(value, step(name), "string")
 
 
-def nesting(values: Column) -> Column:
-    """How deep brackets are nested in the JSON text of a list of values, the list's own included."""
-    brackets = F.regexp_replace(F.coalesce(F.to_json(values), F.lit("[]")), STRINGS_AND_THE_REST, "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(1).alias("most"))
+def one_list(*lists: Column) -> Column:
+    """The items of several lists, none of them null. (`concat` evaluates lists many times slower.)"""
+    return F.flatten(F.array(*lists))
 
-    def count(acc: Column, bracket: Column) -> Column:
-        now = acc["now"] + F.when(bracket.isin("[", "{"), 1).otherwise(-1)
-        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
 
-    return F.reduce(F.filter(F.split(brackets, ""), lambda b: b != ""), start, count, lambda acc: acc["most"])
+def most_levels(values: Column) -> Column:
+    """At least as many as the levels of a list of values: the brackets that open in its JSON text."""
+    return F.regexp_count(F.coalesce(F.to_json(values), F.lit("[]")), F.lit(OPENING))
 
 
 class Matches:
@@ -107,17 +105,16 @@ class Matches:
             mirrored = x if step >= 0 else -1 - x
             return F.lit(mirrored) if mirrored >= 0 else size + F.lit(mirrored)
 
-        def cut(v: Column) -> Column:
-            array = elements(v)
+        def cut(array: Column) -> Column:
             size = F.size(array)
             walked = F.reverse(array) if step < 0 else array
             low = F.greatest(bound(start, size, F.lit(0)), F.lit(0))
             high = bound(stop, size, size)
-            return F.filter(
-                walked, lambda x, i: (i >= low) & (i < high) & ((i - low) % F.lit(abs(step)) == 0)
-            )
+            # bounds are worked out once for an array, not for each of its elements
+            picked = F.slice(walked, low + 1, F.greatest(high - low, F.lit(0)))
+            return picked if abs(step) == 1 else F.filter(picked, lambda _, i: i % F.lit(abs(step)) == 0)
 
-        return self._expand(cut)
+        return Matches(F.flatten(F.transform(F.transform(self.values, elements), cut)))
 
     def where(self, predicate: Callable[[Column], Column]) -> Matches:
         """Elements of an array value (or an object itself) for which the predicate is true."""
@@ -132,46 +129,51 @@ class Matches:
 
         return self._expand(keep)
 
-    def levels(self, inside: Callable[[Column], Column], hit: Callable[[Column], Column]) -> Matches:
-        """Walk down level by level, as deep as the document is, gathering `hit` of each level's nodes."""
-        start = F.struct(self.values.alias("frontier"), no_matches().alias("found"))
+    def levels(self, expand: Callable[[Column], Column], inside: str, hit: str) -> Matches:
+        """Walk down level by level, as deep as the document is.
+
+        `expand` makes a struct of lists of each node, once: those at `inside` are the next level, those
+        at `hit` are gathered.
+        """
+        start = F.struct(self.values.alias("frontier"), F.array().cast(f"array<{VARIANTS}>").alias("found"))
 
         def descend(acc: Column, _: Column) -> Column:
-            frontier = acc["frontier"]
-            return F.struct(
-                F.flatten(F.transform(frontier, inside)).alias("frontier"),
-                F.concat(acc["found"], F.flatten(F.transform(frontier, hit))).alias("found"),
-            )
+            def walked(nodes: Column) -> Column:
+                found = F.array_append(acc["found"], F.flatten(nodes[hit]))
+                return F.struct(F.flatten(nodes[inside]).alias("frontier"), found.alias("found"))
 
-        return Matches(F.reduce(F.sequence(F.lit(1), nesting(self.values)), start, descend, lambda acc: acc["found"]))
+            below = F.transform(F.array(F.transform(acc["frontier"], expand)), walked)
+            return F.when(F.size(acc["frontier"]) > 0, F.element_at(below, 1)).otherwise(acc)
+
+        steps = F.array_repeat(F.lit(0), most_levels(self.values))
+        return Matches(F.reduce(steps, start, descend, lambda acc: F.flatten(acc["found"])))
 
     def deep_field(self, name: str) -> Matches:
         """Fields of that name at any depth; a matched value is not searched further."""
 
-        def inside(v: Column) -> Column:
+        def expand(v: Column) -> Column:
             others = F.map_filter(F.try_variant_get(v, "$", FIELDS), lambda k, _: k != name)
-            return F.concat(elements(v), F.coalesce(F.map_values(others), no_matches()))
-
-        def hit(v: Column) -> Column:
-            return F.filter(F.array(field_of(v, name)), lambda x: x.isNotNull())
+            below = F.coalesce(F.map_values(others), elements(v))
+            return F.struct(below.alias("inside"), F.filter(F.array(field_of(v, name)), lambda x: x.isNotNull()).alias("hit"))
 
-        return self.levels(inside, hit)
+        return self.levels(expand, "inside", "hit")
 
     def deep_any(self) -> Matches:
         """The value itself and every field value at any depth."""
-        deep = self.levels(lambda v: F.concat(elements(v), members(v)), members)
-        return Matches(F.concat(self.values, deep.values))
+
+        def expand(v: Column) -> Column:
+            return F.struct(one_list(elements(v), members(v)).alias("inside"), members(v).alias("hit"))
+
+        return Matches(one_list(self.values, self.levels(expand, "inside", "hit").values))
 
     def deep_where(self, predicate: Callable[[Column], Column]) -> Matches:
         """Objects at any depth for which the predicate is true."""
 
-        def hit(v: Column) -> Column:
-            is_object = F.size(members(v)) > 0
-            return F.when(is_object, F.filter(F.array(v), lambda x: F.coalesce(predicate(x), F.lit(False)))).otherwise(
-                no_matches()
-            )
+        def expand(v: Column) -> Column:
+            hit = F.filter(F.array(v), lambda x: (F.size(members(x)) > 0) & F.coalesce(predicate(x), F.lit(False)))
+            return F.struct(one_list(elements(v), members(v)).alias("inside"), hit.alias("hit"))
 
-        return self.levels(lambda v: F.concat(elements(v), members(v)), hit)
+        return self.levels(expand, "inside", "hit")
 
     def first(self) -> Column:
         """Text of the first match, null without one."""

@@ -29,7 +29,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.functions.jsonpath import STRINGS_AND_THE_REST, step
+from flowframe.functions.jsonpath import OPENING, step
 from flowframe.operators import mapvalues
 from flowframe.operators.mapvalues import QUOTED, Value
 
@@ -143,6 +143,11 @@ def _members(v: str) -> str:
     return f"coalesce(map_values(try_variant_get({v}, '$', 'map<string,variant>')), {NO_MATCH})"
 
 
+def one_list(lists: list[str]) -> str:
+    """The items of several lists, none of them null. (`concat` evaluates lists many times slower.)"""
+    return lists[0] if len(lists) == 1 else f"flatten(array({', '.join(lists)}))"
+
+
 def _some(values: list[str]) -> str:
     return f"filter(array({', '.join(values)}), z -> z IS NOT NULL)"
 
@@ -186,20 +191,21 @@ def filter_sql(text: str, v: str) -> str:
 
 
 def _descent(v: str, name: str) -> str:
-    """Values of a name (or of any) at every depth, level by level, as deep as brackets are nested."""
-    brackets = f"""regexp_replace(coalesce(to_json({v}), '[]'), {sql_text(STRINGS_AND_THE_REST)}, '')"""
-    depth = (
-        f"reduce(filter(split({brackets}, ''), b -> b <> ''), named_struct('now', 0, 'most', 1), (a, b) -> named_struct("
-        "'now', a.now + IF(b IN ('[', '{'), 1, -1), 'most', greatest(a.most, a.now + IF(b IN ('[', '{'), 1, -1))), a -> a.most)"
-    )
+    """Values of a name (or of any) at every depth, level by level, as deep as the document is.
+
+    A node's fields are read once; there are no more levels than brackets that open in its JSON text.
+    """
+    levels = f"regexp_count(coalesce(to_json({v}), '[]'), {sql_text(OPENING)})"
     if name == "*":
-        hit, inside = _members("f"), f"concat({_elements('f')}, {_members('f')})"
+        hit, inside = _members("f"), one_list([_elements("f"), _members("f")])
     else:
         others = f"map_values(map_filter(try_variant_get(f, '$', 'map<string,variant>'), (k, x) -> k <> {sql_text(name)}))"
-        hit, inside = _some([_field("f", name)]), f"concat({_elements('f')}, coalesce({others}, {NO_MATCH}))"
-    start = f"named_struct('frontier', array({v}), 'found', {NO_MATCH})"
-    down = f"named_struct('frontier', flatten(transform(w.frontier, f -> {inside})), 'found', concat(w.found, flatten(transform(w.frontier, f -> {hit}))))"
-    return f"reduce(sequence(1, {depth}), {start}, (w, wi) -> {down}, w -> w.found)"
+        hit, inside = _some([_field("f", name)]), f"coalesce({others}, {_elements('f')})"
+    start = f"named_struct('frontier', array({v}), 'found', CAST(array() AS array<array<variant>>))"
+    nodes = f"transform(w.frontier, f -> named_struct('inside', {inside}, 'hit', {hit}))"
+    walked = f"transform(array({nodes}), p -> named_struct('frontier', flatten(p.inside), 'found', array_append(w.found, flatten(p.hit))))"
+    down = f"IF(size(w.frontier) > 0, element_at({walked}, 1), w)"
+    return f"reduce(array_repeat(0, {levels}), {start}, (w, wi) -> {down}, w -> flatten(w.found))"
 
 
 def matches_sql(path: str, doc: str) -> str:
@@ -214,7 +220,7 @@ def matches_sql(path: str, doc: str) -> str:
         elif found[0] == ".":
             expand = _some([_field(v, found[1:])])
         elif inner == "*":
-            expand = f"concat({_elements(v)}, {_members(v)})"
+            expand = one_list([_elements(v), _members(v)])
         elif inner[0] == "'":
             expand = _some([_field(v, name) for name in re.findall(r"'([^']*)'", inner)])
         elif inner[0] == "?":
@@ -374,7 +380,7 @@ def template_sql(template: dict, templates: dict[str, dict], scope: Scope, sort_
         parts.append(f"flatten(transform({each}, {kid} -> {inner}))")
         if below.failures:
             scope.failures.append(f"flatten(transform({each}, {kid} -> {below.failing()}))")
-    return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
+    return one_list(parts)
 
 
 def source_maps(spec: dict) -> list[dict]:
@@ -437,7 +443,7 @@ def mapping_plan(spec: dict, scope: Scope) -> Plan:
         sort_exprs = m.get("sortkey") or []
         sort_key = key_text([value_sql(e, here, "sortkey") for e in sort_exprs]) if sort_exprs else "''"
         made = [template_sql(templates[t], templates, here, sort_key) for t in m.get("templates") or []]
-        rows = made[0] if len(made) == 1 else f"concat({', '.join(made)})"
+        rows = one_list(made)
         condition = condition_sql(re.sub(r"\bsourceName\b", lambda _: name, when), asked)
         # tested here rather than in a filter, which would parse every document twice
         condition = f"doc IS NOT NULL AND {condition}"
@@ -451,7 +457,7 @@ def mapping_plan(spec: dict, scope: Scope) -> Plan:
         )
     if not tagged:
         raise ValueError("the mapping has no source map with a condition")
-    every = tagged[0] if len(tagged) == 1 else f"concat({', '.join(tagged)})"
+    every = one_list(tagged)
     return Plan(every, list(dict.fromkeys(ids)) or ["'?'"], failures)
 
 

@@ -319,3 +319,21 @@ def test_settings_are_put_back(spark):
     before = [spark.conf.get(k, None) for k in ("spark.sql.ansi.enabled", "spark.sql.legacy.sizeOfNull")]
     mapped_cells(spark, ORDER, BAD)
     assert [spark.conf.get(k, None) for k in ("spark.sql.ansi.enabled", "spark.sql.legacy.sizeOfNull")] == before
+
+
+def test_paths_read_a_value_once_for_all_its_elements(spark):
+    """Bounds of a slice and depths of a descent are worked out once for a value, and give the same matches."""
+    items = list(range(7))
+    doc = spark.createDataFrame([(json.dumps({"a": items, "b": {"x": [{"n": [1]}, {"n": 2, "t": "[{"}]}}),)], "v string")
+    df = doc.select(F.try_parse_json("v").alias("doc"))
+    a = jp.path(F.col("doc")).field("a")
+    for start, stop, step in [(None, None, 1), (1, 3, 1), (-2, None, 1), (2, 1, 1), (-9, -2, 2), (0, 99, 3), (8, 9, 1), (1, -9, 1)]:
+        low = max(0, start if start is None or start >= 0 else 7 + start) if start is not None else 0
+        high = 7 if stop is None else stop if stop >= 0 else 7 + stop
+        want = [x for i, x in enumerate(items) if low <= i < high and (i - low) % step == 0]
+        assert df.select(a.slice(start, stop, step).joined(",")).first()[0] == ",".join(map(str, want))
+    cut = df.select(a.slice(1, 3).joined(","))._jdf.queryExecution().analyzed().toString()
+    assert cut.count("array<variant>") + cut.count("ArrayType(VariantType") <= 2
+    deep = jp.path(F.col("doc"))
+    assert df.select(deep.deep_field("n").joined(","), deep.deep_any().count()).first()[:] == ("[1],2", 7)
+    assert "concat(" not in df.select(deep.deep_any().count())._jdf.queryExecution().analyzed().toString()
