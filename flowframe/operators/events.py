@@ -87,9 +87,21 @@ def to_events(
     """
     rows = df.withColumn(event_ts, F.greatest(left_ts, right_ts))
     if strict_compat:
-        right = rows.groupBy(*keys, event_ts, left_ts).agg(F.max(right_ts).alias(right_ts))
-        both = right.groupBy(*keys, event_ts, right_ts).agg(F.max(left_ts).alias(left_ts))
-        return join(both, rows, [*keys, event_ts, left_ts, right_ts])
+        # Of an event's rows one side or both have its timestamp. The highest right side per left side, and of
+        # these the highest left side per right side, leave the best of either kind; a row where both sides
+        # have the timestamp is the best of both.
+        event, left, right = F.col(event_ts), F.col(left_ts), F.col(right_ts)
+        for name in (*keys, left_ts, right_ts):
+            rows = rows.filter(F.col(name).isNotNull())
+        same = W.partitionBy(*keys, event_ts)
+        best = rows.withColumns(
+            {
+                "__right": F.max(F.when(left == event, right)).over(same),
+                "__left": F.max(F.when(right == event, left)).over(same),
+            }
+        ).filter(((left == event) & (right == F.col("__right"))) | ((right == event) & (left == F.col("__left"))))
+        first = [*keys, event_ts, left_ts, right_ts]
+        return best.select(*first, *[c for c in df.columns if c not in first])
     rest = [c for c in df.columns if c not in (*keys, left_ts, right_ts)]
     order = [F.col(right_ts).desc_nulls_last(), F.col(left_ts).desc_nulls_last()]
     order += [c.desc_nulls_last() for c in orderable(rows, rest)]
