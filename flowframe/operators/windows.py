@@ -63,14 +63,17 @@ def ordered_neighbours(
 def bucketed_neighbours(rows: DataFrame, bucket: Column, want: Wanted) -> DataFrame:
     """Key and bucket are one struct; the row windows and the join share its partitioning."""
     rows = rows.withColumn(PLACE, F.struct(F.col(KEY).alias("key"), bucket.alias("bucket")))
-    order = [F.col(c).alias(f"o{i}") for i, c in enumerate(want.order)]
-
-    facts = {"__head": F.min(F.struct(*order, want.next_values.alias("v")))["v"]}
-    for n, c in want.carried.items():
-        facts[f"__tail_{n}"] = F.max(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("v"))))["v"]
-    for n, c in want.highest.items():
-        facts[f"__top_{n}"] = F.max(c)
-    told = rows.groupBy(PLACE).agg(*[v.alias(n) for n, v in facts.items()])
+    inside = W.partitionBy(PLACE).orderBy(*want.order)
+    so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    near = {f"__own_{n}": F.last(c, ignorenulls=True).over(so_far) for n, c in want.carried.items()}
+    if want.following:
+        near["__next"] = F.lead(want.next_values).over(inside)
+    # what a bucket's last row has seen is what is known of the bucket
+    facts = {"__head": F.first(want.next_values).over(so_far)}
+    facts.update({f"__tail_{n}": F.last(c, ignorenulls=True).over(so_far) for n, c in want.carried.items()})
+    facts.update({f"__top_{n}": F.max(c).over(so_far) for n, c in want.highest.items()})
+    ended = rows.withColumns({**facts, "__ends": F.lead(F.lit(True)).over(inside).isNull()})
+    told = ended.filter("__ends").select(PLACE, *facts)
 
     across = W.partitionBy(f"{PLACE}.key").orderBy(f"{PLACE}.bucket")
     earlier = across.rowsBetween(W.unboundedPreceding, -1)
@@ -79,11 +82,6 @@ def bucketed_neighbours(rows: DataFrame, bucket: Column, want: Wanted) -> DataFr
     border.update({n: F.max(f"__top_{n}").over(W.partitionBy(f"{PLACE}.key")) for n in want.highest})
     told = told.select(PLACE, *[v.alias(n) for n, v in border.items()])
 
-    inside = W.partitionBy(PLACE).orderBy(*want.order)
-    so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    near = {f"__own_{n}": F.last(c, ignorenulls=True).over(so_far) for n, c in want.carried.items()}
-    if want.following:
-        near["__next"] = F.lead(want.next_values).over(inside)
     joined = rows.withColumns(near).join(told, PLACE)
     out = {n: F.coalesce("__next", "__after")[n] for n in want.following}
     out.update({n: F.coalesce(f"__own_{n}", f"__before_{n}") for n in want.carried})
