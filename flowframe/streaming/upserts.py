@@ -29,10 +29,12 @@ def upsert_stream(stream: DataFrame, n: int) -> DataFrame:
         stored = list(zip(ts, [h or "" for h in hashes]))
         known = {h for _, h in stored if h}
         for rows in pieces:
-            new = rows[~rows["dedup_key"].isin(known)]
-            at = new["ts"].map(lambda t: EARLIEST if pd.isna(t) else int(t))
-            stored = nlargest(n, [*stored, *zip(at, new["dedup_key"].fillna(""))])
-            yield new
+            # plain lists: a key has few rows in a piece, and a call of pandas costs more than they do
+            hashes = ["" if pd.isna(h) else h for h in rows["dedup_key"].tolist()]
+            stamps = [EARLIEST if pd.isna(t) else int(t) for t in rows["ts"].tolist()]
+            passes = [h not in known for h in hashes]
+            stored = nlargest(n, [*stored, *((t, h) for t, h, p in zip(stamps, hashes, passes) if p)])
+            yield rows if all(passes) else rows[passes]
         state.update(([t for t, _ in stored], [h for _, h in stored]))
 
     grouped = stream.groupBy("row_key")
