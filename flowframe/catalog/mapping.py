@@ -129,7 +129,7 @@ def order_documents(spark, data):
         F.col("l_partkey").alias("part"),
         F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).alias("codes"),
     )
-    lines = table(spark, data, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    lines = table(spark, data, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
     heads = table(spark, data, "orders").select("o_orderkey", "o_orderpriority")
     whole = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority"), "lines"))
     joined = heads.join(lines, heads["o_orderkey"] == lines["l_orderkey"])

@@ -45,6 +45,10 @@ ROW_TYPE = (
 )
 
 
+#: In SQL, a child's document while its texts are read.
+ITEM = "__item"
+
+
 @dataclass(frozen=True)
 class MappedFrames:
     rows: DataFrame
@@ -65,7 +69,8 @@ class Scope:
     """The documents a value can reach: the current one first, then its parents.
 
     Texts of the message itself are read once each, into columns listed in `columns`; they
-    are used by cells, keys and hashes alike. `failures` gathers SQL for the names of values that
+    are used by cells, keys and hashes alike. Those of a child's document are read once into the
+    fields of a struct, which `texts` lists for each document below the message. `failures` gathers SQL for the names of values that
     fail, as lists; `known` keeps what was analysed. With `bad_as_null` a failing value is null.
     """
 
@@ -75,12 +80,22 @@ class Scope:
     failures: list[str] = field(default_factory=list)
     known: dict[tuple[str, int], Value] = field(default_factory=dict)
     bad_as_null: bool = False
+    texts: tuple[dict[str, str], ...] = ()
 
     def child(self, name: str) -> Scope:
-        return Scope(self.spark, (name, *self.docs), self.columns, [], self.known, self.bad_as_null)
+        return Scope(self.spark, (name, *self.docs), self.columns, [], {}, self.bad_as_null, ({}, *self.texts))
 
     def fresh(self) -> Scope:
-        return Scope(self.spark, self.docs, self.columns, [], self.known, self.bad_as_null)
+        return Scope(self.spark, self.docs, self.columns, [], self.known, self.bad_as_null, self.texts)
+
+    def own(self) -> str:
+        """SQL for the current document."""
+        return f"{self.docs[0]}.doc" if self.texts else self.docs[0]
+
+    def bound(self, each: str) -> str:
+        """A list of children's documents as structs of each document and the texts read in it."""
+        fields = [f"'{name}', {found}" for found, name in self.texts[0].items()]
+        return f"transform({each}, {ITEM} -> named_struct({', '.join([f"'doc', {ITEM}", *fields])}))"
 
     def failing(self) -> str:
         """SQL for the names of the values that fail, so far."""
@@ -104,14 +119,14 @@ class Scope:
         return self.reach(path, f"try_variant_get({{doc}}, {sql_text(path.replace('../', ''))}, 'string')")
 
     def reach(self, path: str, found: str) -> str:
-        """`found` with the document that the path starts in; texts of the message become columns."""
+        """What stands for `found` with the document that the path starts in: a column, or a child's field."""
         ups = path.count("../")
         if ups >= len(self.docs):
             raise ValueError(f"path {path!r} reaches above the document")
-        found = found.replace("{doc}", self.docs[ups])
-        if self.docs[ups] != "doc":
-            return found
-        return self.columns.setdefault(found, f"__text{len(self.columns)}")
+        if ups == len(self.texts):
+            return self.columns.setdefault(found.replace("{doc}", "doc"), f"__text{len(self.columns)}")
+        kept = self.texts[ups]
+        return f"{self.docs[ups]}.{kept.setdefault(found.replace('{doc}', ITEM), f't{len(kept)}')}"
 
     def first_text(self, path: str) -> str:
         """SQL for the text of the first match."""
@@ -131,16 +146,20 @@ NO_MATCH = "CAST(array() AS array<variant>)"
 NO_NAMES = "CAST(array() AS array<string>)"
 
 
-def _field(v: str, name: str) -> str:
-    return f"try_variant_get({v}, {sql_text(step(name))}, 'variant')"
+def _get(v: str, at: str, kind: str) -> str:
+    return f"try_variant_get({v}, {sql_text(at)}, '{kind}')"
+
+
+def _field(v: str, name: str, at: str = "$") -> str:
+    return _get(v, at + step(name)[1:], "variant")
 
 
-def _elements(v: str) -> str:
-    return f"coalesce(try_variant_get({v}, '$', 'array<variant>'), {NO_MATCH})"
+def _elements(v: str, at: str = "$") -> str:
+    return f"coalesce({_get(v, at, 'array<variant>')}, {NO_MATCH})"
 
 
-def _members(v: str) -> str:
-    return f"coalesce(map_values(try_variant_get({v}, '$', 'map<string,variant>')), {NO_MATCH})"
+def _members(v: str, at: str = "$") -> str:
+    return f"coalesce(map_values({_get(v, at, 'map<string,variant>')}), {NO_MATCH})"
 
 
 def one_list(lists: list[str]) -> str:
@@ -152,9 +171,9 @@ def _some(values: list[str]) -> str:
     return f"filter(array({', '.join(values)}), z -> z IS NOT NULL)"
 
 
-def _slice(v: str, low: str, high: str, by: str) -> str:
+def _slice(items: str, low: str, high: str, by: str) -> str:
     """Bounds below zero count from the end; a negative step walks from the end, with mirrored bounds."""
-    stride, items = int(by or 1), _elements(v)
+    stride = int(by or 1)
     walked = f"reverse({items})" if stride < 0 else items
 
     def bound(text: str, default: str) -> str:
@@ -209,31 +228,42 @@ def _descent(v: str, name: str) -> str:
 
 
 def matches_sql(path: str, doc: str) -> str:
-    """SQL for the list of values that a path matches in a document."""
-    node = _some([doc])
+    """SQL for the list of values that a path matches in a document.
+
+    Plain fields are part of the path that the next step reads, as each value that is taken out is a copy.
+    """
+    node, at = _some([doc]), "$"
+
+    def down(v: str) -> str:
+        return node if at == "$" else f"flatten(transform({node}, {v} -> {_some([_get(v, at, 'variant')])}))"
+
     for n, found in enumerate(re.findall(STEP, path.replace("../", ""))):
         v, inner = f"v{n}", found[1:-1].strip() if found[0] == "[" else ""
+        plain = re.fullmatch(r"\.([^.*].*)|\[\s*'([^']*)'\s*\]", found)
+        if plain:
+            at += step(plain.group(1) or plain.group(2) or "")[1:]
+            continue
         if found.startswith(".."):
+            node, at = down(f"w{n}"), "$"
             expand = _descent(v, found[2:])
         elif found in (".*",):
-            expand = _members(v)
-        elif found[0] == ".":
-            expand = _some([_field(v, found[1:])])
+            expand = _members(v, at)
         elif inner == "*":
-            expand = one_list([_elements(v), _members(v)])
+            expand = one_list([_elements(v, at), _members(v, at)])
         elif inner[0] == "'":
-            expand = _some([_field(v, name) for name in re.findall(r"'([^']*)'", inner)])
+            expand = _some([_field(v, name, at) for name in re.findall(r"'([^']*)'", inner)])
         elif inner[0] == "?":
-            items = f"coalesce(try_variant_get({v}, '$', 'array<variant>'), IF(try_variant_get({v}, '$', 'map<string,variant>') IS NOT NULL, array({v}), {NO_MATCH}))"
+            one = f"IF({_get(v, at, 'map<string,variant>')} IS NOT NULL, array({_get(v, at, 'variant')}), {NO_MATCH})"
+            items = f"coalesce({_get(v, at, 'array<variant>')}, {one})"
             expand = f"filter({items}, q{n} -> coalesce({filter_sql(inner[2:-1], f'q{n}')}, false))"
         elif ":" in inner:
             low, high, *by = inner.split(":")
-            expand = _slice(v, low, high, by[0] if by else "")
+            expand = _slice(_elements(v, at), low, high, by[0] if by else "")
         else:
             places = [int(x) for x in inner.split(",")]
-            expand = _some([f"try_element_at({_elements(v)}, {x + 1 if x >= 0 else x})" for x in places])
-        node = f"flatten(transform({node}, {v} -> {expand}))"
-    return node
+            expand = _some([f"try_element_at({_elements(v, at)}, {x + 1 if x >= 0 else x})" for x in places])
+        node, at = f"flatten(transform({node}, {v} -> {expand}))", "$"
+    return down("w")
 
 
 def value_sql(text: str, scope: Scope, name: str = "") -> str:
@@ -302,6 +332,9 @@ def key_text(parts: list[str]) -> str:
 
 def children_sql(select: str, doc: str) -> str:
     """The sub-objects a child template maps: an array's elements, or a single object."""
+    if re.fullmatch(SIMPLE, select):
+        at = select.replace("../", "")
+        return f"coalesce({_get(doc, at, 'array<variant>')}, {_some([_get(doc, at, 'variant')])})"
     found = matches_sql(select, doc)
     return f"flatten(transform({found}, n -> coalesce(try_variant_get(n, '$', 'array<variant>'), array(n))))"
 
@@ -375,8 +408,9 @@ def template_sql(template: dict, templates: dict[str, dict], scope: Scope, sort_
     parts = [rows_sql(r, scope, sort_key) for r in (defined if isinstance(defined, list) else [defined])]
     for child in template.get("children") or []:
         kid = f"k{depth}"
-        below, each = scope.child(kid), children_sql(child["select"], scope.docs[0])
+        below = scope.child(kid)
         inner = template_sql(templates[child["template"]], templates, below, sort_key, depth + 1)
+        each = below.bound(children_sql(child["select"], scope.own()))
         parts.append(f"flatten(transform({each}, {kid} -> {inner}))")
         if below.failures:
             scope.failures.append(f"flatten(transform({each}, {kid} -> {below.failing()}))")

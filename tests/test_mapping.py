@@ -337,3 +337,25 @@ def test_paths_read_a_value_once_for_all_its_elements(spark):
     deep = jp.path(F.col("doc"))
     assert df.select(deep.deep_field("n").joined(","), deep.deep_any().count()).first()[:] == ("[1],2", 7)
     assert "concat(" not in df.select(deep.deep_any().count())._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_child_s_texts_are_read_once(spark):
+    """A text of a child is read once, whatever uses it: cells, keys, or its own children."""
+    line = {"name": "line", "row": {"name": "l", "colFamily": "f", "rowKey": ["$.n"], "cols": [{"name": "n", "value": "$.n", "isDedup": True}, {"name": "s", "value": "$.s"}]}, "children": [{"template": "part", "select": "$.p"}]}
+    part = {"name": "part", "row": {"name": "p", "colFamily": "f", "rowKey": ["../$.n", "$.k"], "cols": [{"name": "k", "value": "$.k"}, {"name": "up", "value": "concat('n', ../$.n)"}]}}
+    order = {"name": "order", "row": {"name": "o", "colFamily": "f", "rowKey": ["$.id"], "cols": []}, "children": [{"template": "line", "select": "$.lines"}]}
+    spec = {"templates": [order, line, part], "sourceMap": [{"sourceName": "all", "templates": ["order"], "when": "true", "idockey": ["$.id"]}]}
+    plan = mapping.mapping_plan(spec, mapping.Scope(spark))
+    assert plan.rows.count("'$.n'") == 1 and plan.rows.count("'$.k'") == 1
+    docs = ['{"id": 1, "lines": [{"n": 1, "s": "x", "p": {"k": 7}}, {"n": 2, "p": [{"k": 8}, {"k": null}]}, {"p": null}]}', '{"id": 2, "lines": {"n": 3}}', '{"id": 3, "lines": null}']
+    frame = spark.createDataFrame([("t", d) for d in docs], "topic string, value string")
+    got = sorted((r["table_name"], r["row_key"], tuple(sorted(r["cells"].items()))) for r in mapping.map_documents(frame, spec).rows.collect())
+    assert got == [
+        ("l", "1", (("n", "1"), ("s", "x"))),
+        ("l", "2", (("n", "2"),)),
+        ("l", "3", (("n", "3"),)),
+        ("p", "1-7", (("k", "7"), ("up", "n1"))),
+        ("p", "2-8", (("k", "8"), ("up", "n2"))),
+        ("p", "2-?", (("up", "n2"),)),
+        ("p", "?-?", (("up", "n"),)),
+    ]
