@@ -21,7 +21,7 @@ def nested_lists(
     """One row per key (or per key and part) with its rows as a sorted list of structs."""
     struct = F.struct(*[F.col(quoted(c)) for c in cols])
     if max_items is None:
-        return df.groupBy(*keys).agg(F.array_sort(F.collect_list(struct)).alias(out))
+        return df.groupBy(*keys).agg(F.sort_array(F.collect_list(struct)).alias(out))
 
     # Equal rows are counted on the map side; a row with very many copies becomes entries of
     # a sixteenth of a list each. An entry's part follows from its content, so a task that is
@@ -41,7 +41,7 @@ def nested_lists(
         part_col, F.pmod(F.xxhash64(out, "__chunk"), F.col("__parts"))
     )
     repeated = F.collect_list(F.array_repeat(F.col(out), F.col("__copies").cast("int")))
-    return spread.groupBy(*keys, part_col).agg(F.array_sort(F.flatten(repeated)).alias(out))
+    return spread.groupBy(*keys, part_col).agg(F.sort_array(F.flatten(repeated)).alias(out))
 
 
 def push_struct_array(

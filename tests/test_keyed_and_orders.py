@@ -174,3 +174,14 @@ def test_tables_of_a_mapping():
 
     spec = {"templates": [{"name": "a", "row": {"name": "T"}}, {"name": "b", "rows": [{"tableName": "U", "rowkey": "x"}, {"name": "T"}]}, {"name": "c"}]}
     assert mapping.target_tables(spec) == ["T", "U"]
+
+
+def test_lists_are_sorted_without_a_comparator(spark):
+    """Lists are in the order of their structs, nulls first, and no comparing expression is run for each pair."""
+    from flowframe.operators.nesting import nested_lists
+
+    df = spark.createDataFrame([(1, "b", 2), (1, None, 3), (1, "b", None), (1, "a", 1)], "k int, x string, y int")
+    for most in (None, 10):
+        lists = nested_lists(df, ["k"], ["x", "y"], "l", most)
+        assert "lambda" not in lists._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(e) for e in lists.first()["l"]] == [(None, 3), ("a", 1), ("b", None), ("b", 2)]
