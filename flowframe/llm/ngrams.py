@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ FILTER_BITS = 24
 #: Rows of one column that are multiplied out together; larger columns are cut into such blocks.
 COLUMN_ROWS = 512
 PIVOT_ROUNDS = 2
+#: Partitions of sketches or filters that one task joins.
+FAN = 4
 _CHUNK = 1 << 19
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -141,11 +144,27 @@ def described(docs: DataFrame, words: int = WORDS, bits: int = SKETCH_BITS) -> D
 
 
 def _merged(df: DataFrame, column: str, dtype, join: Callable) -> np.ndarray | None:
-    """One array from compressed arrays of fixed size, joined in a tree of tasks."""
-    parts = df.where(F.col(column).isNotNull()).select(column).rdd.map(
-        lambda r: np.frombuffer(zlib.decompress(r[0]), dtype=dtype)
-    )
-    return None if parts.isEmpty() else parts.treeReduce(join, depth=3)
+    """One array from compressed arrays of fixed size, joined in a tree of tasks.
+
+    A task reads the arrays of some neighbouring partitions, and a level of the tree is written to the
+    shared folder, so arrays pass no shuffle and the driver gets a few. `df` is read once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for x in batch.column(0):
+                part = np.frombuffer(zlib.decompress(x.as_py()), dtype=dtype)
+                total = part if total is None else join(total, part)
+        if total is not None:
+            yield _rows([column], [pa.binary()], [(zlib.compress(total.tobytes(), 1),)])
+
+    parts, n = df.where(F.col(column).isNotNull()).select(column), None
+    while n is None or n > 2 * FAN:
+        n = max(1, -(-parts.rdd.getNumPartitions() // FAN))
+        parts = saved(parts.coalesce(n).mapInArrow(run, f"{column} binary"), "merged")
+    found = [np.frombuffer(zlib.decompress(r[0]), dtype=dtype) for r in parts.collect()]
+    return reduce(join, found) if found else None
 
 
 def hashed_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
@@ -157,7 +176,8 @@ def hashed_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.nda
             out[_filter_at(b.column(0).to_numpy(), bits)] = True
         yield _rows(["bits"], [pa.binary()], [(zlib.compress(np.packbits(out).tobytes(), 1),)])
 
-    found = _merged(df.select(F.col(column).cast("long")).mapInArrow(run, "bits binary"), "bits", np.uint8, np.bitwise_or)
+    made = saved(df.select(F.col(column).cast("long")).mapInArrow(run, "bits binary"), "filters")
+    found = _merged(made, "bits", np.uint8, np.bitwise_or)
     return np.zeros(1 << (bits - 3), dtype=np.uint8) if found is None else found
 
 
@@ -297,7 +317,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
         return 100 * both >= percent * (len(x) + len(y) - both)
 
     sets = docs.mapInArrow(run, "id long, grams binary")
-    return saved(_kept_pairs(_with_binaries(pairs, sets), similar), "links").distinct()
+    return saved(_kept_pairs(_with_binaries(pairs, sets), similar).distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -325,7 +345,6 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
     matrix = saved(entries(firsts, hashed_filter(shared, "gram")).join(shared, "gram"), "matrix")
 
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
     labels = None
     for turn in range(PIVOT_ROUNDS):
         open_ = _open_columns(matrix, labels)
@@ -339,10 +358,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         if labels is not None:
             pairs = pairs.where("x.comp != p.comp")
         pairs = pairs.select(F.least("x.cls", "p.cls").alias("a"), F.greatest("x.cls", "p.cls").alias("b")).distinct()
-        links = links.union(verified(docs, plausible(firsts, pairs, percent), words, percent))
+        links = _joined_links(labels, verified(docs, plausible(firsts, pairs, percent), words, percent))
         labels = saved(components(links).select(F.col("node").alias("cls"), F.col("component").alias("comp")), "labels")
     rest = plausible(firsts, _remaining_pairs(_open_columns(matrix, labels), percent), percent)
-    links = links.union(verified(docs, rest, words, percent))
+    links = _joined_links(labels, verified(docs, rest, words, percent))
     found = saved(components(links), "components")
     classed = rows.join(classes, "digest", "left").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "cls")).otherwise(F.col("doc_id"))
@@ -351,6 +370,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
+def _joined_links(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """New links, and one from each class linked before to the least of its component."""
+    return links if labels is None else labels.select(F.col("cls").alias("a"), F.col("comp").alias("b")).union(links)
+
+
 def _open_columns(matrix: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The entries of columns whose rows are not all in one component, with their components."""
     if labels is None:

@@ -323,3 +323,35 @@ def test_rules(spark):
     assert {g["mean_ratio"] for g in rules.quality_rules(docs, labels.limit(0)).collect()} == {0.0}
 
 
+
+
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    """Components are known as soon as the links are stars; no round is spent on seeing that nothing changes."""
+    from flowframe.llm import graph
+
+    written = []
+    kept = graph.saved
+    monkeypatch.setattr(graph, "saved", lambda df, label: written.append(label) or kept(df, label))
+    links = spark.createDataFrame([(1, 5), (7, 1), (2, 3), (4, 4)], "a long, b long")
+    assert {tuple(r) for r in components(links).collect()} == {(1, 1), (5, 1), (7, 1), (2, 2), (3, 2), (4, 4)}
+    assert len(written) == 1
+    written.clear()
+    path = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
+    assert {r["component"] for r in components(path).collect()} == {0}
+    assert len(written) > 1
+
+
+def test_filters_are_joined_without_a_shuffle(spark, monkeypatch):
+    import numpy as np
+    from pyspark import RDD
+
+    from flowframe.llm import ngrams
+
+    monkeypatch.setattr(RDD, "partitionBy", lambda *a, **k: pytest.fail("arrays pass a shuffle"))
+    numbers = spark.range(0, 300, 1, 30)
+    found = ngrams.hashed_filter(numbers, "id", 12)
+    assert ngrams._in_filter(np.arange(300), found, 12).all()
+    want = np.zeros(1 << 12, dtype=bool)
+    want[ngrams._filter_at(np.arange(300), 12)] = True
+    assert (found == np.packbits(want)).all()
+    assert not ngrams.hashed_filter(numbers.where("id < 0"), "id", 12).any()
